@@ -55,6 +55,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Partition by keys for work that costs more CPU than bytes.
+
+    A fixed count keeps adaptive execution from merging partitions that look small.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def join_hot_safe(
     big: DataFrame, small: DataFrame, keys: list[str], how: str = "left", limit: int | None = None
 ) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 from linkloom import session as settings
 from linkloom.functions.percentiles import exact_percentiles
 from linkloom.operators.chains import FRESH, chunk_entries, map_schema
-from linkloom.operators.history import History, join_hot_safe, oversized_keys
+from linkloom.operators.history import History, join_hot_safe, oversized_keys, spread
 
 # Fixed defaults of the rig.
 FREQ_HZ, Q = 2000.0, 4.0
@@ -76,7 +76,7 @@ def _by_stretch(
     channels = [c for c in ("ref", "mic") if c in df.columns]
     own = F.floor(F.col("frame") / stretch)
     lead_in = F.when(F.col("frame") >= (own + 1) * stretch - warmup, own + 1)
-    spread = df.select(REC, "frame", *channels).withColumn(
+    pieces = df.select(REC, "frame", *channels).withColumn(
         "_stretch", F.explode(F.array_compact(F.array(own, lead_in)))
     )
 
@@ -96,7 +96,7 @@ def _by_stretch(
     schema = StructType([df.schema[REC], df.schema["frame"]])
     for channel in channels:
         schema = schema.add(channel, "float")
-    return spread.groupBy(REC, "_stretch").applyInPandas(run, schema)
+    return spread(pieces, REC, "_stretch").groupBy(REC, "_stretch").applyInPandas(run, schema)
 
 
 def bandpass_filter(
@@ -185,7 +185,7 @@ def find_clicks(
         return pd.DataFrame({REC: [piece[REC].iloc[0]] * len(picks), "frame": picks})
 
     if oversized_keys(loud, [REC], limit).isEmpty():
-        picks = loud.groupBy(REC).applyInPandas(
+        picks = spread(loud, REC).groupBy(REC).applyInPandas(
             lambda piece: table(piece, _picks(*arrays(piece), FRESH, 2**62, gap)), schema
         )
     else:
@@ -217,14 +217,14 @@ def _clicks_chunked(loud: DataFrame, gap: int, span: int, schema: StructType, ar
         row = {REC: [key[0]], "_chunk": [key[1]], "entries": [list(moves)], "exits": [list(moves.values())]}
         return pd.DataFrame(row)
 
-    maps = pieces.groupBy(*keys).applyInPandas(exits, map_schema(pieces, keys))
+    maps = spread(pieces, *keys).groupBy(*keys).applyInPandas(exits, map_schema(pieces, keys))
     entries = chunk_entries(maps, [REC])
 
     def choose(key: tuple, piece: pd.DataFrame) -> pd.DataFrame:
         eligible, stop = int(piece["entry"].iloc[0]), (key[1] + 1) * span
         return table(piece, _picks(*arrays(piece), eligible, stop, gap))
 
-    return pieces.join(entries, keys).groupBy(*keys).applyInPandas(choose, schema)
+    return spread(pieces.join(entries, keys), *keys).groupBy(*keys).applyInPandas(choose, schema)
 
 
 def noise_floor(df: DataFrame, fs: float) -> DataFrame:
@@ -294,7 +294,7 @@ def window_ncc(
         ("ncc_after", "double"), ("echo_level", "double"),
     ):
         schema = schema.add(name, kind)
-    return near.groupBy(REC, "click").applyInPandas(correlate, schema)
+    return spread(near, REC, "click").groupBy(REC, "click").applyInPandas(correlate, schema)
 
 
 def best_lag(ncc: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from linkloom.functions.sensing import (
     exit_states,
 )
 from linkloom.operators.chains import FRESH, chunk_entries, map_schema
-from linkloom.operators.history import CHUNK, History, first_at_or_after, same_keys
+from linkloom.operators.history import CHUNK, History, first_at_or_after, same_keys, spread
 
 SETTLING = ("connected", "failed", "closed")
 
@@ -233,7 +233,7 @@ def event_suppression(
                 verdicts.append(node.step(sample))
             yield _decided(batch, verdicts)
 
-    ordered = history.df.repartition("session").sortWithinPartitions("session", "t_ms")
+    ordered = spread(history.df, "session").sortWithinPartitions("session", "t_ms")
     return ordered.mapInPandas(scan, schema)
 
 
@@ -265,7 +265,7 @@ def _suppress_chunked(history: History, limits: Thresholds, schema: StructType)
         row["exits"] = [[x for _, x in moves]]
         return row
 
-    maps = pieces.groupBy(*keys).applyInPandas(exits, map_schema(pieces, keys))
+    maps = spread(pieces, *keys).groupBy(*keys).applyInPandas(exits, map_schema(pieces, keys))
     entries = chunk_entries(maps, ["session"]).select(
         F.col("session").alias("_e_session"), F.col(CHUNK).alias("_e_" + CHUNK), "entry"
     )
@@ -282,7 +282,7 @@ def _suppress_chunked(history: History, limits: Thresholds, schema: StructType)
         verdicts = [node.step(sample) for sample in samples[own:]]
         return _decided(piece.iloc[own:], verdicts)
 
-    return entered.groupBy(*keys).applyInPandas(decide, schema)
+    return spread(entered, *keys).groupBy(*keys).applyInPandas(decide, schema)
 
 
 def heartbeat_due(decisions: DataFrame) -> DataFrame:

@@ -118,8 +118,8 @@ def silence_validity(spark, sf_dir):
 
 
 @query("classify_wedge", with_sql("ev", "stat", body=f"""SELECT run, CASE WHEN silent THEN 'silent' WHEN pending OR seen = 0 THEN 'never-connected' ELSE 'clean' END AS class FROM (
-  SELECT session AS run, count(at) AS seen, coalesce(bool_or(at.s = 'connected' AND at.p <= 0), false) AS silent, coalesce(bool_or(at.s <> 'connected'), false) AS pending FROM (
-    SELECT session, peer, arg_max({{'s': state, 'p': packets_received % 4}}, t_ms) FILTER (t_ms - {T.START} <= {4 * DAY}) AS at FROM stat GROUP BY ALL) GROUP BY session)"""))
+  SELECT session AS run, count(due) AS seen, coalesce(bool_or(due.s = 'connected' AND due.p <= 0), false) AS silent, coalesce(bool_or(due.s <> 'connected'), false) AS pending FROM (
+    SELECT session, peer, arg_max({{'s': state, 'p': packets_received % 4}}, t_ms) FILTER (t_ms - {T.START} <= {4 * DAY}) AS due FROM stat GROUP BY ALL) GROUP BY session)"""))
 def classify_wedge(spark, sf_dir):
     samples = T.stat_samples(spark, sf_dir).withColumnRenamed("session", "run").withColumns(
         {"t_ms": F.col("t_ms") - T.START, "packets_received": F.col("packets_received") % 4})
@@ -207,34 +207,35 @@ def vad_edges(spark, sf_dir):
 
 # Grace windows
 
+HELD = 2 * DAY
 GRACE = f"""WITH ev AS MATERIALIZED ({T.SQL['ev']}), tick AS MATERIALIZED ({T.SQL['tick']}),
   around AS (SELECT *, lag(t_ms) OVER (PARTITION BY node ORDER BY t_ms) AS before, lead(t_ms) OVER (PARTITION BY node ORDER BY t_ms) AS after FROM tick),
   seen AS (SELECT node, unnest(in_range) AS peer, t_ms, before, after FROM around),
-  marked AS (SELECT *, CASE WHEN lag(t_ms) OVER p IS NULL OR (before > lag(t_ms) OVER p AND before >= lag(after) OVER p + {2 * DAY}) THEN 1 ELSE 0 END AS fresh
+  marked AS (SELECT *, CASE WHEN lag(t_ms) OVER p IS NULL OR (before > lag(t_ms) OVER p AND before >= lag(after) OVER p + {HELD}) THEN 1 ELSE 0 END AS fresh
     FROM seen WINDOW p AS (PARTITION BY node, peer ORDER BY t_ms)),
   linked AS (SELECT *, sum(fresh) OVER (PARTITION BY node, peer ORDER BY t_ms ROWS UNBOUNDED PRECEDING) AS link FROM marked),
-  spans AS (SELECT node, peer, link::BIGINT AS link, min(t_ms) AS start_ms, arg_max_null(after, t_ms) + {2 * DAY} AS due FROM linked GROUP BY ALL)
+  spans AS (SELECT node, peer, link::BIGINT AS link, min(t_ms) AS start_ms, arg_max_null(after, t_ms) + {HELD} AS due FROM linked GROUP BY ALL)
 SELECT s.node, s.peer, s.link, s.start_ms, min(t.t_ms) AS end_ms, min(t.t_ms) - s.start_ms AS held_ms
 FROM spans s LEFT JOIN tick t ON t.node = s.node AND t.t_ms >= s.due GROUP BY s.node, s.peer, s.link, s.start_ms"""
 
 
 @query("grace_window", GRACE)
 def grace_window(spark, sf_dir):
-    return states.grace_window(T.ranges(spark, sf_dir), 2 * DAY)
+    return states.grace_window(T.ranges(spark, sf_dir), HELD)
 
 
 # Suppression
 
-QUIET = 2 * DAY
+QUIET = DAY // 2
 WALK = f"""walk AS (
-  SELECT session, 0::BIGINT AS rn, 0::BIGINT AS t_ms, NULL::VARCHAR AS kind, NULL::VARCHAR AS note, 0::BIGINT AS at, false AS known,
+  SELECT session, 0::BIGINT AS rn, 0::BIGINT AS t_ms, NULL::VARCHAR AS kind, NULL::VARCHAR AS note, 0::BIGINT AS told, false AS known,
     0 AS px, 0 AS py, 0 AS pi, '' AS ps, 0::DOUBLE AS pr, 0::DOUBLE AS pl FROM (SELECT DISTINCT session FROM node)
   UNION ALL
-  SELECT session, rn, t_ms, said.k, said.n, CASE WHEN said.k IS NULL THEN at ELSE t_ms END,
+  SELECT session, rn, t_ms, said.k, said.n, CASE WHEN said.k IS NULL THEN told ELSE t_ms END,
     CASE WHEN said.k IS NULL THEN known ELSE said.k <> 'node-sleep' END,
     CASE WHEN said.k IS NULL THEN px ELSE x END, CASE WHEN said.k IS NULL THEN py ELSE y END, CASE WHEN said.k IS NULL THEN pi ELSE i END,
     CASE WHEN said.k IS NULL THEN ps ELSE s END, CASE WHEN said.k IS NULL THEN pr ELSE rtt END, CASE WHEN said.k IS NULL THEN pl ELSE loss END
-  FROM (SELECT w.at, w.known, w.px, w.py, w.pi, w.ps, w.pr, w.pl, n.*,
+  FROM (SELECT w.told, w.known, w.px, w.py, w.pi, w.ps, w.pr, w.pl, n.*,
     CASE WHEN n.forced IS NOT NULL THEN {{'k': n.forced, 'n': ''}}
       WHEN NOT w.known THEN {{'k': 'move', 'n': 'first position fix'}}
       WHEN (n.x - w.px) ** 2 + (n.y - w.py) ** 2 >= 36 THEN {{'k': 'move', 'n': 'moved ' || CAST(floor(sqrt((n.x - w.px) ** 2 + (n.y - w.py) ** 2) + 0.5) AS BIGINT) || ' tiles'}}
@@ -242,7 +243,7 @@ WALK = f"""walk AS (
       WHEN n.s <> w.ps THEN {{'k': 'link', 'n': 'peer ' || n.i || ' ' || w.ps || ' → ' || n.s}}
       WHEN abs(n.rtt - w.pr) >= 20 AND abs(n.rtt - w.pr) >= w.pr * 0.5 THEN {{'k': 'link', 'n': 'peer ' || n.i || ' RTT ' || w.pr::BIGINT || ' → ' || n.rtt::BIGINT || ' ms'}}
       WHEN n.loss - w.pl >= 2 THEN {{'k': 'link', 'n': 'peer ' || n.i || ' loss ' || w.pl::BIGINT || ' → ' || n.loss::BIGINT || '%'}}
-      WHEN n.t_ms - w.at >= {QUIET} THEN {{'k': 'heartbeat', 'n': ''}} ELSE {{'k': NULL::VARCHAR, 'n': ''}} END AS said
+      WHEN n.t_ms - w.told >= {QUIET} THEN {{'k': 'heartbeat', 'n': ''}} ELSE {{'k': NULL::VARCHAR, 'n': ''}} END AS said
     FROM walk w JOIN node n ON n.session = w.session AND n.rn = w.rn + 1))"""
 
 

@@ -80,7 +80,7 @@ def voice_client_summary(spark, sf_dir):
 
 @query("build_link_fact", with_sql("client", "ev", "rep", "newest", "links", body="""
   SELECT record_type, candidate_type, count(*) AS rows_n, count(link_index) AS indexed, sum(glare)::BIGINT AS glare,
-    count(client) AS clients, count(condition) AS conditions, round(sum(setup_ms), 3) AS setup_sum FROM (
+    count(client) AS clients, count(condition) AS conditions, round(sum(CAST(setup_ms AS DOUBLE)), 3) AS setup_sum FROM (
   SELECT 'realnet' AS record_type, candidate_type, link_index, glare, NULL AS client, cond AS condition, setup_ms FROM links
   UNION ALL SELECT 'voice', candidate_type, NULL, glare_total, client, NULL, setup_median_ms FROM client) GROUP BY ALL"""))
 def build_link_fact(spark, sf_dir):

@@ -20,7 +20,7 @@ BAND = """walk AS (
   FROM walk w JOIN frame f ON f.recording_id = w.recording_id AND f.frame = w.frame + 1, (SELECT 2 * pi() * 100 / 1000 AS w0, sin(2 * pi() * 100 / 1000) / 8 AS alpha))"""
 
 
-@query("bandpass_filter", with_sql("frame", recursive=BAND, body="SELECT recording_id, frame, round(y1, 5) AS ref FROM walk WHERE frame >= 0"))
+@query("bandpass_filter", with_sql("frame", recursive=BAND, body="SELECT recording_id, frame, round(CAST(CAST(y1 AS FLOAT) AS DOUBLE), 5) AS ref FROM walk WHERE frame >= 0"))
 def bandpass_filter(spark, sf_dir):
     passed = L.bandpass_filter(T.frames(spark, sf_dir), FS, freq=100.0).withColumn("ref", F.col("ref").cast("double"))
     return rounded(passed, "ref", digits=5).select("recording_id", "frame", "ref")
@@ -32,7 +32,7 @@ SMOOTH = """walk AS (
   FROM walk w JOIN frame f ON f.recording_id = w.recording_id AND f.frame = w.frame + 1)"""
 
 
-@query("envelope", with_sql("frame", recursive=SMOOTH, body="SELECT recording_id, frame, round(e, 5) AS ref FROM walk WHERE frame >= 0"))
+@query("envelope", with_sql("frame", recursive=SMOOTH, body="SELECT recording_id, frame, round(CAST(CAST(e AS FLOAT) AS DOUBLE), 5) AS ref FROM walk WHERE frame >= 0"))
 def envelope(spark, sf_dir):
     smooth = L.envelope(T.frames(spark, sf_dir), FS).withColumn("ref", F.col("ref").cast("double"))
     return rounded(smooth, "ref", digits=5).select("recording_id", "frame", "ref")
@@ -47,7 +47,7 @@ def decimate(spark, sf_dir):
 # Picks need the one before: onsets and their best frame are tabled first, then walked.
 PICKS = """lv AS MATERIALIZED (SELECT recording_id, frame, abs(ref) AS v, 0.3::DOUBLE * max(abs(ref)) OVER (PARTITION BY recording_id) AS bar FROM frame),
   onset AS MATERIALIZED (SELECT o.recording_id, o.frame, coalesce(min(b.frame), o.frame + 7) AS stop FROM lv o
-    LEFT JOIN lv b ON b.recording_id = o.recording_id AND b.frame > o.frame AND b.frame < o.frame + 7 AND b.v < b.bar * 0.5 WHERE o.v >= o.bar GROUP BY ALL),
+    LEFT JOIN lv b ON b.recording_id = o.recording_id AND b.frame > o.frame AND b.frame < o.frame + 7 AND b.v < b.bar * 0.5 WHERE o.v >= o.bar GROUP BY o.recording_id, o.frame),
   best AS MATERIALIZED (SELECT o.recording_id, o.frame, arg_max(l.frame, (l.v, -l.frame)) AS pick FROM onset o
     JOIN lv l ON l.recording_id = o.recording_id AND l.frame >= o.frame AND l.frame < o.stop GROUP BY ALL),
   nxt AS MATERIALIZED (SELECT l.recording_id, l.frame AS eligible, min(o.frame) AS onset FROM lv l JOIN onset o ON o.recording_id = l.recording_id AND o.frame >= l.frame GROUP BY ALL),

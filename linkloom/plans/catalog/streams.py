@@ -82,7 +82,7 @@ def stream_event_suppression(spark, sf_dir):
 @query("stream_grace_window", f"SELECT * FROM ({ordered.GRACE}) WHERE end_ms IS NOT NULL")
 def stream_grace_window(spark, sf_dir):
     """Links that have ended; the batch form also lists those still held."""
-    return settled(machines.stream_grace_window(arriving(spark, T.ranges(spark, sf_dir)), ordered.QUIET))
+    return settled(machines.stream_grace_window(arriving(spark, T.ranges(spark, sf_dir)), ordered.HELD))
 
 
 @query("stream_never_connected_timeout", with_sql("acts", body=ordered.WATCHED))

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import json
 import math
+from collections import namedtuple
 from collections.abc import Iterator
+from operator import attrgetter
 from typing import Any
 
 import pandas as pd
@@ -34,18 +36,21 @@ class Machine:
 
 
 def run_machine(
-    df: DataFrame, keys: list[str], order: list[str], make: type[Machine] | Any, emits: str
+    df: DataFrame, keys: list[str], order: list[str], make: type[Machine], emits: str
 ) -> DataFrame:
     """Feed each key's rows to its machine; the output is the keys plus what it emits."""
     schema = StructType([df.schema[k] for k in keys] + StructType.fromDDL(emits).fields)
-    names = schema.names
+    names, fields = schema.names, df.columns
+    Row = namedtuple("Row", fields)
+    in_order = attrgetter(*order)
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
-        rows = pd.concat(list(batches)).sort_values(order, kind="stable")
+        rows = [Row(*v) for b in batches for v in zip(*(b[f].tolist() for f in fields))]
         machine = make(json.loads(state.get[0]) if state.exists else None)
-        out = [key + emitted for row in rows.itertuples(index=False) for emitted in machine.step(row)]
+        out = [key + said for row in sorted(rows, key=in_order) for said in machine.step(row)]
         state.update((json.dumps(machine.memory),))
-        yield pd.DataFrame(out, columns=names)
+        if out:
+            yield pd.DataFrame(out, columns=names)
 
     return df.groupBy(*keys).applyInPandasWithState(
         advance, schema, "memory string", "append", GroupStateTimeout.NoTimeout
@@ -169,13 +174,14 @@ def stream_grace_window(ticks: DataFrame, w_ms: int) -> DataFrame:
 def watchdog_machine(restart_ms: int, recreate_ms: int) -> type[Machine]:
     class Watchdog(Machine):
         def fresh(self):
-            return {"born": None, "restarted": False, "gone": False}
+            return {"born": None, "restarted": False, "gone_at": None}
 
         def step(self, row):
             m, born, t = self.memory, int(row.born_ms), int(row.t_ms)
             if m["born"] != born:
-                m.update(born=born, restarted=False, gone=False)
-            if m["gone"] or row.ever_connected:
+                m.update(born=born, restarted=False, gone_at=None)
+            gone = m["gone_at"] is not None
+            if row.ever_connected or (gone and t > m["gone_at"]):
                 return []
             acts = []
             idle = row.signaling == "stable" and row.ice == "new"
@@ -183,8 +189,8 @@ def watchdog_machine(restart_ms: int, recreate_ms: int) -> type[Machine]:
             if not m["restarted"] and t - born > restart_ms and idle and impolite:
                 m["restarted"] = True
                 acts.append((born, t, "restart"))
-            if t - born > recreate_ms:
-                m["gone"] = True
+            if not gone and t - born > recreate_ms:
+                m["gone_at"] = t
                 acts.append((born, t, "recreate"))
             return acts
 
