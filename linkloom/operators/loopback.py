@@ -337,8 +337,13 @@ def measure_bursts(
     pre_ms: float = PRE_ROLL_MS, freq: float = FREQ_HZ, q: float = Q, tau_ms: float = ENVELOPE_MS,
     min_db: float = MIN_DB, min_corr: float = MIN_CORR, limit: int | None = None,
 ) -> DataFrame:
-    """From raw frames to one gated row per click."""
-    level = filtered_envelope(frames, fs, freq, q, tau_ms)
+    """From raw frames to one gated row per click.
+
+    The envelope is read by the click search, the correlation and the noise floor,
+    so it is computed once and kept in the checkpoint folder.
+    """
+    settings.use_checkpoints(frames.sparkSession)
+    level = filtered_envelope(frames, fs, freq, q, tau_ms).checkpoint()
     clicks = find_clicks(level, fs, thr, max_lag_ms, limit)
     coarse, rate = decimate(level, d), fs / d
     starts = clicks.withColumn("frame", F.floor(F.col("frame") / d))

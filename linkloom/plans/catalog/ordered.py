@@ -169,21 +169,24 @@ def glare_count(spark, sf_dir):
 
 
 def watch_ticks(spark, sf_dir):
-    return T.table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("session"), F.col("l_linenumber").alias("peer"), F.lit(0).cast("bigint").alias("born_ms"),
-        (F.col("l_quantity") * 250).cast("bigint").alias("t_ms"), (F.col("l_returnflag") == "R").alias("ever_connected"),
-        F.when(F.col("l_linestatus") == "O", "stable").otherwise("have-local-offer").alias("signaling"), F.lit("new").alias("ice"),
-        F.col("l_partkey").alias("my_nonce"), (F.col("l_suppkey") * 20 - 100).alias("remote_nonce"))
+    """Events drawn together in time, as the first seconds of one peer."""
+    k = F.col("k")
+    return T.events(spark, sf_dir).select(
+        F.col("user_id").alias("session"), (k % 3).alias("peer"), F.lit(T.START).alias("born_ms"),
+        (F.lit(T.START) + F.floor((F.col("t_ms") - T.START) / 200000)).alias("t_ms"),
+        (F.col("event_type") == "purchase").alias("ever_connected"),
+        F.when(k % 2 == 0, "stable").otherwise("have-local-offer").alias("signaling"), F.lit("new").alias("ice"),
+        k.alias("my_nonce"), (F.col("user_id") % 120 - 10).alias("remote_nonce"))
 
 
-WATCHED = """SELECT session, peer, 0::BIGINT AS born_ms, t_ms, action FROM (
+WATCHED = f"""SELECT session, peer, {T.START}::BIGINT AS born_ms, t_ms, action FROM (
   SELECT *, 'restart' AS action, a AS t_ms FROM acts WHERE a IS NOT NULL AND (b IS NULL OR a <= b) UNION ALL SELECT *, 'recreate', b FROM acts WHERE b IS NOT NULL)"""
-T.SQL["acts"] = """SELECT l_orderkey AS session, l_linenumber AS peer, min(CASE WHEN t > 3000 AND l_linestatus = 'O' AND l_suppkey * 20 - 100 >= 0
-    AND l_partkey > l_suppkey * 20 - 100 THEN t END) AS a, min(CASE WHEN t > 8000 THEN t END) AS b
-  FROM (SELECT *, CAST(l_quantity * 250 AS BIGINT) AS t FROM lineitem WHERE l_returnflag <> 'R') GROUP BY ALL"""
+T.SQL["acts"] = f"""SELECT user_id AS session, k % 3 AS peer, min(CASE WHEN t - {T.START} > 3000 AND k % 2 = 0 AND user_id % 120 - 10 >= 0
+    AND k > user_id % 120 - 10 THEN t END) AS a, min(CASE WHEN t - {T.START} > 8000 THEN t END) AS b
+  FROM (SELECT *, {T.START} + (t_ms - {T.START}) // 200000 AS t FROM ev WHERE event_type <> 'purchase') GROUP BY ALL"""
 
 
-@query("never_connected_timeout", with_sql("acts", body=WATCHED))
+@query("never_connected_timeout", with_sql("ev", "acts", body=WATCHED))
 def never_connected_timeout(spark, sf_dir):
     return states.never_connected_timeout(watch_ticks(spark, sf_dir))
 

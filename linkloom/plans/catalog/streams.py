@@ -85,6 +85,6 @@ def stream_grace_window(spark, sf_dir):
     return settled(machines.stream_grace_window(arriving(spark, T.ranges(spark, sf_dir)), ordered.HELD))
 
 
-@query("stream_never_connected_timeout", with_sql("acts", body=ordered.WATCHED))
+@query("stream_never_connected_timeout", with_sql("ev", "acts", body=ordered.WATCHED))
 def stream_never_connected_timeout(spark, sf_dir):
     return settled(machines.stream_never_connected_timeout(arriving(spark, ordered.watch_ticks(spark, sf_dir))))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.session import fill_cores
+
 DAY = 86_400_000
 START = 1_704_067_200_000  # first instant of the event table, epoch ms
 AT = "2024-02-01T00:00:00Z"
@@ -67,7 +69,7 @@ SQL["ev"] = """SELECT event_id, user_id, event_type, value,
 
 def report_payloads(spark: SparkSession, sf_dir: str, copies: bool = False) -> DataFrame:
     """Events as lines of the report log; ``copies`` delivers each one to three times."""
-    ev = events(spark, sf_dir)
+    ev = fill_cores(events(spark, sf_dir))
     if copies:
         ev = ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("k") % 3)))
     else:
@@ -210,7 +212,7 @@ SQL["tick"] = "SELECT user_id AS node, t_ms, [k % 3, k % 2 + 3] AS in_range FROM
 
 
 def _exports(df: DataFrame, record_type: str, source_file: Column, body: Column) -> DataFrame:
-    return df.select(
+    return fill_cores(df).select(
         F.to_json(body).alias("payload"), source_file.alias("source_file"),
         F.lit(record_type).alias("record_type"), F.lit(None).cast("int").alias("peer_count"),
         F.lit(AT).alias("ingested_at"),
@@ -399,7 +401,7 @@ SQL["link"] = """SELECT *, CASE WHEN lat_raw_ms >= 0 THEN lat_raw_ms + 12 ELSE -
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One recording per vector; the microphone hears it later, at half strength."""
-    vectors = table(spark, sf_dir, "embeddings")
+    vectors = fill_cores(table(spark, sf_dir, "embeddings"))
     sample = vectors.select("vec_id", "embedding", F.posexplode("embedding").alias("pos", "x"))
     delay = (F.col("vec_id") % 7 + 2).cast("int")
     heard = F.try_element_at("embedding", F.col("pos") - delay + 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Rows of one key that a single task may walk in order. Keys above it are cut
 # into range chunks (see operators/history.py).
@@ -57,3 +57,13 @@ def use_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="linkloom-checkpoint-"))
     else:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+
+
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than there are cores, ahead of costly row work.
+
+    Only the number of splits is asked for, nothing is read; a table large enough
+    to keep the cluster busy passes through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

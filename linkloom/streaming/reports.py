@@ -6,12 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from linkloom import schemas
-from linkloom.operators.reshape import (
-    filter_known_condition,
-    latest_report_per_session,
-    parse_payload,
-)
+from linkloom.operators.reshape import parsed_reports
 from linkloom.sources.reports import STREAM_FILE, prepare_lines, redelivery_key
 
 
@@ -49,13 +44,12 @@ def stream_dedup(lines: DataFrame, watermark: str = "10 minutes", time: str = "a
 
 
 def stream_latest_report(lines: DataFrame) -> DataFrame:
-    """Newest report per (condition, session), for update or complete output."""
-    parsed = parse_payload(lines, schemas.payload("realnet"), "r")
-    tagged = filter_known_condition(parsed, "r.cond").select(
-        F.col("r.cond").alias("cond"), F.col("r.sid").alias("sid"), F.col("r.ts").alias("ts"),
-        "line", "record_type", "source_file", "ingested_at", "r",
-    )
-    return latest_report_per_session(tagged, ["cond", "sid"], "ts", ["line"])
+    """Newest report per (condition, session), for update or complete output.
+
+    State holds one report per session ever seen; the batch form over the landed
+    log needs none.
+    """
+    return parsed_reports(lines)
 
 
 def land_to(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
