@@ -135,7 +135,7 @@ def sensing_report_mix(raw_json: DataFrame) -> DataFrame:
     ).select(F.col("r.scenario").alias("scenario"), F.col("r.kindCounts").alias("kinds"))
     runs = filter_known_condition(runs, "scenario")
     # One pass: every run adds a row of its own under a NULL kind, next to its counts.
-    lines = runs.select("scenario", F.explode(F.concat(
+    lines = runs.select("scenario", F.explode_outer(F.concat(
         F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(1).alias("value"))),
         F.coalesce(F.map_entries("kinds"), F.array()),
     )).alias("e"))

@@ -64,7 +64,7 @@ def reference_dtx(raw_json: DataFrame) -> DataFrame:
 def reference_sensing(raw_json: DataFrame) -> DataFrame:
     clients = _of(raw_json, "sensing").select(
         F.get_json_object("payload", "$.scenario").alias("scenario"),
-        F.explode(F.from_json(F.get_json_object("payload", "$.clients"), "map<string,string>")).alias("c", "body"),
+        F.explode_outer(F.from_json(F.get_json_object("payload", "$.clients"), "map<string,string>")).alias("c", "body"),
     ).where("scenario <> ''")
     share = F.get_json_object("body", "$.stats.suppressedPct").try_cast("double")
     cells = clients.groupBy("scenario").agg(_median(share).alias("expected"))
@@ -98,7 +98,7 @@ def reference_kpi_vs_n(raw_json: DataFrame) -> DataFrame:
     """Set-up median of the newest run per N."""
     clients = _of(raw_json, "voice").select(
         _json("$.N", "int").alias("n"), "source_file",
-        F.explode(F.from_json(F.get_json_object("payload", "$.perClient"), "array<string>")).alias("body"),
+        F.explode_outer(F.from_json(F.get_json_object("payload", "$.perClient"), "array<string>")).alias("body"),
     )
     setup = F.get_json_object("body", "$.kpis.setupMedianMs").try_cast("double")
     runs = clients.groupBy("n", "source_file").agg(_median(F.when(setup >= 0, setup)).alias("v"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -13,12 +15,22 @@ STREAM_FILE = "wsn-remote-reports.jsonl"
 
 
 def skip_blank_lines(df: DataFrame, column: str = "payload") -> DataFrame:
-    return df.where(F.length(F.trim(F.regexp_replace(column, r"\s+", " "))) > 0)
+    return df.where(F.col(column).rlike(r"\S"))
 
 
 def probe_json_paths(df: DataFrame, paths: dict[str, str], column: str = "payload") -> DataFrame:
-    """Pull single fields out of raw JSON text without parsing the rest."""
-    return df.withColumns({n: F.get_json_object(column, p) for n, p in paths.items()})
+    """Pull single fields out of raw JSON text as strings.
+
+    Fields at the top level come from one parse of the line that skips the rest;
+    deeper paths are looked up one by one.
+    """
+    flat = {n: p[2:] for n, p in paths.items() if re.fullmatch(r"\$\.\w+", p)}
+    deep = {n: F.get_json_object(column, p) for n, p in paths.items() if n not in flat}
+    if flat:
+        schema = ", ".join(f"`{field}` string" for field in dict.fromkeys(flat.values()))
+        df = df.withColumn("_probe", F.from_json(column, schema))
+    found = {n: F.col("_probe").getField(field) for n, field in flat.items()}
+    return df.withColumns({**found, **deep}).drop("_probe")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -76,11 +88,12 @@ def land_jsonl_stream(spark: SparkSession, path: str, ingested_at: str) -> DataF
 
 def frame_events(df: DataFrame) -> DataFrame:
     """Key each line for an ordered log: session, else condition, else 'unknown'."""
-    field = lambda path: F.nullif(F.get_json_object("payload", path), F.lit(""))
-    return skip_blank_lines(df).select(
-        F.coalesce(field("$.sid"), field("$.cond"), F.lit("unknown")).alias("partition_key"),
+    probed = probe_json_paths(skip_blank_lines(df), {"sid": "$.sid", "cond": "$.cond", "ts": "$.ts"})
+    named = lambda c: F.nullif(F.col(c), F.lit(""))
+    return probed.select(
+        F.coalesce(named("sid"), named("cond"), F.lit("unknown")).alias("partition_key"),
         F.trim("payload").alias("body"),
-        F.coalesce(F.get_json_object("payload", "$.ts").cast("bigint"), F.lit(0)).alias("ts"),
+        F.coalesce(F.col("ts").try_cast("bigint"), F.lit(0)).alias("ts"),
     )
 
 
