@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from linkloom import session as settings
 from linkloom.operators.history import History, broadcast_if_small
 
 
@@ -40,13 +41,17 @@ def percentile_approximate(c: Column | str, p: float, accuracy: int = 10_000) ->
 def exact_percentiles(
     df: DataFrame, keys: list[str], value: str, ps: dict[str, float], limit: int | None = None
 ) -> DataFrame:
-    """One row per group with its size and an interpolated percentile per name."""
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    ranked = History(counts, keys, [value], limit).running(_upto=("sum", F.col("_n")))
+    """One row per group with its size and an interpolated percentile per name.
+
+    Whether a group has too many distinct values for one task is estimated by a
+    sketch that needs no shuffle of values; the estimate picks the way, not the result.
+    """
+    limit = limit or settings.hot_rows(df.sparkSession)
+    measured = df.where(F.col(value).isNotNull())
+    sizes = measured.groupBy(*keys).agg(F.approx_count_distinct(value).alias("_distinct"))
+    hot = not sizes.where(F.col("_distinct") > limit * 0.8).isEmpty()
+    counts = measured.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = History(counts, keys, [value], limit, hot).running(_upto=("sum", F.col("_n")))
     if ranked.chunked:
         sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
         sized = ranked.rows().join(broadcast_if_small(sizes), keys)

@@ -93,12 +93,14 @@ class History:
         keys: list[str],
         order: list[str],
         limit: int | None = None,
-        bounded: bool = False,
+        hot: bool | None = None,
     ):
-        """``bounded`` skips the count where keys cannot be large by construction."""
+        """``hot`` skips the count where the answer is known already."""
         self.keys, self.order = list(keys), list(order)
         limit = limit or settings.hot_rows(df.sparkSession)
-        if not bounded and not oversized_keys(df, self.keys, limit).isEmpty():
+        if hot is None:
+            hot = not oversized_keys(df, self.keys, limit).isEmpty()
+        if hot:
             df = chunked_by_range(df, self.keys, self.order, limit)
         self.df = df
 

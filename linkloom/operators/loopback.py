@@ -191,7 +191,7 @@ def find_clicks(
     else:
         picks = _clicks_chunked(loud, gap, max(limit, 8 * gap), schema, arrays, table)
     # Picks lie at least a dead time apart: far fewer than frames, whatever the recording.
-    numbered = History(picks, [REC], ["frame"], bounded=True).running(click=("sum", F.lit(1)))
+    numbered = History(picks, [REC], ["frame"], hot=False).running(click=("sum", F.lit(1)))
     return numbered.rows().select(REC, F.col("click").cast("bigint").alias("click"), "frame")
 
 

@@ -102,11 +102,11 @@ def never_connected_timeout(
 # Voice activity
 
 
-def _streak(history: History, name: str, condition: Column) -> History:
-    """Add the length of the unbroken run of rows meeting the condition, up to this row."""
-    broken = F.when(~condition, F.col("_n"))
-    return history.running(**{name: ("max", broken)}).with_columns(
-        **{name: F.col("_n") - F.coalesce(F.col(name), F.lit(0))}
+def _streaks(history: History, **conditions: Column) -> History:
+    """Add, per condition, the length of the unbroken run of rows meeting it, up to this row."""
+    broken = {n: ("max", F.when(~c, F.col("_n"))) for n, c in conditions.items()}
+    return history.running(**broken).with_columns(
+        **{n: F.col("_n") - F.coalesce(F.col(n), F.lit(0)) for n in conditions}
     )
 
 
@@ -126,8 +126,11 @@ def vad_edges(
     and an edge is a full streak whose kind differs from the last full one.
     """
     history = History(levels, ["stream"], ["t_ms"], limit).running(_n=("sum", F.lit(1)))
-    history = _streak(history, "_loud", F.coalesce(F.col("rms") >= open_rms, F.lit(False)))
-    history = _streak(history, "_quiet", F.coalesce(F.col("rms") < close_rms, F.lit(False)))
+    history = _streaks(
+        history,
+        _loud=F.coalesce(F.col("rms") >= open_rms, F.lit(False)),
+        _quiet=F.coalesce(F.col("rms") < close_rms, F.lit(False)),
+    )
     full = F.when(F.col("_loud") >= math.ceil(open_ms / poll_ms), "open").when(
         F.col("_quiet") >= math.ceil(hang_ms / poll_ms), "close"
     )
