@@ -39,10 +39,17 @@ def percentile_approximate(c: Column | str, p: float, accuracy: int = 10_000) ->
 
 
 def exact_percentiles(
-    df: DataFrame, keys: list[str], value: str, ps: dict[str, float], limit: int | None = None
+    df: DataFrame,
+    keys: list[str],
+    value: str,
+    ps: dict[str, float],
+    limit: int | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """One row per group with its size and an interpolated percentile per name.
 
+    ``spread`` adds mean_ms, min_ms and max_ms from the same counted values.
+
     Whether a group has too many distinct values for one task is estimated by a
     sketch that needs no shuffle of values; the estimate picks the way, not the result.
     """
@@ -68,6 +75,9 @@ def exact_percentiles(
         position = F.lit(p) * (F.col("_size") - 1)
         picks[f"_lo_{name}"] = at(F.floor(position))
         picks[f"_hi_{name}"] = at(F.ceil(position))
+    if spread:
+        picks["mean_ms"] = F.sum(F.col(value) * F.col("_n")) / F.first("_size")
+        picks["min_ms"], picks["max_ms"] = F.min(value), F.max(value)
     picked = sized.groupBy(*keys, F.col("_size").alias("n")).agg(
         *[c.alias(k) for k, c in picks.items()]
     )
@@ -77,4 +87,4 @@ def exact_percentiles(
         share = position - F.floor(position)
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         out.append((low + (high - low) * share).alias(name))
-    return picked.select(*out)
+    return picked.select(*out, *(["mean_ms", "min_ms", "max_ms"] if spread else []))

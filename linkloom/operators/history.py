@@ -30,9 +30,26 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str =
     )
 
 
-def oversized_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") > limit)
+def oversized_keys(
+    df: DataFrame, keys: list[str], limit: int, weight: Column | None = None
+) -> DataFrame:
+    """Keys with more rows than one task should walk; ``weight`` counts a row as several."""
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.groupBy(*keys).agg(rows.alias("_rows")).where(F.col("_rows") > limit)
+
+
+def has_hot_keys(
+    df: DataFrame, keys: list[str], limit: int | None = None, weight: Column | None = None
+) -> bool:
+    """Asked once where several steps share a key, so that nothing upstream runs again for it."""
+    limit = limit or settings.hot_rows(df.sparkSession)
+    return not oversized_keys(df, keys, limit, weight).isEmpty()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Keep a small, costly result that several steps read, in the shared checkpoint folder."""
+    settings.use_checkpoints(df.sparkSession)
+    return df.checkpoint()
 
 
 def chunked_by_range(df: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
@@ -41,12 +58,10 @@ def chunked_by_range(df: DataFrame, keys: list[str], order: list[str], limit: in
     The number is the partition a row landed in, so it is fixed by a reliable
     checkpoint before anything depends on it.
     """
-    spark = df.sparkSession
-    settings.use_checkpoints(spark)
     rows = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     parts = max(2, math.ceil(rows / limit))
     ranged = df.repartitionByRange(parts, *keys, *order)
-    return ranged.withColumn(CHUNK, F.spark_partition_id()).checkpoint()
+    return settled(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -99,7 +114,7 @@ class History:
         self.keys, self.order = list(keys), list(order)
         limit = limit or settings.hot_rows(df.sparkSession)
         if hot is None:
-            hot = not oversized_keys(df, self.keys, limit).isEmpty()
+            hot = has_hot_keys(df, self.keys, limit)
         if hot:
             df = chunked_by_range(df, self.keys, self.order, limit)
         self.df = df
@@ -219,6 +234,7 @@ def first_at_or_after(
     right_time: str,
     name: str,
     limit: int | None = None,
+    hot: bool | None = None,
 ) -> DataFrame:
     """Add to each left row the earliest right time not before its own, per key.
 
@@ -235,5 +251,5 @@ def first_at_or_after(
         ),
         allowMissingColumns=True,
     )
-    found = History(line, keys, ["_back", "_side"], limit).running(**{name: ("last", F.col("_hit"))})
+    found = History(line, keys, ["_back", "_side"], limit, hot).running(**{name: ("last", F.col("_hit"))})
     return found.rows().where(F.col("_side") == 1).select("_row.*", name)

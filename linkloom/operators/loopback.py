@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 from linkloom import session as settings
 from linkloom.functions.percentiles import exact_percentiles
 from linkloom.operators.chains import FRESH, chunk_entries, map_schema
-from linkloom.operators.history import History, join_hot_safe, oversized_keys, spread
+from linkloom.operators.history import History, has_hot_keys, join_hot_safe, settled, spread
 
 # Fixed defaults of the rig.
 FREQ_HZ, Q = 2000.0, 4.0
@@ -184,7 +184,7 @@ def find_clicks(
     def table(piece: pd.DataFrame, picks: list[int]) -> pd.DataFrame:
         return pd.DataFrame({REC: [piece[REC].iloc[0]] * len(picks), "frame": picks})
 
-    if oversized_keys(loud, [REC], limit).isEmpty():
+    if not has_hot_keys(loud, [REC], limit):
         picks = spread(loud, REC).groupBy(REC).applyInPandas(
             lambda piece: table(piece, _picks(*arrays(piece), FRESH, 2**62, gap)), schema
         )
@@ -324,7 +324,12 @@ def quality_gates(bursts: DataFrame, min_db: float = MIN_DB, min_corr: float = M
 
 
 def calibrate_bursts(bursts: DataFrame, target_median: float) -> DataFrame:
-    """Shift every recording so that the median of its kept bursts meets the target."""
+    """Shift every recording so that the median of its kept bursts meets the target.
+
+    Bursts are one row per click and cost a search each, so they are kept before
+    they are read for both the medians and the shift.
+    """
+    bursts = settled(bursts)
     medians = exact_percentiles(bursts.where("kept"), [REC], "latency_ms", {"_median": 0.5})
     shifted = bursts.join(medians.select(REC, "_median"), REC, "left")
     offset = F.coalesce(F.lit(target_median) - F.col("_median"), F.lit(0.0))
@@ -342,8 +347,7 @@ def measure_bursts(
     The envelope is read by the click search, the correlation and the noise floor,
     so it is computed once and kept in the checkpoint folder.
     """
-    settings.use_checkpoints(frames.sparkSession)
-    level = filtered_envelope(frames, fs, freq, q, tau_ms).checkpoint()
+    level = settled(filtered_envelope(frames, fs, freq, q, tau_ms))
     clicks = find_clicks(level, fs, thr, max_lag_ms, limit)
     coarse, rate = decimate(level, d), fs / d
     starts = clicks.withColumn("frame", F.floor(F.col("frame") / d))

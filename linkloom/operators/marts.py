@@ -348,15 +348,9 @@ def relay_hop_rtt(hops: DataFrame) -> DataFrame:
 
 def burst_statistics(bursts: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Count, percentiles, mean and range of the kept bursts per recording."""
-    keys = keys or ["recording_id"]
-    kept = bursts.where("kept")
-    ranks = exact_percentiles(kept, keys, "latency_ms", {"p50": 0.5, "p95": 0.95})
-    spread = kept.groupBy(*keys).agg(
-        F.avg("latency_ms").alias("mean_ms"),
-        F.min("latency_ms").alias("min_ms"),
-        F.max("latency_ms").alias("max_ms"),
+    return exact_percentiles(
+        bursts.where("kept"), keys or ["recording_id"], "latency_ms", {"p50": 0.5, "p95": 0.95}, spread=True
     )
-    return ranks.join(spread, keys)
 
 
 def latency_histogram(df: DataFrame, value: str, width: float = 10.0) -> DataFrame:

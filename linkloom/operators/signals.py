@@ -13,7 +13,7 @@ from linkloom.functions.scalars import (
     mouth_to_ear_ms,
     up_kbps,
 )
-from linkloom.operators.history import History, first_at_or_after
+from linkloom.operators.history import History, first_at_or_after, has_hot_keys
 
 LINK = ["session", "peer"]
 
@@ -21,9 +21,9 @@ LINK = ["session", "peer"]
 # Counters
 
 
-def _byte_deltas(samples: DataFrame) -> History:
+def _byte_deltas(samples: DataFrame, hot: bool | None = None) -> History:
     """Byte and time deltas to the link's previous sample; a falling counter was reset."""
-    history = History(samples, LINK, ["t_ms"]).previous(
+    history = History(samples, LINK, ["t_ms"], hot=hot).previous(
         _bytes=F.col("bytes_sent"), _t=F.col("t_ms")
     )
     delta = F.col("bytes_sent") - F.col("_bytes")
@@ -67,9 +67,11 @@ def calibrate_latency(samples: DataFrame, offset: float) -> DataFrame:
     return samples.withColumn("lat_cal_ms", calibrated_ms("lat_raw_ms", F.lit(offset)))
 
 
-def residual_energy(samples: DataFrame, budget: int = VIRTUAL_BUDGET_BYTES) -> DataFrame:
+def residual_energy(
+    samples: DataFrame, budget: int = VIRTUAL_BUDGET_BYTES, hot: bool | None = None
+) -> DataFrame:
     """Add energy 0..1 and where it comes from: forced, battery, or bytes charged to a budget."""
-    spent = History(samples, ["session"], ["t_ms"]).running(
+    spent = History(samples, ["session"], ["t_ms"], hot=hot).running(
         _spent=("sum", F.coalesce(F.col("bytes_delta"), F.lit(0)))
     )
     virtual = F.greatest(F.lit(0.0), 1 - F.col("_spent") / F.lit(budget))
@@ -85,8 +87,9 @@ def residual_energy(samples: DataFrame, budget: int = VIRTUAL_BUDGET_BYTES) -> D
 
 def node_energy(samples: DataFrame, budget: int = VIRTUAL_BUDGET_BYTES) -> DataFrame:
     """Residual energy straight from link counters, debiting every forward byte delta."""
-    deltas = _byte_deltas(samples).rows()
-    return residual_energy(deltas, budget).drop("_bytes", "_t", "ms_delta")
+    hot = has_hot_keys(samples, ["session"])  # no link has more rows than its session
+    deltas = _byte_deltas(samples, hot).rows()
+    return residual_energy(deltas, budget, hot).drop("_bytes", "_t", "ms_delta")
 
 
 def last_n_reports(reports: DataFrame, n: int = 500, tiebreak: list[str] | None = None) -> DataFrame:

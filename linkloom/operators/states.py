@@ -30,7 +30,14 @@ from linkloom.functions.sensing import (
     exit_states,
 )
 from linkloom.operators.chains import FRESH, chunk_entries, map_schema
-from linkloom.operators.history import CHUNK, History, first_at_or_after, same_keys, spread
+from linkloom.operators.history import (
+    CHUNK,
+    History,
+    first_at_or_after,
+    has_hot_keys,
+    same_keys,
+    spread,
+)
 
 SETTLING = ("connected", "failed", "closed")
 
@@ -157,11 +164,13 @@ def grace_window(ticks: DataFrame, w_ms: int, limit: int | None = None) -> DataF
     at its first tick at least ``w_ms`` later, unless the peer is back by then. A
     return therefore finds the link gone exactly if the tick before it is that late.
     """
+    # A node's ticks, sightings and links together bound every step below.
+    hot = has_hot_keys(ticks, ["node"], limit, F.size("in_range") + 2)
     line = ticks.withColumn("_back", -F.col("t_ms"))
-    ahead = History(line, ["node"], ["_back"], limit).previous(_next=F.col("t_ms")).rows()
-    around = History(ahead, ["node"], ["t_ms"], limit).previous(_prev=F.col("t_ms")).rows()
+    ahead = History(line, ["node"], ["_back"], limit, hot).previous(_next=F.col("t_ms")).rows()
+    around = History(ahead, ["node"], ["t_ms"], limit, hot).previous(_prev=F.col("t_ms")).rows()
     seen = around.select("node", F.explode("in_range").alias("peer"), "t_ms", "_prev", "_next")
-    history = History(seen, ["node", "peer"], ["t_ms"], limit).previous(
+    history = History(seen, ["node", "peer"], ["t_ms"], limit, hot).previous(
         _seen=F.col("t_ms"), _left=F.col("_next")
     )
     away = F.col("_prev") > F.col("_seen")
@@ -172,7 +181,7 @@ def grace_window(ticks: DataFrame, w_ms: int, limit: int | None = None) -> DataF
         F.min("t_ms").alias("start_ms"),
         (F.max_by("_next", "t_ms") + max(w_ms, 0)).alias("_deadline"),
     )
-    closed = first_at_or_after(spans, ticks, ["node"], "_deadline", "t_ms", "end_ms", limit)
+    closed = first_at_or_after(spans, ticks, ["node"], "_deadline", "t_ms", "end_ms", limit, hot)
     return closed.select(
         "node", "peer", "link", "start_ms", "end_ms",
         (F.col("end_ms") - F.col("start_ms")).alias("held_ms"),

@@ -274,13 +274,18 @@ def topology_change(spark, sf_dir):
     return meshes.topology_change(known_peers(spark, sf_dir), peers_now(spark, sf_dir))
 
 
-@query("proximity_pairs", with_sql("ev", body="""SELECT a.user_id AS t, a.event_id AS a, b.event_id AS b,
+INSTANT = f"user_id * 1000 + (t_ms - {T.START}) // {T.DAY}"
+
+
+@query("proximity_pairs", with_sql("ev", body=f"""SELECT {INSTANT.replace('user_id', 'a.user_id').replace('t_ms', 'a.t_ms')} AS t, a.event_id AS a, b.event_id AS b,
   round(sqrt((a.k - b.k) ** 2 + (floor(a.value) - floor(b.value)) ** 2), 6) AS dist FROM ev a JOIN ev b ON a.user_id = b.user_id AND a.event_id < b.event_id
+    AND (a.t_ms - {T.START}) // {T.DAY} = (b.t_ms - {T.START}) // {T.DAY}
   WHERE (a.k - b.k) ** 2 + (floor(a.value) - floor(b.value)) ** 2 <= 225"""))
 def proximity_pairs(spark, sf_dir):
-    """One mesh per user; an event's properties are its tile."""
+    """A mesh instant is a user's day; an event's properties are its tile."""
     tiles = T.events(spark, sf_dir).select(
-        F.col("user_id").alias("t"), F.col("event_id").alias("node"), F.col("k").alias("x"), F.floor("value").cast("int").alias("y"))
+        F.expr(f"user_id * 1000 + (t_ms - {T.START}) div {T.DAY}").alias("t"),
+        F.col("event_id").alias("node"), F.col("k").alias("x"), F.floor("value").cast("int").alias("y"))
     return rounded(meshes.proximity_pairs(tiles, 15), "dist")
 
 
