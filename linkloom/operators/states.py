@@ -45,34 +45,63 @@ SETTLING = ("connected", "failed", "closed")
 # Links
 
 
+MEASURES = {"candidate_type": "string", "rtt_ms": "bigint", "lat_raw_ms": "bigint"}
+
+
 def link_lifecycle(
-    events: DataFrame, order: list[str] | None = None, limit: int | None = None
+    events: DataFrame,
+    order: list[str] | None = None,
+    limit: int | None = None,
+    samples: DataFrame | None = None,
 ) -> DataFrame:
     """Fold state changes into one record per (session, peer, incarnation).
 
     A detection opens a record unless the open one is still pending. Right after
     any detection the record is pending, whether new or kept; so a detection opens
     a new one exactly if the event before it, among detections and settling
-    events, is not itself a detection. That is one lag and one running count.
+    events, is not itself a detection. That is one look back and one running count.
+
+    With ``samples`` (session, peer, t_ms and the measures) each record also gets
+    the last measured candidate type, round trip and latency of its time.
     """
-    told = events.where(F.col("state").isin("detected", *SETTLING))
-    history = History(told, ["session", "peer"], order or ["t_ms"], limit)
+    order = order or ["t_ms"]
+    line = events.where(F.col("state").isin("detected", *SETTLING))
+    if samples is not None:
+        # At equal times a change comes first, so a sample belongs to what it opened.
+        measures = [F.col(m).cast(kind).alias(m) for m, kind in MEASURES.items()]
+        sampled = samples.select("session", "peer", *order, *measures, F.lit(1).alias("_turn"))
+        line = line.withColumn("_turn", F.lit(0)).unionByName(sampled, allowMissingColumns=True)
+        order = [*order, "_turn"]
+    history = History(line, ["session", "peer"], order, limit)
+    history = history.running(_prior=("last", F.col("state"), False))
     opens = (F.col("state") == "detected") & (F.coalesce("_prior", F.lit("")) != "detected")
-    history = history.previous(_prior=F.col("state")).with_columns(_opens=opens.cast("int"))
+    history = history.with_columns(_opens=F.coalesce(opens, F.lit(False)).cast("int"))
     numbered = history.running(incarnation=("sum", F.col("_opens"))).where(F.col("incarnation") > 0)
 
     at = lambda state: F.min(F.when(F.col("state") == state, F.col("t_ms")))
+    found = {
+        "detected_ms": at("detected"),
+        "_connected": at("connected"),
+        "_failures": F.count_if(F.col("state").isin("failed", "closed")),
+    }
+    if samples is not None:
+        measured = {
+            "candidate_type": F.col("candidate_type") != "",
+            "rtt_ms": F.col("rtt_ms") >= 0,
+            "lat_raw_ms": F.col("lat_raw_ms") >= 0,
+        }
+        found |= {m: F.max_by(m, F.when(ok, F.col("t_ms"))) for m, ok in measured.items()}
     records = numbered.rows().groupBy("session", "peer", "incarnation").agg(
-        at("detected").alias("detected_ms"),
-        at("connected").alias("_connected"),
-        F.count_if(F.col("state").isin("failed", "closed")).alias("_failures"),
+        *[c.alias(n) for n, c in found.items()]
     )
     setup = F.floor(F.col("_connected") - F.col("detected_ms") + F.lit(0.5))
+    unmeasured = {"candidate_type": "", "rtt_ms": -1, "lat_raw_ms": -1}
     return records.select(
         "session", "peer", "incarnation", "detected_ms",
         F.coalesce("_connected", F.lit(-1)).alias("connected_ms"),
         F.coalesce(setup, F.lit(-1)).cast("bigint").alias("setup_ms"),
         (F.col("_connected").isNull() & (F.col("_failures") > 0)).alias("failed"),
+        *[F.coalesce(m, F.lit(unmeasured[m])).alias(m) for m in MEASURES if samples is not None],
     )
 
 

@@ -155,6 +155,22 @@ def link_lifecycle(spark, sf_dir):
     return states.link_lifecycle(T.link_states(spark, sf_dir))
 
 
+T.SQL["measured"] = f"""SELECT session, peer, t_ms, rtt_ms, CASE packets_received % 4 WHEN 1 THEN 'host' WHEN 2 THEN 'srflx' WHEN 3 THEN 'relay' ELSE '' END AS kind, lat FROM latency"""
+RECORDS = f"""SELECT r.session, r.peer, r.incarnation, r.setup_ms, r.failed, coalesce(arg_max(m.kind, m.t_ms) FILTER (m.kind <> ''), '') AS candidate_type,
+  coalesce(arg_max(m.rtt_ms, m.t_ms) FILTER (m.rtt_ms >= 0), -1)::BIGINT AS rtt_ms, coalesce(arg_max(m.lat, m.t_ms) FILTER (m.lat >= 0), -1)::BIGINT AS lat_raw_ms
+  FROM (SELECT *, lead(detected_ms) OVER (PARTITION BY session, peer ORDER BY incarnation) AS until FROM ({LIFE_OUT})) r
+  LEFT JOIN measured m ON m.session = r.session AND m.peer = r.peer AND m.t_ms >= r.detected_ms AND (r.until IS NULL OR m.t_ms < r.until) GROUP BY ALL"""
+
+
+@query("link_lifecycle_measured", with_sql("ev", "link_state", "stat", "jitter", "latency", "measured", recursive=LIFE, body=RECORDS))
+def link_lifecycle_measured(spark, sf_dir):
+    """From state changes and counters to complete link records, on one time line."""
+    kinds = F.array(*map(F.lit, ("", "host", "srflx", "relay")))
+    samples = latency(spark, sf_dir).withColumn("candidate_type", F.element_at(kinds, (F.col("packets_received") % 4 + 1).cast("int")))
+    records = states.link_lifecycle(T.link_states(spark, sf_dir), samples=samples)
+    return records.select("session", "peer", "incarnation", "setup_ms", "failed", "candidate_type", "rtt_ms", "lat_raw_ms")
+
+
 def offers(spark, sf_dir):
     return T.table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").alias("session"), F.col("l_linenumber").alias("peer"), F.col("l_partkey").alias("my_nonce"),

@@ -111,16 +111,20 @@ def per_session_order(events: DataFrame) -> DataFrame:
 def publish_keyed_events(
     events: DataFrame, sink: str, options: dict[str, str] | None = None
 ) -> None:
-    """Ship framed events in per-key order: a broker topic, or ordered files at a path."""
-    ordered = per_session_order(events)
+    """Ship framed events in per-key order: a broker topic, or ordered files at a path.
+
+    Files read in order across tasks. A topic does not: it keeps the order in which
+    a key's events arrive, so there one task sends all of a key, streaming its
+    sorted rows without holding them.
+    """
+    writer_options = options or {}
     if sink == "kafka":
-        ordered.selectExpr("partition_key AS key", "body AS value").write.format("kafka").options(
-            **(options or {})
-        ).save()
+        ordered = events.repartition("partition_key").sortWithinPartitions("partition_key", "ts")
+        message = ordered.selectExpr("partition_key AS key", "body AS value")
+        message.write.format("kafka").options(**writer_options).save()
     else:
-        ordered.select("partition_key", "body").write.mode("overwrite").options(
-            **(options or {})
-        ).json(sink)
+        ordered = per_session_order(events).select("partition_key", "body")
+        ordered.write.mode("overwrite").options(**writer_options).json(sink)
 
 
 def quarantine_malformed(df: DataFrame, schema) -> tuple[DataFrame, DataFrame]:

@@ -106,6 +106,19 @@ def test_lifecycle(spark, cut):
     assert rows(states.link_lifecycle(df, limit=cut)) == RECORDS
 
 
+@pytest.mark.parametrize("cut", [10**6, 3])
+def test_lifecycle_with_samples(spark, cut):
+    df = samples(spark, list(LIFE), "session string, peer int, t_ms bigint, state string")
+    data = [("s", 1, 900, "host", 5, 50), ("s", 1, 1850, "host", 40, 78), ("s", 1, 1950, "", -1, 80), ("s", 1, 2000, "relay", 90, -1), ("s", 1, 9000, "srflx", 7, 60)]
+    measured = samples(spark, data, "session string, peer int, t_ms bigint, candidate_type string, rtt_ms int, lat_raw_ms int")
+    got = states.link_lifecycle(df, limit=cut, samples=measured)
+    assert rows(got.select("incarnation", "candidate_type", "rtt_ms", "lat_raw_ms")) == [
+        (1, "host", 40, 80), (2, "relay", 90, -1), (3, "", -1, -1), (4, "srflx", 7, 60)]
+    assert rows(got.drop("candidate_type", "rtt_ms", "lat_raw_ms")) == RECORDS
+    rollup = marts.link_kpi_rollup(got.withColumns({"lat_cal_ms": F.lit(-1), "glare": F.lit(0)})).first()
+    assert (rollup.links, rollup.ice_attempts, rollup.relay_pct, rollup.setup_median_ms) == (2, 3, 50, 600)
+
+
 def test_glare_and_watchdog(spark):
     offers = spark.createDataFrame([("s", 1, 20, 10, True, "stable"), ("s", 1, 20, 10, False, "stable"), ("s", 1, 10, 20, True, "x")],
                                    "session string, peer int, my_nonce int, remote_nonce int, making_offer boolean, state string")
