@@ -26,6 +26,13 @@ def map_schema(pieces: DataFrame, keys: list[str]) -> StructType:
     return StructType([pieces.schema[k] for k in keys]).add("entries", states).add("exits", states)
 
 
+def compact(moves: dict[int, int]) -> tuple[list[int], list[int]]:
+    """Entries and exits in order, keeping only the last entry of a run that leads to the same exit."""
+    ordered = sorted(moves.items())
+    last = [i for i, (_, x) in enumerate(ordered) if i + 1 == len(ordered) or ordered[i + 1][1] != x]
+    return [ordered[i][0] for i in last], [ordered[i][1] for i in last]
+
+
 def chunk_entries(maps: DataFrame, keys: list[str], chunk: str = "_chunk") -> DataFrame:
     """From (keys, chunk, entries[], exits[]) give each chunk's true entry state.
 

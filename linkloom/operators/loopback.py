@@ -20,7 +20,7 @@ from pyspark.sql.types import StructType
 
 from linkloom import session as settings
 from linkloom.functions.percentiles import exact_percentiles
-from linkloom.operators.chains import FRESH, chunk_entries, map_schema
+from linkloom.operators.chains import FRESH, chunk_entries, compact, map_schema
 from linkloom.operators.history import History, has_hot_keys, join_hot_safe, settled, spread
 
 # Fixed defaults of the rig.
@@ -144,13 +144,14 @@ def _pick(frames: np.ndarray, level: np.ndarray, start: int, gap: int) -> int:
     return int(frames[start + int(np.argmax(level[start:end]))])
 
 
-def _picks(frames: np.ndarray, level: np.ndarray, bar: float, eligible: int, stop: int, gap: int) -> list[int]:
-    """Greedy picks from ``eligible`` on whose onset lies before ``stop``."""
-    onsets = np.flatnonzero(level >= bar)
-    picks = []
+def _picks(
+    frames: np.ndarray, level: np.ndarray, onsets: np.ndarray, eligible: int, stop: int, gap: int
+) -> list[int]:
+    """Greedy picks from ``eligible`` on; ``onsets`` places the frames a pick may start at."""
+    picks, starts = [], frames[onsets]
     while True:
-        i = int(np.searchsorted(frames[onsets], eligible))
-        if i == len(onsets) or frames[onsets[i]] >= stop:
+        i = int(np.searchsorted(starts, eligible))
+        if i == len(onsets) or starts[i] >= stop:
             return picks
         picks.append(_pick(frames, level, int(onsets[i]), gap))
         eligible = picks[-1] + gap
@@ -179,7 +180,8 @@ def find_clicks(
 
     def arrays(piece: pd.DataFrame):
         piece = piece.sort_values("frame")
-        return piece["frame"].to_numpy(), piece["level"].to_numpy(), float(piece["bar"].iloc[0])
+        loudness = piece["level"].to_numpy()
+        return piece["frame"].to_numpy(), loudness, np.flatnonzero(loudness >= piece["bar"].iloc[0])
 
     def table(piece: pd.DataFrame, picks: list[int]) -> pd.DataFrame:
         return pd.DataFrame({REC: [piece[REC].iloc[0]] * len(picks), "frame": picks})
@@ -203,19 +205,22 @@ def _clicks_chunked(loud: DataFrame, gap: int, span: int, schema: StructType, ar
     keys = [REC, "_chunk"]
 
     def exits(key: tuple, piece: pd.DataFrame) -> pd.DataFrame:
-        frames, level, bar = arrays(piece)
+        frames, level, onsets = arrays(piece)
         stop = (key[1] + 1) * span
         near = key[1] * span + 2 * gap  # no earlier chunk can reach further
-        onsets = frames[(level >= bar) & (frames < stop)]
-        onsets = onsets[: int(np.searchsorted(onsets, near)) + 1]
         after, moves = {}, {}
-        for onset in onsets.tolist():
-            first = _pick(frames, level, int(np.searchsorted(frames, onset)), gap)
+        for place in onsets.tolist():
+            start = int(frames[place])
+            if start >= stop:
+                break
+            first = _pick(frames, level, place, gap)
             if first not in after:
-                after[first] = _picks(frames, level, bar, onset, stop, gap)[-1] + gap
-            moves[onset] = after[first]
-        row = {REC: [key[0]], "_chunk": [key[1]], "entries": [list(moves)], "exits": [list(moves.values())]}
-        return pd.DataFrame(row)
+                after[first] = _picks(frames, level, onsets, start, stop, gap)[-1] + gap
+            moves[start] = after[first]
+            if start >= near:
+                break
+        entries, leads_to = compact(moves)
+        return pd.DataFrame({REC: [key[0]], "_chunk": [key[1]], "entries": [entries], "exits": [leads_to]})
 
     maps = spread(pieces, *keys).groupBy(*keys).applyInPandas(exits, map_schema(pieces, keys))
     entries = chunk_entries(maps, [REC])

@@ -29,7 +29,7 @@ from linkloom.functions.sensing import (
     Thresholds,
     exit_states,
 )
-from linkloom.operators.chains import FRESH, chunk_entries, map_schema
+from linkloom.operators.chains import FRESH, chunk_entries, compact, map_schema
 from linkloom.operators.history import (
     CHUNK,
     History,
@@ -280,18 +280,20 @@ def event_suppression(
 
 def _suppress_chunked(history: History, limits: Thresholds, schema: StructType) -> DataFrame:
     keys = ["session", CHUNK]
-    across = Window.partitionBy("session").orderBy(CHUNK)
-    borders = history.df.groupBy(*keys).agg(F.max("t_ms").alias("_end")).select(
-        F.col("session").alias("_s"), F.col(CHUNK).alias("_c"), F.lag("_end").over(across).alias("_end")
-    ).where(F.col("_end").isNotNull())
-    borders = F.broadcast(borders)  # a border belongs to one session: at most one row per chunk
     rows = history.df
-    reach = (
-        rows["session"].eqNullSafe(borders["_s"])
-        & (rows["t_ms"] <= borders["_end"])
-        & (rows["t_ms"] > borders["_end"] - limits.heartbeat_ms)
+    across = Window.partitionBy("session").orderBy(CHUNK)
+    soon = Window.partitionBy("session").orderBy("_end").rangeBetween(0, limits.heartbeat_ms)
+    ends = rows.groupBy(*keys).agg(F.max("t_ms").alias("_end")).withColumn("_next", F.lead(CHUNK).over(across))
+    # The chunks a row may still matter to: mostly the next one, more only where chunks are shorter
+    # than the heartbeat. Only chunks a session crosses the end of are kept: at most one row per chunk.
+    reach = F.collect_list(F.struct(F.col("_next").alias("chunk"), F.col("_end").alias("end"))).over(soon)
+    ends = F.broadcast(
+        ends.withColumn("_reach", reach).where(F.col("_next").isNotNull())
+        .select(*[F.col(k).alias("_b_" + k) for k in keys], "_reach")
     )
-    before = rows.join(borders, reach).withColumn(CHUNK, F.col("_c")).select(*rows.columns)
+    near = rows.join(ends, same_keys(rows, ends, keys, "_b_")).withColumn("_to", F.explode("_reach"))
+    near = near.where(F.col("_to.chunk").isNotNull() & (F.col("t_ms") > F.col("_to.end") - limits.heartbeat_ms))
+    before = near.withColumn(CHUNK, F.col("_to.chunk")).select(*rows.columns)
     pieces = before.withColumn("_own", F.lit(False)).unionByName(rows.withColumn("_own", F.lit(True)))
 
     def ordered(piece: pd.DataFrame) -> tuple[pd.DataFrame, int]:
@@ -300,11 +302,8 @@ def _suppress_chunked(history: History, limits: Thresholds, schema: StructType)
 
     def exits(piece: pd.DataFrame) -> pd.DataFrame:
         piece, own = ordered(piece)
-        moves = sorted(exit_states(_samples(piece), own, limits, FRESH).items())
-        row = piece[keys].iloc[:1].copy()
-        row["entries"] = [[e for e, _ in moves]]
-        row["exits"] = [[x for _, x in moves]]
-        return row
+        entries, leads_to = compact(exit_states(_samples(piece), own, limits, FRESH))
+        return piece[keys].iloc[:1].assign(entries=[entries], exits=[leads_to])
 
     maps = spread(pieces, *keys).groupBy(*keys).applyInPandas(exits, map_schema(pieces, keys))
     entries = chunk_entries(maps, ["session"]).select(
