@@ -19,13 +19,12 @@ from linkloom.functions.scalars import (
     sentinel_to_null,
     suppressed_pct,
 )
-from linkloom.operators.history import broadcast_if_small
+from linkloom.operators.history import broadcast_if_small, same_keys, settled
 from linkloom.operators.reshape import (
     filter_complete_cases,
     filter_known_condition,
     filter_measured,
     filter_valid_runs,
-    newest_report,
     parse_payload,
     parsed_reports,
     union_sources,
@@ -44,17 +43,20 @@ def _aliased(columns: dict[str, Column]) -> list[Column]:
 
 
 def newest_run_per_n(df: DataFrame) -> DataFrame:
-    """Rows of the newest file of each cluster size; file names sort by time."""
-    newest = df.groupBy("n_peers").agg(F.max("source_file").alias("source_file"))
-    return df.join(broadcast_if_small(newest), ["n_peers", "source_file"], "left_semi")
+    """Rows of the newest file of each cluster size; file names sort by time.
 
+    Two columns are read to find the files, one row per cluster size is kept, and
+    the other columns are read for those files' rows only: nothing wide is shuffled.
+    """
+    keys = ["n_peers", "source_file"]
+    newest = settled(df.groupBy("n_peers").agg(F.max("source_file").alias("source_file")))
+    newest = newest.where(F.col("n_peers").isNotNull()).select(*[F.col(k).alias("_n_" + k) for k in keys])
+    # Null-safe, so that no null check runs ahead of the parsing that df may still hold.
+    return df.join(broadcast_if_small(newest), same_keys(df, newest, keys, "_n_"), "left_semi")
 
-def kpi_vs_n(voice_client: DataFrame) -> DataFrame:
-    """Per cluster size, over the clients of its newest run.
 
-    Every run is reduced first and the newest kept after: one shuffle of one row
-    per run, with no second scan and no group larger than a run.
-    """
+def kpi_vs_n(voice_client: DataFrame) -> DataFrame:
+    """Per cluster size, over the clients of its newest run."""
     measured = {
         "setup_median_ms": median(sentinel_to_null("setup_median_ms")),
         "setup_p95_ms": median(sentinel_to_null("setup_p95_ms")),
@@ -64,17 +66,12 @@ def kpi_vs_n(voice_client: DataFrame) -> DataFrame:
         "uplink_kbps": F.avg("mean_up_kbps"),
         "suppressed_pct": F.avg("suppressed_pct"),
     }
-    per_run = voice_client.groupBy("n_peers", "source_file").agg(
+    return newest_run_per_n(voice_client).groupBy("n_peers").agg(
         F.round(F.avg("peers"), 1).alias("avg_peers"),
         F.sum(greatest_zero("links")).alias("conn_links"),
         *_aliased(_rounded(measured)),
         F.sum("glare_total").alias("glare_total"),
     )
-    columns = [c for c in per_run.columns if c not in ("n_peers", "source_file")]
-    newest = per_run.groupBy("n_peers").agg(
-        newest_report([F.col("source_file")], columns).alias("_run")
-    )
-    return newest.select("n_peers", "_run.*")
 
 
 # Mobility and audio gap: global summaries

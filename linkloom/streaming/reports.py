@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from linkloom.operators.reshape import parsed_reports
+from linkloom.operators.reshape import filter_known_condition, parsed_reports, time_of_report
+from linkloom.schemas import RAW_STREAM
 from linkloom.sources.reports import STREAM_FILE, prepare_lines, redelivery_key
 
 
@@ -15,8 +16,10 @@ def stream_land(
 ) -> DataFrame:
     """Lines of the files arriving in a folder, prepared as the batch landing does.
 
-    ``arrived`` is the file's time. A stream cannot number rows, so the lines of
-    one block share their place.
+    ``arrived`` is the time of the micro-batch, which is logged and so the same
+    after a restart. It only grows: no line is ever late, whatever its own clock or
+    its file's says. A stream cannot number rows, so the lines of one block share
+    their place.
     """
     lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(folder)
     placed = lines.select(
@@ -27,7 +30,7 @@ def stream_land(
             F.col("_metadata.file_block_start").alias("block"),
             F.lit(0).cast("bigint").alias("row"),
         ).alias("line"),
-        F.col("_metadata.file_modification_time").alias("arrived"),
+        F.current_timestamp().alias("arrived"),
     )
     return prepare_lines(placed, ingested_at, keep=["arrived"])
 
@@ -35,8 +38,9 @@ def stream_land(
 def stream_dedup(lines: DataFrame, watermark: str = "10 minutes", time: str = "arrived") -> DataFrame:
     """Drop redelivered reports, remembering each for the watermark.
 
-    Time is arrival by default: a late report is then never too old to be kept,
-    and the state holds only the keys of the last ``watermark``.
+    Time is arrival by default, so no report is too old to be kept, and the state
+    holds only the keys of the last ``watermark``. A copy that comes later than
+    that is left to the batch form.
     """
     keyed = lines.select("*", *redelivery_key())
     timed = keyed.withWatermark(time, watermark)
@@ -46,12 +50,24 @@ def stream_dedup(lines: DataFrame, watermark: str = "10 minutes", time: str = "a
 def stream_latest_report(lines: DataFrame) -> DataFrame:
     """Newest report per (condition, session), for update or complete output.
 
-    State holds one report per session ever seen; the batch form over the landed
-    log needs none.
+    State holds one report per session ever seen; ``stream_newest_by_span`` bounds it.
     """
     return parsed_reports(lines)
 
 
+def stream_newest_by_span(lines: DataFrame, span: str = "1 day", watermark: str = "10 minutes") -> DataFrame:
+    """Newest line per (condition, session) and span of arrival, appended when the span closes.
+
+    State holds the sessions of the open span only. The newest of the appended
+    lines is the newest of all, so ``parsed_reports`` over that much smaller table
+    gives the exact result.
+    """
+    newest = F.max_by(F.struct(*RAW_STREAM.names), F.struct(time_of_report(), F.col("line")))
+    spans = F.window("arrived", span)
+    timed = filter_known_condition(lines).withWatermark("arrived", watermark)
+    return timed.groupBy(spans, "cond", "sid").agg(newest.alias("_line")).select("_line.*")
+
+
 def land_to(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append to a table path; offsets and output commit together, so a restart adds nothing twice."""
     return (

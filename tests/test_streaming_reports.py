@@ -1,4 +1,5 @@
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -44,3 +45,17 @@ def test_stream_latest(spark, tmp_path):
     got = spark.table("latest").select("sid", F.col("r.peers")).collect()
     batch = reshape.parsed_reports(reports.prepare_lines(reports.read_lines(spark, str(source)), AT))
     assert sorted(map(tuple, got)) == sorted(map(tuple, batch.select("sid", "r.peers").collect())) == [("x", 9), ("y", 1)]
+
+
+def test_newest_by_span_is_exact_after_all(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    write(source, "a.jsonl", body("x", 1), body("y", 5, 1))
+    write(source, "b.jsonl", body("x", 2, 9), body("y", 4, 7), body("z", 1, cond=""))
+    lines = streams.stream_land(spark, str(source), AT, max_files=1)
+    spans = streams.stream_newest_by_span(lines, "1 second", "1 second")
+    streams.land_to(spans, out, str(tmp_path / "cp")).awaitTermination()
+    time.sleep(3)  # a later arrival closes the spans before it
+    write(source, "c.jsonl", body("late", 1))
+    streams.land_to(spans, out, str(tmp_path / "cp")).awaitTermination()
+    got = reshape.parsed_reports(spark.read.parquet(out)).select("sid", "r.peers").collect()
+    assert sorted(map(tuple, got)) == [("x", 9), ("y", 1)]
