@@ -64,10 +64,15 @@ def chunked_by_range(df: DataFrame, keys: list[str], order: list[str], limit: in
     return settled(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether a side was counted to stay within what is broadcast by hand."""
+    bound = settings.broadcast_rows(df.sparkSession) if max_rows is None else max_rows
+    return df.limit(bound + 1).count() <= bound
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Hint a broadcast only after counting the side; beyond the bound Spark shuffles it."""
-    bound = max_rows or settings.broadcast_rows(df.sparkSession)
-    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -83,19 +88,22 @@ def join_hot_safe(
 ) -> DataFrame:
     """Join a fact side whose keys may be hot to a side with few rows per key.
 
-    Cold keys take the ordinary shuffled join. Hot ones number at most
-    rows/limit, so the rows of ``small`` they need are broadcast instead.
+    A counted, small enough side is broadcast, which leaves the facts where they
+    are. Otherwise cold keys take the ordinary shuffled join; hot ones number at
+    most rows/limit, so just the rows of ``small`` they need are broadcast.
     """
-    limit = limit or settings.hot_rows(big.sparkSession)
-    hot = oversized_keys(big, keys, limit).select(*keys)
-    if hot.isEmpty():
+    if is_small(small):
+        return big.join(F.broadcast(small), keys, how)
+    if not has_hot_keys(big, keys, limit):
         return big.join(small, keys, how)
-    hot = F.broadcast(hot.select(*[F.col(k).alias("_h_" + k) for k in keys]))
+    limit = limit or settings.hot_rows(big.sparkSession)
+    hot = oversized_keys(big, keys, limit).select(*[F.col(k).alias("_h_" + k) for k in keys])
+    hot = F.broadcast(settled(hot))
     hot_big = big.join(hot, same_keys(big, hot, keys, "_h_"), "left_semi")
     hot_small = small.join(hot, same_keys(small, hot, keys, "_h_"), "left_semi")
     cold_big = big.join(hot, same_keys(big, hot, keys, "_h_"), "left_anti")
     return cold_big.join(small, keys, how).unionByName(
-        hot_big.join(broadcast_if_small(hot_small), keys, how)
+        hot_big.join(F.broadcast(hot_small), keys, how)
     )
 
 

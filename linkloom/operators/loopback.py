@@ -21,7 +21,14 @@ from pyspark.sql.types import StructType
 from linkloom import session as settings
 from linkloom.functions.percentiles import exact_percentiles
 from linkloom.operators.chains import FRESH, chunk_entries, compact, map_schema
-from linkloom.operators.history import History, has_hot_keys, join_hot_safe, settled, spread
+from linkloom.operators.history import (
+    History,
+    broadcast_if_small,
+    has_hot_keys,
+    join_hot_safe,
+    settled,
+    spread,
+)
 
 # Fixed defaults of the rig.
 FREQ_HZ, Q = 2000.0, 4.0
@@ -171,7 +178,7 @@ def find_clicks(
     """
     gap = int(max_lag_ms / 1000.0 * fs * 1.5 + 1)
     limit = limit or settings.hot_rows(df.sparkSession)
-    peaks = df.groupBy(REC).agg((F.max("ref").cast("double") * thr).alias("bar"))
+    peaks = settled(df.groupBy(REC).agg((F.max("ref").cast("double") * thr).alias("bar")))
     level = F.col("ref").cast("double")
     loud = join_hot_safe(df.select(REC, "frame", "ref"), peaks, [REC], "inner", limit).where(
         level >= F.col("bar") * 0.5
@@ -272,7 +279,8 @@ def window_ncc(
         "_bucket",
         F.explode(F.sequence(F.floor(F.col("_start") / span), F.floor((F.col("_start") + span - 1) / span))),
     )
-    near = df.withColumn("_bucket", F.floor(F.col("frame") / span)).join(wanted, [REC, "_bucket"])
+    near = df.withColumn("_bucket", F.floor(F.col("frame") / span))
+    near = near.join(broadcast_if_small(wanted), [REC, "_bucket"])
     at = F.col("frame") - F.col("_start")
     near = near.where((at >= 0) & (at < span)).select(REC, "click", at.cast("int").alias("_at"), "ref", "mic")
 
@@ -353,7 +361,7 @@ def measure_bursts(
     so it is computed once and kept in the checkpoint folder.
     """
     level = settled(filtered_envelope(frames, fs, freq, q, tau_ms))
-    clicks = find_clicks(level, fs, thr, max_lag_ms, limit)
+    clicks = settled(find_clicks(level, fs, thr, max_lag_ms, limit))
     coarse, rate = decimate(level, d), fs / d
     starts = clicks.withColumn("frame", F.floor(F.col("frame") / d))
     ncc = window_ncc(coarse, starts, rate, win_ms, pre_ms, min_lag_ms, max_lag_ms)

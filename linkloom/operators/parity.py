@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import round_half_even
-from linkloom.operators.history import broadcast_if_small
 
 TOLERANCE = 1
 
@@ -121,8 +120,18 @@ def reference_realnet(raw_stream: DataFrame) -> DataFrame:
 
 
 def join_expected_actual(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
-    """Every expected group with the mart's value, NULL where the mart lacks it."""
-    return expected.join(broadcast_if_small(actual), keys, "left")
+    """Every expected group with the mart's value, NULL where the mart lacks it.
+
+    Both sides hold one row per group, so one aggregate over their union pairs
+    them: a single shuffle, and missing keys match missing keys.
+    """
+    sides = expected.select(*keys, "expected", F.lit(True).alias("_due")).unionByName(
+        actual.select(*keys, "actual"), allowMissingColumns=True
+    )
+    paired = sides.groupBy(*keys).agg(
+        F.max("expected").alias("expected"), F.max("actual").alias("actual"), F.max("_due").alias("_due")
+    )
+    return paired.where(F.col("_due")).drop("_due")
 
 
 # Per mart: reference, which raw table it reads, mart keys, compared column.

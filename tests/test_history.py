@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.operators.chains import FRESH, chunk_entries
 from linkloom.operators.history import History, first_at_or_after, join_hot_safe
+from linkloom.session import BROADCAST_ROWS_CONF
 
 
 @pytest.fixture(scope="module")
@@ -60,11 +61,13 @@ def test_first_at_or_after(spark, limit):
     ]
 
 
-@pytest.mark.parametrize("limit", [10**6, 5])
-def test_join_hot_safe(spark, limit):
+@pytest.mark.parametrize("limit, broadcast", [(10**6, 10), (10**6, 0), (5, 0)])
+def test_join_hot_safe(spark, limit, broadcast):
+    spark.conf.set(BROADCAST_ROWS_CONF, str(broadcast))
     big = spark.createDataFrame([("h", i) for i in range(20)] + [("c", 1), ("x", 2)], "k string, i int")
     small = spark.createDataFrame([("h", "H"), ("c", "C")], "k string, name string")
     got = join_hot_safe(big, small, ["k"], "left", limit=limit)
+    spark.conf.unset(BROADCAST_ROWS_CONF)
     assert got.count() == 22
     assert got.where("name = 'H'").count() == 20
     assert got.where("name is null").count() == 1
