@@ -386,12 +386,11 @@ def resample_linear(df: DataFrame, in_rate: float, out_rate: float, limit: int |
     line = line.previous(_next=F.col("v")).running(_last=("max", F.col("i")))
     i, step = F.col("i"), F.lit(ratio)
     # An output index belongs to the frame it falls on; one to spare on each side, then checked.
-    first, last = F.floor(i / step) - 1, F.floor((i + 1) / step) + 1
-    made = line.rows().withColumn("o", F.explode(F.sequence(F.greatest(first, F.lit(0)), last)))
+    first, last = F.greatest(F.floor(i / step) - 1, F.lit(0)), F.floor((i + 1) / step) + 1
+    size = F.floor((F.col("_last") + 1) / step)
+    here = F.filter(F.sequence(first, last), lambda o: (F.floor(o * step) == i) & (o < size))
+    made = line.rows().withColumn("o", F.explode(here))
     place = F.col("o") * step
-    made = made.where(
-        (F.floor(place) == i) & (F.col("o") < F.floor((F.col("_last") + 1) / step))
-    )
     share = place - i
     value = F.col("v") * (1 - share) + F.coalesce("_next", "v") * share
     return made.select("stream", F.col("o").alias("i"), value.alias("v"))

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom import schemas
 from linkloom.operators import marts, parity, quality, reshape
 from linkloom.sources import exports, reports
 from linkloom.sources.layers import read_layer, write_layer
 
+EXPORT_TYPES = ["voice", "mobility", "audiogap", "gracegap", "dtx", "sensing"]
+
 SILVER_MARTS = {
     "kpi_vs_n": (marts.kpi_vs_n, "voice_client"),
     "mobility_cycles": (marts.mobility_cycles, "mobility"),
@@ -36,6 +39,16 @@ def conform(spark: SparkSession, lake: str) -> None:
     for name, table in reshape.build_experiment_tables(raw_json).items():
         write_layer(table, lake + "/silver", name)
     write_layer(reshape.build_link_fact(raw_json, raw_stream), lake + "/silver", "link_fact")
+    write_layer(quarantine(spark, lake), lake + "/silver", "quarantine")
+
+
+def quarantine(spark: SparkSession, lake: str) -> DataFrame:
+    """Payloads of any type that do not fit their read schema."""
+    raw_json = read_layer(spark, lake + "/bronze", "raw_json")
+    raw_stream = read_layer(spark, lake + "/bronze", "raw_stream")
+    kinds = [(reshape.filter_record_type(raw_json, name), name) for name in EXPORT_TYPES]
+    parts = [reports.quarantine_malformed(df, schemas.payload(name))[1] for df, name in [*kinds, (raw_stream, "realnet")]]
+    return reshape.union_sources(*parts)
 
 
 def aggregate(spark: SparkSession, lake: str) -> None:
@@ -72,6 +85,11 @@ def refresh(spark: SparkSession, data_root: str, lake: str, ingested_at: str) ->
     land(spark, data_root, lake, ingested_at)
     conform(spark, lake)
     aggregate(spark, lake)
-    gates = {"quality": check(spark, lake), "parity": parity_gate(spark, lake)}
+    rejected = read_layer(spark, lake + "/silver", "quarantine")
+    gates = {
+        "quality": check(spark, lake),
+        "parity": parity_gate(spark, lake),
+        "quarantine": quality.assert_rows_empty(rejected),
+    }
     rows = [df.agg(F.bool_and("ok").alias("ok")).select(F.lit(n).alias("gate"), "ok") for n, df in gates.items()]
-    return rows[0].unionByName(rows[1])
+    return reshape.union_sources(*rows)

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from linkloom import schemas
@@ -127,17 +128,18 @@ def publish_keyed_events(
         ordered.write.mode("overwrite").options(**writer_options).json(sink)
 
 
-def quarantine_malformed(df: DataFrame, schema) -> tuple[DataFrame, DataFrame]:
-    """Split into parsed rows (column ``r``) and bad ones with the reason.
+def quarantine_malformed(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Split into parsed rows (column ``r``) and bad ones with the reason and where they came from.
 
     A type that does not fit fails the row instead of turning into a silent NULL;
     fields the schema does not know are ignored.
     """
-    wide = schema.add("_corrupt", "string") if "_corrupt" not in schema.names else schema
+    wide = StructType([*schema.fields, StructField("_corrupt", StringType())])
     parsed = df.withColumn(
         "r", F.from_json("payload", wide, {"columnNameOfCorruptRecord": "_corrupt"})
     )
     broken = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
     good = parsed.where(~broken).withColumn("r", F.col("r").dropFields("_corrupt"))
     shape = F.when(F.try_parse_json("payload").isNull(), "not json").otherwise("type mismatch")
-    return good, parsed.where(broken).select("payload", shape.alias("reason"))
+    origin = [c for c in ("record_type", "source_file") if c in df.columns]
+    return good, parsed.where(broken).select("payload", shape.alias("reason"), *origin)

@@ -312,8 +312,14 @@ def test_refresh_end_to_end(spark, tmp_path):
     put("wsn-sensing-1.json", {"scenario": "idle", "clients": {"A": {"stats": {"suppressedPct": 91}}}})
     (data / "wsn-remote-reports.jsonl").write_text(json.dumps(report("s", 1)) + "\n" + json.dumps(report("s", 2)) + "\n")
     gates = refresh.refresh(spark, str(data), str(tmp_path / "lake"), AT)
-    assert {(r.gate, r.ok) for r in gates.collect()} == {("quality", True), ("parity", True)}
+    assert {(r.gate, r.ok) for r in gates.collect()} == {("quality", True), ("parity", True), ("quarantine", True)}
     reshape.staging_views(spark, str(tmp_path / "lake" / "silver"))
     assert spark.table("stg_dtx").count() == 1
     report_rows = refresh.parity_gate(spark, str(tmp_path / "lake"))
     assert report_rows.where("check like 'dtx_uplink%'").first().actual == 31.5
+
+    put("wsn-dtx-2.json", {"source": "tone", "dtx": False, "uplinkKbps": "fast"})
+    gates = refresh.refresh(spark, str(data), str(tmp_path / "lake"), AT)
+    assert {(r.gate, r.ok) for r in gates.collect()} == {("quality", True), ("parity", True), ("quarantine", False)}
+    bad = layers.read_layer(spark, str(tmp_path / "lake" / "silver"), "quarantine").first()
+    assert (bad.source_file, bad.reason) == ("wsn-dtx-2.json", "type mismatch")

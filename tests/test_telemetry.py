@@ -40,7 +40,7 @@ MIX = {
 def lake(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("lake"))
     gates = refresh.refresh(spark, ROOT, root, "2026-01-01T00:00:00Z")
-    assert {r.gate: r.ok for r in gates.collect()} == {"quality": True, "parity": True}
+    assert {r.gate: r.ok for r in gates.collect()} == {"quality": True, "parity": True, "quarantine": True}
     return root
 
 
