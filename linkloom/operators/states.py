@@ -220,14 +220,22 @@ def grace_window(ticks: DataFrame, w_ms: int, limit: int | None = None) -> DataF
 # Event suppression
 
 
-_FIELDS = ["session", "t_ms", "forced_kind", "x", "y", "links"]
-_DECISION = ["session", "t_ms", "kind", "note", "suppressed"]
+_READING = ["index", "state", "rttMs", "lossPct"]
+
+
+def node_columns(samples: DataFrame) -> DataFrame:
+    """What the decision reads, with the link structs as parallel arrays, which reach Python fast."""
+    arrays = [F.coalesce(F.col(f"links.{f}"), F.array()).alias(f"link_{f}") for f in _READING]
+    return samples.select("session", "t_ms", "forced_kind", "x", "y", *arrays)
 
 
 def _samples(batch: pd.DataFrame) -> list[Sample]:
-    clean = batch[["t_ms", "forced_kind", "x", "y", "links"]].astype(object)
-    clean = clean.where(clean.notna(), None)
-    return [Sample.of(*row) for row in clean.itertuples(index=False, name=None)]
+    readings = zip(*(batch[f"link_{f}"] for f in _READING))
+    rows = zip(batch["t_ms"].tolist(), batch["forced_kind"].tolist(), batch["x"].tolist(), batch["y"].tolist(), readings)
+    return [
+        Sample.of(t, forced, x, y, zip(*(column.tolist() for column in links)))
+        for t, forced, x, y, links in rows
+    ]
 
 
 def _decided(batch: pd.DataFrame, verdicts: list) -> pd.DataFrame:
@@ -258,7 +266,7 @@ def event_suppression(
     """
     limits = Thresholds(move, rtt_ms, rtt_frac, loss, heartbeat_ms)
     bound = limit or min(200_000, settings.hot_rows(samples.sparkSession))
-    history = History(samples.select(*_FIELDS), ["session"], ["t_ms"], bound)
+    history = History(node_columns(samples), ["session"], ["t_ms"], bound)
     schema = StructType.fromDDL("t_ms bigint, kind string, note string, suppressed boolean")
     schema = StructType([samples.schema["session"], *schema.fields])
     if history.chunked:

@@ -20,6 +20,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from linkloom.functions.sensing import Reporter, Sample, Thresholds
+from linkloom.operators.states import node_columns
 
 
 class Machine:
@@ -123,20 +124,22 @@ def suppression_machine(limits: Thresholds) -> type[Machine]:
 
         def step(self, row):
             m = self.memory
-            node = Reporter(limits, m["at"], m["pos"], {link["index"]: link for link in m["links"]})
-            clean = lambda v: None if v is None or v != v else v
-            sample = Sample.of(row.t_ms, clean(row.forced_kind), clean(row.x), clean(row.y), row.links)
+            node = Reporter(limits, m["at"], m["pos"], {link[0]: link for link in m["links"]})
+            links = zip(row.link_index, row.link_state, row.link_rttMs, row.link_lossPct)
+            sample = Sample.of(row.t_ms, row.forced_kind, row.x, row.y, links)
             kind, note = node.step(sample)
-            links = [{k: link[k] for k in ("index", "state", "rttMs", "lossPct")} for link in node.links.values()]
-            m.update(at=node.reported_at, pos=node.pos, links=links)
+            m.update(at=node.reported_at, pos=node.pos, links=[plain(link) for link in node.links.values()])
             return [(sample.t, kind, note, kind is None)]
 
+    def plain(link) -> list:
+        return [v.item() if hasattr(v, "item") else v for v in link]
+
     return Suppression
 
 
 def stream_event_suppression(samples: DataFrame, limits: Thresholds | None = None) -> DataFrame:
     emits = "t_ms bigint, kind string, note string, suppressed boolean"
-    return run_machine(samples, ["session"], ["t_ms"], suppression_machine(limits or Thresholds()), emits)
+    return run_machine(node_columns(samples), ["session"], ["t_ms"], suppression_machine(limits or Thresholds()), emits)
 
 
 def grace_machine(w_ms: int) -> type[Machine]:

@@ -229,7 +229,7 @@ def test_grace(spark, w, cut):
 
 
 def reading(index=1, state="connected", rtt=40.0, loss=0.0):
-    return {"index": index, "state": state, "rttMs": rtt, "lossPct": loss}
+    return index, state, rtt, loss
 
 
 @pytest.mark.parametrize("pos, links, kind", [
@@ -254,7 +254,7 @@ def node_rows(seed=11, sessions=2, n=300):
                 x, y = x + rng.randint(-4, 4), y + rng.randint(-4, 4)
             if rng.random() < 0.15:
                 links = [reading(rng.randint(0, 3), rng.choice(["connected", "failed"]), float(rng.randint(-1, 120)), rng.choice([0.0, 0.5, 4.0])) for _ in range(rng.randint(0, 2))]
-            data.append((s, t, forced, x if rng.random() < 0.9 else None, y, [tuple(v.values()) for v in links]))
+            data.append((s, t, forced, x if rng.random() < 0.9 else None, y, links))
     return data
 
 
@@ -263,8 +263,7 @@ def suppress_by_hand(data):
     for s in sorted({d[0] for d in data}):
         node = Reporter()
         for _, t, forced, x, y, links in sorted((d for d in data if d[0] == s), key=lambda d: d[1]):
-            sample = Sample.of(t, forced, x, y, [dict(zip(("index", "state", "rttMs", "lossPct"), v)) for v in links])
-            kind, note = node.step(sample)
+            kind, note = node.step(Sample.of(t, forced, x, y, links))
             out.append((s, t, kind, note, kind is None))
     return sorted(out, key=repr)
 
