@@ -7,7 +7,9 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -55,7 +57,11 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def write_file(uri: str, parts: Iterator[bytes] | list[bytes]) -> int:
-    """Write a file under a task's own name, then rename it; a repeated task replaces its own file."""
+    """Write a file whole: under a name of its own first, then renamed.
+
+    Callers put the attempt's id into the name, and a manifest row names the file, so
+    of a task that ran twice only the files of the attempt Spark took are ever read.
+    """
     store, path = filesystem(uri)
     store.create_dir(os.path.dirname(path), recursive=True)
     context = TaskContext.get()
@@ -95,3 +101,37 @@ def batches(rows: Iterator[dict], schema: pa.Schema, size: int = 4096) -> Iterat
 def partitions_for(spark: SparkSession, minimum: int = 1) -> int:
     """Partitions of a costly step: what the session sets for shuffles, at least a core each."""
     return max(minimum, int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+class _Hashes(dict):
+    """Word -> 64-bit hash, kept per worker; emptied when full."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1_000_000:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+_HASHES = _Hashes()
+
+
+def hashes(found: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words; two of n different words share one with a chance below n^2 / 2^65."""
+    return np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
+
+
+def mix(values: np.ndarray) -> np.ndarray:
+    """Scramble 64-bit values: a bijection, so it adds no collisions."""
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
+
+
+def windows(found: np.ndarray, size: int) -> np.ndarray:
+    """A hash per window of ``size`` consecutive word hashes."""
+    n = len(found) - size + 1
+    total = found[:n].copy()
+    for k in range(1, size):
+        total = mix(total + np.uint64(0x9E3779B97F4A7C15)) + found[k:k + n]
+    return mix(total)

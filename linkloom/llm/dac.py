@@ -35,6 +35,8 @@ MAGIC = b"DACTOK1\n"
 END_ID = 0
 # Tokens after which a task begins its next shard; a document is never cut.
 SHARD_TOKENS = 4_000_000
+# Documents of a range at most, so that ranges grow in number and not in size.
+PARTITION_DOCS = 100_000
 
 _MANIFEST = T.StructType([
     T.StructField("part", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("path", T.StringType()),
@@ -149,17 +151,18 @@ def write_shards(docs: DataFrame, definition: str, end_id: int = END_ID, shard_t
     """
     spark = docs.sparkSession
     folder = common.shared_folder(spark, "dac")
-    parts = common.partitions_for(spark)
+    parts = common.partitions_for(spark, -(-docs.count() // PARTITION_DOCS))
     tie = F.xxhash64("text")
 
     def write(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = tokens.encoder(definition), TaskContext.get().partitionId()
+        context = TaskContext.get()
+        encoder, part = tokens.encoder(definition), context.partitionId()
         end = np.uint32([end_id]).tobytes()
         doc_ids, starts, held, made = [], [0], [], []
 
         def flush() -> None:
             ids = np.frombuffer(b"".join(held), "<u4")
-            path = f"{folder}/shard-{part:06d}-{len(made):04d}.dac"
+            path = f"{folder}/shard-{part:06d}-{len(made):04d}-{context.taskAttemptId()}.dac"
             size = common.write_file(path, encode_shard(doc_ids, starts, ids))
             made.append((part, len(made), path, len(doc_ids), len(ids), size))
             doc_ids.clear(), held.clear(), starts.clear(), starts.append(0)

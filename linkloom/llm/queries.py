@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linkloom.llm import dac, packing, tokens
+from linkloom.llm import dac, divergence, hyperminhash, interpolation, langid, packing, pieces, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,32 @@ def definition(name: str) -> str:
     return tokens.definition_of(public_tokenizers.path(name))
 
 
+@query(
+    "op1_index_merge",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+    d AS (SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex FROM p),
+    r AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_id FROM d)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+      list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+        ((strpos('0123456789abcdef', substr(hex, 1 + CAST(5 * i // 4 AS INTEGER), 1)) - 1) * 16
+         + CASE WHEN 5 * i // 4 + 1 < 40 THEN strpos('0123456789abcdef', substr(hex, 2 + CAST(5 * i // 4 AS INTEGER), 1)) - 1 ELSE 0 END)
+        >> CAST(3 - (5 * i) % 4 AS INTEGER)) & 31 AS INTEGER), 1)), 'string_agg', '') AS payload_digest,
+      CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+    FROM r
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op2_hyperminhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_groups(table(spark, sf_dir, "documents"), hyperminhash.Rule(words=3, percent=85))
+
+
 @query("op3_addressable_codes")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = dac.write_shards(table(spark, sf_dir, "documents"), definition("byte_bpe_50k.json"))
@@ -43,3 +70,28 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.stored_pieces(table(spark, sf_dir, "documents"), definition("word_bpe_49k.json"))
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op6_language_mixture")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.fold("doc_id", 3) == 1)
+    model = langid.learn(docs.where(~F.col("held_out")))
+    return langid.predict(docs, model, ["doc_id", "held_out"])
+
+
+@query("op7_deleted_interpolation")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return interpolation.score_documents(docs.withColumn("held_out", langid.fold("doc_id", 7) == 2))
+
+
+@query("op9_piece_backend")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.drop("ids")
+
+
+@query("op10_divergence")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return divergence.judge(docs, divergence.references(docs))
