@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import dac, divergence, hyperminhash, interpolation, langid, packing, pieces, tokens, warc
+from linkloom.llm import dac, divergence, hyperminhash, interpolation, langid, packing, pieces, pivots, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +85,27 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolation.score_documents(docs.withColumn("held_out", langid.fold("doc_id", 7) == 2))
 
 
+@query(
+    "op8_pivot_annuli",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+      FROM embeddings WHERE embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+        AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+    ),
+    s AS (
+      SELECT q.vec_id AS query_id, v.vec_id,
+        CAST(list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * v.c[i])) AS BIGINT) AS score
+      FROM v q, v WHERE q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
+    ),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.search(table(spark, sf_dir, "embeddings"), F.pmod("vec_id", F.lit(50)) == 0, 5)
+
+
 @query("op9_piece_backend")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pieces.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
