@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import dac, divergence, hyperminhash, interpolation, langid, packing, pieces, pivots, tokens, warc
+from linkloom.llm import dac, divergence, hyperminhash, interpolation, langid, mincut, packing, pieces, pivots, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_documents(manifest)
 
 
+@query("op4_minimum_cut")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mincut.extract(table(spark, sf_dir, "pages"))
+
+
 @query("op5_sum_of_squares")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.stored_pieces(table(spark, sf_dir, "documents"), definition("word_bpe_49k.json"))
