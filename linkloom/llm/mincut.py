@@ -59,7 +59,7 @@ POSITIVE = re.compile(r"(?:^|[-_ ])(?:article|content|post|entry|story|main|body
 WORDING = re.compile(r"©|\ball rights reserved\b|\badvertisement\b|\bsponsored\b|\bcookies?\b|\bsign up\b|\bsubscribe\b|\blog ?in\b|\bread more\b", re.I)
 
 # Ties: weight of an edge between blocks one parent apart, and the whole units of flow per unit of cost.
-TIE = 1.5
+TIE = 0.75
 UNITS = 1000
 
 
