@@ -54,8 +54,8 @@ def url_key(url: str | None) -> str:
     if not found:
         return url.partition("#")[0]
     host = found[1].rpartition("@")[2].lower()
-    host = re.sub(r"^www\d*\.", "", re.sub(r":(?:80|443)?$", "", host))
-    return ",".join(reversed(host.split("."))) + ")" + (found[2] or "/")
+    host, port = re.fullmatch(r"(.*?)((?::\d*)?)", re.sub(r"^www\d*\.", "", host)).groups()
+    return ",".join(reversed(host.split("."))) + ("" if port in (":", ":80", ":443") else port) + ")" + (found[2] or "/")
 
 
 def _one_line(value: str) -> str:
