@@ -10,8 +10,9 @@ distance expected from chance alone, which falls with the length, is taken off.
 
 References are counted over all documents: word counts are combined in the tasks,
 summed by (language, word hash), and only words above a share of the language's words
-come to the driver, at most 1 / share per language. Documents without a language, or
-of one with too few documents, are compared to the reference of all.
+come to the driver, at most 1 / share per language. A document whose language is not
+known is compared to the nearest reference; one of a language with too few documents
+for a reference is not judged beyond the base rule.
 """
 
 from __future__ import annotations
@@ -137,8 +138,8 @@ def _reference(class_counts: np.ndarray, words: pd.DataFrame, total: int, common
     return Reference(class_counts, keys[order], np.append(counts, total - counts.sum()))
 
 
-def references(docs: DataFrame, common_words: int = COMMON_WORDS, word_share: float = WORD_SHARE) -> dict[str | None, Reference]:
-    """References per language of ``docs(text, lang)``, and at None that of all documents.
+def references(docs: DataFrame, common_words: int = COMMON_WORDS, word_share: float = WORD_SHARE) -> dict[str, Reference]:
+    """References of the languages in ``docs(text, lang)`` with enough documents that pass the base rule.
 
     kinds of counted rows: 0 documents, 1 characters by class, 2 words by hash, 3 all words.
     """
@@ -156,7 +157,6 @@ def references(docs: DataFrame, common_words: int = COMMON_WORDS, word_share: fl
                 found, hashed, base = base_figures(text)
                 if base["base_failed"]:
                     continue
-                lang = lang or ""
                 own = figures.setdefault(lang, np.zeros(9, np.int64))
                 own += np.concatenate([[1], classes(text.encode("utf-8", "surrogatepass")), [len(found)]])
                 counter = seen.setdefault(lang, Counter())
@@ -175,31 +175,25 @@ def references(docs: DataFrame, common_words: int = COMMON_WORDS, word_share: fl
             yield _counted(name, 1, np.arange(7), own[1:8])
             yield _counted(name, 3, np.array([0]), own[8:])
 
-    rows = docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
+    rows = docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).where("lang is not null")
     counts = rows.mapInArrow(count, "lang string, kind int, key long, n long").groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     counts = common.stored(counts, "reference-counts")
-    totals = counts.where("kind <> 2").toPandas()
-    every = int(totals.loc[totals["kind"] == 3, "n"].sum())
-    small = totals[totals["kind"] != 2]
-
-    def figures_of(rows: pd.DataFrame) -> tuple[np.ndarray, int]:
-        found = rows[rows["kind"] == 1].groupby("key")["n"].sum()
-        return found.reindex(range(7), fill_value=0).to_numpy(), int(rows.loc[rows["kind"] == 3, "n"].sum())
-
-    words = counts.where("kind = 2")
-    pooled = words.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= every * word_share).toPandas()
-    made: dict[str | None, Reference] = {None: _reference(figures_of(small)[0], pooled, every, common_words)}
-    size = small[small["kind"] == 0].set_index("lang")["n"]
-    large = size[(size >= REFERENCE_DOCS) & (size.index != "")].sort_values(ascending=False, kind="stable").head(MAX_LANGUAGES)
-    if len(large):
-        spark = docs.sparkSession
-        least = [(lang, float(figures_of(small[small["lang"] == lang])[1] * word_share)) for lang in large.index]
-        bounds = spark.createDataFrame(least, "lang string, least double")  # at most MAX_LANGUAGES rows
-        top = words.join(F.broadcast(bounds), "lang").where("n >= least").select("lang", "key", "n").toPandas()
-        for lang in large.index:
-            shown, total = figures_of(small[small["lang"] == lang])
-            made[lang] = _reference(shown, top[top["lang"] == lang], total, common_words)
-    return made
+    totals = counts.where("kind <> 2").toPandas()  # nine rows a language
+
+    def figures_of(lang: str) -> tuple[np.ndarray, int]:
+        own = totals[totals["lang"] == lang]
+        shown = own[own["kind"] == 1].set_index("key")["n"].reindex(range(7), fill_value=0)
+        return shown.to_numpy(np.int64), int(own.loc[own["kind"] == 3, "n"].sum())
+
+    size = totals[totals["kind"] == 0].set_index("lang")["n"].sort_index()
+    large = size[size >= REFERENCE_DOCS].sort_values(ascending=False, kind="stable").head(MAX_LANGUAGES)
+    if not len(large):
+        return {}
+    found = {lang: figures_of(lang) for lang in large.index}
+    least = [(lang, float(total * word_share)) for lang, (_, total) in found.items()]
+    bounds = docs.sparkSession.createDataFrame(least, "lang string, least double")  # at most MAX_LANGUAGES rows
+    top = counts.where("kind = 2").join(F.broadcast(bounds), "lang").where("n >= least").select("lang", "key", "n").toPandas()
+    return {lang: _reference(shown, top[top["lang"] == lang], total, common_words) for lang, (shown, total) in found.items()}
 
 
 def _counted(lang: str, kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
@@ -209,12 +203,13 @@ def _counted(lang: str, kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.R
     )
 
 
-def judge(docs: DataFrame, known: dict[str | None, Reference], keep: list[str] | None = None,
+def judge(docs: DataFrame, known: dict[str, Reference], keep: list[str] | None = None,
           max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE, judged_words: int = JUDGED_WORDS) -> DataFrame:
     """``keep`` columns (doc_id by default), the base figures, both distances and the verdict ``kept``.
 
-    Null texts count as empty and fail the base rule. A document below
-    ``judged_words`` that passes the base rule is kept unjudged.
+    Null texts count as empty and fail the base rule. A document that passes it is kept
+    unjudged if it is below ``judged_words`` or has no reference; without one, its
+    distances are null.
     """
     keep = keep or ["doc_id"]
     sent = docs.sparkSession.sparkContext.broadcast(known)  # languages x (common words + classes) numbers
@@ -228,9 +223,10 @@ def judge(docs: DataFrame, known: dict[str | None, Reference], keep: list[str] |
             out = []
             for text, lang in zip(batch.column(len(keep)).to_pylist(), batch.column(len(keep) + 1).to_pylist(), strict=True):
                 _, hashed, base = base_figures(text)
-                near = known.get(lang) or known[None]
-                far = near.distances((text or "").encode("utf-8", "surrogatepass"), hashed)
-                odd = base["n_words"] >= judged_words and (far[0] > max_class or far[1] > max_word)
+                data = (text or "").encode("utf-8", "surrogatepass")
+                near = [known[lang]] if lang in known else [] if lang is not None else list(known.values())
+                far = min((one.distances(data, hashed) for one in near), key=sum, default=(None, None))
+                odd = near and base["n_words"] >= judged_words and (far[0] > max_class or far[1] > max_word)
                 out.append([*base.values(), *far, not base["base_failed"] and not odd])
             columns = [pa.array([row[k] for row in out], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(batch.columns[:len(keep)] + columns, batch.schema.names[:len(keep)] + names)
