@@ -14,8 +14,8 @@ Documents that share a band are candidates, but no bucket is expanded into pairs
 2. Each band bucket compares its members to one pivot, the member whose buckets hold
    the most nodes. A pair survives if its Jaccard estimate from the registers, less the
    matches that compression makes by chance, is within six standard errors of the bound.
-   Members that fail against the pivot get a pivot of their own, for a few rounds;
-   what is left of a bucket then is estimated in blocks.
+   Members that fail against the pivot get a pivot of their own while they are many;
+   a few thousand left in a bucket are estimated against each other in blocks.
 3. Survivors are verified on full shingle sets. Nodes joined by survivors form a
    cluster, nodes joined by verified links a component. Where a cluster holds several
    components, the nodes outside its largest one are verified against all of the
@@ -43,8 +43,10 @@ BUCKETS = 1 << BUCKET_BITS
 ROWS_PER_BAND = 4
 BANDS = BUCKETS // ROWS_PER_BAND
 STANDARD_ERRORS = 6
-PIVOT_ROUNDS = 3
 BLOCK = 256
+# A bucket with more members left than this chooses another pivot, for some rounds.
+BLOCK_MEMBERS = 4096
+PIVOT_ROUNDS = 8
 
 # For each bucket the order in which it looks for another that is not empty.
 _BORROW = np.stack([np.random.default_rng(k).permutation(BUCKETS) for k in range(BUCKETS)])
@@ -289,32 +291,47 @@ def candidates(nodes: DataFrame, rule: Rule) -> DataFrame:
         # members that survived against their pivot are tied to it; the others go on among themselves
         rest = starred.join(kept, (starred["node"] == kept["a"]) & (starred["pivot"] == kept["b"]), "left_anti")
         members = common.stored(rest.select("bucket", "node", "n", "weight"), "band-members")
-        if _pivot_pairs(members, rule).isEmpty():
-            return found
-    regs = nodes.select("node", "registers")
-    again = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").drop("_c")
-    left = members.join(again, "bucket").join(regs, "node").select(
+        again = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1")
+        most = again.agg(F.max("_c")).first()[0] or 0
+        if most <= BLOCK_MEMBERS:
+            break
+    if not most:
+        return found
+    left = members.join(again, "bucket").join(nodes.select("node", "registers"), "node").select(
         F.col("bucket").alias("group"), "node", "n", "registers", F.lit(True).alias("marked"))
     return found.unionByName(common.stored(_in_blocks(left, _estimate_blocks(rule), "a long, b long").distinct(), "candidates"))
 
 
-def links(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """Verified links (a, b) that join every two nodes connected by similar candidates."""
+def _labelled(nodes: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    """``nodes`` with the component of each ``name`` in place of it; unlabelled ones stay themselves."""
+    known = labels.select(F.col("node").alias(name), F.col("component").alias("_label"))
+    return nodes.join(known, name, "left").withColumn(name, F.coalesce("_label", name)).drop("_label")
+
+
+def linked(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """Components of the nodes with a verified link: node, component."""
     pairs = candidates(nodes, rule)
     involved = common.stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "involved")
     wanted = history.broadcast_if_small(involved)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     sets = common.stored(full_sets(texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi"), rule), "sets")
-    sure = common.stored(verified(pairs, sets, rule), "links")
-    clusters = components(pairs).select("node", F.col("component").alias("group"))
-    parts = components(sure).select("node", "component")
-    placed = clusters.join(parts, "node", "left").select("node", "group", F.coalesce("component", "node").alias("component"))
+    parts = components(verified(pairs, sets, rule))
+    # candidates whose ends came apart tie components to clusters
+    apart = _labelled(_labelled(pairs, parts, "a"), parts, "b").where("a <> b")
+    clusters = components(apart).select(F.col("node").alias("component"), F.col("component").alias("group"))
+    if clusters.isEmpty():
+        return parts
+    placed = _labelled(involved.withColumn("component", F.col("node")), parts, "component").join(clusters, "component")
     sizes = placed.groupBy("group", "component").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("group").agg(F.max(F.struct("size", "component")).alias("_top"), F.count(F.lit(1)).alias("_parts"))
-    open_groups = largest.where("_parts > 1").select("group", F.col("_top.component").alias("main"))
-    members = placed.join(open_groups, "group").withColumn("marked", F.col("component") != F.col("main")).drop("main")
-    more = _in_blocks(members.join(sets, "node"), _verify_blocks(rule), "a long, b long")
-    return sure.unionByName(common.stored(more, "links"))
+    main = sizes.groupBy("group").agg(F.max(F.struct("size", "component")).alias("_top")).select("group", F.col("_top.component").alias("main"))
+    members = placed.join(main, "group").withColumn("marked", F.col("component") != F.col("main")).drop("main")
+    more = common.stored(_in_blocks(members.join(sets, "node"), _verify_blocks(rule), "a long, b long"), "links")
+    if more.isEmpty():
+        return parts
+    joined = components(_labelled(_labelled(more, parts, "a"), parts, "b"))
+    ends = more.select(F.col("a").alias("node")).union(more.select("b"))
+    alone = ends.join(parts, "node", "left_anti").distinct().withColumn("component", F.col("node"))
+    return _labelled(parts.unionByName(alone), joined, "component").select("node", "component")
 
 
 def near_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -332,7 +349,7 @@ def near_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     # by id as well as by key, so that a hot group of copies is spread over all partitions
     nodes = usable.join(own, ["doc_id", "key_a", "key_b"], "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", "registers", "bands")
     nodes = common.stored(nodes, "nodes")
-    joined = components(links(docs, nodes, rule))
+    joined = linked(docs, nodes, rule)
     named = copies.join(joined, "node", "left").select("key_a", "key_b", F.coalesce("component", "node").alias("component_id"))
     rows = made.select("doc_id", "n_shingles", "key_a", "key_b")
     found = rows.join(named, ["key_a", "key_b"], "left")

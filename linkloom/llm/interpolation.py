@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from linkloom.llm import common
 
 # White space cannot be part of a word, so this names the end of a document.
 END = b"\n"
-BLOCK_TOKENS = 5_000_000
+BLOCK_TOKENS = 2_000_000
 # Keys that one range's task adds up, at most about.
 RANGE_KEYS = 2_000_000
 WORD, PAIR = 0, 1
@@ -52,6 +53,28 @@ class _Ids(dict):
         return number
 
 
+def _sorted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts keys, and each key's place in it."""
+    order = np.argsort(keys)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order), dtype=np.int32)
+    return order, rank
+
+
+def _steps(keys: np.ndarray) -> np.ndarray:
+    return np.diff(keys, prepend=np.uint64(0))
+
+
+def _pressed(values: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, compressed: differences of sorted keys and counts have idle upper bytes."""
+    return zstandard.ZstdCompressor(level=3).compress(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
+
+
+def _unpressed(data: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 @dataclass(frozen=True)
 class Weights:
     """Per bucket the weights of pair, word and uniform estimate; training tokens and types."""
@@ -67,12 +90,12 @@ def _bucket(count: np.ndarray) -> np.ndarray:
 
 
 def read_blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Blocks of whole documents: the stream of word numbers, the words' hashes, and the documents.
+    """Blocks of whole documents: the words' sorted hashes, the stream of their numbers, and the documents.
 
     ``docs`` has doc_id, text and held_out. Null texts count as empty. A document longer
     than a block makes a block of its own.
     """
-    names = ["block", "doc_ids", "held", "starts", "stream", "hashes"]
+    names = ["block", "n_tokens", "doc_ids", "held", "starts", "stream", "words"]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
@@ -80,9 +103,10 @@ def read_blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             keys = common.hashes(list(ids))
+            order, rank = _sorted(keys)
             return pa.RecordBatch.from_arrays([
-                pa.array([part << 24 | made]), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
-                pa.array([np.array(starts, np.int64).tobytes()]), pa.array([np.concatenate(stream).tobytes()]), pa.array([keys.tobytes()]),
+                pa.array([part << 24 | made]), pa.array([starts[-1]]), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
+                pa.array([np.array(starts, np.int64).tobytes()]), pa.array([_pressed(rank[np.concatenate(stream)])]), pa.array([_pressed(_steps(keys[order]))]),
             ], names)
 
         for batch in rows:
@@ -101,45 +125,27 @@ def read_blocks(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
             yield block()
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"), "held_out")
-    made = rows.mapInArrow(run, "block long, doc_ids array<long>, held array<boolean>, starts binary, stream binary, hashes binary")
+    made = rows.mapInArrow(run, "block long, n_tokens long, doc_ids array<long>, held array<boolean>, starts binary, stream binary, words binary")
     return common.stored(made, "blocks")
 
 
 class Block:
-    """A block's arrays: per token its word and its pair, numbered as in the sorted keys asked for."""
+    """A block's arrays: sorted word and pair keys, and per token the places of its word and its pair among them."""
 
     def __init__(self, row: dict):
         self.doc_ids, self.held = row["doc_ids"], np.array(row["held"], bool)
         self.starts = np.frombuffer(row["starts"], np.int64)
-        stream = np.frombuffer(row["stream"], np.int32)
-        hashed = np.frombuffer(row["hashes"], np.uint64)
-        order = np.argsort(hashed)
-        self.words = hashed[order]
-        rank = np.empty(len(order), np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32)
-        places = rank[stream]
-        self.context, self.token = places[:-1], places[1:]
-        codes, self.pair = np.unique(self.context.astype(np.int64) * len(order) + self.token, return_inverse=True)
-        keys = common.mix(self.words[codes // len(order)] + np.uint64(1)) + self.words[codes % len(order)]
-        keys = common.mix(keys)
-        order = np.argsort(keys)
-        self.pairs = keys[order]
-        rank = np.empty(len(order), np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32)
-        self.pair = rank[self.pair]
+        self.words = np.cumsum(_unpressed(row["words"], np.uint64), dtype=np.uint64)
+        places = _unpressed(row["stream"], np.int32)
+        self.first, self.token = places[0], places[1:]
+        size = len(self.words)
+        codes, pair = np.unique(places[:-1].astype(np.int64) * size + self.token, return_inverse=True)
+        keys = common.mix(common.mix(self.words[codes // size] + np.uint64(1)) + self.words[codes % size])
+        order, rank = _sorted(keys)
+        self.pairs, self.pair = keys[order], rank[pair]
         self.training = np.repeat(~self.held, np.diff(self.starts))
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Bytes of equal weight side by side: sorted or small numbers then compress in the shuffle."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
-
-
-def _unplanes(data: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
-
-
 def _ask(blocks: DataFrame, ranges: int) -> DataFrame:
     """Requests: kind, range, block, sorted keys (as differences) and the block's training counts."""
     edges = (np.arange(1, ranges, dtype=np.float64) / ranges * 2.0**64).astype(np.uint64)
@@ -155,8 +161,8 @@ def _ask(blocks: DataFrame, ranges: int) -> DataFrame:
                     for k in range(ranges):
                         part = keys[cuts[k]:cuts[k + 1]]
                         if len(part):
-                            steps = np.diff(part, prepend=np.uint64(0))
-                            out.append({"kind": kind, "range": k, "block": row["block"], "keys": _planes(steps), "counts": _planes(counts[cuts[k]:cuts[k + 1]])})
+                            asked = {"keys": _pressed(_steps(part)), "counts": _pressed(counts[cuts[k]:cuts[k + 1]])}
+                            out.append({"kind": kind, "range": k, "block": row["block"]} | asked)
                     yield pa.RecordBatch.from_pylist(out, _REQUEST)
 
     return blocks.mapInArrow(run, "kind int, range int, block long, keys binary, counts binary")
@@ -167,8 +173,8 @@ _REQUEST = pa.schema([("kind", pa.int32()), ("range", pa.int32()), ("block", pa.
 
 def _add_up(rows: pa.Table) -> pa.Table:
     """One range's totals for each block that asked, and the range's training tokens and types."""
-    asked = [np.cumsum(_unplanes(k, np.uint64), dtype=np.uint64) for k in rows.column("keys").to_pylist()]
-    counts = np.concatenate([_unplanes(c, np.uint32) for c in rows.column("counts").to_pylist()]).astype(np.int64)
+    asked = [np.cumsum(_unpressed(k, np.uint64), dtype=np.uint64) for k in rows.column("keys").to_pylist()]
+    counts = np.concatenate([_unpressed(c, np.uint32) for c in rows.column("counts").to_pylist()]).astype(np.int64)
     sizes = np.cumsum([len(k) for k in asked])[:-1]
     _, place = np.unique(np.concatenate(asked), return_inverse=True)
     totals = np.zeros(place.max() + 1, np.int64)
@@ -177,38 +183,37 @@ def _add_up(rows: pa.Table) -> pa.Table:
     first = lambda value: [int(value)] + [0] * (n - 1)
     return pa.table({
         "block": rows.column("block"), "kind": rows.column("kind"), "range": rows.column("range"),
-        "totals": pa.array([_planes(t) for t in np.split(totals[place].astype(np.uint64), sizes)], pa.binary()),
+        "totals": pa.array([_pressed(t) for t in np.split(totals[place].astype(np.uint64), sizes)], pa.binary()),
         "n_tokens": first(totals.sum()), "n_types": first(np.count_nonzero(totals)),
     })
 
 
-_RESOLVED = "doc_ids array<long>, held array<boolean>, starts binary, seen_context binary, seen_token binary, seen_pair binary"
+_RESOLVED = "doc_ids array<long>, held array<boolean>, starts binary, seen_first long, seen_token binary, seen_pair binary"
 
 
 def _resolve(block: pa.Table, answers: pa.Table) -> pa.Table:
-    """A block with the training counts of each token, its context and their pair."""
+    """A block with the training counts of each token and of its pair, and of the first token's context."""
     made = []
     for row in block.to_pylist():
         own = Block(row)
         found = {WORD: [], PAIR: []}
         for answer in sorted(answers.select(["kind", "range", "totals"]).to_pylist(), key=lambda r: (r["kind"], r["range"])):
-            found[answer["kind"]].append(_unplanes(answer["totals"], np.uint64).astype(np.int64))
+            found[answer["kind"]].append(_unpressed(answer["totals"], np.uint64).astype(np.int64))
         words, pairs = np.concatenate(found[WORD]), np.concatenate(found[PAIR])
         made.append({
             "doc_ids": row["doc_ids"], "held": row["held"], "starts": row["starts"],
-            # counts compress by planes; a count's upper bytes are nearly always zero
-            "seen_context": _planes(words[own.context]), "seen_token": _planes(words[own.token]), "seen_pair": _planes(pairs[own.pair]),
+            "seen_first": int(words[own.first]), "seen_token": _pressed(words[own.token]), "seen_pair": _pressed(pairs[own.pair]),
         })
     schema = pa.schema([
         ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("starts", pa.binary()),
-        ("seen_context", pa.binary()), ("seen_token", pa.binary()), ("seen_pair", pa.binary()),
+        ("seen_first", pa.int64()), ("seen_token", pa.binary()), ("seen_pair", pa.binary()),
     ])
     return pa.Table.from_pylist(made, schema)
 
 
 def count(blocks: DataFrame, range_keys: int = RANGE_KEYS) -> tuple[DataFrame, int, int]:
     """Blocks with training counts per token, the number of training tokens, and that of training types."""
-    total = blocks.agg(F.sum(F.octet_length("stream") / 4)).first()[0] or 0
+    total = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     ranges = 1 << max(0, int(np.ceil(np.log2(max(1.0, total / range_keys)))))
     answers = _ask(blocks, ranges).groupBy("kind", "range").applyInArrow(
         _add_up, "block long, kind int, range int, totals binary, n_tokens long, n_types long")
@@ -219,7 +224,9 @@ def count(blocks: DataFrame, range_keys: int = RANGE_KEYS) -> tuple[DataFrame, i
 
 
 def _counts(row: dict) -> tuple[np.ndarray, ...]:
-    return tuple(_unplanes(row[name], np.int64) for name in ("seen_context", "seen_token", "seen_pair"))
+    """Training counts of each token's context, which is the token before, of the token, and of the pair."""
+    token = _unpressed(row["seen_token"], np.int64)
+    return np.concatenate([[row["seen_first"]], token[:-1]]), token, _unpressed(row["seen_pair"], np.int64)
 
 
 def _cell(p: np.ndarray) -> np.ndarray:

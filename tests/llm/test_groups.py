@@ -95,8 +95,9 @@ def test_awkward_rows(spark):
     assert hyperminhash.near_groups(documents(spark, [])).collect() == []
 
 
-def test_members_left_by_pivots_are_compared_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(hyperminhash, "PIVOT_ROUNDS", 1)
+@pytest.mark.parametrize("members", [1, 4096])
+def test_members_left_by_pivots_are_compared(spark, monkeypatch, members):
+    monkeypatch.setattr(hyperminhash, "BLOCK_MEMBERS", members)
     monkeypatch.setattr(hyperminhash, "BLOCK", 16)
     rows, rule = corpus(), hyperminhash.Rule(3, 85)
     got = {r.doc_id: r.component_id for r in hyperminhash.near_groups(documents(spark, rows), rule).collect()}
