@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from linkloom import session as settings
-from linkloom.operators.history import History, broadcast_if_small
+from linkloom.operators.history import History, broadcast_if_small, has_hot_keys, settled
 
 
 def percentile_interpolated(c: Column | str, p: float) -> Column:
@@ -50,14 +50,13 @@ def exact_percentiles(
 
     ``spread`` adds mean_ms, min_ms and max_ms from the same counted values.
 
-    Whether a group has too many distinct values for one task is estimated by a
-    sketch that needs no shuffle of values; the estimate picks the way, not the result.
+    The rows are read once: values are counted and kept, and the counts tell whether a
+    group has too many distinct values for one task. That picks the way, not the result.
     """
     limit = limit or settings.hot_rows(df.sparkSession)
     measured = df.where(F.col(value).isNotNull())
-    sizes = measured.groupBy(*keys).agg(F.approx_count_distinct(value).alias("_distinct"))
-    hot = not sizes.where(F.col("_distinct") > limit * 0.8).isEmpty()
-    counts = measured.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = settled(measured.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
+    hot = has_hot_keys(counts, keys, limit)
     ranked = History(counts, keys, [value], limit, hot).running(_upto=("sum", F.col("_n")))
     if ranked.chunked:
         sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))

@@ -180,20 +180,32 @@ def realnet_conditions(link_fact: DataFrame) -> DataFrame:
     )
 
 
-def realnet_link_timing(link_fact: DataFrame) -> DataFrame:
+def _realnet_links(link_fact: DataFrame, trials: DataFrame | None) -> DataFrame:
+    """Links of the newest session reports and of trial files: condition, setup_ms, rtt_ms, candidate_type."""
+    own = filter_known_condition(link_fact.where(F.col("record_type") == "realnet"), "condition")
+    own = own.where(F.col("link_index").isNotNull()).select("condition", "setup_ms", "rtt_ms", "candidate_type")
+    if trials is None:
+        return own
+    links = trials.select("condition", F.explode("links").alias("l")).select(
+        "condition", F.col("l.setupMs").alias("setup_ms"), F.col("l.rttMs").alias("rtt_ms"),
+        F.col("l.candidateType").alias("candidate_type"),
+    )
+    return union_sources(own, links)
+
+
+def realnet_link_timing(link_fact: DataFrame, trials: DataFrame | None = None) -> DataFrame:
     """Per condition: links with a measured set-up, set-up median, RTT median."""
-    return realnet_conditions(link_fact).select(
-        "condition", "links", "setup_median_ms_raw", "rtt_median_ms_raw"
+    return _realnet_links(link_fact, trials).groupBy("condition").agg(
+        F.count(sentinel_to_null("setup_ms")).alias("links"),
+        median(sentinel_to_null("setup_ms")).alias("setup_median_ms_raw"),
+        median(sentinel_to_null("rtt_ms")).alias("rtt_median_ms_raw"),
     )
 
 
-def candidate_mix(link_fact: DataFrame) -> DataFrame:
+def candidate_mix(link_fact: DataFrame, trials: DataFrame | None = None) -> DataFrame:
     """Links per condition and candidate type; an empty type counts as '?'."""
-    links = filter_known_condition(link_fact.where(F.col("record_type") == "realnet"), "condition")
     kind = F.coalesce(F.nullif("candidate_type", F.lit("")), F.lit("?"))
-    return links.where(F.col("link_index").isNotNull()).groupBy(
-        "condition", kind.alias("candidate_type")
-    ).agg(F.count(F.lit(1)).alias("links"))
+    return _realnet_links(link_fact, trials).groupBy("condition", kind.alias("candidate_type")).agg(F.count(F.lit(1)).alias("links"))
 
 
 def union_realnet_sources(reports: DataFrame, trials: DataFrame) -> DataFrame:

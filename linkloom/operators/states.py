@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,15 +25,16 @@ from linkloom.functions.sensing import (
     MOVE_TILES,
     RTT_DELTA_MS,
     RTT_DELTA_SHARE,
-    Reporter,
-    Sample,
+    Heard,
     Thresholds,
+    Track,
     exit_states,
 )
 from linkloom.operators.chains import FRESH, chunk_entries, compact, map_schema
 from linkloom.operators.history import (
     CHUNK,
     History,
+    broadcast_if_small,
     first_at_or_after,
     has_hot_keys,
     same_keys,
@@ -223,22 +225,26 @@ def grace_window(ticks: DataFrame, w_ms: int, limit: int | None = None) -> DataF
 _READING = ["index", "state", "rttMs", "lossPct"]
 
 
-def node_columns(samples: DataFrame) -> DataFrame:
-    """What the decision reads, with the link structs as parallel arrays, which reach Python fast."""
+def node_columns(samples: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """What the decision reads, with the link structs as parallel arrays, which reach Python fast.
+
+    Samples of one time are put in the order of ``order`` (a sequence of arrival) and
+    then of their content, so the order is total whatever order they arrive in; samples
+    alike in all of it are interchangeable.
+    """
     arrays = [F.coalesce(F.col(f"links.{f}"), F.array()).alias(f"link_{f}") for f in _READING]
-    return samples.select("session", "t_ms", "forced_kind", "x", "y", *arrays)
+    content = F.xxhash64("forced_kind", "x", "y", *[F.col(f"links.{f}") for f in _READING])
+    return samples.select("session", "t_ms", *(order or []), "forced_kind", "x", "y", *arrays, content.alias("_content"))
 
 
-def _samples(batch: pd.DataFrame) -> list[Sample]:
-    readings = zip(*(batch[f"link_{f}"] for f in _READING))
-    rows = zip(batch["t_ms"].tolist(), batch["forced_kind"].tolist(), batch["x"].tolist(), batch["y"].tolist(), readings)
-    return [
-        Sample.of(t, forced, x, y, zip(*(column.tolist() for column in links)))
-        for t, forced, x, y, links in rows
-    ]
+def track_of(batch: pd.DataFrame) -> Track:
+    links = [batch[f"link_{f}"].tolist() for f in _READING]
+    xy = [pd.to_numeric(batch[c]).to_numpy(float, na_value=math.nan) for c in ("x", "y")]
+    return Track(batch["t_ms"].to_numpy(), batch["forced_kind"].tolist(), *xy, *links)
 
 
-def _decided(batch: pd.DataFrame, verdicts: list) -> pd.DataFrame:
+def _decided(batch: pd.DataFrame, said: dict[int, tuple[str, str]]) -> pd.DataFrame:
+    verdicts = [said.get(k, (None, "")) for k in range(len(batch))]
     out = batch[["session", "t_ms"]].copy()
     out["kind"] = [kind for kind, _ in verdicts]
     out["note"] = [note for _, note in verdicts]
@@ -254,10 +260,12 @@ def event_suppression(
     loss: float = LOSS_DELTA_PCT,
     heartbeat_ms: int = HEARTBEAT_MS,
     limit: int | None = None,
+    order: list[str] | None = None,
 ) -> DataFrame:
     """Per sample: the report it causes (kind, note) or that it is suppressed.
 
-    Input: session, t_ms, forced_kind, x, y, links[{index, state, rttMs, lossPct}].
+    Input: session, t_ms, forced_kind, x, y, links[{index, state, rttMs, lossPct}], and
+    the columns named in ``order``, which tell samples of one millisecond apart.
     Forced kinds always report; ``node-sleep`` reports and then forgets the node.
     Sorted sessions stream through a task in batches, with only the last report
     kept. A session too long for one task is cut into chunks: a chunk can only be
@@ -266,51 +274,58 @@ def event_suppression(
     """
     limits = Thresholds(move, rtt_ms, rtt_frac, loss, heartbeat_ms)
     bound = limit or min(200_000, settings.hot_rows(samples.sparkSession))
-    history = History(node_columns(samples), ["session"], ["t_ms"], bound)
+    total = ["t_ms", *(order or []), "_content"]
+    history = History(node_columns(samples, order), ["session"], total, bound)
     schema = StructType.fromDDL("t_ms bigint, kind string, note string, suppressed boolean")
     schema = StructType([samples.schema["session"], *schema.fields])
     if history.chunked:
         return _suppress_chunked(history, limits, schema)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, node, started = None, Reporter(limits), False
+        last, known = None, Heard()
         for batch in batches:
-            verdicts = []
-            for session, sample in zip(batch["session"], _samples(batch)):
-                if not started or session != at:
-                    at, node, started = session, Reporter(limits), True
-                verdicts.append(node.step(sample))
-            yield _decided(batch, verdicts)
-
-    ordered = spread(history.df, "session").sortWithinPartitions("session", "t_ms")
+            track, session, said = track_of(batch), batch["session"], {}
+            begins = np.flatnonzero((session != session.shift()).to_numpy())
+            for start, stop in zip(begins, [*begins[1:], len(batch)], strict=True):
+                if start or last is None or session.iloc[0] != last:
+                    known = Heard()
+                for at, kind, note, known in track.reports(known, start, stop, limits):
+                    said[at] = kind, note
+            if len(batch):
+                last = session.iloc[-1]
+            yield _decided(batch, said)
+
+    ordered = spread(history.df, "session").sortWithinPartitions("session", *total)
     return ordered.mapInPandas(scan, schema)
 
 
 def _suppress_chunked(history: History, limits: Thresholds, schema: StructType) -> DataFrame:
     keys = ["session", CHUNK]
-    rows = history.df
+    # a sample's number in its session names the last report, where times may repeat
+    rows = history.running(_number=("sum", F.lit(1))).df
     across = Window.partitionBy("session").orderBy(CHUNK)
     soon = Window.partitionBy("session").orderBy("_end").rangeBetween(0, limits.heartbeat_ms)
     ends = rows.groupBy(*keys).agg(F.max("t_ms").alias("_end")).withColumn("_next", F.lead(CHUNK).over(across))
     # The chunks a row may still matter to: mostly the next one, more only where chunks are shorter
     # than the heartbeat. Only chunks a session crosses the end of are kept: at most one row per chunk.
     reach = F.collect_list(F.struct(F.col("_next").alias("chunk"), F.col("_end").alias("end"))).over(soon)
-    ends = F.broadcast(
+    ends = broadcast_if_small(
         ends.withColumn("_reach", reach).where(F.col("_next").isNotNull())
         .select(*[F.col(k).alias("_b_" + k) for k in keys], "_reach")
     )
     near = rows.join(ends, same_keys(rows, ends, keys, "_b_")).withColumn("_to", F.explode("_reach"))
-    near = near.where(F.col("_to.chunk").isNotNull() & (F.col("t_ms") > F.col("_to.end") - limits.heartbeat_ms))
+    # chunks that end at one time reach each other, so only later ones are meant
+    near = near.where((F.col("_to.chunk") > F.col(CHUNK)) & (F.col("t_ms") > F.col("_to.end") - limits.heartbeat_ms))
     before = near.withColumn(CHUNK, F.col("_to.chunk")).select(*rows.columns)
     pieces = before.withColumn("_own", F.lit(False)).unionByName(rows.withColumn("_own", F.lit(True)))
 
     def ordered(piece: pd.DataFrame) -> tuple[pd.DataFrame, int]:
-        piece = piece.sort_values(["_own", "t_ms"], kind="stable", ignore_index=True)
+        piece = piece.sort_values(["_own", "_number"], ignore_index=True)
         return piece, int((~piece["_own"]).sum())
 
     def exits(piece: pd.DataFrame) -> pd.DataFrame:
         piece, own = ordered(piece)
-        entries, leads_to = compact(exit_states(_samples(piece), own, limits, FRESH))
+        entries, leads_to = compact(exit_states(track_of(piece), piece["_number"].to_numpy(), own, limits, FRESH))
         return piece[keys].iloc[:1].assign(entries=[entries], exits=[leads_to])
 
     maps = spread(pieces, *keys).groupBy(*keys).applyInPandas(exits, map_schema(pieces, keys))
@@ -322,13 +337,11 @@ def _suppress_chunked(history: History, limits: Thresholds, schema: StructType)
 
     def decide(piece: pd.DataFrame) -> pd.DataFrame:
         piece, own = ordered(piece)
-        samples, entry = _samples(piece), int(piece["entry"].iloc[0])
-        node = Reporter(limits)
-        for sample in samples[:own]:
-            if sample.t == entry:
-                node.heard(sample)
-        verdicts = [node.step(sample) for sample in samples[own:]]
-        return _decided(piece.iloc[own:], verdicts)
+        track, entry = track_of(piece), int(piece["entry"].iloc[0])
+        last = np.flatnonzero(piece["_number"].to_numpy()[:own] == entry)
+        known = track.heard(int(last[0])) if len(last) else Heard()
+        said = {at - own: (kind, note) for at, kind, note, _ in track.reports(known, own, len(track), limits)}
+        return _decided(piece.iloc[own:], said)
 
     return spread(entered, *keys).groupBy(*keys).applyInPandas(decide, schema)
 

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from linkloom import schemas
 from linkloom import session as settings
@@ -95,7 +96,11 @@ LANDED = T.with_sql("ev", "rep", body="SELECT cond, sid, CAST(ts AS VARCHAR) AS
 
 @query("land_jsonl_stream", LANDED)
 def land_jsonl_stream(spark, sf_dir):
-    return landed(spark, sf_dir).groupBy("cond", "sid", "ts").agg(F.count(F.lit(1)).alias("n"))
+    """The log is written as lines of text and landed from its files."""
+    out = scratch(spark)
+    T.report_payloads(spark, sf_dir, copies=True).select(F.col("payload").alias("value")).write.text(out)
+    got = reports.land_jsonl_stream(spark, out, T.AT)
+    return got.groupBy("cond", "sid", "ts").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("skip_blank_lines", """SELECT doc_id, count(*) AS lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
@@ -138,21 +143,30 @@ def frame_events(spark, sf_dir):
 @query("per_session_order", T.with_sql("ev", "rep", body="""SELECT sid AS partition_key, ts,
   row_number() OVER (PARTITION BY sid ORDER BY ts) AS place FROM rep"""))
 def per_session_order(spark, sf_dir):
-    """Each event's place in its session, as the keyed log delivers it."""
-    from linkloom.operators.history import History
-
+    """Each event's place in its session, by where the ordered partitions hold it."""
     framed = reports.frame_events(T.report_payloads(spark, sf_dir)).select("partition_key", "ts")
-    return History(framed, ["partition_key"], ["ts"]).running(place=("sum", F.lit(1))).rows()
+    # numbered partition by partition, so the numbers follow the order as it reads
+    held = reports.per_session_order(framed).withColumn("_at", F.monotonically_increasing_id())
+    in_session = Window.partitionBy("partition_key").orderBy("_at")
+    return held.select("partition_key", "ts", F.row_number().over(in_session).alias("place"))
 
 
-@query("publish_keyed_events", FRAMED)
+@query("publish_keyed_events", T.with_sql("ev", "rep", body="""SELECT sid AS partition_key, count(*) AS events, min(ts) AS first_ts,
+  max(ts) AS last_ts, true AS in_order FROM rep GROUP BY 1"""))
 def publish_keyed_events(spark, sf_dir):
+    """The published files read back: every session's events, and whether they lie in order of time."""
     out = scratch(spark)
     reports.publish_keyed_events(reports.frame_events(T.report_payloads(spark, sf_dir)), out)
-    log = spark.read.schema("partition_key string, body string").json(out)
-    ts = F.get_json_object("body", "$.ts").cast("bigint")
-    return log.groupBy("partition_key").agg(
-        F.count(F.lit(1)).alias("events"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
+    log = spark.read.schema("partition_key string, body string").json(out).select(
+        "partition_key", F.get_json_object("body", "$.ts").cast("bigint").alias("ts"),
+        F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    as_read = Window.partitionBy("partition_key").orderBy("_file", "_block", "_line")
+    rising = F.coalesce(F.col("ts") >= F.lag("ts").over(as_read), F.lit(True))
+    return log.withColumn("_rising", rising).groupBy("partition_key").agg(
+        F.count(F.lit(1)).alias("events"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        F.bool_and("_rising").alias("in_order"),
     )
 
 
@@ -185,13 +199,20 @@ def read_mart(spark, sf_dir):
     return layers.read_mart(spark, out, "gracegap_series", ["absence_ms", "grace_ms"]).select("absence_ms", "grace_ms", "n")
 
 
+TRIAL_CANDIDATES = ["relay", "host", ""]
+
+
 def trial_files(spark, sf_dir):
-    """Orders as trial exports; the KPI block is nested for some and the whole body for others."""
+    """Orders as trial exports; the KPI block is nested for some, with two links, and the whole body for others."""
     block = F.struct(
         (F.floor("o_totalprice") % 900 - 20).alias("setupMedianMs"), (F.col("o_custkey") % 101).alias("iceSuccessPct"),
         (F.col("o_custkey") % 3).alias("glareTotal"),
     )
-    nested = F.to_json(F.struct(block.alias("kpis")))
+    link = lambda k: F.struct(
+        F.lit(k).alias("index"), (F.col("o_orderkey") * k % 700 - 5).alias("setupMs"), (F.col("o_custkey") * k % 90 - 2).alias("rttMs"),
+        F.element_at(F.array(*[F.lit(c) for c in TRIAL_CANDIDATES]), (F.col("o_custkey") % 3 + 1).cast("int")).alias("candidateType"),
+    )
+    nested = F.to_json(F.struct(block.alias("kpis"), F.array(link(1), link(2)).alias("links")))
     tag = F.when(F.col("o_orderstatus") == "F", "cellular-relay").when(F.col("o_orderstatus") == "O", "homeNAT-direct").otherwise("office")
     return T.table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderpriority") == "1-URGENT", F.to_json(block)).otherwise(nested).alias("payload"),
@@ -203,11 +224,20 @@ T.SQL["trial"] = """SELECT 'wsn-voice-' || cond || '-trial' || o_orderkey || '.j
   CAST(floor(o_totalprice) AS BIGINT) % 900 - 20 AS setup, o_custkey % 101 AS ice, o_custkey % 3 AS glare FROM (SELECT *,
   CASE o_orderstatus WHEN 'F' THEN 'cellular-relay' WHEN 'O' THEN 'homeNAT-direct' ELSE 'office' END AS cond FROM orders)"""
 
+T.SQL["trial_link"] = """SELECT cond, o_orderkey * k % 700 - 5 AS setup_ms, o_custkey * k % 90 - 2 AS rtt_ms,
+  ['relay', 'host', ''][CAST(o_custkey % 3 + 1 AS INTEGER)] AS candidate_type FROM (SELECT *,
+  CASE o_orderstatus WHEN 'F' THEN 'cellular-relay' WHEN 'O' THEN 'homeNAT-direct' ELSE 'office' END AS cond FROM orders), (VALUES (1), (2)) AS two(k)
+  WHERE o_orderpriority <> '1-URGENT'"""
+
+
+def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.parse_trials(trial_files(spark, sf_dir))
+
 
 @query("read_trial_exports", T.with_sql("trial", body="""SELECT source_file, cond AS condition, setup::DOUBLE AS setup_ms,
   ice::DOUBLE AS ice_pct, glare::INTEGER AS glare FROM trial"""))
 def read_trial_exports(spark, sf_dir):
-    return exports.parse_trials(trial_files(spark, sf_dir)).select(
+    return trials(spark, sf_dir).select(
         "source_file", "condition", F.col("kpis.setupMedianMs").alias("setup_ms"),
         F.col("kpis.iceSuccessPct").alias("ice_pct"), F.col("kpis.glareTotal").alias("glare"),
     )

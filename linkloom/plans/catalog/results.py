@@ -9,8 +9,7 @@ from linkloom.functions import scalars as S
 from linkloom.operators import marts, meshes, parity, reshape
 from linkloom.plans import stand_ins as T
 from linkloom.plans.catalog import query, shapes
-from linkloom.plans.catalog.ingest import trial_files
-from linkloom.sources import exports
+from linkloom.plans.catalog.ingest import trials
 
 with_sql = T.with_sql
 
@@ -109,10 +108,14 @@ def conditions(spark, sf_dir):
 query("realnet_conditions", with_sql(*LINKS, body=REALNET))(conditions)
 query("path_from_links", with_sql(*LINKS, body=f"SELECT condition, path FROM ({REALNET})"))(
     lambda spark, sf_dir: marts.path_from_links(shapes.link_fact(spark, sf_dir)))
-query("realnet_link_timing", with_sql(*LINKS, body=f"SELECT condition, links, setup_median_ms_raw, rtt_median_ms_raw FROM ({REALNET})"))(
-    lambda spark, sf_dir: marts.realnet_link_timing(shapes.link_fact(spark, sf_dir)))
-query("candidate_mix", with_sql(*LINKS, body="""SELECT cond AS condition, coalesce(nullif(candidate_type, ''), '?') AS candidate_type, count(*) AS links
-  FROM links WHERE link_index IS NOT NULL GROUP BY ALL"""))(lambda spark, sf_dir: marts.candidate_mix(shapes.link_fact(spark, sf_dir)))
+ALL_LINKS = """(SELECT cond, setup_ms, rtt_ms, candidate_type FROM links WHERE link_index IS NOT NULL
+  UNION ALL SELECT cond, setup_ms, rtt_ms, candidate_type FROM trial_link)"""
+query("realnet_link_timing", with_sql(*LINKS, "trial_link", body=f"""SELECT cond AS condition, count(CASE WHEN setup_ms >= 0 THEN 1 END) AS links,
+  quantile_cont(CASE WHEN setup_ms >= 0 THEN setup_ms END, 0.5) AS setup_median_ms_raw,
+  quantile_cont(CASE WHEN rtt_ms >= 0 THEN rtt_ms END, 0.5) AS rtt_median_ms_raw FROM {ALL_LINKS} GROUP BY cond"""))(
+    lambda spark, sf_dir: marts.realnet_link_timing(shapes.link_fact(spark, sf_dir), trials(spark, sf_dir)))
+query("candidate_mix", with_sql(*LINKS, "trial_link", body=f"""SELECT cond AS condition, coalesce(nullif(candidate_type, ''), '?') AS candidate_type,
+  count(*) AS links FROM {ALL_LINKS} GROUP BY ALL"""))(lambda spark, sf_dir: marts.candidate_mix(shapes.link_fact(spark, sf_dir), trials(spark, sf_dir)))
 
 BLOCKS = """SELECT cond, setup, k AS ice, k % 2 * 100 AS relay, k - 10 AS lat, k % 3 AS glare FROM newest
   UNION ALL SELECT cond, setup, ice, NULL, NULL, glare FROM trial"""
@@ -123,8 +126,7 @@ BLOCKS = """SELECT cond, setup, k AS ice, k % 2 * 100 AS relay, k - 10 AS lat, k
   round(avg(CASE WHEN relay >= 0 THEN relay END)) AS relay_pct, round(avg(CASE WHEN lat >= 0 THEN lat END), 6) AS m2e_ms_raw,
   sum(glare)::BIGINT AS kpi_glare_total FROM ({BLOCKS}) GROUP BY 1"""))
 def realnet_session_kpis(spark, sf_dir):
-    trials = exports.parse_trials(trial_files(spark, sf_dir))
-    got = marts.realnet_session_kpis(shapes.stream(spark, sf_dir), trials)
+    got = marts.realnet_session_kpis(shapes.stream(spark, sf_dir), trials(spark, sf_dir))
     return rounded(got, "m2e_ms_raw").select(
         "condition", "n", "setup_median_ms_raw", "ice_success_pct", "relay_pct", "m2e_ms_raw", "kpi_glare_total")
 
@@ -132,8 +134,7 @@ def realnet_session_kpis(spark, sf_dir):
 @query("union_realnet_sources", with_sql("ev", "rep", "newest", "trial", body=f"""SELECT cond AS condition, CAST(setup AS DOUBLE) AS setup_ms,
   CAST(ice AS DOUBLE) AS ice_pct FROM ({BLOCKS})"""))
 def union_realnet_sources(spark, sf_dir):
-    trials = exports.parse_trials(trial_files(spark, sf_dir))
-    both = marts.union_realnet_sources(reshape.parsed_reports(shapes.stream(spark, sf_dir)), trials)
+    both = marts.union_realnet_sources(reshape.parsed_reports(shapes.stream(spark, sf_dir)), trials(spark, sf_dir))
     return both.select("condition", F.col("kpis.setupMedianMs").alias("setup_ms"), F.col("kpis.iceSuccessPct").alias("ice_pct"))
 
 

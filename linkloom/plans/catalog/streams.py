@@ -13,10 +13,10 @@ with_sql = T.with_sql
 
 
 def arriving(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """A frame as a stream of its files."""
+    """A frame as a stream of its files, a bounded number of them per micro-batch."""
     folder = ingest.scratch(spark)
     df.write.parquet(folder)
-    return spark.readStream.schema(df.schema).parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 64).parquet(folder)
 
 
 def settled(stream: DataFrame) -> DataFrame:

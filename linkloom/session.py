@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import pathlib
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +29,7 @@ def local_session(app: str = "linkloom", cores: str = "*", **conf: str) -> Spark
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
@@ -34,6 +38,29 @@ def local_session(app: str = "linkloom", cores: str = "*", **conf: str) -> Spark
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per session; without it their Python workers cannot load it.
+
+    The archive holds source files only and lies in the shared folder, so nothing needs to
+    be installed on the cluster and a query may be started from any folder.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_linkloom_shipped", False):
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    use_checkpoints(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(context.getCheckpointDir() + "/linkloom.zip")
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(packed.getvalue())
+    out.close()
+    context.addPyFile(path.toString())
+    context._linkloom_shipped = True
+
+
 def hot_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
 

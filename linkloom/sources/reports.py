@@ -34,6 +34,10 @@ def probe_json_paths(df: DataFrame, paths: dict[str, str], column: str = "payloa
     return df.withColumns({**found, **deep}).drop("_probe")
 
 
+# The key of lines that name neither a session nor a condition.
+UNKEYED = "unknown"
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with the position that orders them: file, block, row inside the block.
 
@@ -92,7 +96,7 @@ def frame_events(df: DataFrame) -> DataFrame:
     probed = probe_json_paths(skip_blank_lines(df), {"sid": "$.sid", "cond": "$.cond", "ts": "$.ts"})
     named = lambda c: F.nullif(F.col(c), F.lit(""))
     return probed.select(
-        F.coalesce(named("sid"), named("cond"), F.lit("unknown")).alias("partition_key"),
+        F.coalesce(named("sid"), named("cond"), F.lit(UNKEYED)).alias("partition_key"),
         F.trim("payload").alias("body"),
         F.coalesce(F.col("ts").try_cast("bigint"), F.lit(0)).alias("ts"),
     )
@@ -116,11 +120,13 @@ def publish_keyed_events(
 
     Files read in order across tasks. A topic does not: it keeps the order in which
     a key's events arrive, so there one task sends all of a key, streaming its
-    sorted rows without holding them.
+    sorted rows without holding them. Lines without a key have no order to keep and
+    are sent from everywhere.
     """
     writer_options = options or {}
     if sink == "kafka":
-        ordered = events.repartition("partition_key").sortWithinPartitions("partition_key", "ts")
+        loose = F.when(F.col("partition_key") == UNKEYED, F.xxhash64("body"))
+        ordered = events.repartition("partition_key", loose).sortWithinPartitions("partition_key", "ts")
         message = ordered.selectExpr("partition_key AS key", "body AS value")
         message.write.format("kafka").options(**writer_options).save()
     else:

@@ -11,16 +11,16 @@ import json
 import math
 from collections import namedtuple
 from collections.abc import Iterator
-from operator import attrgetter
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from linkloom.functions.sensing import Reporter, Sample, Thresholds
-from linkloom.operators.states import node_columns
+from linkloom.functions.sensing import Heard, Thresholds
+from linkloom.operators.states import node_columns, track_of
 
 
 class Machine:
@@ -35,20 +35,23 @@ class Machine:
     def step(self, row: Any) -> list[tuple]:
         raise NotImplementedError
 
+    def walk(self, rows: pd.DataFrame) -> list[tuple]:
+        """All that a key's ordered rows emit."""
+        Row = namedtuple("Row", rows.columns)
+        return [said for row in map(Row._make, zip(*(rows[c].tolist() for c in rows.columns))) for said in self.step(row)]
+
 
 def run_machine(
     df: DataFrame, keys: list[str], order: list[str], make: type[Machine], emits: str
 ) -> DataFrame:
     """Feed each key's rows to its machine; the output is the keys plus what it emits."""
     schema = StructType([df.schema[k] for k in keys] + StructType.fromDDL(emits).fields)
-    names, fields = schema.names, df.columns
-    Row = namedtuple("Row", fields)
-    in_order = attrgetter(*order)
+    names = schema.names
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
-        rows = [Row(*v) for b in batches for v in zip(*(b[f].tolist() for f in fields))]
+        rows = pd.concat(list(batches), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
         machine = make(json.loads(state.get[0]) if state.exists else None)
-        out = [key + said for row in sorted(rows, key=in_order) for said in machine.step(row)]
+        out = [key + said for said in machine.walk(rows)]
         state.update((json.dumps(machine.memory),))
         if out:
             yield pd.DataFrame(out, columns=names)
@@ -119,27 +122,35 @@ def stream_vad_edges(
 
 def suppression_machine(limits: Thresholds) -> type[Machine]:
     class Suppression(Machine):
-        def fresh(self):
-            return {"at": 0, "pos": None, "links": []}
+        """Keeps what the sink last heard; a micro-batch of samples is searched at once."""
 
-        def step(self, row):
-            m = self.memory
-            node = Reporter(limits, m["at"], m["pos"], {link[0]: link for link in m["links"]})
-            links = zip(row.link_index, row.link_state, row.link_rttMs, row.link_lossPct)
-            sample = Sample.of(row.t_ms, row.forced_kind, row.x, row.y, links)
-            kind, note = node.step(sample)
-            m.update(at=node.reported_at, pos=node.pos, links=[plain(link) for link in node.links.values()])
-            return [(sample.t, kind, note, kind is None)]
-
-    def plain(link) -> list:
-        return [v.item() if hasattr(v, "item") else v for v in link]
+        def fresh(self):
+            return {"t": 0, "place": None, "links": [[], [], [], []]}
+
+        def walk(self, rows):
+            m, said = self.memory, {}
+            peer, state, rtt, loss = m["links"]
+            known = Heard(
+                m["t"], *(m["place"] or (math.nan, math.nan)), np.array(peer, np.int64), np.array(state, object), np.array(rtt, float), np.array(loss, float)
+            )
+            for at, kind, note, known in track_of(rows).reports(known, 0, len(rows), limits):
+                said[at] = kind, note
+            place = None if math.isnan(known.x) else (known.x, known.y)
+            m.update(t=known.t, place=place, links=[c.tolist() for c in (known.peer, known.state, known.rtt, known.loss)])
+            verdicts = [said.get(k, (None, "")) for k in range(len(rows))]
+            return [(int(t), kind, note, kind is None) for t, (kind, note) in zip(rows["t_ms"], verdicts, strict=True)]
 
     return Suppression
 
 
-def stream_event_suppression(samples: DataFrame, limits: Thresholds | None = None) -> DataFrame:
+def stream_event_suppression(
+    samples: DataFrame, limits: Thresholds | None = None, order: list[str] | None = None
+) -> DataFrame:
+    """Streaming ``event_suppression``; ``order`` tells samples of one millisecond apart, as there."""
     emits = "t_ms bigint, kind string, note string, suppressed boolean"
-    return run_machine(node_columns(samples), ["session"], ["t_ms"], suppression_machine(limits or Thresholds()), emits)
+    columns = node_columns(samples, order)
+    machine = suppression_machine(limits or Thresholds())
+    return run_machine(columns, ["session"], ["t_ms", *(order or []), "_content"], machine, emits)
 
 
 def grace_machine(w_ms: int) -> type[Machine]:

@@ -1,11 +1,12 @@
 """Ordered history, lifecycles, machines: plain way, chunked way and stream must agree."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.functions.sensing import Reporter, Sample
+from linkloom.functions.sensing import Heard, Thresholds, Track
 from linkloom.operators import marts, meshes, signals, states
 from linkloom.session import HOT_ROWS_CONF
 from linkloom.streaming import machines
@@ -237,9 +238,10 @@ def reading(index=1, state="connected", rtt=40.0, loss=0.0):
     ((0, 0), [reading(2)], "topology"), ((0, 0), [reading(state="failed")], "link"),
     ((0, 0), [reading(rtt=90.0)], "link"), ((0, 0), [reading(rtt=48.0)], None), ((0, 0), [reading(loss=3.0)], "link")])
 def test_event_rules(pos, links, kind):
-    node = Reporter()
-    assert node.step(Sample.of(50_000, None, 0, 0, [reading()])) == ("move", "first position fix")
-    assert node.step(Sample.of(52_000, None, *pos, links))[0] == kind
+    samples = [(50_000, None, 0, 0, [reading()]), (52_000, None, *pos, links)]
+    track = Track(*(list(c) for c in zip(*(d[:4] for d in samples))), *([[r[k] for r in d[4]] for d in samples] for k in range(4)))
+    said = {at: (why, note) for at, why, note, _ in track.reports(Heard(), 0, 2, Thresholds())}
+    assert said[0] == ("move", "first position fix") and said.get(1, (None,))[0] == kind
 
 
 def node_rows(seed=11, sessions=2, n=300):
@@ -258,12 +260,43 @@ def node_rows(seed=11, sessions=2, n=300):
     return data
 
 
+def cause(known, t, forced, pos, links):
+    """The rules for one sample, as a list of those that apply; the first one counts."""
+    told, found = known["links"], []
+    if forced:
+        found.append((forced, ""))
+    if pos and not known["pos"]:
+        found.append(("move", "first position fix"))
+    elif pos and math.dist(pos, known["pos"]) >= 6:
+        found.append(("move", f"moved {math.floor(math.dist(pos, known['pos']) + 0.5)} tiles"))
+    if len(links) != len(told):
+        found.append(("topology", f"{len(told)} → {len(links)} neighbors"))
+    for peer, state, rtt, loss in links:
+        if peer not in told:
+            found.append(("topology", f"peer {peer} replaced a neighbor"))
+            continue
+        was = told[peer]
+        if state != was[1]:
+            found.append(("link", f"peer {peer} {was[1]} → {state}"))
+        if min(rtt, was[2]) >= 0 and abs(rtt - was[2]) >= max(20, was[2] / 2):
+            found.append(("link", f"peer {peer} RTT {was[2]:g} → {rtt:g} ms"))
+        if min(loss, was[3]) >= 0 and loss - was[3] >= 2:
+            found.append(("link", f"peer {peer} loss {was[3]:g} → {loss:g}%"))
+    if t - known["t"] >= 30_000:
+        found.append(("heartbeat", ""))
+    return found[0] if found else (None, "")
+
+
 def suppress_by_hand(data):
     out = []
     for s in sorted({d[0] for d in data}):
-        node = Reporter()
+        known = {"t": 0, "pos": None, "links": {}}
         for _, t, forced, x, y, links in sorted((d for d in data if d[0] == s), key=lambda d: d[1]):
-            kind, note = node.step(Sample.of(t, forced, x, y, links))
+            pos = None if x is None or y is None else (x, y)
+            kind, note = cause(known, t, forced, pos, links)
+            if kind:
+                asleep = kind == "node-sleep"
+                known = {"t": t, "pos": None if asleep else pos, "links": {} if asleep else {r[0]: r for r in links}}
             out.append((s, t, kind, note, kind is None))
     return sorted(out, key=repr)
 
@@ -283,6 +316,40 @@ def test_suppression(spark, cut):
     assert states.session_reset(got).count() > 0 and states.heartbeat_due(got).count() > 0
 
 
+def tied_rows():
+    """Samples in pairs of one millisecond, some of them alike, and a start without any report."""
+    rng, data = random.Random(4), []
+    quiet = [(0, t, None, None, None, []) for t in range(0, 3000, 100)]
+    for k, row in enumerate(node_rows(seed=21, sessions=2, n=200)):
+        data.append((row[0] + 1, row[1] // 4000 * 4000, *row[2:]))
+        if k % 9 == 0:
+            data.append(data[-1])
+        if rng.random() < 0.05:
+            data.append((*data[-1][:2], "link", *data[-1][3:]))
+    return quiet + data
+
+
+def test_suppression_does_not_depend_on_size_or_order_of_arrival(spark, tmp_path):
+    data = tied_rows()
+    assert len({d[:2] for d in data}) < 0.7 * len(data)
+    plain = rows(states.event_suppression(spark.createDataFrame(data, NODE), limit=10**6))
+    for cut in (200, 40, 7, 2):
+        for turned in (data, data[::-1]):
+            assert rows(states.event_suppression(spark.createDataFrame(turned, NODE), limit=cut)) == plain
+    # a stream cuts ties between micro-batches, so there the order of arrival has to be given
+    df = spark.createDataFrame([(*d, k) for k, d in enumerate(data)], NODE + ", seq int")
+    streamed = machines.stream_event_suppression(stream_of(spark, tmp_path, df, ["t_ms", "seq"]), order=["seq"])
+    assert rows(drain(streamed, "tied")) == rows(states.event_suppression(df, order=["seq"], limit=40))
+
+
+def test_order_of_arrival_decides_ties(spark):
+    data = [(1, 50_000, None, 0, 0, [], 1), (1, 50_000, None, 30, 0, [], 2), (1, 50_000, None, 0, 0, [], 3)]
+    got = states.event_suppression(spark.createDataFrame(data, NODE + ", seq int"), order=["seq"])
+    assert sorted(r.note for r in got.collect()) == ["first position fix", "moved 30 tiles", "moved 30 tiles"]
+    got = states.event_suppression(spark.createDataFrame([(*d[:6], -d[6] if d[6] == 2 else d[6]) for d in data], NODE + ", seq int"), order=["seq"])
+    assert sorted(str(r.note) for r in got.collect()) == ["", "first position fix", "moved 30 tiles"]
+
+
 # Meshes
 
 
