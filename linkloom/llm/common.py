@@ -107,7 +107,7 @@ class _Hashes(dict):
     """Word -> 64-bit hash, kept per worker; emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= 300_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

@@ -55,7 +55,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query("op2_hyperminhash")
+@query(
+    "op2_hyperminhash",
+    r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+    ),
+    s AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS shingle FROM w
+    ),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+    reach(x, y) AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+    top AS (SELECT x AS doc_id, min(least(x, y)) AS top FROM reach GROUP BY x)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(top, doc_id) AS component_id, coalesce(top, doc_id) = doc_id AS kept
+    FROM w LEFT JOIN n USING (doc_id) LEFT JOIN top USING (doc_id)
+    """,
+)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_groups(table(spark, sf_dir, "documents"), hyperminhash.Rule(words=3, percent=85))
 
