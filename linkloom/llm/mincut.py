@@ -50,11 +50,16 @@ STICKY = frozenset({"nav", "footer", "aside", "form", "menu", "dialog"})
 ROLES = {"navigation": -6.0, "banner": -5.0, "contentinfo": -6.0, "complementary": -6.0, "search": -6.0, "form": -6.0, "dialog": -6.0,
          "alert": -5.0, "menu": -6.0, "menubar": -6.0, "main": 4.0, "article": 4.0}
 NEGATIVE = re.compile(
-    r"(?:^|[-_ ])(?:nav|navbar|navigation|menu|menus|sidebar|side|footer|foot|header|masthead|banner|ad|ads|adv|advert|adverts|advertisement|promo|"
+    r"(?<!has[-_])(?<!with[-_])(?<!no[-_])(?:^|(?<=[-_ ]))(?:nav|navbar|navigation|menu|menus|sidebar|side|footer|foot|header|masthead|banner|ad|ads|adv|advert|adverts|advertisement|promo|"
     r"sponsor|sponsored|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|overlay|share|sharing|social|comment|comments|reply|replies|"
     r"respond|disqus|discussion|related|recommended|breadcrumb|breadcrumbs|subscribe|subscription|newsletter|signup|login|search|widget|widgets|"
     r"toolbar|pagination|pager|copyright|legal|disclaimer|tags|skip|hidden|form)(?=$|[-_ \d])"
 )
+# Words of it that an article standing inside does not undo.
+FIRM = frozenset(
+    "nav navbar navigation menu menus sidebar footer ad ads advert adverts advertisement promo sponsor sponsored cookie cookies consent popup modal "
+    "share sharing comment comments reply replies respond disqus related recommended newsletter widget widgets breadcrumb breadcrumbs".split()
+)
 POSITIVE = re.compile(r"(?:^|[-_ ])(?:article|content|post|entry|story|main|body|text|hentry|blog)(?=$|[-_ \d])")
 WORDING = re.compile(r"©|\ball rights reserved\b|\badvertisement\b|\bsponsored\b|\bcookies?\b|\bsign up\b|\bsubscribe\b|\blog ?in\b|\bread more\b", re.I)
 
@@ -77,9 +82,13 @@ def _marker(tag: str, attributes: str) -> tuple[float, bool]:
             weight += ROLES[value]
             sticky = sticky or ROLES[value] <= -6
         elif name in ("class", "id", "aria-label") and tag not in ("html", "body"):
-            if NEGATIVE.search(value):
+            bad, good = NEGATIVE.search(value), POSITIVE.search(value)
+            if bad and bad[0] == "header" and good:
+                continue  # an entry's header holds its title
+            if bad:
                 weight -= 5.0
-            elif POSITIVE.search(value):
+                sticky = sticky or bad[0] in FIRM and not good
+            elif good:
                 weight += 2.0
     return weight, sticky
 
