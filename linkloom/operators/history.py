@@ -2,11 +2,16 @@
 
 A plain window sends every row of a key to one task. ``History`` first counts
 rows per key (one narrow job, map-side combined). If no key is hot it uses plain
-windows, which share one shuffle. If one is, the rows are range partitioned on
-(key, order) so that a hot key spreads over many chunks, and every result is
-computed inside the chunk and completed with a carry from the chunks before it.
-A carry exists only where a key straddles a chunk border, so the carry table has
-at most one row per chunk and is safe to broadcast. Both ways give equal results.
+windows, which share one shuffle. If one is, the rows of hot keys are range
+partitioned on (key, order) so that each spreads over many chunks, and every result
+is computed inside the chunk and completed with a carry from the chunks before it;
+rows of cold keys stay as they are, one chunk a key. A carry exists only where a key
+straddles a chunk border, so the carry table has at most one row per chunk; it is
+broadcast after it was counted. Both ways give equal results.
+
+Rows that agree in their order are put in the order of their content (a hash of all
+columns but maps), so results do not depend on the order of arrival. Callers whose
+ties have a meaning name a sequence of arrival in ``order``.
 """
 
 from __future__ import annotations
@@ -16,11 +21,21 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 from pyspark.sql.window import Window
 
 from linkloom import session as settings
 
 CHUNK = "_chunk"
+TIE = "_tie"
+# Chunks per core of the cluster at most, so that a driver can keep track of them.
+CHUNKS_PER_CORE = 100
+
+
+def _holds_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return _holds_map(kind.elementType) if isinstance(kind, ArrayType) else isinstance(kind, MapType)
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str = "") -> Column:
@@ -59,7 +74,8 @@ def chunked_by_range(df: DataFrame, keys: list[str], order: list[str], limit: in
     checkpoint before anything depends on it.
     """
     rows = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    parts = max(2, math.ceil(rows / limit))
+    most = CHUNKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
+    parts = max(2, min(math.ceil(rows / limit), most))
     ranged = df.repartitionByRange(parts, *keys, *order)
     return settled(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
@@ -98,7 +114,7 @@ def join_hot_safe(
         return big.join(small, keys, how)
     limit = limit or settings.hot_rows(big.sparkSession)
     hot = oversized_keys(big, keys, limit).select(*[F.col(k).alias("_h_" + k) for k in keys])
-    hot = F.broadcast(settled(hot))
+    hot = broadcast_if_small(settled(hot))
     hot_big = big.join(hot, same_keys(big, hot, keys, "_h_"), "left_semi")
     hot_small = small.join(hot, same_keys(small, hot, keys, "_h_"), "left_semi")
     cold_big = big.join(hot, same_keys(big, hot, keys, "_h_"), "left_anti")
@@ -119,12 +135,18 @@ class History:
         hot: bool | None = None,
     ):
         """``hot`` skips the count where the answer is known already."""
-        self.keys, self.order = list(keys), list(order)
+        self.keys, self.order = list(keys), [*order, TIE]
         limit = limit or settings.hot_rows(df.sparkSession)
         if hot is None:
             hot = has_hot_keys(df, self.keys, limit)
+        df = df.withColumn(TIE, F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not _holds_map(f.dataType)]))
         if hot:
-            df = chunked_by_range(df, self.keys, self.order, limit)
+            large = oversized_keys(df, self.keys, limit).select(*[F.col(k).alias("_h_" + k) for k in self.keys])
+            large = broadcast_if_small(settled(large))
+            among = same_keys(df, large, self.keys, "_h_")
+            hot_rows = chunked_by_range(df.join(large, among, "left_semi"), self.keys, self.order, limit)
+            cold_rows = df.join(large, among, "left_anti").withColumn(CHUNK, F.lit(-1))
+            df = cold_rows.unionByName(hot_rows)
         self.df = df
 
     @property
@@ -147,7 +169,7 @@ class History:
         return self._over(self.df.where(condition))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(CHUNK)
+        return self.df.drop(CHUNK, TIE)
 
     def _window(self):
         parts = self.keys + ([CHUNK] if self.chunked else [])
@@ -158,7 +180,7 @@ class History:
         known = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in carries])
         carry = totals.withColumns(carries).where(known)
         border = self.keys + [CHUNK]
-        carry = F.broadcast(
+        carry = broadcast_if_small(
             carry.select(*[F.col(k).alias("_b_" + k) for k in border], *carries)
         )
         joined = self.df.join(carry, same_keys(self.df, carry, border, "_b_"), "left")
@@ -251,7 +273,7 @@ def first_at_or_after(
     """
     line = left.select(
         *keys, (-F.col(left_time)).alias("_back"), F.lit(1).alias("_side"),
-        F.lit(None).cast("bigint").alias("_hit"), F.struct(*left.columns).alias("_row"),
+        F.lit(None).cast("bigint").alias("_hit"), *[F.col(c).alias("_l_" + c) for c in left.columns],
     ).unionByName(
         right.select(
             *keys, (-F.col(right_time)).alias("_back"), F.lit(0).alias("_side"),
@@ -260,4 +282,4 @@ def first_at_or_after(
         allowMissingColumns=True,
     )
     found = History(line, keys, ["_back", "_side"], limit, hot).running(**{name: ("last", F.col("_hit"))})
-    return found.rows().where(F.col("_side") == 1).select("_row.*", name)
+    return found.rows().where(F.col("_side") == 1).select(*[F.col("_l_" + c).alias(c) for c in left.columns], name)

@@ -18,8 +18,8 @@ def stream_land(
 
     ``arrived`` is the time of the micro-batch, which is logged and so the same
     after a restart. It only grows: no line is ever late, whatever its own clock or
-    its file's says. A stream cannot number rows, so the lines of one block share
-    their place.
+    its file's says. A stream cannot number rows, so the lines of one block are placed
+    by their text: of reports with equal times the same one always wins.
     """
     lines = spark.readStream.option("maxFilesPerTrigger", max_files).text(folder)
     placed = lines.select(
@@ -28,7 +28,7 @@ def stream_land(
         F.struct(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
-            F.lit(0).cast("bigint").alias("row"),
+            F.xxhash64("value").alias("row"),
         ).alias("line"),
         F.current_timestamp().alias("arrived"),
     )

@@ -49,6 +49,20 @@ def test_running_is_equal_across_chunks(rows):
     assert plain == chunked
 
 
+def test_ties_do_not_depend_on_arrival_or_chunks(spark):
+    rng = random.Random(9)
+    data = [(k, t // 4, rng.randint(0, 9)) for k in ("hot", "hot", "a") for t in range(60)]
+    build = lambda h: h.previous(pv=F.col("v")).running(s=("sum", F.col("v")), seen=("last", F.col("v"), False))
+    out = [plain_and_chunked(spark.createDataFrame(some, "k string, t int, v int").repartition(3), build) for some in (data, data[::-1])]
+    assert out[0][0] == out[0][1] == out[1][0] == out[1][1]
+
+
+def test_only_hot_keys_are_chunked(spark):
+    data = [("hot", t) for t in range(50)] + [(k, t) for k in ("a", None) for t in range(9)]
+    chunks = History(spark.createDataFrame(data, "k string, t int"), ["k"], ["t"], limit=13).df.select("k", "_chunk").distinct().collect()
+    assert {r._chunk for r in chunks if r.k != "hot"} == {-1} and sum(r.k == "hot" for r in chunks) >= 4
+
+
 @pytest.mark.parametrize("limit", [10**6, 5])
 def test_first_at_or_after(spark, limit):
     left = spark.createDataFrame([("a", 5), ("a", 6), ("a", 99), ("b", 1)], "k string, at int")
