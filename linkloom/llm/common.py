@@ -103,22 +103,9 @@ def partitions_for(spark: SparkSession, minimum: int = 1) -> int:
     return max(minimum, int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
-class _Hashes(dict):
-    """Word -> 64-bit hash, kept per worker; emptied when full."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _Hashes()
-
-
 def hashes(found: list[bytes]) -> np.ndarray:
     """64-bit hashes of words; two of n different words share one with a chance below n^2 / 2^65."""
-    return np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
 
 
 def mix(values: np.ndarray) -> np.ndarray:
