@@ -163,7 +163,7 @@ def references(docs: DataFrame, common_words: int = COMMON_WORDS, word_share: fl
                 held -= len(counter)
                 counter.update(found)
                 held += len(counter)
-                if held > 500_000:
+                if held > 150_000:
                     for name, words in seen.items():
                         yield words_of(name, words)
                     seen.clear()

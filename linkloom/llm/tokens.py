@@ -20,7 +20,7 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 # Distinct words a worker keeps; the table is emptied when full, so its memory is bounded.
-MAX_WORDS = 400_000
+MAX_WORDS = 200_000
 
 
 class Words(dict):
