@@ -30,7 +30,7 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 # Distinct parts a worker keeps; emptied when full.
-MAX_PARTS = 300_000
+MAX_PARTS = 500_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
