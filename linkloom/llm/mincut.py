@@ -25,22 +25,38 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Elements whose content is never text of the page.
-RAW = "script|style|title|template|noscript|iframe|object|svg|math|select|textarea|button|audio|video|canvas"
-INLINE = frozenset(
+# Elements whose content is never text of the page: those read as raw text up to their closing tag or the page's end,
+# and ordinary ones, which end with their parent, and before the next block if they have no closing tag.
+RAW = "script|style|title|noscript|iframe|textarea"
+SKIPPED = frozenset("template object svg select button audio video canvas".split())
+MATH = frozenset(
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub msup msubsup munder mover "
+    "munderover mmultiscripts mprescripts none mtable mtr mlabeledtr mtd maction semantics annotation annotation-xml".split()
+)
+INLINE = MATH | frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr br".split()
 )
+# Opening tags that end an svg around them, and a skipped element without a closing tag.
+BLOCKS = frozenset(
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hr li main menu nav ol p pre section table tbody td tfoot th thead tr ul".split()
+)
+# Parts of an svg that hold other markup.
+EMBEDDING = frozenset("foreignobject desc title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # An opening tag that ends an open one of the second set, unless one of the third stands between.
 ENDS_BY = {"li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)),
            "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ())}
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])([^>]*)>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+>|[^>]*>)|<[!?/][^>]*>|<[a-zA-Z/!?][^>]*\Z""",
     re.S | re.I,
 )
+_SKIPPED_TAG = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])|\Z)|<(/?)({'|'.join(sorted(SKIPPED))})(?=[\s/>])", re.S | re.I
+)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""", re.I)
 
 # Weights of ancestors. Those in STICKY hold for all that stands inside them.
@@ -111,8 +127,12 @@ class _Reader:
         self.parts: list[str] = []
         self.linked = 0
         self.links = 0
+        # place of the outermost open skipped element in the stack, and whether it has a closing tag
+        self.skipped, self.closed = 0, False
 
     def text(self, raw: str) -> None:
+        if self.skipped:
+            return
         if self.links:
             self.linked += len(raw) - raw.count(" ")
         self.parts.append(raw)
@@ -142,7 +162,32 @@ class _Reader:
             cost -= 2.0 if len(words) < 30 else 0.3
         self.blocks.append(Block(text, cost, tuple(e[1] for e in chain)))
 
+    def in_svg(self) -> bool:
+        """Whether the place is inside an svg, and not in a part of it that holds other markup."""
+        for e in reversed(self.stack[self.skipped:] if self.skipped else []):
+            if e[0] == "svg" or e[0] in EMBEDDING:
+                return e[0] == "svg"
+        return False
+
+    def skip(self, tag: str, attributes: str, closed: bool) -> None:
+        """Open a skipped element."""
+        if attributes.endswith("/") and (tag == "svg" or not closed):
+            return
+        if tag in ("button", "select"):
+            self.close_to([tag], ())
+        self.skipped, self.closed = len(self.stack), closed
+        self.stack.append((tag, 0, 0.0, False))
+
     def open(self, tag: str, attributes: str) -> None:
+        if self.skipped and tag in BLOCKS and (not self.closed or self.stack[self.skipped][0] == "svg" and self.in_svg()):
+            self.drop(self.skipped)
+        if self.skipped:
+            if tag not in VOID and not attributes.endswith("/"):
+                self.links += tag == "a"
+                self.stack.append((tag, 0, 0.0, False))
+            return
+        if tag in MATH and attributes.endswith("/"):
+            return
         if tag == "br":
             self.parts.append(" ")
             return
@@ -177,6 +222,14 @@ class _Reader:
                 return
 
     def close(self, tag: str) -> None:
+        if self.skipped:
+            for k in range(len(self.stack) - 1, self.skipped - 1, -1):
+                if self.stack[k][0] == tag:
+                    self.drop(k)
+                    return
+            if tag in INLINE and self.closed or all(e[0] != tag for e in self.stack[:self.skipped]):
+                return
+            self.drop(self.skipped)
         if tag not in INLINE:
             self.flush()
         for k in range(len(self.stack) - 1, 0, -1):
@@ -189,23 +242,46 @@ class _Reader:
     def drop(self, k: int) -> None:
         self.links -= sum(e[0] == "a" for e in self.stack[k:])
         del self.stack[k:]
+        if k <= self.skipped:
+            self.skipped = 0
+
+
+def _closed(html: str) -> set[int]:
+    """Places of the skipped elements' opening tags that have a closing tag of their own."""
+    waiting: dict[str, list[int]] = {tag: [] for tag in SKIPPED}
+    found = set()
+    for tag in _SKIPPED_TAG.finditer(html):
+        if tag[3]:
+            same = waiting[tag[3].lower()]
+            if not tag[2]:
+                same.append(tag.start())
+            elif same:
+                found.add(same.pop())
+    return found
 
 
 def blocks(html: str) -> list[Block]:
     reader, at = _Reader(), 0
-    for found in _TOKEN.finditer(html):
+    closed: set[int] | None = None
+    while found := _TOKEN.search(html, at):
         start = found.start()
         if start > at:
             reader.text(html[at:start])
         at = found.end()
-        tag = found[3]
+        tag = found[4]
         if tag is None:
+            if found[1] and found[2].endswith("/") and reader.in_svg():
+                at = found.end(2) + 1  # in an svg these end where they begin
             continue
         tag = tag.lower()
-        if found[2]:
+        if found[3]:
             reader.close(tag)
+        elif tag in SKIPPED and not reader.skipped:
+            if closed is None:
+                closed = _closed(html)
+            reader.skip(tag, found[5][:-1], start in closed)
         else:
-            attributes = found[4][:-1]
+            attributes = found[5][:-1]
             reader.open(tag, attributes)
             if attributes.endswith("/") and tag not in VOID and tag not in INLINE and reader.stack[-1][0] == tag and tag in ("div", "p", "span"):
                 reader.close(tag)

@@ -124,3 +124,25 @@ def test_labels_are_a_minimum_cut():
         edges = [(a, b, rng.randrange(1, 8)) for a, b in itertools.combinations(range(n), 2) if rng.random() < 0.5]
         best = min(cut_value(costs, edges, labels) for labels in itertools.product([False, True], repeat=n))
         assert cut_value(costs, edges, mincut.label(costs, edges)) == best
+
+
+ARTICLE = "<p>The first sentence of the article has words enough.</p><p>The second sentence ends the story here.</p>"
+SENTENCES = "The first sentence of the article has words enough.\n\nThe second sentence ends the story here."
+
+
+@pytest.mark.parametrize("before", [
+    "<video-player src=x></video-player>", "<select-menu><p></p></select-menu>", "<button-group></button-group>", "<title-bar></title-bar>",
+    "<svg viewBox='0 0 1 1'/>", "<math/>", "<svg><title/><style/><path d='M0'/></svg>", "<svg><path d='M0'>", "<button>OK", "<div><button>OK</div>", "<object data=x>",
+    "<object data=x><object data=y></object>", "<canvas/>", "<video src=x><source src=y></video>", "<select><option>One<option>Two</select>",
+    "<ul><li><button>One<li><button>Two</ul>", "<button><div>OK</div><svg><path></button>", "<svg><foreignObject><p>No</p></foreignObject></svg>",
+    "<template><div>No <template>no</template> no</div></template>", "<!-- <button> --><script>'<button>'</script>",
+])
+def test_skipped_elements_end(before):
+    for page in (f"<body>{before}<article>{ARTICLE}</article></body>", f"<body><div>{before}{ARTICLE}</div><button>OK</button></body>"):
+        assert mincut.main_text(page) == SENTENCES
+
+
+def test_inside_of_a_paragraph():
+    page = "<article><p>The value of <math><mi>x</mi><mo>=</mo><mn>1</mn></math> is <button><b>copy</b></button>shown <svg><text>no</text></svg>here<canvas/> as well.</p></article>"
+    assert mincut.main_text(page) == "The value of x=1 is shown here as well."
+    assert mincut.main_text("<article><p>Text before it.</p><textarea>All the rest <p>of the page.</p>") == "Text before it."
