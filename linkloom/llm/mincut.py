@@ -59,10 +59,11 @@ _SKIPPED_TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""", re.I)
 
-# Weights of ancestors. Those in STICKY hold for all that stands inside them.
+# Weights of ancestors. Those in STICKY hold for all that stands inside them; a form's ends at an article or main element.
 TAGS = {"article": 4.0, "main": 4.0, "nav": -6.0, "footer": -6.0, "aside": -6.0, "form": -6.0, "menu": -6.0, "dialog": -6.0,
         "header": -4.0, "fieldset": -4.0, "address": -2.0, "figcaption": 0.5}
 STICKY = frozenset({"nav", "footer", "aside", "form", "menu", "dialog"})
+SOFT_ROLES = frozenset({"search", "form", "dialog"})
 ROLES = {"navigation": -6.0, "banner": -5.0, "contentinfo": -6.0, "complementary": -6.0, "search": -6.0, "form": -6.0, "dialog": -6.0,
          "alert": -5.0, "menu": -6.0, "menubar": -6.0, "main": 4.0, "article": 4.0}
 NEGATIVE = re.compile(
@@ -71,11 +72,18 @@ NEGATIVE = re.compile(
     r"respond|disqus|discussion|related|recommended|breadcrumb|breadcrumbs|subscribe|subscription|newsletter|signup|login|search|widget|widgets|"
     r"toolbar|pagination|pager|copyright|legal|disclaimer|tags|skip|hidden|form)(?=$|[-_ \d])"
 )
-# Words of it that an article standing inside does not undo.
+# Words of it that an article standing inside does not undo, unless it is large; a main element does.
 FIRM = frozenset(
     "nav navbar navigation menu menus sidebar footer ad ads advert adverts advertisement promo sponsor sponsored cookie cookies consent popup modal "
     "share sharing comment comments reply replies respond disqus related recommended newsletter widget widgets breadcrumb breadcrumbs".split()
 )
+# Those of them that name readers' comments, which may well be most of a page.
+TALK = frozenset("comment comments reply replies respond disqus".split())
+# How far a marker holds for what stands inside, from nowhere to everywhere.
+NOT, IN_FORM, IN_WORD, IN_TALK, ALWAYS = range(5)
+# An element that holds this share of the page's unlinked text is a wrapper of the page, whatever its marker says: one around
+# a heading, article or main element, and any other. An article of the last share undoes firm words.
+WRAPPER, BARE_WRAPPER, LARGE = 0.5, 0.8, 0.25
 POSITIVE = re.compile(r"(?:^|[-_ ])(?:article|content|post|entry|story|main|body|text|hentry|blog)(?=$|[-_ \d])")
 WORDING = re.compile(r"©|\ball rights reserved\b|\badvertisement\b|\bsponsored\b|\bcookies?\b|\bsign up\b|\bsubscribe\b|\blog ?in\b|\bread more\b", re.I)
 
@@ -85,28 +93,32 @@ UNITS = 1000
 
 
 @lru_cache(maxsize=20_000)
-def _marker(tag: str, attributes: str) -> tuple[float, bool]:
-    """What an element says about the blocks inside it, and whether that holds whatever stands between."""
-    weight, sticky = TAGS.get(tag, 0.0), tag in STICKY
+def _marker(tag: str, attributes: str) -> tuple[float, int, str]:
+    """What an element says about the blocks inside it, how far that holds, and whether it is an article or main element."""
+    weight, holds, kind = TAGS.get(tag, 0.0), NOT if tag not in STICKY else IN_FORM if tag == "form" else ALWAYS, tag if tag in ("article", "main") else ""
     if "=" not in attributes and "hidden" not in attributes.lower():
-        return weight, sticky
+        return weight, holds, kind
     for name, *values, hidden in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if hidden or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return -8.0, True
+            return -8.0, ALWAYS, ""
         if name == "role" and value in ROLES:
             weight += ROLES[value]
-            sticky = sticky or ROLES[value] <= -6
+            if ROLES[value] <= -6:
+                holds = max(holds, IN_FORM if value in SOFT_ROLES else ALWAYS)
+            elif value in ("article", "main"):
+                kind = value
         elif name in ("class", "id", "aria-label") and tag not in ("html", "body"):
             bad, good = NEGATIVE.search(value), POSITIVE.search(value)
             if bad and bad[0] == "header" and good:
                 continue  # an entry's header holds its title
             if bad:
                 weight -= 5.0
-                sticky = sticky or bad[0] in FIRM and not good
+                if bad[0] in FIRM and not good:
+                    holds = max(holds, IN_TALK if bad[0] in TALK else IN_WORD)
             elif good:
                 weight += 2.0
-    return weight, sticky
+    return weight, holds, kind
 
 
 @dataclass
@@ -116,13 +128,25 @@ class Block:
     path: tuple[int, ...]
 
 
+@dataclass
+class Element:
+    parent: int
+    weight: float
+    holds: int
+    kind: str
+    always: bool  # inside of what holds everywhere
+    plain: int = 0  # characters of unlinked text
+    leads: bool = False  # holds a heading of the first level, an article or a main element
+    head: bool = False  # holds a heading of the first level or a main element
+
+
 class _Reader:
     """Collects a page's blocks, with the open elements at each."""
 
     def __init__(self):
-        # element: tag, number, weight of what encloses it and itself, sticky
-        self.stack: list[tuple[str, int, float, bool]] = [("", 0, 0.0, False)]
-        self.made = 0
+        # open elements: tag, number
+        self.stack: list[tuple[str, int]] = [("", 0)]
+        self.elements = [Element(0, 0.0, NOT, "", False)]
         self.blocks: list[Block] = []
         self.parts: list[str] = []
         self.linked = 0
@@ -149,9 +173,10 @@ class _Reader:
         text = " ".join(words)
         # the block belongs to its nearest block-level ancestor
         chain = [e for e in self.stack if e[0] not in INLINE]
-        tag, _, cost, _ = chain[-1]
-        density = min(1.0, self.linked / max(1, len(text) - len(words) + 1))
-        cost += min(2.0, 0.4 * len(words).bit_length()) - 0.3
+        tag, number = chain[-1]
+        shown = len(text) - len(words) + 1
+        density = min(1.0, self.linked / max(1, shown))
+        cost = min(2.0, 0.4 * len(words).bit_length()) - 0.3
         if density > 0.3:
             cost -= 4.0 * density
         if text[-1] in ".!?…\"”»":
@@ -161,6 +186,11 @@ class _Reader:
         if WORDING.search(text):
             cost -= 2.0 if len(words) < 30 else 0.3
         self.blocks.append(Block(text, cost, tuple(e[1] for e in chain)))
+        element = self.elements[number]
+        if not element.always:
+            element.plain += max(0, shown - self.linked)
+            element.leads = element.leads or tag == "h1"
+            element.head = element.head or tag == "h1"
 
     def in_svg(self) -> bool:
         """Whether the place is inside an svg, and not in a part of it that holds other markup."""
@@ -176,7 +206,7 @@ class _Reader:
         if tag in ("button", "select"):
             self.close_to([tag], ())
         self.skipped, self.closed = len(self.stack), closed
-        self.stack.append((tag, 0, 0.0, False))
+        self.stack.append((tag, 0))
 
     def open(self, tag: str, attributes: str) -> None:
         if self.skipped and tag in BLOCKS and (not self.closed or self.stack[self.skipped][0] == "svg" and self.in_svg()):
@@ -184,7 +214,7 @@ class _Reader:
         if self.skipped:
             if tag not in VOID and not attributes.endswith("/"):
                 self.links += tag == "a"
-                self.stack.append((tag, 0, 0.0, False))
+                self.stack.append((tag, 0))
             return
         if tag in MATH and attributes.endswith("/"):
             return
@@ -203,15 +233,38 @@ class _Reader:
                 self.close_to(["p"], ("td", "th", "li", "div", "section", "article", "body"))
         if tag == "p":
             self.close_to(["p"], ("td", "th", "li", "div", "section", "article", "body"))
-        self.made += 1
         self.links += tag == "a"
-        _, _, outer, sticky = self.stack[-1]
-        weight, holds = _marker(tag, attributes)
+        weight, holds, kind = _marker(tag, attributes)
         if tag == "header" and any(e[0] in ("article", "main") for e in self.stack):
             weight = 0.0  # an article's own header holds its title
-        # inner markers count more than outer ones, but nothing lifts a block out of a menu or a form
-        inner = 0.5 * outer + weight if weight else outer
-        self.stack.append((tag, self.made, min(inner, outer) if sticky else inner, sticky or holds))
+        parent = self.stack[-1][1]
+        self.stack.append((tag, len(self.elements)))
+        self.elements.append(Element(parent, weight, holds, kind, holds == ALWAYS or self.elements[parent].always))
+
+    def settle(self) -> list[Block]:
+        """The blocks, with what their ancestors say added to their costs, which takes the whole page's text."""
+        elements = self.elements
+        for e in reversed(elements[1:]):
+            outer = elements[e.parent]
+            if not outer.always:
+                outer.plain += e.plain
+                outer.leads = outer.leads or e.leads or e.kind != ""
+                outer.head = outer.head or e.head or e.kind == "main"
+        total = elements[0].plain
+        costs, held = [0.0], [NOT]
+        for e in elements[1:]:
+            weight, holds, outer, sticky = e.weight, e.holds, costs[e.parent], held[e.parent]
+            if NOT < holds < ALWAYS and _wraps(e, total):
+                weight, holds = max(weight, 0.0), NOT
+            if sticky < ALWAYS and (e.kind == "main" or e.kind == "article" and (sticky == IN_FORM or sticky == IN_WORD and e.plain >= LARGE * total)):
+                sticky = NOT
+            # inner markers count more than outer ones, but little lifts a block out of a menu
+            inner = 0.5 * outer + weight if weight else outer
+            costs.append(min(inner, outer) if sticky else inner)
+            held.append(max(sticky, holds))
+        for block in self.blocks:
+            block.cost += costs[block.path[-1]]
+        return self.blocks
 
     def close_to(self, tags: list[str], stops: tuple[str, ...]) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
@@ -246,6 +299,13 @@ class _Reader:
             self.skipped = 0
 
 
+def _wraps(e: Element, total: int) -> bool:
+    """Whether an element holds most of the page's text; one named after comments needs the page's heading, too."""
+    if e.holds == IN_TALK:
+        return e.head and e.plain > WRAPPER * total
+    return e.plain > (WRAPPER if e.leads else BARE_WRAPPER) * total
+
+
 def _closed(html: str) -> set[int]:
     """Places of the skipped elements' opening tags that have a closing tag of their own."""
     waiting: dict[str, list[int]] = {tag: [] for tag in SKIPPED}
@@ -288,7 +348,7 @@ def blocks(html: str) -> list[Block]:
     if at < len(html):
         reader.text(html[at:])
     reader.flush()
-    return reader.blocks
+    return reader.settle()
 
 
 def ties(found: list[Block]) -> list[tuple[int, int, int]]:

@@ -146,3 +146,29 @@ def test_inside_of_a_paragraph():
     page = "<article><p>The value of <math><mi>x</mi><mo>=</mo><mn>1</mn></math> is <button><b>copy</b></button>shown <svg><text>no</text></svg>here<canvas/> as well.</p></article>"
     assert mincut.main_text(page) == "The value of x=1 is shown here as well."
     assert mincut.main_text("<article><p>Text before it.</p><textarea>All the rest <p>of the page.</p>") == "Text before it."
+
+
+REST = "<header><h1>Site</h1></header><nav><ul><li><a href='#'>Home</a></li></ul></nav>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><form id='aspnetForm'>{REST}<article>{ARTICLE}</article></form></body>",
+    f"<body><form id='aspnetForm'>{REST}<div>{ARTICLE}</div></form></body>",
+    f"<body>{REST}<div id='page' class='layout sidebar-right'><article>{ARTICLE}</article><div class='sidebar'><p>Some words on us.</p></div></div></body>",
+    f"<body>{REST}<div class='right-sidebar'><div>{ARTICLE}</div></div><footer>Site</footer></body>",
+    f"<body>{REST}<div role='dialog'><main>{ARTICLE}</main></div><div role='search'><p>Words to look for.</p></div></body>",
+    "<body><div class='comments-open'><h1>The first sentence of the article has words enough.</h1><p>The second sentence ends the story here.</p></div></body>",
+    f"<body>{REST}<form><article>{ARTICLE}</article></form><form>{'<p>Your name and your address, please.</p>' * 5}</form></body>",
+    f"<body>{REST}<div class='widget'><article>{ARTICLE}</article></div><form>{'<p>Your name and your address, please.</p>' * 5}</form></body>",
+])
+def test_wrappers_of_the_page(page):
+    assert mincut.main_text(page) == SENTENCES
+
+
+def test_markers_of_a_part_still_hold():
+    teaser = "<article><p>Another story that is long, and has a full sentence.</p></article>"
+    talk = "<article class='comment'><p>I think this is a great article, and I say so in a sentence that is far longer than the article itself, thank you!</p></article>" * 3
+    page = f"<body>{REST}<article>{ARTICLE * 3}</article><div class='sidebar'>{teaser}</div><form><p>Your name and your address, please.</p></form></body>"
+    assert mincut.main_text(page) == "\n\n".join([SENTENCES] * 3)
+    assert mincut.main_text(f"<body>{REST}<article>{ARTICLE}</article><section id='comments'>{talk}</section></body>") == SENTENCES
+    assert mincut.main_text(f"<body><div style='display:none'><main>{ARTICLE}</main></div><aside>{teaser}</aside></body>") == ""
