@@ -51,7 +51,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces in sequences: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     definition = tokens.definition_of(public_tokenizers.path("word_bpe_49k.json"))
-    placed = packing.pack(packing.stored_pieces(docs, definition))
+    placed = packing.pack(packing.stored_pieces(docs, definition, literal=False))
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

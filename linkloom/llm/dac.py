@@ -142,12 +142,12 @@ def encode_shard(doc_ids: list[int | None], starts: list[int], ids: np.ndarray)
     return head + [part for level in levels for part in level]
 
 
-def write_shards(docs: DataFrame, definition: str, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+def write_shards(docs: DataFrame, definition: str, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS, literal: bool = True) -> DataFrame:
     """Tokenize ``docs(doc_id, text)`` and write them as shards in ascending id; returns the manifest.
 
     The range shuffle moves each text once; its range's task tokenizes, encodes and
     writes. Equal ids keep all their rows, ordered by their texts' hash; null ids
-    come first. Null texts count as empty and hold the end id alone.
+    come first. Null texts count as empty and hold the end id alone. ``literal``: see tokens.
     """
     spark = docs.sparkSession
     folder = common.shared_folder(spark, "dac")
@@ -156,7 +156,7 @@ def write_shards(docs: DataFrame, definition: str, end_id: int = END_ID, shard_t
 
     def write(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        encoder, part = tokens.encoder(definition), context.partitionId()
+        encoder, part = tokens.encoder(definition, literal), context.partitionId()
         end = np.uint32([end_id]).tobytes()
         doc_ids, starts, held, made = [], [0], [], []
 

@@ -40,11 +40,13 @@ SLACK = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def cut(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def cut(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False,
+        literal: bool = True) -> DataFrame:
     """Token pieces of ``docs(doc_id, text)``: ids and the end id, cut at ``capacity``.
 
     Null texts count as empty. Rows that repeat a doc_id are documents of their own:
     row_key tells them apart. ``with_ids`` adds the ids as little-endian uint32.
+    ``literal``: see tokens.
     """
     schema = pa.schema(
         [("row_key", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
@@ -52,7 +54,7 @@ def cut(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int
     )
 
     def encode(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.encoder(definition)
+        encoder = tokens.encoder(definition, literal)
         end = np.uint32([end_id]).tobytes()
 
         def pieces():

@@ -81,7 +81,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_addressable_codes")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    manifest = dac.write_shards(table(spark, sf_dir, "documents"), definition("byte_bpe_50k.json"))
+    manifest = dac.write_shards(table(spark, sf_dir, "documents"), definition("byte_bpe_50k.json"), literal=False)
     return dac.read_documents(manifest)
 
 
@@ -92,7 +92,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_sum_of_squares")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.stored_pieces(table(spark, sf_dir, "documents"), definition("word_bpe_49k.json"))
+    pieces = packing.stored_pieces(table(spark, sf_dir, "documents"), definition("word_bpe_49k.json"), literal=False)
     return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -6,8 +6,9 @@ after another, and words repeat. ``SpacedEncoder`` serves byte-level vocabularie
 where a word carries the space before it; texts with other white space than single
 spaces and line feeds between words are encoded whole. ``FoldedEncoder`` serves
 vocabularies that drop white space. Both give the ids of
-``tokenizer.encode(text, add_special_tokens=False)``; strings of special tokens
-count as ordinary text.
+``tokenizer.encode(text, add_special_tokens=False)``. The tokenizer takes the strings
+of its added tokens out of a text before all else, so texts with one are encoded whole;
+with ``literal`` strings of special tokens count as ordinary text instead.
 """
 
 from __future__ import annotations
@@ -47,9 +48,9 @@ class Encoder:
     #: The pre-tokenizer's pieces of a plain word, as Python's re states them.
     plain_pieces: re.Pattern
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, literal: bool = True):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
         self.normalizer, self.cut, self.model = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer, self.tokenizer.model
         self.model._resize_cache(0)  # words are kept here; the model's own cache would only cost time
         bytewise = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -59,6 +60,22 @@ class Encoder:
             for byte, letter in zip(c.encode(), bytewise.pre_tokenize_str(c)[0][0], strict=True):
                 self.spelled[byte] = letter
         self.pieces = Words(self._piece)
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if not (literal and t.special)]
+        self.added = [t.content for t in added if not t.normalized]
+        self.added_normal = [self._normal(t.content) for t in added if t.normalized]
+
+    def _normal(self, text: str) -> str:
+        return text if self.normalizer is None else self.normalizer.normalize_str(text)
+
+    def _holds_added(self, text: str) -> bool:
+        """Whether the tokenizer takes an added token out of the text."""
+        for content in self.added:
+            if content in text:
+                return True
+        if self.added_normal:
+            text = self._normal(text)
+            return any(content in text for content in self.added_normal)
+        return False
 
     def _piece(self, piece: str) -> bytes:
         ids = [token.id for token in self.model.tokenize(piece)]
@@ -80,9 +97,7 @@ class Encoder:
 
     def part(self, text: str) -> bytes:
         """Ids of a stretch of text that begins and ends at borders."""
-        if self.normalizer is not None:
-            text = self.normalizer.normalize_str(text)
-        return b"".join([self.pieces[piece] for piece, _ in self.cut.pre_tokenize_str(text)])
+        return b"".join([self.pieces[piece] for piece, _ in self.cut.pre_tokenize_str(self._normal(text))])
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -92,8 +107,8 @@ class Encoder:
 class SpacedEncoder(Encoder):
     plain_pieces = re.compile(f"{ENDINGS}| ?[{LETTERS}]+| ?[0-9]+| ?[^\\s0-9{LETTERS}]+")
 
-    def __init__(self, definition: str):
-        super().__init__(definition)
+    def __init__(self, definition: str, literal: bool = True):
+        super().__init__(definition, literal)
         self.first = Words(self.word)
         self.later = Words(lambda word: self.word(word, " "))
         self.line_feed = self.whole("\n")
@@ -101,7 +116,7 @@ class SpacedEncoder(Encoder):
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if " ".join(text.split()) != text.replace("\n", " "):
+        if self._holds_added(text) or " ".join(text.split()) != text.replace("\n", " "):
             return self.whole(text)
         out = []
         for line in text.split("\n"):
@@ -115,8 +130,8 @@ class SpacedEncoder(Encoder):
 class FoldedEncoder(Encoder):
     plain_pieces = re.compile(f"{ENDINGS}|[{LETTERS}]+|[0-9]|[^\\s0-9{LETTERS}]+")
 
-    def __init__(self, definition: str):
-        super().__init__(definition)
+    def __init__(self, definition: str, literal: bool = True):
+        super().__init__(definition, literal)
         self.known = Words(self.word)
 
     def plain(self, word: str) -> str:
@@ -125,19 +140,21 @@ class FoldedEncoder(Encoder):
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if self._holds_added(text):
+            return self.whole(text)
         return b"".join(map(self.known.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[tuple[int, bool], Encoder] = {}
 
 
-def encoder(definition: str) -> Encoder:
+def encoder(definition: str, literal: bool = True) -> Encoder:
     """The worker's encoder for a tokenizer definition (the text of its JSON file)."""
-    key = hash(definition)
+    key = hash(definition), literal
     if key not in _ENCODERS:
         cut = json.loads(definition)["pre_tokenizer"]
         spaced = cut["type"] == "ByteLevel"
-        _ENCODERS[key] = (SpacedEncoder if spaced else FoldedEncoder)(definition)
+        _ENCODERS[key] = (SpacedEncoder if spaced else FoldedEncoder)(definition, literal)
     return _ENCODERS[key]
 
 

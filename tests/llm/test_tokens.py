@@ -4,6 +4,7 @@ import random
 import struct
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -11,9 +12,9 @@ from helpers import AWKWARD, LONG, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import AddedToken, Tokenizer
 
-from linkloom.llm import dac, packing, pieces, tokens
+from linkloom.llm import dac, packing, pieces, queries, tokens
 
 VOCABULARIES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 
@@ -228,3 +229,38 @@ def test_unigram_models_are_rebuilt_too():
 def test_long_text_is_encoded_whole():
     encoder = tokens.encoder(tokens.definition_of(public_tokenizers.path("byte_bpe_50k.json")))
     assert encoder.ids(LONG) == whole("byte_bpe_50k.json", LONG)
+
+
+ADDED = ["a <|endoftext|> b", "a<|endoftext|>b", " <|endoftext|>\n<|startoftext|> x", "<|ENDOFTEXT|>", "<|endoftext", "  two  spaces<|endoftext|>\t", "plain text"]
+
+
+def as_loaded(name, text):
+    return np.array(Tokenizer.from_file(public_tokenizers.path(name)).encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_ids_of_the_tokenizer_as_loaded(definitions, name):
+    encoder = tokens.encoder(definitions[name], literal=False)
+    for text in ADDED + [t for _, t in AWKWARD]:
+        assert encoder.ids(text) == as_loaded(name, text)
+
+
+def test_added_tokens_of_any_kind():
+    for normalized, special in [(False, False), (True, False), (True, True)]:
+        for name in VOCABULARIES:
+            made = Tokenizer.from_file(public_tokenizers.path(name))
+            add = made.add_special_tokens if special else made.add_tokens
+            add([AddedToken("Key Word", normalized=normalized, special=special)])
+            encoder = tokens.encoder(made.to_str(), literal=False)
+            for text in ["a Key Word b", "a key\tword b", "a \u212aey Word", "aKEY WORDb", "Key  Word", "none"]:
+                assert encoder.ids(text) == np.array(made.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_queries_use_the_tokenizer_as_loaded(spark, tmp_path):
+    rows = list(enumerate(ADDED))
+    documents(spark, rows, clashing=False).write.parquet(str(tmp_path / "documents.parquet"))
+    want = {d: zlib.crc32(as_loaded("byte_bpe_50k.json", t) + struct.pack("<I", dac.END_ID)) for d, t in rows}
+    assert {r.doc_id: r.ids_crc32 for r in queries.QUERIES["op3_addressable_codes"](spark, str(tmp_path)).collect()} == want
+    want = {d: zlib.crc32(as_loaded("word_bpe_49k.json", t) + struct.pack("<I", packing.END_ID)) for d, t in rows}
+    assert {r.doc_id: r.ids_crc32 for r in queries.QUERIES["op5_sum_of_squares"](spark, str(tmp_path)).collect()} == want
+    assert {r.doc_id: r.ids_crc32 for r in corpus_pipeline.pack(spark, spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path)).collect()} == want
