@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import dac, divergence, hyperminhash, interpolation, langid, mincut, packing, pieces, pivots, tokens, warc
+from linkloom.llm import collocations, dac, divergence, hyperminhash, interpolation, langid, mincut, packing, pieces, pivots, tokens, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -140,3 +140,42 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return divergence.judge(docs, divergence.references(docs))
+
+
+@query(
+    "op12_top_order_rollup",
+    r"""
+    WITH p AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents
+    ),
+    w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+    g AS (
+      SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+      FROM w, (VALUES (1), (2), (3)) AS sizes(k)
+    ),
+    f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+    t AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 10),
+    cuts AS (
+      SELECT c.lang, c.k, c.phrase, a, cut, l.f AS l, r.f AS r, (1000000 * a * a) // (l.f * r.f) AS score
+      FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+      JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:cut], ' ')
+      JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[cut + 1:c.k], ' ')
+    ),
+    s AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    inside AS (
+      SELECT lang, phrase, max(a) AS longest
+      FROM (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM c WHERE k = 3) GROUP BY ALL
+    ),
+    o AS (
+      SELECT s.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+      FROM s LEFT JOIN inside USING (lang, phrase) WHERE longest IS NULL OR 100 * longest < 50 * a
+    )
+    SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+    FROM o JOIN t USING (lang) WHERE rank <= 2000
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
