@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import collocations, dac, divergence, hyperminhash, interpolation, langid, mincut, packing, pieces, pivots, tokens, warc
+from linkloom.llm import collocations, dac, divergence, hyperminhash, interpolation, langid, mincut, packing, pieces, pivots, tokens, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,3 +179,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+@query("op13_rank_one_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
