@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import collocations, dac, divergence, hyperminhash, interpolation, langid, mincut, packing, pieces, pivots, tokens, warc, whitening
+from linkloom.llm import collocations, dac, divergence, hyperminhash, interpolation, langid, mincut, packing, pieces, pivots, tokens, toxicity, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -184,3 +184,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_rank_one_whitening")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_levenshtein_lexicon")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.fold("doc_id", 3) == 1)
+    model = toxicity.learn(docs.where(~F.col("held_out")), table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, ["doc_id", "held_out"])
