@@ -9,6 +9,7 @@ from linkloom.operators import marts, signals, states
 from linkloom.plans import stand_ins as T
 from linkloom.plans.catalog import query
 from linkloom.plans.catalog.results import rounded
+from linkloom.streaming import timers
 
 with_sql, DAY = T.with_sql, T.DAY
 LINK = "PARTITION BY session, peer ORDER BY t_ms"
@@ -207,6 +208,30 @@ def never_connected_timeout(spark, sf_dir):
     return states.never_connected_timeout(watch_ticks(spark, sf_dir))
 
 
+def late_ticks(spark, sf_dir):
+    """Peers born one after another, so that some stop before their deadlines and some deadlines lie behind the last tick."""
+    ticks = watch_ticks(spark, sf_dir)
+    born = F.lit(T.START) + F.col("session") % 9 * 1500
+    return ticks.withColumn("born_ms", born).where((F.col("t_ms") >= born) & (F.col("t_ms") - born < F.col("session") % 5 * 3000 + 500))
+
+
+DEADLINES = f"""WITH ev AS MATERIALIZED ({T.SQL['ev']}),
+  tick AS (SELECT user_id AS session, k % 3 AS peer, {T.START} + user_id % 9 * 1500 AS born_ms, {T.START} + (t_ms - {T.START}) // 200000 AS t,
+    event_type = 'purchase' AS joined, k % 2 = 0 AND user_id % 120 - 10 >= 0 AND k > user_id % 120 - 10 AS able FROM ev),
+  own AS (SELECT * FROM tick WHERE t >= born_ms AND t - born_ms < session % 5 * 3000 + 500),
+  told AS (SELECT session, peer, born_ms, min(CASE WHEN joined THEN t END) AS joined, max(CASE WHEN t <= born_ms + 3001 THEN t * 2 + able::INT END) % 2 = 1 AS able,
+    min(CASE WHEN able AND t > born_ms + 3001 THEN t END) AS later FROM own WHERE t <= born_ms + 8001 GROUP BY ALL),
+  acts AS (SELECT session, peer, born_ms, joined, CASE WHEN able THEN born_ms + 3001 ELSE later END AS at_ms, 'restart' AS action FROM told
+    UNION ALL SELECT session, peer, born_ms, joined, born_ms + 8001, 'recreate' FROM told)
+  SELECT session, peer, born_ms::BIGINT AS born_ms, at_ms::BIGINT AS at_ms, action FROM acts
+  WHERE at_ms <= born_ms + 8001 AND (joined IS NULL OR joined > at_ms) AND at_ms < (SELECT max(t) FROM own)"""
+
+
+@query("never_connected_deadlines", DEADLINES)
+def never_connected_deadlines(spark, sf_dir):
+    return timers.never_connected_deadlines(late_ticks(spark, sf_dir))
+
+
 # Voice activity
 
 VAD = """walk AS (

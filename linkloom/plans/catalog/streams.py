@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkloom.operators.reshape import parsed_reports
 from linkloom.plans import stand_ins as T
 from linkloom.plans.catalog import ingest, ordered, query, shapes
-from linkloom.streaming import machines, reports
+from linkloom.sources.reports import frame_events, publish_log
+from linkloom.streaming import machines, reports, tables, timers
 
 with_sql = T.with_sql
 
@@ -58,6 +62,40 @@ def stream_latest_report(spark, sf_dir):
     return spark.read.parquet(folder + "/table").select("cond", "sid", "ts", "r.peers")
 
 
+@query("stream_upsert_latest", shapes.LATEST)
+def stream_upsert_latest(spark, sf_dir):
+    """The same by merging each micro-batch into the slots it touches."""
+    folder = ingest.scratch(spark)
+    lines = reports.stream_land(spark, log_folder(spark, sf_dir), T.AT, max_files=4)
+    tables.stream_upsert_latest(lines, folder + "/table", folder + "/offsets", slots=8).awaitTermination()
+    return parsed_reports(tables.latest_lines(spark, folder + "/table")).select("cond", "sid", "ts", "r.peers")
+
+
+@query("stream_newest_by_span", shapes.LATEST)
+def stream_newest_by_span(spark, sf_dir):
+    """Newest lines per closed span of arrival, reduced once more: one mark behind the log closes its last span."""
+    folder = ingest.scratch(spark)
+    log = log_folder(spark, sf_dir)
+    spans = lambda: reports.stream_newest_by_span(reports.stream_land(spark, log, T.AT), "1 second", "1 second")
+    reports.land_to(spans(), folder + "/table", folder + "/offsets").awaitTermination()
+    time.sleep(3)
+    spark.range(1).select(F.lit('{"cond": "end", "sid": "end", "ts": 0}').alias("value")).write.mode("append").text(log)
+    reports.land_to(spans(), folder + "/table", folder + "/offsets").awaitTermination()
+    return parsed_reports(spark.read.parquet(folder + "/table")).select("cond", "sid", "ts", "r.peers")
+
+
+@query("stream_land_log", ingest.LANDED)
+def stream_land_log(spark, sf_dir):
+    """The report log published by key, streamed back by offset, and landed once each."""
+    folder = ingest.scratch(spark)
+    lines = T.report_payloads(spark, sf_dir, copies=True)
+    publish_log(frame_events(lines.select("payload")), folder + "/log", partitions=8)
+    arrived = reports.land_log(reports.read_log(spark, folder + "/log", max_files=4), T.AT)
+    tables.stream_land_once(arrived, folder + "/table", folder + "/offsets", parts=4).awaitTermination()
+    got = tables.LandedOnce(spark, folder + "/table", 4).read()
+    return got.groupBy("cond", "sid", "ts").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("stream_link_lifecycle", ordered.LIFECYCLE)
 def stream_link_lifecycle(spark, sf_dir):
     """The stream tells every change of a record; the last per incarnation stands."""
@@ -88,3 +126,8 @@ def stream_grace_window(spark, sf_dir):
 @query("stream_never_connected_timeout", with_sql("ev", "acts", body=ordered.WATCHED))
 def stream_never_connected_timeout(spark, sf_dir):
     return settled(machines.stream_never_connected_timeout(arriving(spark, ordered.watch_ticks(spark, sf_dir))))
+
+
+@query("stream_never_connected_deadlines", ordered.DEADLINES)
+def stream_never_connected_deadlines(spark, sf_dir):
+    return settled(timers.stream_never_connected_deadlines(arriving(spark, ordered.late_ticks(spark, sf_dir))))

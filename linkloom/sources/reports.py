@@ -134,6 +134,31 @@ def publish_keyed_events(
         ordered.write.mode("overwrite").options(**writer_options).json(sink)
 
 
+LOG_RECORD = "key string, value string, partition int, offset bigint"
+
+
+def publish_log(events: DataFrame, path: str, partitions: int = 64) -> None:
+    """Append framed events to a keyed log of files: key, value, partition, offset.
+
+    A key's events share a partition, and offsets grow with time in it. Range
+    partitions write neighbouring stretches of the log, so a busy key is written by
+    many tasks; offsets have gaps between them. Each call starts a new stretch behind
+    the last one's offsets.
+    """
+    spark = events.sparkSession
+    try:
+        first = spark.read.schema(LOG_RECORD).parquet(path).agg(F.max("offset")).first()[0]
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        first = None
+    placed = events.withColumn("partition", F.pmod(F.xxhash64("partition_key"), F.lit(partitions)).cast("int"))
+    by = ["partition", "ts", "partition_key"]
+    ordered = placed.repartitionByRange(*by).sortWithinPartitions(*by)
+    offset = F.monotonically_increasing_id() + F.lit(0 if first is None else first + 1)
+    ordered.select(F.col("partition_key").alias("key"), F.col("body").alias("value"), "partition", offset.alias("offset")).write.mode("append").parquet(path)
+
+
 def quarantine_malformed(df: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
     """Split into parsed rows (column ``r``) and bad ones with the reason and where they came from.
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from linkloom.operators.reshape import filter_known_condition, parsed_reports, time_of_report
 from linkloom.schemas import RAW_STREAM
-from linkloom.sources.reports import STREAM_FILE, prepare_lines, redelivery_key
+from linkloom.sources.reports import LOG_RECORD, STREAM_FILE, prepare_lines, redelivery_key
 
 
 def stream_land(
@@ -35,6 +35,30 @@ def stream_land(
     return prepare_lines(placed, ingested_at, keep=["arrived"])
 
 
+def land_log(records: DataFrame, ingested_at: str) -> DataFrame:
+    """Records of a keyed log, batch or stream, prepared as lines: key, value, partition, offset (and topic, if there).
+
+    This is what a broker's source gives, and what ``publish_log`` writes. All records of
+    a key lie in one partition, and the offset is their order there, so the last of
+    equal reports is the one with the later offset, whatever batches they come in.
+    """
+    topic = F.coalesce(F.col("topic").cast("string"), F.lit("")) if "topic" in records.columns else F.lit("")
+    placed = records.select(
+        F.col("value").cast("string").alias("payload"),
+        F.lit(STREAM_FILE).alias("source_file"),
+        F.struct(
+            topic.alias("file"), F.col("partition").cast("bigint").alias("block"), F.col("offset").cast("bigint").alias("row"),
+        ).alias("line"),
+        F.current_timestamp().alias("arrived"),
+    )
+    return prepare_lines(placed, ingested_at, keep=["arrived"])
+
+
+def read_log(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
+    """The log ``publish_log`` keeps at a path, as a stream of its records."""
+    return spark.readStream.schema(LOG_RECORD).option("maxFilesPerTrigger", max_files).parquet(path)
+
+
 def stream_dedup(lines: DataFrame, watermark: str = "10 minutes", time: str = "arrived") -> DataFrame:
     """Drop redelivered reports, remembering each for the watermark.
 
