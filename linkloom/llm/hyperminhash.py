@@ -10,12 +10,15 @@ with a chance below 10^-10, one at 0.8 below 10^-7.
 
 Documents that share a band are candidates, but no bucket is expanded into pairs:
 
-1. Exact copies (equal word sequences) are one node, named by their smallest doc_id.
+1. Exact copies (equal word sequences) are one node, whatever ids their rows have. Nodes
+   are named by a row of theirs, components by the smallest doc_id only at the end.
 2. Each band bucket compares its members to one pivot, the member whose buckets hold
    the most nodes. A pair survives if its Jaccard estimate from the registers, less the
    matches that compression makes by chance, is within six standard errors of the bound.
    Members that fail against the pivot get a pivot of their own while they are many;
-   a few thousand left in a bucket are estimated against each other in blocks.
+   a few thousand left in a bucket are estimated against each other in blocks. A member
+   that failed may still be linked to one that survived: it is estimated against all of
+   the pivot's cluster, in blocks, and tied to it if any estimate survives.
 3. Survivors are verified on full shingle sets. Nodes joined by survivors form a
    cluster, nodes joined by verified links a component. Where a cluster holds several
    components, the nodes outside its largest one are verified against all of the
@@ -110,47 +113,68 @@ def _survives(a, b, n_a, n_b, percent: int) -> np.ndarray:
     return found >= bound - STANDARD_ERRORS * np.sqrt(bound * (1 - bound) / np.maximum(used, 1))
 
 
-def sketch(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n_shingles, copy_key (128 bits of the word sequence), registers, bands; one row per row of ``docs``."""
-    schema = pa.schema([
-        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key_a", pa.int64()), ("key_b", pa.int64()),
-        ("registers", pa.binary()), ("bands", pa.list_(pa.int64())),
-    ])
+def _rows(docs: DataFrame, *keep: str) -> DataFrame:
+    """doc_id, text, the kept columns, and rid, which finds a row again: the id, or a hash of the text where there is none."""
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
+    return texts.withColumn("rid", F.coalesce("doc_id", F.xxhash64("text")))
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
+
+def _key(found: list[bytes]) -> np.ndarray:
+    """128 bits of a word sequence."""
+    return np.frombuffer(xxhash.xxh3_128_digest(b" ".join(found)), np.int64)
+
+
+def sketch(rows: DataFrame, rule: Rule, keep: list[str] | None = None) -> DataFrame:
+    """doc_id, rid, n_shingles, copy_key (128 bits of the word sequence), registers, bands and the kept columns; one row per row of ``rows``."""
+    keep = keep or []
+    names = ["doc_id", "rid", *keep]
+    made_names = ["n_shingles", "key_a", "key_b", "registers", "bands"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             for start in range(0, batch.num_rows, 2048):
                 part = batch.slice(start, 2048)
                 sizes, keys, regs, band = [], [], [], []
-                for text in part.column(1).to_pylist():
+                for text in part.column(len(names)).to_pylist():
                     found = common.words(text)
                     elements = shingles(found, rule.words)
                     sizes.append(len(elements))
-                    keys.append(np.frombuffer(xxhash.xxh3_128_digest(b" ".join(found)), np.int64))
+                    keys.append(_key(found))
                     made = registers(elements)
                     regs.append(made.tobytes())
                     band.append(bands(made) if len(elements) else None)
                 key = np.array(keys, np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array(sizes, pa.int64()), pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()),
+                    *part.columns[:len(names)], pa.array(sizes, pa.int64()), pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()),
                     pa.array(regs, pa.binary()), pa.array(band, pa.list_(pa.int64())),
-                ], schema=schema)
+                ], [*names, *made_names])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, key_a long, key_b long, registers binary, bands array<long>")
+    sent = rows.select(*names, "text")
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in sent.schema.fields[:-1])
+    return sent.mapInArrow(run, f"{kept}, n_shingles long, key_a long, key_b long, registers binary, bands array<long>")
 
 
-def full_sets(docs: DataFrame, rule: Rule) -> DataFrame:
-    """node (the doc_id) and its whole shingle set as sorted 64-bit hashes."""
+def full_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+    """node and its whole shingle set as sorted 64-bit hashes, for ``wanted(node, rid, key_a, key_b)``.
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
+    An id may have several texts: the copy key tells which one a node stands for. Rows
+    that repeat a text may give a node its set more than once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
+        for batch in batches:
             for start in range(0, batch.num_rows, 1024):
-                part = batch.slice(start, 1024)
-                sets = [shingles(common.words(text), rule.words).tobytes() for text in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["node", "elements"])
+                nodes, sets = [], []
+                for text, node, a, b in zip(*(c.to_pylist() for c in batch.slice(start, 1024).columns), strict=True):
+                    found = common.words(text)
+                    if node not in done and _key(found).tolist() == [a, b]:
+                        done.add(node)
+                        nodes.append(node)
+                        sets.append(shingles(found, rule.words).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "elements"])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("node"), F.col("text").cast("string"))
+    rows = _rows(docs).join(history.broadcast_if_small(wanted), "rid").select("text", "node", "key_a", "key_b")
     return rows.mapInArrow(run, "node long, elements binary")
 
 
@@ -204,24 +228,29 @@ def _sized(n_a, n_b, rule: Rule):
     return 100 * F.least(n_a, n_b) >= rule.percent * F.greatest(n_a, n_b)
 
 
-def _in_blocks(members: DataFrame, compare, schema: str) -> DataFrame:
-    """Compare the marked members of each group to all its members, block by block.
+def _in_blocks(few: DataFrame, every: DataFrame, compare, schema: str) -> DataFrame:
+    """Compare the rows of ``few`` to those of ``every`` in the same group, block by block.
 
-    ``members(group, node, marked, ...)``: marked ones are cut into blocks of about
-    256, all members likewise, and each pair of blocks is one group for ``compare``,
-    which gets the marked block's rows (side 0) and the other's (side 1). Rows are
-    copied once per block they meet, so few marked members cost one pass over a group.
+    Both have ``group`` and ``node`` and the same columns; each is cut into blocks of
+    about 256, and each pair of blocks is one group for ``compare``, which gets the few
+    (side 0) and the others (side 1). Rows are copied once per block they meet, so few
+    against many cost one pass over the many. Groups' sizes are sent to where their rows
+    lie, so a large group is dealt without being gathered.
     """
-    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
-    sizes = members.groupBy("group").agg(blocks(F.count(F.lit(1))).alias("_all"), blocks(F.sum(F.col("marked").cast("int"))).alias("_few")).where("_few > 0")
-    rows = members.join(sizes, "group")
+    blocks = lambda side: F.ceil(F.count_if(F.col("side") == side) / F.lit(BLOCK)).cast("int")
+    rows = few.withColumn("side", F.lit(0)).unionByName(every.withColumn("side", F.lit(1)))
+    sizes = rows.groupBy("group").agg(blocks(0).alias("_few"), blocks(1).alias("_all")).where("_few > 0 and _all > 0")
+    rows = rows.join(history.broadcast_if_small(common.stored(sizes, "group-sizes")), "group")
     deal = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
-    few = rows.where("marked").withColumns({"x": deal(F.col("_few")), "side": F.lit(0)}).withColumn("y", F.explode(F.sequence(F.lit(0), F.col("_all") - 1)))
-    every = rows.withColumns({"y": deal(F.col("_all")), "side": F.lit(1)}).withColumn("x", F.explode(F.sequence(F.lit(0), F.col("_few") - 1)))
-    return few.unionByName(every).drop("_all", "_few").groupBy("group", "x", "y").applyInArrow(compare, schema)
+    x = F.when(F.col("side") == 0, F.array(deal(F.col("_few")))).otherwise(F.sequence(F.lit(0), F.col("_few") - 1))
+    y = F.when(F.col("side") == 1, F.array(deal(F.col("_all")))).otherwise(F.sequence(F.lit(0), F.col("_all") - 1))
+    dealt = rows.withColumn("x", F.explode(x)).withColumn("y", F.explode(y)).drop("_few", "_all")
+    return dealt.groupBy("group", "x", "y").applyInArrow(compare, schema)
 
 
-def _estimate_blocks(rule: Rule):
+def _estimate_blocks(rule: Rule, first_only: bool):
+    """Pairs that survive; with ``first_only`` one for each of the few, and both orders of a pair count."""
+
     def compare(rows: pa.Table) -> pa.Table:
         side = rows.column("side").to_numpy()
         node, size = rows.column("node").to_numpy(), rows.column("n").to_numpy()
@@ -229,9 +258,11 @@ def _estimate_blocks(rule: Rule):
         few, every = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
         for k in few.tolist():
-            others = every[node[every] > node[k]]
+            others = every if first_only else every[node[every] > node[k]]
+            small, large = np.minimum(size[others], size[k]), np.maximum(size[others], size[k])
+            others = others[100 * small >= rule.percent * large]
             if len(others):
-                keep = others[_survives(regs[k], regs[others], size[k], size[others], rule.percent)]
+                keep = others[_survives(regs[k], regs[others], size[k], size[others], rule.percent)][:1 if first_only else None]
                 found.append((np.full(len(keep), node[k]), node[keep]))
         return pa.table({"a": np.concatenate([a for a, _ in found]), "b": np.concatenate([b for _, b in found])})
 
@@ -275,13 +306,19 @@ def _verify_blocks(rule: Rule):
 
 
 def candidates(nodes: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs (a, b) that connect all nodes sharing a band and not ruled out by their registers."""
+    """Pairs (a, b) not ruled out by their registers, which tie together what may be linked.
+
+    Of two nodes that share a band, either their registers rule the bound out, or both lie
+    in one connected part of these pairs: members of a bucket that survive against the
+    same pivot do by that; members that fail against it go on to the next; and of one
+    that survives and one that fails, the latter is compared to the former's whole part.
+    """
     banded = nodes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("weight")).where("weight > 1")
     members = common.stored(banded.join(shared, "bucket"), "band-members")
     weights = members.groupBy("node").agg(F.sum("weight").alias("weight"))
     members = common.stored(members.drop("weight").join(weights, "node"), "band-members")
-    found = None
+    found = failed = None
     for _ in range(PIVOT_ROUNDS):
         starred = _pivot_pairs(members, rule)
         near = starred.where(_sized(F.col("n"), F.col("pivot_n"), rule))
@@ -290,16 +327,33 @@ def candidates(nodes: DataFrame, rule: Rule) -> DataFrame:
         found = kept if found is None else found.unionByName(kept)
         # members that survived against their pivot are tied to it; the others go on among themselves
         rest = starred.join(kept, (starred["node"] == kept["a"]) & (starred["pivot"] == kept["b"]), "left_anti")
-        members = common.stored(rest.select("bucket", "node", "n", "weight"), "band-members")
+        members = common.stored(rest.select("bucket", "node", "n", "weight", "pivot"), "band-members")
+        apart = members.select("node", "pivot")
+        failed = apart if failed is None else failed.unionByName(apart)
+        members = members.drop("pivot")
         again = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1")
         most = again.agg(F.max("_c")).first()[0] or 0
         if most <= BLOCK_MEMBERS:
             break
-    if not most:
-        return found
-    left = members.join(again, "bucket").join(nodes.select("node", "registers"), "node").select(
-        F.col("bucket").alias("group"), "node", "n", "registers", F.lit(True).alias("marked"))
-    return found.unionByName(common.stored(_in_blocks(left, _estimate_blocks(rule), "a long, b long").distinct(), "candidates"))
+    described = nodes.select("node", F.col("n_shingles").alias("n"), "registers")
+    if most:
+        left = members.join(again, "bucket").select(F.col("bucket").alias("group"), "node").join(described, "node")
+        found = found.unionByName(common.stored(_in_blocks(left, left, _estimate_blocks(rule, False), "a long, b long").distinct(), "candidates"))
+    return found.unionByName(_across(found, failed, described, rule))
+
+
+def _across(found: DataFrame, failed: DataFrame, described: DataFrame, rule: Rule) -> DataFrame:
+    """One pair for each node and part of ``found`` of which a pivot, but not every member, is ruled out for the node."""
+    parts = components(found)
+    own = failed.join(parts.select(F.col("node").alias("pivot"), F.col("component").alias("group")), "pivot").select("node", "group").distinct()
+    own = own.join(parts, "node", "left").where(F.col("component").isNull() | (F.col("component") != F.col("group"))).select("node", "group")
+    own = common.stored(own, "across")
+    if own.isEmpty():
+        return found.limit(0)
+    groups = history.broadcast_if_small(common.stored(own.select("group").distinct(), "across-groups"))
+    members = parts.withColumnRenamed("component", "group").join(groups, "group", "left_semi")
+    few, every = (rows.select("group", "node").join(described, "node") for rows in (own, members))
+    return common.stored(_in_blocks(few, every, _estimate_blocks(rule, True), "a long, b long").distinct(), "candidates")
 
 
 def _labelled(nodes: DataFrame, labels: DataFrame, name: str) -> DataFrame:
@@ -312,20 +366,21 @@ def linked(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """Components of the nodes with a verified link: node, component."""
     pairs = candidates(nodes, rule)
     involved = common.stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "involved")
-    wanted = history.broadcast_if_small(involved)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    sets = common.stored(full_sets(texts.join(wanted, texts["doc_id"] == wanted["node"], "left_semi"), rule), "sets")
+    wanted = common.stored(nodes.select("node", "rid", "key_a", "key_b").join(involved, "node"), "wanted")
+    sets = common.stored(full_sets(docs, wanted, rule), "sets")
     parts = components(verified(pairs, sets, rule))
     # candidates whose ends came apart tie components to clusters
     apart = _labelled(_labelled(pairs, parts, "a"), parts, "b").where("a <> b")
     clusters = components(apart).select(F.col("node").alias("component"), F.col("component").alias("group"))
     if clusters.isEmpty():
         return parts
-    placed = _labelled(involved.withColumn("component", F.col("node")), parts, "component").join(clusters, "component")
+    tops = history.broadcast_if_small(clusters)
+    placed = common.stored(_labelled(involved.withColumn("component", F.col("node")), parts, "component").join(tops, "component"), "clustered")
     sizes = placed.groupBy("group", "component").agg(F.count(F.lit(1)).alias("size"))
-    main = sizes.groupBy("group").agg(F.max(F.struct("size", "component")).alias("_top")).select("group", F.col("_top.component").alias("main"))
-    members = placed.join(main, "group").withColumn("marked", F.col("component") != F.col("main")).drop("main")
-    more = common.stored(_in_blocks(members.join(sets, "node"), _verify_blocks(rule), "a long, b long"), "links")
+    main = sizes.groupBy("group").agg(F.max(F.struct("size", "component")).alias("_top")).select(F.col("_top.component").alias("component"))
+    members = placed.join(sets, "node")
+    others = placed.join(history.broadcast_if_small(common.stored(main, "main")), "component", "left_anti").join(sets, "node")
+    more = common.stored(_in_blocks(others, members, _verify_blocks(rule), "a long, b long"), "links")
     if more.isEmpty():
         return parts
     joined = components(_labelled(_labelled(more, parts, "a"), parts, "b"))
@@ -334,25 +389,35 @@ def linked(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     return _labelled(parts.unionByName(alone), joined, "component").select("node", "component")
 
 
-def near_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """Groups of near copies in ``docs(doc_id, text)``: doc_id, n_shingles, component_id, kept.
+def near_groups(docs: DataFrame, rule: Rule = Rule(), keep: list[str] | None = None) -> DataFrame:
+    """Groups of near copies in ``docs(doc_id, text)``: doc_id, n_shingles, component_id, kept, first, and the columns of ``keep``.
 
     A row per row of ``docs``. component_id is the smallest doc_id reachable over links
-    and copies, kept marks it. Null and empty texts have no shingles and stay alone. Rows
-    that repeat a doc_id with another text are documents of their own under one id. Rows
-    without a doc_id take no part: component_id is null and kept is false.
+    and copies, kept marks it. first marks one row of each group, of those with the
+    smallest doc_id, or any if none has an id. Null and empty texts have no shingles and
+    stay alone. Rows that repeat a doc_id with another text are documents of their own
+    under one id; rows without a doc_id take part like all others, but only first can
+    mark them: their component_id is null and kept is false.
     """
-    made = common.stored(sketch(docs, rule), "sketches")
-    usable = made.where("n_shingles > 0 and doc_id is not null")
-    copies = common.stored(usable.groupBy("key_a", "key_b").agg(F.min("doc_id").alias("node")), "copies")
-    own = copies.select(F.col("node").alias("doc_id"), "key_a", "key_b")
-    # by id as well as by key, so that a hot group of copies is spread over all partitions
-    nodes = usable.join(own, ["doc_id", "key_a", "key_b"], "left_semi").select(F.col("doc_id").alias("node"), "n_shingles", "registers", "bands")
+    keep = keep or []
+    made = sketch(_rows(docs, *keep), rule, keep)
+    made = common.stored(made.withColumn("row", F.monotonically_increasing_id()), "sketches")
+    usable = made.where("n_shingles > 0")
+    # of a copy's rows the one with the smallest id stands for it
+    lowest = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    copies = common.stored(usable.groupBy("key_a", "key_b").agg(lowest.alias("_low")).select("key_a", "key_b", F.col("_low.doc_id").alias("low"), F.col("_low.row").alias("node")), "copies")
+    own = copies.select(F.col("node").alias("row"))
+    nodes = usable.join(own, "row", "left_semi").select(F.col("row").alias("node"), "rid", "key_a", "key_b", "n_shingles", "registers", "bands")
     nodes = common.stored(nodes, "nodes")
     joined = linked(docs, nodes, rule)
-    named = copies.join(joined, "node", "left").select("key_a", "key_b", F.coalesce("component", "node").alias("component_id"))
-    rows = made.select("doc_id", "n_shingles", "key_a", "key_b")
+    grouped = copies.join(joined, "node", "left").withColumn("_group", F.coalesce("component", "node"))
+    top = F.min(F.struct(F.col("low").isNull(), "low", "node"))
+    names = grouped.groupBy("_group").agg(top.alias("_top")).select("_group", F.col("_top.low").alias("_name"), F.col("_top.node").alias("_first"))
+    named = grouped.join(names, "_group").select("key_a", "key_b", "_name", "_first")
+    rows = made.select("doc_id", "n_shingles", "key_a", "key_b", "row", *keep)
+    # empty texts have one key among them, but no row in ``named``
     found = rows.join(named, ["key_a", "key_b"], "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    alone = F.col("n_shingles") == 0
+    component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(alone, F.col("doc_id")).otherwise(F.col("_name"))
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), (alone | (F.col("row") == F.col("_first"))).alias("first"), *keep).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))

@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import AWKWARD, documents, words_of
+from pyspark.sql import functions as F
 
 from linkloom.llm import common, hyperminhash
 from linkloom.llm.components import components
@@ -85,6 +86,48 @@ def test_groups_are_those_of_brute_force(spark, rule):
     assert all(r.kept == (r.component_id == d) for d, r in got.items())
 
 
+def nested(variants, lengths, rule, seed=1):
+    """Texts that are beginnings of one another beside many variants of the longest one.
+
+    Variants hold the bands' pivots; a beginning that fails against a pivot by its size
+    is linked to the next longer one, which does not.
+    """
+    rng, words = random.Random(seed), ["w%d" % k for k in range(400)]
+    rows = [(k, " ".join(words[:n])) for k, n in enumerate(lengths)]
+    for k in range(variants):
+        text = list(words)
+        for at in rng.sample(range(400), 6 if rule.words == 3 else 5):
+            text[at] = "v%d_%d" % (k, at)
+        rows.append((1000 + k, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize(("variants", "lengths", "rule"), [
+    (100, [310, 345], hyperminhash.Rule(3, 85)), (600, [310, 345], hyperminhash.Rule()),
+    (300, [165, 190, 220, 258, 300, 350], hyperminhash.Rule(3, 85)), (40, [104, 120, 230, 268, 310, 355], hyperminhash.Rule()),
+])
+def test_no_link_is_lost_between_survivors_and_the_rest(spark, variants, lengths, rule):
+    rows = nested(variants, lengths, rule)
+    want = {d: c for d, (_, c) in brute(rows, rule).items()}
+    assert want[1] == want[0] == 0
+    got = {r.doc_id: r.component_id for r in hyperminhash.near_groups(documents(spark, rows), rule).collect()}
+    assert got == want
+
+
+def test_links_between_families_of_near_copies(spark):
+    """Families around texts at many similarities to each other, below and above the bound."""
+    rng, rows, rule = random.Random(21), [], hyperminhash.Rule(3, 85)
+    base = words_of(77, 260)
+    for family in range(25):
+        centre = edited(base, rng, rng.randrange(1, 30))
+        centre = centre[: rng.randrange(200, 261)]
+        for _ in range(rng.randrange(1, 25)):
+            rows.append((len(rows), " ".join(edited(centre, rng, rng.randrange(0, 7)))))
+    rng.shuffle(rows)
+    got = {r.doc_id: r.component_id for r in hyperminhash.near_groups(documents(spark, rows), rule).collect()}
+    assert got == {d: c for d, (_, c) in brute(rows, rule).items()}
+
+
 def test_awkward_rows(spark):
     got = hyperminhash.near_groups(documents(spark, AWKWARD)).collect()
     assert len(got) == len(AWKWARD)
@@ -95,6 +138,22 @@ def test_awkward_rows(spark):
     assert hyperminhash.near_groups(documents(spark, [])).collect() == []
 
 
+def test_ids_that_repeat_or_are_missing(spark):
+    a, b, c, d = (" ".join(words_of(k, 90)) for k in (1, 2, 3, 4))
+    near = lambda text: text.rsplit(" ", 1)[0]
+    rows = [(5, a), (5, b), (3, near(a)), (None, near(b)), (None, c), (None, near(c)), (None, c), (None, d), (9, d), (5, a), (None, None), (8, "")]
+    df = documents(spark, rows).withColumn("at", F.monotonically_increasing_id())
+    got = {r["at"]: r for r in hyperminhash.near_groups(df, keep=["at"]).collect()}
+    got = [got[k] for k in sorted(got)]
+    assert len(got) == len(rows)
+    assert [r.component_id for r in got] == [3, 5, 3, None, None, None, None, None, 9, 3, None, 8]
+    assert [r.kept for r in got] == [False, True, True, False, False, False, False, False, True, False, False, True]
+    # one row of each group is its first: those with the smallest id, or any where none has one
+    first = [r.first for r in got]
+    assert [first[k] for k in (0, 1, 2, 3, 7, 8, 9, 10, 11)] == [False, True, True, False, False, True, False, True, True]
+    assert sum(first[k] for k in (4, 5, 6)) == 1
+
+
 @pytest.mark.parametrize("members", [1, 4096])
 def test_members_left_by_pivots_are_compared(spark, monkeypatch, members):
     monkeypatch.setattr(hyperminhash, "BLOCK_MEMBERS", members)
