@@ -208,11 +208,11 @@ def distance_by_hand(counts, reference):
 
 
 def class_of(c):
-    if c > "\x7f":
-        return 6
-    if c.islower():
-        return 0
-    return 1 if c.isupper() else 2 if c.isdigit() else 3 if c in " \t\n\r\x0b\x0c" else 4 if c in ".,;:!?'\"()-" else 5
+    if c <= "\x7f":
+        if c.islower():
+            return 0
+        return 1 if c.isupper() else 2 if c.isdigit() else 3 if c in " \t\n\r\x0b\x0c" else 4 if c in ".,;:!?'\"()-" else 5
+    return 0 if c in "éü" else 15 if c in "日本" else 5
 
 
 def quality_rows():
@@ -241,17 +241,22 @@ def test_figures_and_verdicts_against_brute_force(spark):
         top = dict(sorted(words.items(), key=lambda item: (-item[1], signed(item[0])))[:20])
         reference[name] = (len(texts), chars, top | {None: sum(words.values()) - sum(top.values())})
     want = []
+    large = {name: r for name, r in reference.items() if r[0] >= divergence.REFERENCE_DOCS}
+    pooled = sum((r[1] for r in reference.values()), Counter())
     for (d, t, lang), b in zip(rows, base, strict=True):
-        use = [r for name, r in reference.items() if r[0] >= divergence.REFERENCE_DOCS and lang in (name, None)]
-        far = min(((distance_by_hand(Counter(class_of(c) for c in t), chars) if t else 0,
-                    distance_by_hand(Counter(w if w in top else None for w in re.findall(r"[^\x20\x09-\x0D]+", t)), top) if b[0] else 0)
-                   for _, chars, top in use), key=sum, default=(-1, -1))
+        shown = lambda chars, t=t: distance_by_hand(Counter(class_of(c) for c in t), chars) if t else 0
+        if lang in large or lang is None:
+            use = [r for name, r in large.items() if lang in (name, None)]
+            far = min(((shown(chars), distance_by_hand(Counter(w if w in top else None for w in re.findall(r"[^\x20\x09-\x0D]+", t)), top) if b[0] else 0)
+                       for _, chars, top in use), key=sum)
+        else:
+            far = min(shown(chars) for chars in [pooled, *(r[1] for r in large.values())]), -1
         want.append((d or -1, *b, *(round(x, 6) for x in far)))
     shown = [(r.doc_id or -1, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, *(-1 if x is None else round(x, 6) for x in (r.class_distance, r.word_distance))) for r in got]
     assert sorted(shown) == sorted(want)
     by = {r.doc_id: r for r in got}
     for r in got:
-        odd = r.class_distance is not None and r.n_words >= divergence.JUDGED_WORDS and (r.class_distance > divergence.MAX_CLASS_DISTANCE or r.word_distance > divergence.MAX_WORD_DISTANCE)
+        odd = r.n_words >= divergence.JUDGED_WORDS and (r.class_distance > divergence.MAX_CLASS_DISTANCE or (r.word_distance or 0) > divergence.MAX_WORD_DISTANCE)
         assert r.kept == (not r.base_failed and not odd)
     assert not any(by[200 + k].kept for k in range(5)) and by[302].kept
 
@@ -263,7 +268,9 @@ def test_word_histogram_distance():
     found = np.concatenate([rng.choice(keys, 300), rng.integers(0, 2**63, 100, dtype=np.uint64)])
     counts = Counter(np.searchsorted(keys, x) if x in keys else 10 for x in found)
     want = distance_by_hand(counts, dict(enumerate((np.arange(11) + 5).tolist())))
-    assert near.distances(b"abc", found)[1] == pytest.approx(want)
+    none = np.empty(0, np.uint64)
+    assert near.distances(np.ones(7, np.int64), found, none)[1] == pytest.approx(want)
+    assert divergence.Reference(near.classes, keys, near.counts, True).distances(np.ones(7, np.int64), none, found)[1] == pytest.approx(want)
     assert divergence.distance(np.array([5, 0]), np.array([0, 9])) == pytest.approx(math.sqrt(1 - 1 / (8 * 5 * math.log(2))))
     assert divergence.distance(np.array([0, 0]), np.array([0, 9])) == 0
 
@@ -271,9 +278,54 @@ def test_word_histogram_distance():
 def test_counted_in_several_batches_of_words(spark):
     docs = documents(spark, [(k, " ".join(words_of(k, 60, 90)), "en") for k in range(60)])
     one, many = divergence.references(docs.coalesce(1)), divergence.references(docs.repartition(7))
-    assert set(one) == set(many) == {"en"}
-    for name in one:
-        assert (one[name].words == many[name].words).all() and (one[name].counts == many[name].counts).all()
+    assert set(one.sent) == set(many.sent) == {"en"} and one.table is None and (one.pooled == many.pooled).all()
+    for a, b in zip(one.sent.values(), many.sent.values(), strict=True):
+        assert (a.words == b.words).all() and (a.counts == b.counts).all() and (a.classes == b.classes).all()
+
+
+def test_every_language_is_judged_however_many(spark, monkeypatch):
+    """1,200 labels: those beyond the ones sent are joined to their references, and unseen labels are judged by classes."""
+    monkeypatch.setattr(divergence, "SENT_LANGUAGES", 3)
+    monkeypatch.setattr(divergence, "REFERENCE_DOCS", 4)
+    own = lambda lang, n, seed: " ".join(random.Random(seed).choices([f"{lang}q{j}" for j in range(30)], k=n))
+    rows = [(k, own(f"l{k % 40}", 80, 1000 * k), f"l{k % 40}") for k in range(320)]
+    rows += [(5000 + k, own("l7", 80, 31 * k), "l8") for k in range(3)]  # words of another language
+    rows += [(6000 + k, " ".join(f"%${k}{j}&" for j in range(90)), f"x{k}") for k in range(1160)]  # junk under unseen labels
+    rows += [(8000, own("l5", 80, 77), "y1"), (8001, own("l5", 80, 78), None)]
+    docs = documents(spark, rows).repartition(4)
+    known = divergence.references(docs.where("doc_id < 320"), word_share=1 / 500)
+    assert len(known.sent) == 3 and known.table.count() == 37
+    got = {r.doc_id: r for r in divergence.judge(docs, known).collect()}
+    assert len(got) == len(rows)
+    assert all(got[k].kept and got[k].word_distance is not None for k in range(320))
+    assert not any(got[5000 + k].kept for k in range(3)) and not any(got[6000 + k].kept for k in range(1160))
+    assert got[8000].kept and got[8000].word_distance is None and got[8001].word_distance is not None
+
+
+def test_scripts_without_spaces(spark):
+    """Han prose is told from other scripts and symbols by classes, and from shuffled characters by pairs."""
+    rng = random.Random(6)
+    lexicon = ["".join(chr(0x4E00 + rng.randrange(900)) for _ in range(rng.randrange(1, 4))) for _ in range(60)]
+    prose = lambda k: " ".join("".join(random.Random(100 * k + j).choices(lexicon, k=9)) + "\u3002" for j in range(60))
+    rows = [(k, prose(k), "zh") for k in range(40)]
+    noise = " ".join("".join(chr(0x4E00 + rng.randrange(900)) for _ in range(18)) + "\u3002" for _ in range(60))
+    other = " ".join("".join(chr(0x0430 + rng.randrange(32)) for _ in range(18)) for _ in range(60))
+    signs = " ".join("".join(chr(0x2190 + rng.randrange(90)) for _ in range(18)) for _ in range(60))
+    rows += [(100, noise, "zh"), (101, other, "zh"), (102, signs, "zh")]
+    docs = documents(spark, rows)
+    known = divergence.references(docs.where("doc_id < 100"))
+    assert known.sent["zh"].pairs and known.sent["zh"].classes[divergence.CLASSES.index("han")] > 0
+    got = {r.doc_id: r for r in divergence.judge(docs, known).collect()}
+    assert all(got[k].kept for k in range(40)) and not any(got[k].kept for k in (100, 101, 102))
+    assert got[100].class_distance < 0.1 and min(got[101].class_distance, got[102].class_distance) > 0.5
+
+
+def test_classes_of_characters():
+    shown, pairs = divergence.characters("aÉ1 \u00a0.\u3002#\u20ac\u0431\u03b1\u05d0\u0915\u0e01\uac00\u3042\u4e00\U00020000\u0301\u200b")
+    assert dict(zip(divergence.CLASSES, shown.tolist(), strict=True)) == {
+        "lower": 1, "upper": 1, "digit": 1, "space": 2, "mark": 2, "symbol": 2, "other letter": 1, "control": 1, "greek": 1, "cyrillic": 1,
+        "semitic": 1, "indic": 1, "southeast asian": 1, "hangul": 1, "kana": 1, "han": 2, "other script": 0}
+    assert len(pairs) == 4 and len(divergence.characters("plain text")[1]) == 0
 
 
 def test_no_documents(spark):
