@@ -7,7 +7,7 @@ import sys
 
 import corpus_pipeline
 import pytest
-from helpers import AWKWARD, documents
+from helpers import AWKWARD, documents, words_of
 from test_groups import brute
 from test_tokens import check_sequences, whole
 
@@ -54,6 +54,16 @@ def test_run_reads_the_tables(spark, tmp_path):
         assert r.length > 0
 
 
+def test_near_duplicates_keep_rows_without_an_id_and_texts_that_share_one(spark):
+    a, b, c = (" ".join(words_of(k, 90)) for k in (1, 2, 3))
+    near = lambda text: text.rsplit(" ", 1)[0]
+    rows = [(5, a), (5, b), (3, near(a)), (None, near(b)), (None, c), (None, near(c)), (None, "short"), (5, b), (4, None), (6, "")]
+    out = corpus_pipeline.near_duplicates(spark, documents(spark, rows), "nowhere").collect()
+    kept = sorted(((r.doc_id, r.text) for r in out), key=repr)
+    assert [r for r in kept if r[0] is not None] == sorted([(3, near(a)), (5, b), (4, None), (6, "")], key=repr)
+    assert (None, "short") in kept and sum(t in (c, near(c)) for _, t in kept) == 1 and len(kept) == 6
+
+
 def test_stages_take_awkward_and_empty_tables(spark):
     for rows in (AWKWARD, []):
         docs = documents(spark, rows)
