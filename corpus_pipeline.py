@@ -10,8 +10,8 @@ Each stage takes what the one before kept. All but the last return the columns o
    0.8 or more) the document with the smallest doc_id stays.
 4. packing: what is left is tokenized and packed into sequences, a row per piece.
 
-Rows repeating a kept doc_id stay together until near-duplicate removal, which keeps
-one row of them; rows without a doc_id cannot be told apart from near copies and go there.
+Rows repeating a doc_id with another text, and rows without one, are documents of their
+own; of rows alike in both one stays.
 """
 
 from __future__ import annotations
@@ -42,10 +42,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    kept = hyperminhash.near_groups(docs, NEAR).where("kept").select("doc_id").distinct()
-    # joined by id: copies of one text have ids of their own, so no id holds many rows
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    """One document of each group of near copies.
+
+    A row is named by its id and 128 bits of its text, so different texts under one id
+    and texts without an id are documents of their own.
+    """
+    named = docs.select(*COLUMNS).withColumns({"_a": F.xxhash64("text"), "_b": F.xxhash64("text", F.lit(1))})
+    found = hyperminhash.near_groups(named, NEAR, ["_a", "_b"]).where("first").select("doc_id", "_a", "_b")
+    # texts without a word are alone, each row of them
+    name = [F.struct(F.coalesce("doc_id", F.col("_a")).alias("id"), F.col("doc_id").isNull().alias("none"), "_a", "_b").alias("_name")]
+    kept = found.select(*name).distinct()
+    return named.select("*", *name).join(kept, "_name", "left_semi").dropDuplicates(["_name"]).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
