@@ -29,8 +29,8 @@ from linkloom.llm import common
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-# Distinct parts a worker keeps; emptied when full.
-MAX_PARTS = 500_000
+# Distinct parts of a generation, of which a worker keeps two: parts met again move to the newer one.
+MAX_PARTS = 250_000
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -151,9 +151,12 @@ class PieceModel:
 class Backend:
     """A worker's tokenizer with its proven parts.
 
-    ``encode`` gives ids (little-endian uint32), whether they are SentencePiece's
-    and whether both decode alike. A part is what stands between single spaces, and
-    ends before a line feed; a text with longer runs of spaces is encoded and checked whole.
+    ``encode`` gives ids (little-endian uint32), whether they are SentencePiece's and both
+    decode alike, and whether the text comes back. A part is what stands between single
+    spaces, and ends before a line feed; a text with longer runs of spaces is encoded and
+    checked whole. Parts prove their text: no piece holds a marker behind another
+    character, so neither library joins anything across a part's first marker, a text's
+    ids are its parts' ids in a row, and its decoding is theirs, each behind a space.
     """
 
     def __init__(self, data: bytes, threads: int):
@@ -162,10 +165,15 @@ class Backend:
         self.model = PieceModel.parse(data)
         self.tokenizer, self.threads = self.model.tokenizer(), threads
         self.oracle = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.parts: dict[str, tuple[bytes, bool]] = {}
+        self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        # parts whose ids or decoded texts differ, and parts that do not come back
+        self.unlike: set[str] = set()
+        self.changed: set[str] = set()
         self.simple = self.model.cut_at_marks() and self.model.dummy_prefix and not self.model.charsmap
 
-    def _prove(self, texts: list[str]) -> list[tuple[bytes, bool]]:
+    def _prove(self, texts: list[str], cut: bool) -> list[tuple[bytes, bool, bool]]:
+        """Ids, parity and round trip of texts, or of parts a text was cut into."""
         if not texts:
             return []
         found = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -173,25 +181,36 @@ class Backend:
         decoded = self.tokenizer.decode_batch(found, skip_special_tokens=False)
         undone = self.oracle.decode(wanted, num_threads=self.threads)
         # a part from a line feed on has no marker in its text: the one given to it goes
-        kept = [ids[1:] if self.simple and text.startswith("\n") else ids for ids, text in zip(found, texts, strict=True)]
+        kept = [ids[1:] if cut and text.startswith("\n") else ids for ids, text in zip(found, texts, strict=True)]
         return [
-            (struct.pack(f"<{len(own)}I", *own), ids == right and text == back)
-            for own, ids, right, text, back in zip(kept, found, wanted, decoded, undone, strict=True)
+            (struct.pack(f"<{len(own)}I", *own), ids == right and own_text == back, own_text == text)
+            for own, ids, right, own_text, back, text in zip(kept, found, wanted, decoded, undone, texts, strict=True)
         ]
 
-    def _prove_whole(self, texts: list[str]) -> list[tuple[bytes, bool]]:
-        simple, self.simple = self.simple, False
-        try:
-            return self._prove(texts)
-        finally:
-            self.simple = simple
-
-    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bool]]:
+    def _learn(self, fresh: set[str]) -> None:
+        new = []
+        for part in fresh:
+            ids = self.older.get(part)
+            if ids is None:
+                new.append(part)
+            else:
+                self.parts[part] = ids
+        for part, (ids, same, back) in zip(new, self._prove(new, True), strict=True):
+            self.parts[part] = ids
+            if not same:
+                self.unlike.add(part)
+            if not back:
+                self.changed.add(part)
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bool, bool]]:
+        if len(self.parts) > MAX_PARTS:
+            self.parts, self.older = {}, self.parts
+            # only parts that are still held are looked at
+            self.unlike &= self.older.keys()
+            self.changed &= self.older.keys()
         cut: list[list[str] | None] = []
-        fresh: dict[str, None] = {}
+        fresh: set[str] = set()
         whole: list[str] = []
-        if len(self.parts) > MAX_PARTS:
-            self.parts.clear()
         known = self.parts
         for text in texts:
             text = text or ""
@@ -201,18 +220,13 @@ class Backend:
                 whole.append(text)
             else:
                 cut.append(parts)
-                fresh.update((p, None) for p in set(parts) if p not in known)
-        new = list(fresh)
-        known.update(zip(new, self._prove(new), strict=True))
-        others = iter(self._prove_whole(whole))
-        out = []
-        for parts in cut:
-            if parts is None:
-                out.append(next(others))
-            else:
-                found = [known[p] for p in parts]
-                out.append((b"".join([ids for ids, _ in found]), all([same for _, same in found])))
-        return out
+                fresh.update(parts)
+        self._learn(fresh - known.keys())
+        others = iter(self._prove(whole, False))
+        same = lambda parts, odd: not odd or odd.isdisjoint(parts)
+        return [
+            next(others) if parts is None else (b"".join(map(known.__getitem__, parts)), same(parts, self.unlike), same(parts, self.changed)) for parts in cut
+        ]
 
     def decode(self, encoded: list[bytes | None]) -> list[str]:
         ids = [struct.unpack(f"<{len(x) // 4}I", x) if x else () for x in encoded]
@@ -233,9 +247,9 @@ def encode(docs: DataFrame, path: str, threads: int | None = None) -> DataFrame:
     """Encode ``docs(doc_id, text)``: doc_id, ids (little-endian uint32), n_tokens, ids_crc32, parity, round_trip.
 
     Null texts count as empty and give no ids. parity says that SentencePiece gives the
-    same ids and the same text back for every part; round_trip that the whole text comes
-    back from the ids (a model that normalises texts need not give it). ``threads``
-    defaults to the cores of a task.
+    same ids and the same text back (for every part of a text that can be cut); round_trip
+    that the text comes back from the ids (a model that normalises texts need not give
+    it). ``threads`` of the library encode each batch; by default the cores of a task.
     """
     with open(path, "rb") as source:
         data = source.read()  # a vocabulary, below a few MB whatever the input
@@ -250,12 +264,10 @@ def encode(docs: DataFrame, path: str, threads: int | None = None) -> DataFrame:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 texts = [text or "" for text in part.column(1).to_pylist()]
-                found = own.encode(texts)
-                back = own.decode([ids for ids, _ in found])
+                ids, same, back = zip(*own.encode(texts), strict=True)
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([ids for ids, _ in found], pa.binary()), pa.array([len(ids) // 4 for ids, _ in found], pa.int64()),
-                    pa.array([zlib.crc32(ids) for ids, _ in found], pa.int64()), pa.array([same for _, same in found], pa.bool_()),
-                    pa.array([a == b for a, b in zip(texts, back, strict=True)], pa.bool_()),
+                    part.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(same, pa.bool_()), pa.array(back, pa.bool_()),
                 ], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))

@@ -222,8 +222,8 @@ def test_unigram_models_are_rebuilt_too():
     oracle = sentencepiece.SentencePieceProcessor(model_proto=data)
     rng = random.Random(3)
     texts = ["", "the abc", "a  b", "é the"] + ["".join(rng.choice("abcthe \n") for _ in range(30)) for _ in range(200)]
-    for text, (ids, same) in zip(texts, backend.encode(texts), strict=True):
-        assert same and list(struct.unpack(f"<{len(ids) // 4}I", ids)) == oracle.encode(text), text
+    for text, (ids, same, back) in zip(texts, backend.encode(texts), strict=True):
+        assert same and back == (oracle.decode(oracle.encode(text)) == text) and list(struct.unpack(f"<{len(ids) // 4}I", ids)) == oracle.encode(text), text
 
 
 def test_long_text_is_encoded_whole():
