@@ -12,6 +12,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -237,19 +239,29 @@ def node_columns(samples: DataFrame, order: list[str] | None = None) -> DataFram
     return samples.select("session", "t_ms", *(order or []), "forced_kind", "x", "y", *arrays, content.alias("_content"))
 
 
-def track_of(batch: pd.DataFrame) -> Track:
-    links = [batch[f"link_{f}"].tolist() for f in _READING]
-    xy = [pd.to_numeric(batch[c]).to_numpy(float, na_value=math.nan) for c in ("x", "y")]
-    return Track(batch["t_ms"].to_numpy(), batch["forced_kind"].tolist(), *xy, *links)
+def track_of(batch: pa.RecordBatch | pa.Table | pd.DataFrame) -> Track:
+    """Samples of ``node_columns`` as columns of plain values; lists are read where they lie, not row by row."""
+    if isinstance(batch, pd.DataFrame):
+        batch = pa.Table.from_pandas(batch[["t_ms", "forced_kind", "x", "y", *[f"link_{f}" for f in _READING]]], preserve_index=False)
+    whole = lambda name: batch.column(name).combine_chunks() if isinstance(batch, pa.Table) else batch.column(name)
+    plain = lambda column: column.to_numpy(zero_copy_only=False).astype(float).tolist()
+    peers = whole("link_index")
+    offsets = peers.offsets.to_numpy()
+    flat = [whole(f"link_{f}").flatten() for f in _READING]
+    return Track(
+        whole("t_ms").to_pylist(), whole("forced_kind").to_pylist(), plain(whole("x")), plain(whole("y")), (offsets - offsets[0]).tolist(),
+        flat[0].to_pylist(), flat[1].to_pylist(), plain(flat[2]), plain(flat[3]),
+    )
+
+
+_VERDICT = "t_ms bigint, kind string, note string, suppressed boolean"
 
 
-def _decided(batch: pd.DataFrame, said: dict[int, tuple[str, str]]) -> pd.DataFrame:
-    verdicts = [said.get(k, (None, "")) for k in range(len(batch))]
-    out = batch[["session", "t_ms"]].copy()
-    out["kind"] = [kind for kind, _ in verdicts]
-    out["note"] = [note for _, note in verdicts]
-    out["suppressed"] = [kind is None for kind, _ in verdicts]
-    return out
+def _decided(session: pa.Array, t: pa.Array, said: dict[int, tuple[str, str]], size: int) -> list[pa.Array]:
+    kind, note = [None] * size, [""] * size
+    for at, (of, why) in said.items():
+        kind[at], note[at] = of, why
+    return [session, t, pa.array(kind, pa.string()), pa.array(note, pa.string()), pa.array([k is None for k in kind], pa.bool_())]
 
 
 def event_suppression(
@@ -276,27 +288,28 @@ def event_suppression(
     bound = limit or min(200_000, settings.hot_rows(samples.sparkSession))
     total = ["t_ms", *(order or []), "_content"]
     history = History(node_columns(samples, order), ["session"], total, bound)
-    schema = StructType.fromDDL("t_ms bigint, kind string, note string, suppressed boolean")
-    schema = StructType([samples.schema["session"], *schema.fields])
+    schema = StructType([samples.schema["session"], *StructType.fromDDL(_VERDICT).fields])
     if history.chunked:
         return _suppress_chunked(history, limits, schema)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known = None, Heard()
         for batch in batches:
-            track, session, said = track_of(batch), batch["session"], {}
-            begins = np.flatnonzero((session != session.shift()).to_numpy())
-            for start, stop in zip(begins, [*begins[1:], len(batch)], strict=True):
-                if start or last is None or session.iloc[0] != last:
+            if not batch.num_rows:
+                continue
+            track, session, said = track_of(batch), batch.column("session"), {}
+            runs = pc.run_end_encode(session)
+            ends = runs.run_ends.to_pylist()
+            for start, stop, name in zip([0, *ends[:-1]], ends, runs.values.to_pylist(), strict=True):
+                if start or last is None or name != last[0]:
                     known = Heard()
                 for at, kind, note, known in track.reports(known, start, stop, limits):
                     said[at] = kind, note
-            if len(batch):
-                last = session.iloc[-1]
-            yield _decided(batch, said)
+                last = (name,)
+            yield pa.RecordBatch.from_arrays(_decided(session, batch.column("t_ms"), said, len(track)), names=schema.names)
 
     ordered = spread(history.df, "session").sortWithinPartitions("session", *total)
-    return ordered.mapInPandas(scan, schema)
+    return ordered.mapInArrow(scan, schema)
 
 
 def _suppress_chunked(history: History, limits: Thresholds, schema: StructType) -> DataFrame:
@@ -341,7 +354,9 @@ def _suppress_chunked(history: History, limits: Thresholds, schema: StructType)
         last = np.flatnonzero(piece["_number"].to_numpy()[:own] == entry)
         known = track.heard(int(last[0])) if len(last) else Heard()
         said = {at - own: (kind, note) for at, kind, note, _ in track.reports(known, own, len(track), limits)}
-        return _decided(piece.iloc[own:], said)
+        out = piece[["session", "t_ms"]].iloc[own:].copy()
+        verdicts = [said.get(k, (None, "")) for k in range(len(out))]
+        return out.assign(kind=[kind for kind, _ in verdicts], note=[note for _, note in verdicts], suppressed=[kind is None for kind, _ in verdicts])
 
     return spread(entered, *keys).groupBy(*keys).applyInPandas(decide, schema)
 

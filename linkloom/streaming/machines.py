@@ -120,6 +120,10 @@ def stream_vad_edges(
     return run_machine(levels, ["stream"], ["t_ms"], machine, "t_ms bigint, edge string")
 
 
+def _unknown(value: float | None) -> float:
+    return math.nan if value is None else value
+
+
 def suppression_machine(limits: Thresholds) -> type[Machine]:
     class Suppression(Machine):
         """Keeps what the sink last heard; a micro-batch of samples is searched at once."""
@@ -129,14 +133,12 @@ def suppression_machine(limits: Thresholds) -> type[Machine]:
 
         def walk(self, rows):
             m, said = self.memory, {}
-            peer, state, rtt, loss = m["links"]
-            known = Heard(
-                m["t"], *(m["place"] or (math.nan, math.nan)), np.array(peer, np.int64), np.array(state, object), np.array(rtt, float), np.array(loss, float)
-            )
+            links = {int(peer): (state, *map(_unknown, (rtt, loss))) for peer, state, rtt, loss in zip(*m["links"], strict=True)}
+            known = Heard(m["t"], *(m["place"] or (math.nan, math.nan)), links)
             for at, kind, note, known in track_of(rows).reports(known, 0, len(rows), limits):
                 said[at] = kind, note
             place = None if math.isnan(known.x) else (known.x, known.y)
-            m.update(t=known.t, place=place, links=[c.tolist() for c in (known.peer, known.state, known.rtt, known.loss)])
+            m.update(t=known.t, place=place, links=[c.tolist() for c in known.columns()])
             verdicts = [said.get(k, (None, "")) for k in range(len(rows))]
             return [(int(t), kind, note, kind is None) for t, (kind, note) in zip(rows["t_ms"], verdicts, strict=True)]
 

@@ -239,7 +239,8 @@ def reading(index=1, state="connected", rtt=40.0, loss=0.0):
     ((0, 0), [reading(rtt=90.0)], "link"), ((0, 0), [reading(rtt=48.0)], None), ((0, 0), [reading(loss=3.0)], "link")])
 def test_event_rules(pos, links, kind):
     samples = [(50_000, None, 0, 0, [reading()]), (52_000, None, *pos, links)]
-    track = Track(*(list(c) for c in zip(*(d[:4] for d in samples))), *([[r[k] for r in d[4]] for d in samples] for k in range(4)))
+    first = [0, len(samples[0][4]), len(samples[0][4]) + len(samples[1][4])]
+    track = Track(*(list(c) for c in zip(*(d[:4] for d in samples))), first, *([r[k] for d in samples for r in d[4]] for k in range(4)))
     said = {at: (why, note) for at, why, note, _ in track.reports(Heard(), 0, 2, Thresholds())}
     assert said[0] == ("move", "first position fix") and said.get(1, (None,))[0] == kind
 
