@@ -1,22 +1,26 @@
 """Loopback latency over recordings held as frame tables (recording_id, frame, ref, mic).
 
 The unit of work is a stretch of frames, not a recording, so one very long
-recording spreads like many short ones. The filters are linear and their impulse
-responses fade: each stretch is computed with the frames before it that still
-matter, down to 2**-60 of full scale, below the rounding of a double.
+recording spreads like many short ones. The filters are linear. Where their impulse
+response fades soon, each stretch is computed with the frames before it that still
+matter, down to 2**-60 of full scale, below the rounding of a double. Where it outlasts a
+stretch (a sharp filter, a slow envelope), a stretch is an affine map of the filter's
+state: the maps' constants are found apart, composed in order to the state each stretch
+is entered with, and the stretches are then filtered apart from these states.
 """
 
 from __future__ import annotations
 
 import cmath
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from linkloom import session as settings
 from linkloom.functions.percentiles import exact_percentiles
@@ -106,16 +110,143 @@ def _by_stretch(
     return spread(pieces, REC, "_stretch").groupBy(REC, "_stretch").applyInPandas(run, schema)
 
 
+class Recurrence:
+    """y[n] = b0 x[n] + b1 x[n-1] + b2 x[n-2] - a1 y[n-1] - a2 y[n-2], with two numbers of state.
+
+    ``run`` works in blocks: all blocks are convolved at once as if entered at rest, then
+    the state is carried from block to block and its free response added. No response
+    has to fade, so it is exact for any poles inside the unit circle.
+    """
+
+    BLOCK = 512
+
+    def __init__(self, b: tuple[float, float, float], a: tuple[float, float]):
+        self.b, self.a = b, a
+        self.move = np.array([[-a[0], 1.0], [-a[1], 0.0]])  # the state after one frame of silence
+        # what each state contributes to the following outputs, and the response to one frame
+        free, step = np.empty((self.BLOCK, 2)), np.eye(2)
+        for n in range(self.BLOCK):
+            free[n] = step[0]
+            step = self.move @ step
+        self.free, self.over_block = free, step
+        kick = np.array([b[1] - a[0] * b[0], b[2] - a[1] * b[0]])
+        self.response = np.concatenate([[b[0]], free[:-1] @ kick])
+
+    def run(self, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Outputs from the given state, and the state behind them."""
+        blocks = np.zeros((-(-len(x) // self.BLOCK), self.BLOCK))
+        blocks.ravel()[: len(x)] = x
+        size = 2 * self.BLOCK
+        y = np.fft.irfft(np.fft.rfft(blocks, size) * np.fft.rfft(self.response, size), size)[:, : self.BLOCK]
+        entered = np.empty((len(blocks), 2))
+        for k, (own, out) in enumerate(zip(blocks, y, strict=True)):
+            entered[k] = state
+            state = self.over_block @ state + self._left(own, out)
+        y = (y + entered @ self.free.T).ravel()[: len(x)]
+        if len(x) == 1:
+            return y, self._left(x, y) + np.array([entered[0][1], 0.0])
+        return y, self._behind(x, y, len(x)) if len(x) else state
+
+    def _left(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The state a stretch entered at rest leaves."""
+        return self._behind(np.concatenate([[0.0], x]), np.concatenate([[0.0], y]), len(x) + 1)
+
+    def _behind(self, x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+        second = lambda k: self.b[2] * x[k] - self.a[1] * y[k]
+        return np.array([self.b[1] * x[n - 1] - self.a[0] * y[n - 1] + second(n - 2), second(n - 1)])
+
+    def entered(self, stretches: np.ndarray, left: np.ndarray, size: int) -> np.ndarray:
+        """For stretches in order, and the states they leave when entered at rest, the states they are entered with."""
+        found, state, at = np.empty_like(left), np.zeros(2), None
+        over = np.linalg.matrix_power(self.move, size)
+        for k, stretch in enumerate(stretches.tolist()):
+            if at is not None:
+                state = over @ state + left[k - 1]
+                if stretch > at + 1:  # stretches without frames are silent
+                    state = np.linalg.matrix_power(over, stretch - at - 1) @ state
+            found[k], at = state, stretch
+        return found
+
+
+def bandpass(fs: float, freq: float, q: float) -> Recurrence:
+    turn = 2 * math.pi * freq / fs
+    alpha = math.sin(turn) / (2 * q)
+    gain = alpha / (1 + alpha)
+    return Recurrence((gain, 0.0, -gain), (-2 * math.cos(turn) / (1 + alpha), (1 - alpha) / (1 + alpha)))
+
+
+def smoothing(fs: float, tau_ms: float) -> Recurrence:
+    keep = math.exp(-1.0 / (tau_ms / 1000.0 * fs))
+    return Recurrence((1 - keep, 0.0, 0.0), (-keep, 0.0))
+
+
+def _scanned(df: DataFrame, filter_: Recurrence, prepare: Callable[[np.ndarray], np.ndarray], stretch: int) -> DataFrame:
+    """Apply the filter to each channel, stretch by stretch, each entered with the state the ones before it leave.
+
+    Two passes over the frames; between them one small row per stretch, which one task
+    per recording puts in order.
+    """
+    channels = [c for c in ("ref", "mic") if c in df.columns]
+    rows = df.select(REC, "frame", *channels).withColumn("_stretch", F.floor(F.col("frame") / stretch))
+    keys = [REC, "_stretch"]
+
+    def dense(piece: pd.DataFrame, channel: str, start: int) -> np.ndarray:
+        out = np.zeros(stretch)
+        out[(piece["frame"] - start).to_numpy()] = piece[channel].to_numpy(dtype=float)
+        return prepare(out)
+
+    def leave(key: tuple, piece: pd.DataFrame) -> pd.DataFrame:
+        states = [filter_.run(dense(piece, c, key[1] * stretch), np.zeros(2))[1].tolist() for c in channels]
+        return pd.DataFrame({REC: [key[0]], "_stretch": [key[1]], "_states": [states]})
+
+    def chain(piece: pd.DataFrame) -> pd.DataFrame:
+        piece = piece.sort_values("_stretch", ignore_index=True)
+        left = np.array([[list(s) for s in states] for states in piece["_states"]], float)  # stretches x channels x 2
+        entered = np.stack([filter_.entered(piece["_stretch"].to_numpy(), left[:, c], stretch) for c in range(len(channels))], axis=1)
+        return piece[keys].assign(_states=entered.tolist())
+
+    def finish(key: tuple, piece: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
+        start, out = key[1] * stretch, {REC: piece[REC], "frame": piece["frame"]}
+        for c, channel in enumerate(channels):
+            y, _ = filter_.run(dense(piece, channel, start), np.array(list(entry["_states"].iloc[0][c]), float))
+            out[channel] = y[(piece["frame"] - start).to_numpy()].astype(np.float32)
+        return pd.DataFrame(out)
+
+    state = StructType([df.schema[REC]]).add("_stretch", "long").add("_states", ArrayType(ArrayType(DoubleType())))
+    left = spread(rows, *keys).groupBy(*keys).applyInPandas(leave, state)
+    entered = left.groupBy(REC).applyInPandas(chain, state)
+    schema = StructType([df.schema[REC], df.schema["frame"]])
+    for channel in channels:
+        schema = schema.add(channel, "float")
+    return spread(rows, *keys).groupBy(*keys).cogroup(entered.groupBy(*keys)).applyInPandas(finish, schema)
+
+
+def _outlasts(response_frames: float, stretch: int) -> bool:
+    """Whether a lead-in would be longer than a quarter of a stretch."""
+    return response_frames > stretch / 4
+
+
+def _fade(pole: float) -> float:
+    """Frames until a pole's response has faded."""
+    return math.inf if pole >= 1 else math.log(FADE) / math.log(pole) if pole > 0 else 1.0
+
+
 def bandpass_filter(
     df: DataFrame, fs: float, freq: float = FREQ_HZ, q: float = Q, stretch: int = STRETCH
 ) -> DataFrame:
     """Band-pass both channels; the same filter on both keeps its delay out of the result."""
+    sharp = bandpass(fs, freq, q)
+    if _outlasts(_fade(math.sqrt(sharp.a[1])), stretch):
+        return _scanned(df, sharp, lambda x: x, stretch)
     response = bandpass_response(fs, freq, q)
     return _by_stretch(df, len(response), lambda x: _convolved(x, response), stretch)
 
 
 def envelope(df: DataFrame, fs: float, tau_ms: float = ENVELOPE_MS, stretch: int = STRETCH) -> DataFrame:
     """Rectify and smooth both channels."""
+    slow = smoothing(fs, tau_ms)
+    if _outlasts(_fade(-slow.a[0]), stretch):
+        return _scanned(df, slow, np.abs, stretch)
     response = smoothing_response(fs, tau_ms)
     return _by_stretch(df, len(response), lambda x: _convolved(np.abs(x), response), stretch)
 
@@ -124,7 +255,9 @@ def filtered_envelope(
     df: DataFrame, fs: float, freq: float = FREQ_HZ, q: float = Q,
     tau_ms: float = ENVELOPE_MS, stretch: int = STRETCH,
 ) -> DataFrame:
-    """Band-pass and envelope in one pass over the frames, with both lead-ins."""
+    """Band-pass and envelope in one pass over the frames, with both lead-ins; one after the other where one outlasts a stretch."""
+    if _outlasts(_fade(math.sqrt(bandpass(fs, freq, q).a[1])) + _fade(-smoothing(fs, tau_ms).a[0]), stretch):
+        return envelope(bandpass_filter(df, fs, freq, q, stretch), fs, tau_ms, stretch)
     band, smooth = bandpass_response(fs, freq, q), smoothing_response(fs, tau_ms)
 
     def work(x: np.ndarray) -> np.ndarray:
@@ -251,26 +384,85 @@ def noise_floor(df: DataFrame, fs: float) -> DataFrame:
 # Correlation
 
 
-def _correlations(ref: np.ndarray, mic: np.ndarray, lags: int) -> np.ndarray:
-    """Normalized correlation of the window with each shift; 0 where either is constant."""
-    windows = np.lib.stride_tricks.sliding_window_view(mic, len(ref))[:lags]
-    a = ref - ref.mean()
-    b = windows - windows.mean(axis=1, keepdims=True)
-    power = (a @ a) * np.einsum("ij,ij->i", b, b)
-    return np.divide(b @ a, np.sqrt(power), out=np.zeros(len(b)), where=power > 0)
+# Window length from which the products are formed in the frequency domain.
+FFT_WINDOW = 128
 
 
-def window_ncc(
-    df: DataFrame, clicks: DataFrame, fs: float, win_ms: float = WINDOW_MS,
-    pre_ms: float = PRE_ROLL_MS, min_lag_ms: float = MIN_LAG_MS, max_lag_ms: float = MAX_LAG_MS,
-) -> DataFrame:
-    """Correlation per (recording, click, lag) of the click's window with the microphone.
+def _products(a: np.ndarray, mic: np.ndarray, lags: int) -> np.ndarray:
+    """sum(a[i] * mic[lag + i]) per row and lag; long windows by overlap-save."""
+    width = a.shape[1]
+    if width < FFT_WINDOW:
+        return np.einsum("gw,glw->gl", a, np.lib.stride_tricks.sliding_window_view(mic, width, axis=1)[:, :lags])
+    size = 4 << (width - 1).bit_length()
+    step = size - width + 1
+    turned = np.conj(np.fft.rfft(a, size))
+    out = np.empty((len(a), lags))
+    for start in range(0, lags, step):
+        part = np.fft.irfft(np.fft.rfft(mic[:, start:start + size], size) * turned, size)
+        out[:, start:start + step] = part[:, : min(step, lags - start)]
+    return out
 
-    ``df`` and ``clicks`` count frames at the same rate ``fs``. Frames meet clicks
-    through buckets as wide as a search span, so a frame is copied to the one or
-    two clicks near it; a group is one span. Each row also carries its neighbours
-    on the lag axis (NULL at its ends) and the level at the echo's onset.
+
+def _correlations(ref: np.ndarray, mic: np.ndarray, lags: int) -> np.ndarray:
+    """Normalized correlation of each row's window with each shift; 0 where either is constant.
+
+    The window's mean is taken off once. Sums and powers of the shifts come from running
+    sums; a shift whose power is lost in their rounding is summed by itself.
     """
+    width = ref.shape[1]
+    a = ref - ref.mean(axis=1, keepdims=True)
+    flat = (ref == ref[:, :1]).all(axis=1)
+    level = mic - mic.mean(axis=1, keepdims=True)
+    running = lambda x: np.concatenate([np.zeros((len(x), 1)), np.cumsum(x, axis=1)], axis=1)
+    over = lambda x: x[:, width:width + lags] - x[:, :lags]
+    total, squares = running(level), running(level**2)
+    power = over(squares) - over(total) ** 2 / width
+    # a shift without a change inside is constant
+    changes = running((np.diff(mic, axis=1) != 0).astype(np.int64))
+    still = changes[:, width - 1:width - 1 + lags] == changes[:, :lags]
+    for row, lag in np.argwhere(~still & (power <= 1e-6 * squares[:, -1:])).tolist():
+        own = mic[row, lag:lag + width]
+        power[row, lag] = ((own - own.mean()) ** 2).sum()
+    both = np.einsum("gw,gw->g", a, a)[:, None] * power
+    good = ~still & ~flat[:, None] & (both > 0)
+    return np.divide(_products(a, level, lags), np.sqrt(np.where(good, both, 1.0)), out=np.zeros((len(ref), lags)), where=good)
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Rows (recording, click, _at, ref, mic) in order as clicks of equal length: their keys, ref and mic with a row per click."""
+    held: pa.Table | None = None
+
+    def cut(rows: pa.Table, ends: np.ndarray) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+        starts = np.concatenate([[0], ends[:-1]])
+        ref, mic = (rows.column(c).to_numpy().astype(float) for c in ("ref", "mic"))
+        keys = rows.select([REC, "click"])
+        for size in np.unique(ends - starts).tolist():
+            own = starts[ends - starts == size]
+            for part in np.array_split(own, max(1, len(own) * size >> 20)):
+                place = part[:, None] + np.arange(size)
+                yield keys.take(pa.array(part)), ref[place], mic[place]
+
+    def ends_of(rows: pa.Table) -> np.ndarray:
+        names = [rows.column(c).combine_chunks().dictionary_encode().indices.to_numpy() for c in (REC, "click")]
+        return np.append(np.flatnonzero((np.diff(names[0]) != 0) | (np.diff(names[1]) != 0)) + 1, len(rows))
+
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        held = rows if held is None else pa.concat_tables([held, rows])
+        if not len(held):
+            continue
+        ends = ends_of(held)
+        if len(ends) > 1:  # the last click may go on in the next batch
+            yield from cut(held, ends[:-1])
+            held = held.slice(int(ends[-2])).combine_chunks()
+    if held is not None and len(held):
+        yield from cut(held, ends_of(held))
+
+
+def _searched(
+    df: DataFrame, clicks: DataFrame, fs: float, win_ms: float, pre_ms: float, min_lag_ms: float, max_lag_ms: float, best: bool
+) -> DataFrame:
+    """Rows (recording, click, lag, ncc, ncc_before, ncc_after, echo_level) of all lags of each click, or of the best one."""
     frames_in = lambda ms: int(ms / 1000.0 * fs)
     win, pre, low, high = map(frames_in, (win_ms, pre_ms, min_lag_ms, max_lag_ms))
     span = win + high + pre + 1
@@ -282,32 +474,59 @@ def window_ncc(
     near = df.withColumn("_bucket", F.floor(F.col("frame") / span))
     near = near.join(broadcast_if_small(wanted), [REC, "_bucket"])
     at = F.col("frame") - F.col("_start")
-    near = near.where((at >= 0) & (at < span)).select(REC, "click", at.cast("int").alias("_at"), "ref", "mic")
-
-    def correlate(key: tuple, piece: pd.DataFrame) -> pd.DataFrame:
-        piece = piece.sort_values("_at")
-        ref, mic = piece["ref"].to_numpy(float), piece["mic"].to_numpy(float)
-        last = min(high, len(mic) - win)
-        if win < 1 or last < 0:
-            last, ncc = low - 1, np.zeros(0)
-        else:
-            ncc = _correlations(ref[:win], mic, last + 1)
-        lags = np.arange(low, last + 1)
-        before = [ncc[i - 1] if 0 < i < last else None for i in lags]
-        after = [ncc[i + 1] if 0 < i < last else None for i in lags]
-        return pd.DataFrame({
-            REC: [key[0]] * len(lags), "click": [key[1]] * len(lags), "lag": lags, "ncc": ncc[lags],
-            "ncc_before": pd.Series(before, dtype=float), "ncc_after": pd.Series(after, dtype=float),
-            "echo_level": mic[np.minimum(lags + pre, len(mic) - 1)],
-        })
-
+    near = near.where((at >= 0) & (at < span)).select(REC, F.col("click").cast("long"), at.cast("int").alias("_at"), "ref", "mic")
     schema = StructType([df.schema[REC]])
     for name, kind in (
         ("click", "long"), ("lag", "long"), ("ncc", "double"), ("ncc_before", "double"),
         ("ncc_after", "double"), ("echo_level", "double"),
     ):
         schema = schema.add(name, kind)
-    return spread(near, REC, "click").groupBy(REC, "click").applyInPandas(correlate, schema)
+
+    def correlate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, ref, mic in _spans(batches):
+            last = min(high, mic.shape[1] - win)
+            if win < 1 or last < low:
+                continue
+            ncc = _correlations(ref[:, :win], mic, last + 1)
+            lags = np.arange(low, last + 1)
+            if best:
+                lags = low + ncc[:, low:].argmax(axis=1)[:, None]
+            else:
+                lags = np.broadcast_to(lags, (len(ncc), len(lags)))
+            row = np.arange(len(ncc))[:, None]
+            inner = (lags > 0) & (lags < last)
+            beside = lambda k: pa.array(ncc[row, np.clip(lags + k, 0, last)].ravel(), mask=~inner.ravel())
+            which = pa.array(np.repeat(np.arange(len(ncc)), lags.shape[1]))
+            own = keys.take(which).combine_chunks()
+            yield pa.RecordBatch.from_arrays([
+                own.column(0).combine_chunks(), own.column(1).combine_chunks(), pa.array(lags.ravel()), pa.array(ncc[row, lags].ravel()),
+                beside(-1), beside(1), pa.array(mic[row, np.minimum(lags + pre, mic.shape[1] - 1)].ravel()),
+            ], names=schema.names)
+
+    ordered = spread(near, REC, "click").sortWithinPartitions(REC, "click", "_at")
+    return ordered.mapInArrow(correlate, schema)
+
+
+def window_ncc(
+    df: DataFrame, clicks: DataFrame, fs: float, win_ms: float = WINDOW_MS,
+    pre_ms: float = PRE_ROLL_MS, min_lag_ms: float = MIN_LAG_MS, max_lag_ms: float = MAX_LAG_MS,
+) -> DataFrame:
+    """Correlation per (recording, click, lag) of the click's window with the microphone.
+
+    ``df`` and ``clicks`` count frames at the same rate ``fs``. Frames meet clicks
+    through buckets as wide as a search span, so a frame is copied to the one or
+    two clicks near it; clicks of equal length are correlated together. Each row also
+    carries its neighbours on the lag axis (NULL at its ends) and the level at the echo's onset.
+    """
+    return _searched(df, clicks, fs, win_ms, pre_ms, min_lag_ms, max_lag_ms, best=False)
+
+
+def strongest_lag(
+    df: DataFrame, clicks: DataFrame, fs: float, win_ms: float = WINDOW_MS,
+    pre_ms: float = PRE_ROLL_MS, min_lag_ms: float = MIN_LAG_MS, max_lag_ms: float = MAX_LAG_MS,
+) -> DataFrame:
+    """``best_lag`` of ``window_ncc`` found where the lags are, so that one row per click leaves the search."""
+    return _searched(df, clicks, fs, win_ms, pre_ms, min_lag_ms, max_lag_ms, best=True)
 
 
 def best_lag(ncc: DataFrame) -> DataFrame:
@@ -364,8 +583,8 @@ def measure_bursts(
     clicks = settled(find_clicks(level, fs, thr, max_lag_ms, limit))
     coarse, rate = decimate(level, d), fs / d
     starts = clicks.withColumn("frame", F.floor(F.col("frame") / d))
-    ncc = window_ncc(coarse, starts, rate, win_ms, pre_ms, min_lag_ms, max_lag_ms)
-    refined = parabolic_refine(best_lag(ncc), rate)
+    best = strongest_lag(coarse, starts, rate, win_ms, pre_ms, min_lag_ms, max_lag_ms)
+    refined = parabolic_refine(best, rate)
     gated = quality_gates(refined.join(noise_floor(coarse, rate), REC), min_db, min_corr)
     timed = gated.join(clicks, [REC, "click"])
     return timed.select(

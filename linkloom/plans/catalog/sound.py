@@ -26,6 +26,13 @@ def bandpass_filter(spark, sf_dir):
     return rounded(passed, "ref", digits=5).select("recording_id", "frame", "ref")
 
 
+@query("bandpass_scan", with_sql("frame", recursive=BAND.replace("/ 8 AS alpha", "/ 400 AS alpha"), body="SELECT recording_id, frame, round(CAST(CAST(y1 AS FLOAT) AS DOUBLE), 5) AS ref FROM walk WHERE frame >= 0"))
+def bandpass_scan(spark, sf_dir):
+    """A filter that rings far beyond the stretches it is computed in."""
+    passed = L.bandpass_filter(T.frames(spark, sf_dir), FS, freq=100.0, q=200.0, stretch=16).withColumn("ref", F.col("ref").cast("double"))
+    return rounded(passed, "ref", digits=5).select("recording_id", "frame", "ref")
+
+
 SMOOTH = """walk AS (
   SELECT recording_id, -1::BIGINT AS frame, 0::DOUBLE AS e FROM (SELECT DISTINCT recording_id FROM frame)
   UNION ALL SELECT w.recording_id, f.frame, w.e + (1 - exp(-0.5::DOUBLE)) * (abs(f.ref) - w.e)
@@ -103,6 +110,12 @@ def best_lag(spark, sf_dir):
     return rounded(L.best_lag(correlated(spark, sf_dir)), "ncc").select("recording_id", "click", "lag", "ncc")
 
 
+@query("strongest_lag", with_sql("frame", "ncc", "best", body="SELECT recording_id, click, lag, round(ncc, 6) AS ncc FROM best"))
+def strongest_lag(spark, sf_dir):
+    found = L.strongest_lag(T.frames(spark, sf_dir), clicks(spark, sf_dir), FS, **WINDOW)
+    return rounded(found, "ncc").select("recording_id", "click", "lag", "ncc")
+
+
 def refined(spark, sf_dir):
     return L.parabolic_refine(L.best_lag(correlated(spark, sf_dir)), FS)
 

@@ -68,6 +68,45 @@ def test_filters_match_the_recurrences(spark, stretch):
     np.testing.assert_allclose(column(L.filtered_envelope(df, FS, stretch=stretch), "ref"), out, atol=1e-6)
 
 
+def test_filters_that_outlast_their_stretches(spark):
+    """Q of 200 and a slow envelope ring for thousands of frames; stretches of 700 are chained by their states."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal(6000).astype(np.float32).astype(float)
+    df = frames(spark, {1: (x, x[::-1]), 2: (x[:650], x[:650])})
+    passed = L.bandpass_filter(df, FS, q=200, stretch=700)
+    for rec, channel, signal in ((1, "ref", x), (1, "mic", x[::-1]), (2, "ref", x[:650])):
+        np.testing.assert_allclose(column(passed, channel, rec), biquad(signal, FS, 2000, 200), atol=1e-6)
+    k, e, out = 1 - np.exp(-1 / (0.5 * FS)), 0.0, []
+    for v in np.abs(x):
+        e += k * (v - e)
+        out.append(e)
+    np.testing.assert_allclose(column(L.envelope(df, FS, tau_ms=500, stretch=700), "ref"), out, atol=1e-6)
+    both = L.envelope(passed, FS, tau_ms=500, stretch=700)
+    np.testing.assert_allclose(column(L.filtered_envelope(df, FS, q=200, tau_ms=500, stretch=700), "mic"), column(both, "mic"), atol=1e-6)
+    # a gap of whole stretches is silence
+    gap = df.where("recording_id = 1 and (frame < 900 or frame >= 3700)")
+    quiet = np.where((np.arange(6000) < 900) | (np.arange(6000) >= 3700), x, 0)
+    got = L.bandpass_filter(gap, FS, q=200, stretch=700).orderBy("frame").toPandas()
+    np.testing.assert_allclose(got["ref"].to_numpy(float), biquad(quiet, FS, 2000, 200)[got["frame"].to_numpy()], atol=1e-6)
+
+
+@pytest.mark.parametrize(("width", "lags"), [(5, 40), (200, 1500), (130, 1)])
+def test_correlations_equal_the_direct_form(width, lags):
+    rng = np.random.default_rng(width)
+    ref = rng.standard_normal((6, width)) + 100
+    mic = rng.standard_normal((6, width + lags + 3)) + 1e3
+    ref[1], mic[2, :width + 5], mic[3] = 0.1, 7.25, 0.1
+    mic[4, width + 1:] = 1e3 + 1e-6 * rng.standard_normal(lags + 2)
+    got = L._correlations(ref, mic, lags)
+    for row in range(6):
+        for lag in range(lags):
+            a, b = ref[row], mic[row, lag:lag + width]
+            still = (a == a[0]).all() or (b == b[0]).all()
+            p, q = a - a.mean(), b - b.mean()
+            want = 0.0 if still else (p @ q) / np.sqrt((p @ p) * (q @ q))
+            assert got[row, lag] == pytest.approx(want, abs=1e-9 if row != 4 else 1e-6)
+
+
 def test_band_passes_its_centre(spark):
     t = np.arange(8000) / FS
     df = frames(spark, {1: (np.sin(2 * np.pi * 2000 * t), np.sin(2 * np.pi * 200 * t))})
@@ -122,6 +161,8 @@ def test_correlation_values(spark):
     assert best[1, 1].lag == 7 and best[1, 1].ncc == pytest.approx(1.0)
     assert best[2, 1].ncc == 0.0 and best[2, 1].lag == 0
     assert ncc.where("recording_id = 1 and lag = 0").first().ncc < 0.99
+    near = {(r.recording_id, r.click): r for r in L.strongest_lag(df, at, 1000.0, win_ms=30, pre_ms=5, max_lag_ms=60).collect()}
+    assert near == best
     assert ncc.where("recording_id = 1").count() == 61
 
 
