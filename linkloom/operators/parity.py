@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.functions.scalars import round_half_even
+from linkloom.functions.scalars import access_of, round_half_even
 
 TOLERANCE = 1
 
@@ -158,6 +158,162 @@ def compare_mart(name: str, expected: DataFrame, mart: DataFrame, tol: float = T
     )
 
 
+# All columns of a mart
+
+
+def _figures(value: Column, name: str, spread: bool = True, rate: bool = False) -> list[Column]:
+    """Median, as it is and rounded, with the least and largest value; ``rate`` marks means."""
+    middle = F.avg(value) if rate else _median(value)
+    made = [F.round(middle).alias(name), middle.alias(name + "_raw")]
+    return made + ([F.min(value).alias(name.replace("_median_", "_min_")), F.max(value).alias(name.replace("_median_", "_max_"))] if spread else [])
+
+
+def _known(value: Column) -> Column:
+    return F.when(value >= 0, value)
+
+
+def _dtx_columns(raw_json: DataFrame) -> DataFrame:
+    runs = _of(raw_json, "dtx").select(
+        F.get_json_object("payload", "$.source").alias("source"), F.coalesce(_json("$.dtx", "boolean"), F.lit(False)).alias("dtx"), _json("$.uplinkKbps", "double").alias("v"))
+    return runs.where("v >= 0").groupBy("source", "dtx").agg(F.count(F.lit(1)).alias("n"), *_figures(F.col("v"), "uplink_median_kbps", spread=False))
+
+
+def _sensing_columns(raw_json: DataFrame) -> DataFrame:
+    clients = _of(raw_json, "sensing").select(
+        F.get_json_object("payload", "$.scenario").alias("scenario"), "source_file",
+        F.explode(F.from_json(F.get_json_object("payload", "$.clients"), "map<string,string>")).alias("c", "body"),
+    ).where("scenario <> ''")
+    share = F.get_json_object("body", "$.stats.suppressedPct").try_cast("double")
+    # a run's clients first, so that runs are counted without a distinct count
+    runs = clients.groupBy("scenario", "source_file").agg(F.collect_list(share).alias("shares"))
+    trials = runs.groupBy("scenario").agg(F.count(F.lit(1)).alias("trials"))
+    medians = runs.select("scenario", F.explode_outer("shares").alias("v")).groupBy("scenario").agg(*_figures(F.col("v"), "suppression_median_pct", spread=False))
+    return trials.join(medians, "scenario")
+
+
+def _gracegap_columns(raw_json: DataFrame) -> DataFrame:
+    read = lambda path: _json(f"$.{path}", "double")
+    runs = _of(raw_json, "gracegap").select(
+        _json("$.absenceMs", "int").alias("absence_ms"), _json("$.graceMs", "int").alias("grace_ms"),
+        read("reconnectGapMs").alias("v"), read("stopAfterOutMs").alias("stop"), read("holdKbps").alias("hold"))
+    return runs.where("v >= 0").groupBy("absence_ms", "grace_ms").agg(
+        F.count(F.lit(1)).alias("n"), *_figures(F.col("v"), "gap_median_ms"),
+        *_figures(_known(F.col("stop")), "stop_median_ms", spread=False), *_figures(_known(F.col("hold")), "hold_median_kbps", spread=False))
+
+
+def _mobility_columns(raw_json: DataFrame) -> DataFrame:
+    phases = {"form": "initialForm", "teardown": "teardown", "reconnect": "reconnect"}
+    runs = _of(raw_json, "mobility").select(*[_json(f"$.phases.{path}.ms", "double").alias(name) for name, path in phases.items()])
+    whole = runs.where("form >= 0 and teardown >= 0 and reconnect >= 0")
+    return whole.agg(F.count(F.lit(1)).alias("complete_cycles"), *[c for name in phases for c in _figures(F.col(name), f"{name}_median_ms")])
+
+
+def _audiogap_columns(raw_json: DataFrame) -> DataFrame:
+    phases = {"stop": "audioStopAfterOutMs", "reconnect": "reconnectAudioGapMs", "total_silence": "totalSilenceMs"}
+    runs = _of(raw_json, "audiogap").where(_json("$.valid", "boolean")).select(*[_json(f"$.{path}", "double").alias(name) for name, path in phases.items()])
+    return runs.agg(F.count(F.lit(1)).alias("valid_runs"), *[c for name in phases for c in _figures(F.col(name), f"{name}_median_ms")])
+
+
+def _kpi_columns(raw_json: DataFrame) -> DataFrame:
+    clients = _of(raw_json, "voice").select(
+        _json("$.N", "int").alias("n_peers"), "source_file",
+        F.explode(F.from_json(F.get_json_object("payload", "$.perClient"), "array<string>")).alias("body")).where("n_peers is not null")
+    of = lambda path: F.get_json_object("body", f"$.{path}").try_cast("double")
+    newest = clients.groupBy("n_peers").agg(F.max("source_file").alias("source_file"))
+    fields = {"setup_median_ms": "kpis.setupMedianMs", "setup_p95_ms": "kpis.setupP95Ms", "ice_success_pct": "kpis.iceSuccessPct", "relay_pct": "kpis.relayPct",
+              "m2e_ms": "kpis.latRawMedianMs", "uplink_kbps": "meanUpKbps", "suppressed_pct": "sense.suppressedPct"}
+    known = {n: of(p) if n in ("uplink_kbps", "suppressed_pct") else _known(of(p)) for n, p in fields.items()}
+    figures = [c for n, v in known.items() for c in _figures(v, n, spread=False, rate=not n.startswith("setup"))]
+    return clients.join(newest, ["n_peers", "source_file"], "left_semi").groupBy("n_peers").agg(
+        F.round(F.avg(of("peers")), 1).alias("avg_peers"), F.sum(F.greatest(of("kpis.links"), F.lit(0.0))).alias("conn_links"),
+        *figures, F.sum(of("kpis.glareTotal")).alias("glare_total"))
+
+
+def _realnet_columns(raw_stream: DataFrame) -> DataFrame:
+    text = lambda p: F.get_json_object("payload", p)
+    lines = raw_stream.select(
+        text("$.cond").alias("condition"), text("$.sid").alias("s"),
+        F.coalesce(text("$.ts").try_cast("bigint"), F.lit(0)).alias("at"), "line", text("$.links").alias("links")).where("condition <> ''")
+    newest = lines.groupBy("condition", "s").agg(F.max_by("links", F.struct("at", "line")).alias("links"))
+    link = newest.select("condition", F.explode_outer(F.from_json("links", "array<string>")).alias("body"))
+    of = lambda name: F.get_json_object("body", f"$.{name}")
+    setup, rtt = (_known(of(name).try_cast("double")) for name in ("setupMs", "rttMs"))
+    relayed = F.coalesce(F.bool_or(of("candidateType") == "relay"), F.lit(False))
+    return link.groupBy("condition").agg(
+        F.when(relayed, "relay").otherwise("direct").alias("path"), F.count(setup).alias("links"),
+        *_figures(setup, "setup_median_ms", spread=False), *_figures(rtt, "rtt_median_ms", spread=False), F.sum(of("glare").try_cast("double")).alias("glare_total"),
+    ).withColumn("access", access_of("condition"))
+
+
+FULL_REFERENCES = {
+    "dtx_uplink": _dtx_columns, "sensing_suppression": _sensing_columns, "gracegap_series": _gracegap_columns, "mobility_cycles": _mobility_columns,
+    "audiogap": _audiogap_columns, "kpi_vs_n": _kpi_columns, "realnet_conditions": _realnet_columns,
+}
+# Columns are summed by key in so many buckets; only buckets whose sums differ are compared row by row.
+BUCKETS = 64
+
+
+def _canonical(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """key, bucket and the columns as text: numbers to six decimals, so that equal figures of other types agree."""
+    kinds = dict(df.dtypes)
+    number = lambda c: kinds[c] not in ("string", "boolean")
+    shown = [F.format_string("%.6f", F.col(c).cast("double") + F.lit(0.0)) if number(c) else F.col(c).cast("string") for c in columns]
+    made = _keyed(df, *keys).select("key", *[F.when(F.col(c).isNotNull(), v).alias(c) for c, v in zip(columns, shown, strict=True)])
+    return made.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int"))
+
+
+def compare_columns(name: str, expected: DataFrame, actual: DataFrame, keys: list[str], tol: float = TOLERANCE) -> DataFrame:
+    """Every column of two tables with a row per key: (check, rows, differing, buckets, key, expected, actual, ok).
+
+    One aggregate over both sides sums the rows' hashes per bucket and column, the
+    second side with the opposite sign, so equal columns come to nothing. Rows are joined
+    only in buckets that do not: there numbers may differ by ``tol``, and a key that one
+    side lacks differs in all columns. ``buckets`` names the buckets that were compared,
+    key the first one that differs.
+    """
+    columns = sorted(c for c in expected.columns if c not in keys)
+    missing = set(columns) - set(actual.columns) | set(keys) - set(actual.columns)
+    if missing:
+        raise ValueError(f"{name} has no columns {sorted(missing)}")
+    sides = [_canonical(df, keys, columns) for df in (expected, actual)]
+    signed = [df.withColumn("_sign", F.lit(sign)) for df, sign in zip(sides, (1, -1), strict=True)]
+    hashed = lambda c: F.sum(F.xxhash64("key", F.coalesce(F.col(c), F.lit("∅"))).cast("decimal(20,0)") * F.col("_sign"))
+    sums = signed[0].unionByName(signed[1]).groupBy("bucket").agg(
+        F.count_if(F.col("_sign") == 1).alias("_rows"), *[(hashed(c) != 0).alias(c) for c in columns])
+    found = sums.collect()  # BUCKETS rows at most
+    total = sum(r["_rows"] for r in found)
+    differing = {c: sorted(r["bucket"] for r in found if r[c]) for c in columns}
+    open_buckets = sorted({b for bs in differing.values() for b in bs})
+    rows = [(f"{name}.{c}", total, differing[c]) for c in columns]
+    spark = expected.sparkSession
+    base = spark.createDataFrame(rows, "check string, rows long, buckets array<int>")
+    nothing = "check string, differing long, key string, expected string, actual string"
+    told = spark.createDataFrame([], nothing)
+    if open_buckets:
+        one, other = (df.where(F.col("bucket").isin(open_buckets)).drop("bucket") for df in sides)
+        pairs = one.select("key", F.lit(True).alias("_one"), *[F.col(c).alias("e_" + c) for c in columns]).join(
+            other.select("key", F.lit(True).alias("_other"), *[F.col(c).alias("a_" + c) for c in columns]), "key", "full_outer")
+        cells = F.explode(F.array(*[
+            F.struct(F.lit(f"{name}.{c}").alias("check"), F.col("e_" + c).alias("expected"), F.col("a_" + c).alias("actual")) for c in columns])).alias("_c")
+        numbers = [F.col(side).try_cast("double") for side in ("expected", "actual")]
+        same = F.col("expected").eqNullSafe(F.col("actual")) | F.coalesce(F.abs(numbers[0] - numbers[1]) <= tol, F.lit(False))
+        apart = pairs.select("key", "_one", "_other", cells).select("key", "_one", "_other", "_c.*").where(~same | F.col("_one").isNull() | F.col("_other").isNull())
+        first = F.min(F.struct("key", "expected", "actual")).alias("_first")
+        told = apart.groupBy("check").agg(F.count(F.lit(1)).alias("differing"), first).select("check", "differing", "_first.*")
+    report = base.join(told, "check", "left")
+    return report.select(
+        "check", "rows", F.coalesce("differing", F.lit(0)).alias("differing"), "buckets", "key", "expected", "actual", F.col("differing").isNull().alias("ok"))
+
+
+def compare_all_columns(raw: dict[str, DataFrame], marts: dict[str, DataFrame], tol: float = TOLERANCE) -> DataFrame:
+    """All columns of all marts against their second reduction."""
+    parts = [
+        compare_columns(name, reference(raw[MART_REFERENCES[name][1]]), marts[name], MART_REFERENCES[name][2], tol)
+        for name, reference in FULL_REFERENCES.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def reference_rounded(reference: DataFrame) -> DataFrame:
     """The reducer's printed form of a reference: whole numbers, ties to even."""
     return reference.withColumn("expected", round_half_even("expected"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -64,6 +64,37 @@ def run_suite(df: DataFrame, checks: list[Check]) -> DataFrame:
     return results.select("check", (F.col("bad_rows") == 0).alias("ok"), "bad_rows")
 
 
+class Observed:
+    """A suite counted while its table is written: row checks cost no scan of their own.
+
+    ``df`` is to be written instead of the table; once it is, ``results`` gives what
+    ``run_suite`` would. Counts are taken in the tasks that write and add up over them.
+    Checks of uniqueness need a count per value and read the written table's column.
+    """
+
+    def __init__(self, df: DataFrame, checks: list[Check]):
+        self.checks = checks
+        self.by_row = [c for c in checks if c.violations is not None]
+        self.counts = Observation()
+        counted = [F.count_if(c.violations()).alias(f"c{i}") for i, c in enumerate(self.by_row)]
+        self.df = df.observe(self.counts, *counted) if counted else df
+
+    def results(self, written: DataFrame) -> DataFrame:
+        found = self.counts.get if self.by_row else {}
+        rows = [(c.name, int(found[f"c{i}"])) for i, c in enumerate(self.by_row)]
+        parts = [written.sparkSession.createDataFrame(rows, "check string, bad_rows long")] if rows else []
+        parts += [_repeats(written, c) for c in self.checks if c.unique]
+        results = reduce(DataFrame.unionByName, parts)
+        return results.select("check", (F.col("bad_rows") == 0).alias("ok"), "bad_rows")
+
+
+def write_checked(df: DataFrame, name: str, checks: list[Check], write: Callable[[DataFrame], None], read: Callable[[], DataFrame]) -> DataFrame:
+    """Write a table with its suite counted on the way: (table, check, ok, bad_rows)."""
+    observed = Observed(df, checks)
+    write(observed.df)
+    return observed.results(read()).select(F.lit(name).alias("table"), "check", "ok", "bad_rows")
+
+
 def run_checkpoint(suites: dict[str, tuple[DataFrame, list[Check]]]) -> DataFrame:
     """All suites together: (table, check, ok, bad_rows)."""
     results = [

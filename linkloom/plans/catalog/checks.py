@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linkloom.operators import marts, parity, quality
 from linkloom.plans import stand_ins as T
 from linkloom.plans.catalog import query, results, shapes
+from linkloom.plans.catalog.ingest import scratch
 from linkloom.plans.catalog.results import rounded
 
 with_sql = T.with_sql
@@ -145,6 +146,44 @@ def parity_report(spark, sf_dir):
     return rounded(parity.parity_report(*compared), "actual").select("check", "actual", "ok")
 
 
+ALL_COLUMNS = {
+    "audiogap": "reconnect_max_ms reconnect_median_ms reconnect_median_ms_raw reconnect_min_ms stop_max_ms stop_median_ms stop_median_ms_raw stop_min_ms "
+    "total_silence_max_ms total_silence_median_ms total_silence_median_ms_raw total_silence_min_ms valid_runs",
+    "dtx_uplink": "n uplink_median_kbps uplink_median_kbps_raw",
+    "gracegap_series": "gap_max_ms gap_median_ms gap_median_ms_raw gap_min_ms hold_median_kbps hold_median_kbps_raw n stop_median_ms stop_median_ms_raw",
+    "kpi_vs_n": "avg_peers conn_links glare_total ice_success_pct ice_success_pct_raw m2e_ms m2e_ms_raw relay_pct relay_pct_raw setup_median_ms setup_median_ms_raw "
+    "setup_p95_ms setup_p95_ms_raw suppressed_pct suppressed_pct_raw uplink_kbps uplink_kbps_raw",
+    "mobility_cycles": "complete_cycles form_max_ms form_median_ms form_median_ms_raw form_min_ms reconnect_max_ms reconnect_median_ms reconnect_median_ms_raw reconnect_min_ms "
+    "teardown_max_ms teardown_median_ms teardown_median_ms_raw teardown_min_ms",
+    "realnet_conditions": "access glare_total links path rtt_median_ms rtt_median_ms_raw setup_median_ms setup_median_ms_raw",
+    "sensing_suppression": "suppression_median_pct suppression_median_pct_raw trials",
+}
+COLUMN_ROWS = ", ".join(f"('{mart}.{c}')" for mart, columns in ALL_COLUMNS.items() for c in columns.split())
+
+
+@query("parity_columns", f"SELECT c AS \"check\", 0::BIGINT AS differing, true AS ok FROM (VALUES {COLUMN_ROWS}) v(c)")
+def parity_columns(spark, sf_dir):
+    """All columns of all seven marts: none may differ from the second reduction."""
+    raw = {"raw_json": shapes.all_exports(spark, sf_dir), "raw_stream": shapes.stream(spark, sf_dir)}
+    return parity.compare_all_columns(raw, all_marts(spark, sf_dir)).select("check", "differing", "ok")
+
+
+@query("checkpoint_while_writing", with_sql(*results.LINKS, "sense", body=CHECKPOINT))
+def checkpoint_while_writing(spark, sf_dir):
+    """The same suites, counted while the tables are written; the link fact is built once."""
+    folder = scratch(spark)
+
+    def written(df, name, checks):
+        path = f"{folder}/{name}"
+        return quality.write_checked(df, name, checks, lambda o: o.write.parquet(path), lambda: spark.read.parquet(path))
+
+    fact = written(shapes.link_fact(spark, sf_dir), "link_fact", quality.LINK_FACT_CHECKS)
+    kept = spark.read.parquet(f"{folder}/link_fact")
+    conditions = written(marts.realnet_conditions(kept), "realnet_conditions", quality.MART_CHECKS["realnet_conditions"])
+    sensing = written(results.suppression(spark, sf_dir), "sensing_suppression", quality.MART_CHECKS["sensing_suppression"])
+    return fact.unionByName(conditions).unionByName(sensing)
+
+
 @query("checkpoint_summary", with_sql(*results.LINKS, "sense", body=f"SELECT \"table\", bool_and(ok) AS ok FROM ({CHECKPOINT}) GROUP BY ROLLUP (\"table\")"))
 def checkpoint_summary(spark, sf_dir):
     return quality.checkpoint_summary(checkpoint(spark, sf_dir))

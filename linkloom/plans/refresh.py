@@ -38,13 +38,21 @@ def land(spark: SparkSession, data_root: str, lake: str, ingested_at: str) -> No
     write_layer(reports.land_jsonl_stream(spark, log, ingested_at), lake + "/bronze", "raw_stream")
 
 
-def conform(spark: SparkSession, lake: str) -> None:
+def _checked(spark: SparkSession, df: DataFrame, root: str, name: str, checks: list[quality.Check]) -> DataFrame:
+    """Write a table and count its suite on the way."""
+    return quality.write_checked(
+        df, name, checks, lambda observed: write_layer(observed, root, name), lambda: read_layer(spark, root, name))
+
+
+def conform(spark: SparkSession, lake: str) -> DataFrame:
+    """The silver tables; returns the results of the link fact's suite."""
     raw_json = read_layer(spark, lake + "/bronze", "raw_json")
     raw_stream = read_layer(spark, lake + "/bronze", "raw_stream")
     for name, table in reshape.build_experiment_tables(raw_json).items():
         write_layer(table, lake + "/silver", name)
-    write_layer(reshape.build_link_fact(raw_json, raw_stream), lake + "/silver", "link_fact")
+    results = _checked(spark, reshape.build_link_fact(raw_json, raw_stream), lake + "/silver", "link_fact", quality.LINK_FACT_CHECKS)
     write_layer(quarantine(spark, lake), lake + "/silver", "quarantine")
+    return results
 
 
 def quarantine(spark: SparkSession, lake: str) -> DataFrame:
@@ -56,9 +64,12 @@ def quarantine(spark: SparkSession, lake: str) -> DataFrame:
     return reshape.union_sources(*parts)
 
 
-def aggregate(spark: SparkSession, lake: str) -> None:
-    for name, (build, table) in SILVER_MARTS.items():
-        write_layer(build(read_layer(spark, lake + "/silver", table)), lake + "/gold", name)
+def aggregate(spark: SparkSession, lake: str) -> DataFrame:
+    """The marts; returns the results of their suites."""
+    results = [
+        _checked(spark, build(read_layer(spark, lake + "/silver", table)), lake + "/gold", name, quality.MART_CHECKS[name])
+        for name, (build, table) in SILVER_MARTS.items()
+    ]
     raw_json, raw_stream = (read_layer(spark, lake + "/bronze", name) for name in ("raw_json", "raw_stream"))
     link_fact, trials = (read_layer(spark, lake + "/silver", name) for name in ("link_fact", "trials"))
     joined = {
@@ -69,6 +80,7 @@ def aggregate(spark: SparkSession, lake: str) -> None:
     }
     for name in JOINED_MARTS:
         write_layer(joined[name], lake + "/gold", name)
+    return reshape.union_sources(*results)
 
 
 def read_marts(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
@@ -76,7 +88,7 @@ def read_marts(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
 
 
 def check(spark: SparkSession, lake: str) -> DataFrame:
-    """Quality of the link fact and of every mart."""
+    """Quality of the link fact and of every mart, from the tables as they lie; a refresh counts it while it writes."""
     tables = read_marts(spark, lake)
     suites = {name: (tables[name], checks) for name, checks in quality.MART_CHECKS.items()}
     link_fact = read_layer(spark, lake + "/silver", "link_fact")
@@ -95,15 +107,22 @@ def parity_gate(spark: SparkSession, lake: str) -> DataFrame:
     return parity.parity_report(*compared, parity.check_bands(metrics, parity.band_table(spark)))
 
 
+def parity_columns(spark: SparkSession, lake: str) -> DataFrame:
+    """Every column of the seven marts against the second reduction of the raw payloads."""
+    raw = {name: read_layer(spark, lake + "/bronze", name) for name in ("raw_json", "raw_stream")}
+    return parity.compare_all_columns(raw, read_marts(spark, lake))
+
+
 def refresh(spark: SparkSession, data_root: str, lake: str, ingested_at: str) -> DataFrame:
     """End to end. Returns one row per gate with whether it passed."""
     land(spark, data_root, lake, ingested_at)
-    conform(spark, lake)
-    aggregate(spark, lake)
+    fact_results = conform(spark, lake)
+    write_layer(reshape.union_sources(fact_results, aggregate(spark, lake)), lake + "/gold", "quality")
     rejected = read_layer(spark, lake + "/silver", "quarantine")
     gates = {
-        "quality": check(spark, lake),
+        "quality": read_layer(spark, lake + "/gold", "quality"),
         "parity": parity_gate(spark, lake),
+        "columns": parity_columns(spark, lake),
         "quarantine": quality.assert_rows_empty(rejected),
     }
     rows = [df.agg(F.bool_and("ok").alias("ok")).select(F.lit(n).alias("gate"), "ok") for n, df in gates.items()]

@@ -277,6 +277,34 @@ def test_suites(spark):
     assert tuple(quality.assert_rows_empty(df.where("glare > 5")).first()) == (0, True)
 
 
+def test_suites_are_counted_while_writing(spark, tmp_path):
+    df = spark.createDataFrame([("f", "voice", "host", 2, 0), ("f", "voice", "bogus", 2, -1), (None, "voice", None, None, None)] * 40,
+                               "source_file string, record_type string, candidate_type string, n_peers int, glare int").repartition(7)
+    checks = quality.LINK_FACT_CHECKS + [quality.expect_unique("n_peers")]
+    path = str(tmp_path / "t")
+    got = quality.write_checked(df, "t", checks, lambda o: o.write.parquet(path), lambda: spark.read.parquet(path))
+    want = quality.run_checkpoint({"t": (df, checks)})
+    assert rows(got) == rows(want) and spark.read.parquet(path).count() == 120
+
+
+def test_columns_are_compared_by_bucket(spark):
+    fields = "k string, n long, v double, kind string"
+    data = [(f"k{i}", i, i / 7, "a" if i % 3 else None) for i in range(500)]
+    expected = spark.createDataFrame(data, fields)
+    same = spark.createDataFrame([(k, float(n), v, s) for k, n, v, s in reversed(data)], "k string, n double, v double, kind string")
+    got = parity.compare_columns("m", expected, same, ["k"], 0)
+    assert rows(got.select("check", "rows", "differing", "ok")) == [(f"m.{c}", 500, 0, True) for c in ("kind", "n", "v")]
+    assert all(r.buckets == [] for r in got.collect())
+    planted = [(k, n, v + (5 if k == "k77" else 0.4 if k == "k78" else 0), "b" if k == "k9" else s) for k, n, v, s in data if k != "k400"]
+    other = spark.createDataFrame(planted, fields)
+    found = {r["check"]: r for r in parity.compare_columns("m", expected, other, ["k"], 1).collect()}
+    assert not any(r.ok for r in found.values()) and found["m.n"].differing == 1 and found["m.n"].key == "k400" and found["m.n"].actual is None
+    assert found["m.v"].differing == 2 and (found["m.kind"].differing, found["m.kind"].key) == (2, "k400")
+    only = parity.compare_columns("m", expected.where("k <> 'k400'"), other, ["k"], 1).where("not ok").collect()
+    assert [(r["check"], r.differing, r.key, r.expected[:6], r.actual[:6], len(r.buckets)) for r in only if r["check"] == "m.v"] == [("m.v", 1, "k77", "11.000", "16.000", 2)]
+    assert [(r["check"], r.key, r.expected, r.actual) for r in only if r["check"] == "m.kind"] == [("m.kind", "k9", None, "b")]
+
+
 def test_tolerance(spark):
     df = spark.createDataFrame([(202, 203), (202, 205), (None, None), (5, None)], "a int, b int")
     assert [r[0] for r in df.select(parity.compare_within_tolerance("a", "b")).collect()] == [True, False, True, False]
@@ -312,7 +340,9 @@ def test_refresh_end_to_end(spark, tmp_path):
     put("wsn-sensing-1.json", {"scenario": "idle", "clients": {"A": {"stats": {"suppressedPct": 91}}}})
     (data / "wsn-remote-reports.jsonl").write_text(json.dumps(report("s", 1)) + "\n" + json.dumps(report("s", 2)) + "\n")
     gates = refresh.refresh(spark, str(data), str(tmp_path / "lake"), AT)
-    assert {(r.gate, r.ok) for r in gates.collect()} == {("quality", True), ("parity", True), ("quarantine", True)}
+    assert {(r.gate, r.ok) for r in gates.collect()} == {("quality", True), ("parity", True), ("columns", True), ("quarantine", True)}
+    recorded = layers.read_layer(spark, str(tmp_path / "lake" / "gold"), "quality")
+    assert rows(recorded) == rows(refresh.check(spark, str(tmp_path / "lake")))
     reshape.staging_views(spark, str(tmp_path / "lake" / "silver"))
     assert spark.table("stg_dtx").count() == 1
     report_rows = refresh.parity_gate(spark, str(tmp_path / "lake"))
@@ -320,6 +350,6 @@ def test_refresh_end_to_end(spark, tmp_path):
 
     put("wsn-dtx-2.json", {"source": "tone", "dtx": False, "uplinkKbps": "fast"})
     gates = refresh.refresh(spark, str(data), str(tmp_path / "lake"), AT)
-    assert {(r.gate, r.ok) for r in gates.collect()} == {("quality", True), ("parity", True), ("quarantine", False)}
+    assert {(r.gate, r.ok) for r in gates.collect()} == {("quality", True), ("parity", True), ("columns", True), ("quarantine", False)}
     bad = layers.read_layer(spark, str(tmp_path / "lake" / "silver"), "quarantine").first()
     assert (bad.source_file, bad.reason) == ("wsn-dtx-2.json", "type mismatch")
