@@ -43,8 +43,38 @@ def scratch(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() + "/out-" + uuid.uuid4().hex
 
 
-@query("discover_exports", f"""SELECT source_file FROM ({NAMES}) WHERE source_file LIKE '%.json' AND ({KIND}) IS NOT NULL""")
+# Customers as export files: seven kinds of names, some outside the grammar, with a payload in plain text.
+FILES = """SELECT c_custkey, 'wsn-' || ['audiogap', 'voice-N3-summary', 'dtx', 'unknown', 'remote', 'sensing-idle', 'voice-office-' || c_mktsegment[1:1] || '-trial'][CAST(c_custkey % 7 + 1 AS INTEGER)]
+    || CASE WHEN c_custkey % 7 = 6 THEN '' ELSE '-' END || c_custkey || CASE WHEN c_custkey % 11 = 0 THEN '.txt' ELSE '.json' END AS source_file,
+  CASE WHEN c_custkey % 2 = 0 THEN '{"setupMedianMs": ' || c_nationkey || ', "glareTotal": ' || c_custkey % 4 || '}'
+    ELSE '{"kpis": {"setupMedianMs": ' || c_nationkey || ', "glareTotal": ' || c_custkey % 4 || '},\n "links": [{"index": 1, "rttMs": ' || c_custkey || '}]}' END AS payload FROM customer"""
+
+
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on Spark, as rows to be written as files."""
+    key, text = F.col("c_custkey"), lambda c: c.cast("string")
+    kinds = [F.lit(k) for k in ("audiogap-", "voice-N3-summary-", "dtx-", "unknown-", "remote-", "sensing-idle-")]
+    kinds.append(F.concat(F.lit("voice-office-"), F.substring("c_mktsegment", 1, 1), F.lit("-trial")))
+    name = F.concat(F.lit("wsn-"), F.element_at(F.array(*kinds), (key % 7 + 1).cast("int")), text(key), F.when(key % 11 == 0, ".txt").otherwise(".json"))
+    block = F.concat(F.lit('{"setupMedianMs": '), text(F.col("c_nationkey")), F.lit(', "glareTotal": '), text(key % 4), F.lit("}"))
+    nested = F.concat(F.lit('{"kpis": '), block, F.lit(',\n "links": [{"index": 1, "rttMs": '), text(key), F.lit("}]}"))
+    return T.table(spark, sf_dir, "customer").select(name.alias("source_file"), F.when(key % 2 == 0, block).otherwise(nested).alias("payload"))
+
+
+def export_root(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch(spark)
+    exports.write_exports(files(spark, sf_dir), root)
+    return root
+
+
+@query("discover_exports", f"""SELECT source_file FROM ({FILES}) WHERE source_file LIKE '%.json' AND ({KIND}) IS NOT NULL""")
 def discover_exports(spark, sf_dir):
+    """Found by listing the files."""
+    return exports.discover_exports(spark, export_root(spark, sf_dir))
+
+
+@query("keep_exports", f"""SELECT source_file FROM ({NAMES}) WHERE source_file LIKE '%.json' AND ({KIND}) IS NOT NULL""")
+def keep_exports(spark, sf_dir):
     return exports.keep_exports(names(spark, sf_dir)).orderBy("source_file")
 
 
@@ -78,9 +108,17 @@ def stamp_provenance(spark, sf_dir):
     return exports.stamp_provenance(names(spark, sf_dir), T.AT)
 
 
-@query("land_json_exports", T.with_sql("gap", body=f"""SELECT source_file, 'audiogap' AS record_type, NULL::INTEGER AS peer_count,
-  '{T.AT}' AS ingested_at, reconnect_ms FROM gap"""))
+@query("land_json_exports", f"""SELECT payload, source_file, {KIND} AS record_type,
+  CAST(nullif(regexp_extract(source_file, '-N([0-9]+)', 1), '') AS INTEGER) AS peer_count, '{T.AT}' AS ingested_at
+  FROM ({FILES}) WHERE source_file LIKE '%.json' AND ({KIND}) IS NOT NULL""")
 def land_json_exports(spark, sf_dir):
+    """Landed from the files: the payload verbatim, and where it came from."""
+    return exports.land_json_exports(spark, export_root(spark, sf_dir), T.AT)
+
+
+@query("stamp_payloads", T.with_sql("gap", body=f"""SELECT source_file, 'audiogap' AS record_type, NULL::INTEGER AS peer_count,
+  '{T.AT}' AS ingested_at, reconnect_ms FROM gap"""))
+def stamp_payloads(spark, sf_dir):
     """The landed grain; the payload is kept verbatim, shown by reading one field back."""
     landed = exports.stamp_provenance(T.audiogap_exports(spark, sf_dir).select("payload", "source_file"), T.AT)
     field = F.get_json_object("payload", "$.reconnectAudioGapMs").cast("bigint")
@@ -234,9 +272,21 @@ def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exports.parse_trials(trial_files(spark, sf_dir))
 
 
-@query("read_trial_exports", T.with_sql("trial", body="""SELECT source_file, cond AS condition, setup::DOUBLE AS setup_ms,
-  ice::DOUBLE AS ice_pct, glare::INTEGER AS glare FROM trial"""))
+@query("read_trial_exports", f"""SELECT source_file, 'office-' || c_mktsegment[1:1] AS condition, c_nationkey::DOUBLE AS setup_ms, (c_custkey % 4)::INTEGER AS glare,
+  CASE WHEN c_custkey % 2 = 1 THEN 1 END::INTEGER AS links, CASE WHEN c_custkey % 2 = 1 THEN c_custkey END::DOUBLE AS rtt_ms
+  FROM ({FILES}) JOIN customer USING (c_custkey) WHERE c_custkey % 7 = 6 AND source_file LIKE '%.json'""")
 def read_trial_exports(spark, sf_dir):
+    """Read from the files, the KPI block nested or whole."""
+    found = exports.read_trial_exports(spark, export_root(spark, sf_dir))
+    return found.select(
+        "source_file", "condition", F.col("kpis.setupMedianMs").alias("setup_ms"), F.col("kpis.glareTotal").alias("glare"),
+        F.when(F.col("links").isNotNull(), F.size("links")).alias("links"), F.get("links", F.lit(0))["rttMs"].alias("rtt_ms"),
+    )
+
+
+@query("parse_trials", T.with_sql("trial", body="""SELECT source_file, cond AS condition, setup::DOUBLE AS setup_ms,
+  ice::DOUBLE AS ice_pct, glare::INTEGER AS glare FROM trial"""))
+def parse_trials(spark, sf_dir):
     return trials(spark, sf_dir).select(
         "source_file", "condition", F.col("kpis.setupMedianMs").alias("setup_ms"),
         F.col("kpis.iceSuccessPct").alias("ice_pct"), F.col("kpis.glareTotal").alias("glare"),

@@ -179,9 +179,42 @@ def explode_series(spark, sf_dir):
     return reshape.explode_series(T.audiogap_exports(spark, sf_dir)).select("source_file", "pos", "t", "pkts")
 
 
-ALL_TYPES = "SELECT 'mobility' AS name, count(*) AS n FROM orders UNION ALL SELECT 'audiogap', count(*) FROM orders UNION ALL " + \
-    "SELECT 'gracegap', count(*) FROM lineitem UNION ALL SELECT 'dtx', count(*) FROM lineitem UNION ALL " + \
-    "SELECT 'sensing', 2 * count(*) FROM events UNION ALL SELECT 'voice_client', 2 * count(*) FROM lineitem"
+# Rows of every table in one shape: its name, the file, a label and up to four figures.
+TABLE_ROWS = {
+    "mobility": ("CAST(coalesce(form_ms >= 0 AND teardown_ms >= 0 AND reconnect_ms >= 0, false) AS VARCHAR)", "form_ms", "teardown_ms", "reconnect_ms", "NULL", "cycle"),
+    "audiogap": ("CAST(valid AS VARCHAR)", "stop_ms", "reconnect_ms", "total_silence_ms", "NULL", "gap"),
+    "gracegap": ("CAST(stop_ms AS VARCHAR)", "absence_ms", "grace_ms", "reconnect_gap_ms", "hold_kbps", "grace"),
+    "dtx": ("source || '/' || dtx", "uplink_kbps", "NULL", "NULL", "NULL", "dtx_run"),
+    "sensing": ("coalesce(scenario, '') || '/' || who.client", "CASE who.client WHEN 'A' THEN k ELSE 100 - k END", "NULL", "NULL", "NULL", "sense, (VALUES ('A'), ('B')) who(client)"),
+    "voice_client": ("client", "n_peers", "setup_median_ms", "lat_raw_median_ms", "mean_up_kbps", "client"),
+}
+
+
+def rows_sql(prefix: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{prefix}{name}' AS name, source_file, {label} AS label, " + ", ".join(f"CAST({c} AS DOUBLE) AS {n}" for n, c in zip("abcd", figures, strict=True)) + f" FROM {source}"
+        for name, (label, *figures, source) in TABLE_ROWS.items())
+
+
+def shown(name: str, df):
+    """A table's rows in that shape."""
+    labels = {
+        "mobility": F.col("complete_case").cast("string") if "complete_case" in df.columns else None,
+        "audiogap": F.col("valid").cast("string") if "valid" in df.columns else None,
+        "gracegap": F.col("stop_ms").cast("int").cast("string") if "stop_ms" in df.columns else None,
+        "dtx": F.concat_ws("/", "source", F.col("dtx").cast("string")) if "dtx" in df.columns else None,
+        "sensing": F.concat(F.coalesce("scenario", F.lit("")), F.lit("/"), "client") if "scenario" in df.columns else None,
+        "voice_client": F.col("client") if "client" in df.columns else None,
+        "link_fact": F.col("candidate_type") if "candidate_type" in df.columns else None,
+    }
+    figures = {
+        "mobility": ("form_ms", "teardown_ms", "reconnect_ms", None), "audiogap": ("stop_ms", "reconnect_ms", "total_silence_ms", None),
+        "gracegap": ("absence_ms", "grace_ms", "reconnect_gap_ms", "hold_kbps"), "dtx": ("uplink_kbps", None, None, None),
+        "sensing": ("suppressed_pct", None, None, None), "voice_client": ("n_peers", "setup_median_ms", "lat_raw_median_ms", "mean_up_kbps"),
+        "link_fact": ("setup_ms", "glare", None, None),
+    }[name]
+    cells = [(F.col(c) if c else F.lit(None)).cast("double").alias(n) for n, c in zip("abcd", figures, strict=True)]
+    return df.select(F.lit(name).alias("name"), "source_file", labels[name].alias("label"), *cells)
 
 
 def all_exports(spark, sf_dir):
@@ -189,17 +222,17 @@ def all_exports(spark, sf_dir):
     return reshape.union_sources(*[make(spark, sf_dir) for make in makers])
 
 
-@query("build_experiment_tables", ALL_TYPES)
+@query("build_experiment_tables", with_sql("cycle", "gap", "grace", "dtx_run", "ev", "sense", "client", body=rows_sql()))
 def build_experiment_tables(spark, sf_dir):
     """All six tables off one raw table; the type filter reaches each branch of the union."""
     tables = reshape.build_experiment_tables(all_exports(spark, sf_dir))
-    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("name"), "n") for n, df in tables.items()]
-    return reshape.union_sources(*counts)
+    return reshape.union_sources(*[shown(name, df) for name, df in tables.items()])
 
 
-@query("filter_record_type", "SELECT 'dtx' AS record_type, count(*) AS n FROM lineitem")
+@query("filter_record_type", with_sql("dtx_run", body="SELECT 'dtx' AS record_type, source_file, uplink_kbps FROM dtx_run"))
 def filter_record_type(spark, sf_dir):
-    return reshape.filter_record_type(all_exports(spark, sf_dir), "dtx").groupBy("record_type").agg(F.count(F.lit(1)).alias("n"))
+    kept = reshape.filter_record_type(all_exports(spark, sf_dir), "dtx")
+    return kept.select("record_type", "source_file", F.get_json_object("payload", "$.uplinkKbps").cast("double").alias("uplink_kbps"))
 
 
 @query("filter_known_condition", with_sql("ev", "rep", body="SELECT cond, sid, CAST(ts AS VARCHAR) AS ts FROM rep WHERE cond <> ''"))
@@ -220,15 +253,19 @@ def condition_dims(spark, sf_dir):
     return dims.groupBy("condition", "access").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("staging_views", with_sql("dtx_run", "grace", body="""SELECT 'stg_dtx' AS name, count(*) AS n FROM dtx_run
-  UNION ALL SELECT 'stg_gracegap', count(*) FROM grace"""))
+LINK_ROWS = "SELECT 'stg_link_fact', 'wsn-remote-reports.jsonl', candidate_type, CAST(setup_ms AS DOUBLE), CAST(glare AS DOUBLE), NULL, NULL FROM links"
+
+
+@query("staging_views", with_sql("cycle", "gap", "grace", "dtx_run", "ev", "sense", "client", "rep", "newest", "links", body=rows_sql("stg_") + " UNION ALL " + LINK_ROWS))
 def staging_views(spark, sf_dir):
+    """All seven views, over written tables."""
     out = scratch(spark)
     tables = reshape.build_experiment_tables(all_exports(spark, sf_dir))
     for name, df in {**tables, "link_fact": link_fact(spark, sf_dir)}.items():
         layers.write_layer(df, out, name)
     reshape.staging_views(spark, out)
-    return spark.sql("SELECT 'stg_dtx' AS name, count(*) AS n FROM stg_dtx UNION ALL SELECT 'stg_gracegap', count(*) FROM stg_gracegap")
+    views = [shown(table, spark.table(view)).withColumn("name", F.lit(view)) for view, table in reshape.STAGING.items()]
+    return reshape.union_sources(*views)
 
 
 # Scalar expressions over line items and friends

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +49,29 @@ def _files(spark: SparkSession, root: str, glob: str) -> DataFrame:
     )
 
 
+def write_exports(files: DataFrame, root: str) -> int:
+    """Write rows (source_file, payload) as one file each under a root that every executor reaches; returns their number.
+
+    Files are written under a name of the attempt's own and renamed, so a task that runs
+    twice leaves whole files only. A name that repeats keeps one of its payloads.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, path = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+        store.create_dir(path, recursive=True)
+        own = f"_{TaskContext.get().taskAttemptId()}.tmp"
+        written = 0
+        for batch in batches:
+            for name, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with store.open_output_stream(f"{path}/{own}", compression=None) as out:
+                    out.write((payload or "").encode())
+                store.move(f"{path}/{own}", f"{path}/{name}")
+                written += 1
+        yield pa.RecordBatch.from_pydict({"n": pa.array([written], pa.int64())})
+
+    return files.select("source_file", "payload").mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 def discover_exports(spark: SparkSession, root: str, glob: str = EXPORT_GLOB) -> DataFrame:
     """Names of the exports under a root, sorted. Only names are read, not contents."""
     listed = (
