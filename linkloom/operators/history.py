@@ -106,7 +106,7 @@ def join_hot_safe(
 
     A counted, small enough side is broadcast, which leaves the facts where they
     are. Otherwise cold keys take the ordinary shuffled join; hot ones number at
-    most rows/limit, so just the rows of ``small`` they need are broadcast.
+    most rows/limit, so just the rows of ``small`` they need are counted and broadcast.
     """
     if is_small(small):
         return big.join(F.broadcast(small), keys, how)
@@ -119,7 +119,7 @@ def join_hot_safe(
     hot_small = small.join(hot, same_keys(small, hot, keys, "_h_"), "left_semi")
     cold_big = big.join(hot, same_keys(big, hot, keys, "_h_"), "left_anti")
     return cold_big.join(small, keys, how).unionByName(
-        hot_big.join(F.broadcast(hot_small), keys, how)
+        hot_big.join(broadcast_if_small(settled(hot_small)), keys, how)
     )
 
 

@@ -50,7 +50,8 @@ def conform(spark: SparkSession, lake: str) -> DataFrame:
     raw_stream = read_layer(spark, lake + "/bronze", "raw_stream")
     for name, table in reshape.build_experiment_tables(raw_json).items():
         write_layer(table, lake + "/silver", name)
-    results = _checked(spark, reshape.build_link_fact(raw_json, raw_stream), lake + "/silver", "link_fact", quality.LINK_FACT_CHECKS)
+    fact = reshape.build_link_fact(raw_json, raw_stream, read_layer(spark, lake + "/silver", "voice_client"))
+    results = _checked(spark, fact, lake + "/silver", "link_fact", quality.LINK_FACT_CHECKS)
     write_layer(quarantine(spark, lake), lake + "/silver", "quarantine")
     return results
 
