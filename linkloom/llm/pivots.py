@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.llm import common
+from linkloom.operators import history
 
 SCALE = 256
 PIVOTS = 64
@@ -181,15 +182,16 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 def _visit(index: Index, batches: DataFrame, pairs: DataFrame, k: int, bounds: str | None) -> DataFrame:
     """Best k of each visited (batch, block): query_id, vec_id, score.
 
-    A block travels once per slice of queries, a batch once per block it visits.
+    A block travels once per slice with a batch that visits it, a batch once per block it visits.
     ``bounds`` names the batches' binary column of the queries' least useful scores.
     """
     width, exact, largest = index.width, index.exact, index.largest
     slices = max(1, -(-batches.count() * BATCH_QUERIES // SLICE_QUERIES))
     deal = F.pmod(F.xxhash64("batch"), F.lit(slices)).cast("int")
-    asked = pairs.select("batch", "block").join(batches, "batch").withColumn("slice", deal)
+    pairs = common.stored(pairs.select("batch", "block").withColumn("slice", deal), "visits")
+    asked = pairs.join(batches, "batch")
     asked = asked.select(F.col("block").alias("_at"), F.col("slice").alias("_slice"), "ids", "vectors", "distances", *([F.col(bounds).alias("least")] if bounds else []))
-    given = index.blocks.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    given = index.blocks.join(history.broadcast_if_small(common.stored(pairs.select("block", "slice").distinct(), "visited")), "block")
 
     def search(block: pa.Table, batches: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

@@ -6,9 +6,10 @@ Learning, on labelled documents:
    that toxic documents hold far more often (log-likelihood ratio, log odds) enter the
    lexicon, whole words as they are, beginnings as stems that any ending may follow.
 2. The lexicon lies in a trie. A Levenshtein automaton reads the trie: its states are the
-   rows of the edit distance to a document's word, kept as bit sets, and a branch ends as
-   soon as no state is within the allowed distance. So one walk finds every term within
-   one edit (two from eight characters on) of a word.
+   rows of the edit distance to a document's word, kept as bit sets, and a word leaves a
+   branch as soon as no state is within the allowed distance. One walk takes the automata
+   of thousands of words along, so it finds every term within one edit (two for whole
+   words from eight characters on) of any of them. Terms that say little match as they are.
 3. How much a misspelling says is learned per term and distance: words near a term that
    clean documents also hold weigh little; a term without such neighbours passes on most
    of its weight.
@@ -17,8 +18,10 @@ Learning, on labelled documents:
    unquoted weights, their density and the strongest one are a document's features, and
    a logistic model turns them into a score.
 
-Counts are sums over all labelled documents; the lexicon, the counts per term and at most
-``FIT_ROWS`` rows of eight features reach the driver. Scoring reads each text alone.
+The classifier, lexicon included, is learned from at most ``FIT_ROWS`` labelled documents,
+chosen by the hash of their id where there are more, so learning costs the same however
+large the corpus is; every text is scored. The lexicon, the counts per term and the
+features of the documents learned from reach the driver. Scoring reads each text alone.
 """
 
 from __future__ import annotations
@@ -40,8 +43,10 @@ STEMS = range(4, 9)
 LEXICON, LEAST_DOCS, LEAST_ODDS, LEAST_RATIO = 2000, 5, 1.5, 30.0
 # The share of a term's occurrences that are taken to be misspelled, before any is seen.
 MISSPELLED = 0.05
-# Labelled documents the logistic model is fitted on at most, by the hash of their id.
-FIT_ROWS = 200_000
+# Log odds from which on a term is looked for in other spellings.
+FUZZY_ODDS = 3.0
+# Labelled documents the classifier is learned from, about that many where there are more.
+FIT_ROWS = 20_000
 WINDOW = 6
 TOXIC_AT = 0.7
 # Distinct words a worker remembers, and terms a task holds before it passes them on.
@@ -63,116 +68,97 @@ PRIOR = np.array([-3.5, 1.0, 0.25, 0.3, 1.0, 0.5, -0.2])
 STIFFNESS = np.array([0.01, 0.3, 2.0, 0.3, 0.3, 0.3, 0.3])
 
 
-def allowed(length: int) -> int:
-    """Edits a term of that length may be away."""
-    return 0 if length < 4 else 1 if length < 8 else 2
-
-
-def _letters(words: list[str], width: int) -> np.ndarray:
-    """For every word and length up to ``width``, the letters of its beginning of that length as bits."""
-    codes = np.array(words, f"U{width}").view(np.uint32).reshape(len(words), width)
-    bits = np.where(codes > 0, np.uint64(1) << (codes & np.uint32(63)).astype(np.uint64), np.uint64(0))
-    return np.bitwise_or.accumulate(bits, axis=1)
+def allowed(term: str, stem: bool, odds: float = math.inf) -> int:
+    """Edits a term may be away; a stem has any ending already, so it may be one away at most."""
+    if odds < FUZZY_ODDS or len(term) < (6 if stem else 4):
+        return 0
+    return 2 if len(term) >= 8 and not stem else 1
 
 
 def _usual(words: set[str]) -> list[str]:
     return sorted(w for w in words if 3 <= len(w) <= LONGEST)
 
 
+class _Node:
+    __slots__ = ("below", "edits", "terms")
+
+    def __init__(self):
+        self.below: dict[str, _Node] = {}
+        self.terms: list[tuple[int, bool, int]] = []
+        self.edits = 0  # the most a term from here on allows
+
+
 class Trie:
-    """Terms as nested dicts; a node's terms (index, whether a stem) lie under the empty string."""
+    """Terms (text, whether a stem, edits allowed) by their letters."""
 
-    def __init__(self, terms: list[tuple[str, bool]]):
-        self.root: dict = {}
-        self.terms = terms
-        for k, (term, stem) in enumerate(terms):
+    def __init__(self, terms: list[tuple[str, bool, int]]):
+        self.root = _Node()
+        for k, (term, stem, edits) in enumerate(terms):
             node = self.root
+            node.edits = max(node.edits, edits)
             for letter in term:
-                node = node.setdefault(letter, {})
-            node.setdefault("", []).append((k, stem, allowed(len(term))))
-        self.most = max((allowed(len(t)) for t, _ in terms), default=0)
-        # for `possible`: the letters of terms as bits, one row per (letters a word is judged by, least and greatest length)
-        self.width = max((len(t) for t, _ in terms), default=0) + 3
-        self.letters = np.array([_letters([t], len(t))[0, -1] for t, _ in terms], np.uint64)
-        self.lengths = np.array([len(t) for t, _ in terms], np.int64)
-        self.edits = np.array([allowed(len(t)) for t, _ in terms], np.int64)
-        self.stems = np.array([stem for _, stem in terms], bool)
-
-    def near(self, word: str) -> list[tuple[int, int]]:
-        """(term, distance) of all terms within their allowed distance of the word, or of a beginning of it for stems.
-
-        The automaton of the word: bit j of set e says that e edits lead from what was
-        read of the trie to the word's first j letters.
+                node = node.below.setdefault(letter, _Node())
+                node.edits = max(node.edits, edits)
+            node.terms.append((k, stem, edits))
+
+    def near_all(self, words: list[str], batch: int = 1 << 14) -> dict[str, list[tuple[int, int]]]:
+        """Words with the terms (index, distance) within their allowed distance of the word, or of a beginning of it for stems."""
+        found: dict[str, list[tuple[int, int]]] = {}
+        for start in range(0, len(words), batch):
+            part = words[start:start + batch]
+            for at, term, edits in self._walk(part):
+                for k in at.tolist():
+                    found.setdefault(part[k], []).append((term, edits))
+        return found
+
+    def _walk(self, words: list[str]) -> Iterator[tuple[np.ndarray, int, int]]:
+        """Places of the words that meet a term, the term, and the distance.
+
+        Bit j of state e of a word says that e edits lead from what was read of the trie
+        to the word's first j letters.
         """
-        size = len(word)
-        most = self.most
-        ends = 1 << size
-        full = (ends << 1) - 1
-        places: dict[str, int] = {}
-        for j, letter in enumerate(word):
-            places[letter] = places.get(letter, 0) | (2 << j)
-        # e letters of the word may be inserted before anything is read
-        start = tuple((1 << (e + 1)) - 1 & full for e in range(most + 1))
-        found: list[tuple[int, int]] = []
-        stack = [(self.root, start)]
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        width = int(sizes.max(initial=1))
+        codes = np.array(words, f"U{width}").view(np.uint32).reshape(len(words), width)
+        ends = np.uint64(1) << sizes.astype(np.uint64)
+        bits = np.uint64(2) << np.arange(width, dtype=np.uint64)
+        one = np.uint64(1)
+        letters: dict[str, np.ndarray] = {}
+
+        def places(letter: str) -> np.ndarray:
+            if letter not in letters:
+                letters[letter] = ((codes == ord(letter)) * bits).sum(axis=1, dtype=np.uint64)
+            return letters[letter]
+
+        # letters of the word may be put in before anything is read
+        start = [np.minimum((one << np.uint64(e + 1)) - one, 2 * ends - one) for e in range(self.root.edits + 1)]
+        stack = [(self.root, np.arange(len(words)), start)]
         while stack:
-            node, sets = stack.pop()
-            for letter, below in node.items():
-                if letter == "":
-                    for k, stem, edits in below:
-                        for e in range(edits + 1):
-                            if sets[e] if stem else sets[e] & ends:
-                                found.append((k, e))
-                                break
-                    continue
-                step = places.get(letter, 0)
-                before = 0
-                made = []
-                for e in range(most + 1):
-                    now = (sets[e] << 1) & step
+            node, at, states = stack.pop()
+            for term, stem, edits in node.terms:
+                left = np.arange(len(at))
+                for e in range(edits + 1):
+                    here = states[e][left] if stem else states[e][left] & ends[at[left]]
+                    yield at[left[here > 0]], term, e
+                    left = left[here == 0]
+            for letter, below in node.below.items():
+                step, limit = places(letter)[at], 2 * ends[at] - one
+                made: list[np.ndarray] = []
+                for e in range(below.edits + 1):
+                    now = (states[e] << one) & step
                     if e:
-                        lower = sets[e - 1]
                         # substituted, left out of the word, or put into it
-                        now |= (lower << 1) | lower | (before << 1)
-                    now &= full
-                    made.append(now)
-                    before = now
-                if made[-1]:
-                    stack.append((below, tuple(made)))
-        return found
-
-    def possible(self, words: list[str]) -> list[str]:
-        """Words whose letters leave room for a term: each edit can hide one letter of it. Ahead of the automaton."""
-        if not words or not self.terms:
-            return []
-        masks = _letters(words, self.width)
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        good = np.zeros(len(words), bool)
-        reach = np.minimum(self.lengths + self.edits, self.width)
-        for k, (bits, length, edits, stem) in enumerate(zip(self.letters, self.lengths, self.edits, self.stems, strict=True)):
-            have = masks[:, reach[k] - 1]
-            fits = np.bitwise_count(bits & ~have) <= edits
-            fits &= sizes >= length - edits
-            if not stem:
-                fits &= sizes <= length + edits
-            good |= fits
-        return [words[k] for k in np.flatnonzero(good).tolist()]
-
-    def near_all(self, words: list[str]) -> dict[str, list[tuple[int, int]]]:
-        """Terms near each word that has any."""
-        found = {}
-        for start in range(0, len(words), 1 << 15):
-            for word in self.possible(words[start:start + (1 << 15)]):
-                near = self.near(word)
-                if near:
-                    found[word] = near
-        return found
+                        now |= (states[e - 1] << one) | states[e - 1] | (made[e - 1] << one)
+                    made.append(now & limit)
+                alive = np.flatnonzero(made[-1])
+                if len(alive):
+                    stack.append((below, at[alive], [m[alive] for m in made]))
 
 
 class Lexicon:
-    """Terms, and the log odds of a document being toxic by term and distance (0 to 2)."""
+    """Terms (text, whether a stem, edits allowed), and the log odds of a document being toxic by term and distance (0 to 2)."""
 
-    def __init__(self, terms: list[tuple[str, bool]], odds: np.ndarray):
+    def __init__(self, terms: list[tuple[str, bool, int]], odds: np.ndarray):
         self.terms, self.odds, self.trie = terms, odds, Trie(terms)
         self.seen: set[str] = set()
         # term, distance and weight of the strongest term a word stands for
@@ -256,10 +242,15 @@ def _arrow(rows: DataFrame, run, schema: str) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and toxic (0 or 1) of the documents with a label; of several labels of an id the largest counts."""
-    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    """text and toxic (0 or 1) of about FIT_ROWS documents with a label; of several labels of an id the largest counts."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(marks, "doc_id").where("text is not null").select("doc_id", "text", "toxic")
+    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    marks = common.stored(marks.join(texts.select("doc_id").distinct(), "doc_id", "left_semi"), "toxic-marks")
+    share = FIT_ROWS / max(marks.count(), 1)
+    if share < 1:
+        marks = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    # FIT_ROWS small rows, so that texts stay where they are
+    return texts.join(F.broadcast(marks), "doc_id").where("text is not null").select("doc_id", "text", "toxic")
 
 
 def term_counts(labelled: DataFrame) -> DataFrame:
@@ -331,7 +322,7 @@ def _odds(toxic, clean, n_toxic: int, n_clean: int):
     return np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
 
 
-def near_counts(labelled: DataFrame, terms: list[tuple[str, bool]]) -> np.ndarray:
+def near_counts(labelled: DataFrame, terms: list[tuple[str, bool, int]]) -> np.ndarray:
     """Documents by term, distance (1, 2) and label that hold a word at that distance of the term and no term itself within it."""
     sent = labelled.sparkSession.sparkContext.broadcast(terms)  # LEXICON terms at most
 
@@ -379,22 +370,23 @@ def learn_lexicon(labelled: DataFrame) -> Lexicon:
     terms, seen = _chosen(rows, n_toxic, n_clean)
     if not terms:
         return Lexicon([], np.zeros((0, 3)))
-    near = near_counts(labelled, terms)
     weights = np.zeros((len(terms), 3))
     weights[:, 0] = _odds(seen[:, 0], seen[:, 1], n_toxic, n_clean)
+    terms = [(term, stem, allowed(term, stem, odds)) for (term, stem), odds in zip(terms, weights[:, 0].tolist(), strict=True)]
+    near = near_counts(labelled, terms)
     for e in (1, 2):
         weights[:, e] = _odds(near[:, e, 1] + MISSPELLED ** e * seen[:, 0], near[:, e, 0], n_toxic, n_clean)
     return Lexicon(terms, np.minimum(weights, weights[:, :1]))
 
 
-def fit(rows: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Logistic weights (bias first), drawn to PRIOR where data says little; Newton steps."""
+def fit(rows: np.ndarray, toxic: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Logistic weights (bias first) of rows that occur some times, drawn to PRIOR where data says little; Newton steps."""
     x = np.column_stack([np.ones(len(rows)), rows])
     weights = PRIOR.copy()
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-        gradient = x.T @ (p - toxic) + STIFFNESS * (weights - PRIOR)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(STIFFNESS)
+        gradient = x.T @ (times * (p - toxic)) + STIFFNESS * (weights - PRIOR)
+        hessian = (x * (times * p * (1 - p))[:, None]).T @ x + np.diag(STIFFNESS)
         step = np.linalg.solve(hessian, gradient)
         weights -= np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
@@ -433,12 +425,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
     if not lexicon.terms:
         return Model(lexicon, PRIOR)
-    rows = labelled
-    share = FIT_ROWS / max(labelled.count(), 1)
-    if share < 1:  # the fit alone is on a bounded sample
-        rows = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    found = _arrow(rows.select("text", "toxic"), run, "features array<double>, toxic long").toPandas()
-    return Model(lexicon, fit(np.array(found["features"].tolist()).reshape(-1, len(FEATURES)), (found["toxic"].to_numpy() > 0).astype(float)))
+    # equal rows are one with a count, so an id that repeats without end is not brought here row by row
+    made = _arrow(labelled.select("text", "toxic"), run, "features array<double>, toxic long")
+    found = made.groupBy("features", "toxic").agg(F.count(F.lit(1)).alias("n")).toPandas()
+    toxic, times = (found["toxic"].to_numpy() > 0).astype(float), found["n"].to_numpy().astype(float)
+    order = np.lexsort(np.array(found["features"].tolist()).reshape(-1, len(FEATURES)).T)  # one order, whatever the partitions
+    rows = np.array(found["features"].tolist()).reshape(-1, len(FEATURES))
+    return Model(lexicon, fit(rows[order], toxic[order], times[order]))
 
 
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
