@@ -42,21 +42,25 @@ def _aliased(columns: dict[str, Column]) -> list[Column]:
 # Voice runs by cluster size
 
 
-def newest_run_per_n(df: DataFrame) -> DataFrame:
+def newest_run_per_n(df: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """Rows of the newest file of each cluster size; file names sort by time.
 
-    Two columns are read to find the files, one row per cluster size is kept, and
-    the other columns are read for those files' rows only: nothing wide is shuffled.
+    ``runs`` gives the sizes and files of df where they cost less to read than df's own
+    (``reshape.voice_runs``). One row per cluster size is kept. Files are picked by name
+    first: a name needs no parsing, so Spark picks ahead of any parsing that df still
+    holds, and only the newest files are parsed. Nothing wide is shuffled.
     """
     keys = ["n_peers", "source_file"]
-    newest = settled(df.groupBy("n_peers").agg(F.max("source_file").alias("source_file")))
-    newest = newest.where(F.col("n_peers").isNotNull()).select(*[F.col(k).alias("_n_" + k) for k in keys])
+    newest = settled((df if runs is None else runs).groupBy("n_peers").agg(F.max("source_file").alias("source_file")))
+    newest = broadcast_if_small(newest.where(F.col("n_peers").isNotNull()).select(*[F.col(k).alias("_n_" + k) for k in keys]))
+    # A missing name counts as an empty one here: the join below tells them apart.
+    named = df.where(F.coalesce("source_file", F.lit("")).isin(newest.select(F.coalesce("_n_source_file", F.lit("")))))
     # Null-safe, so that no null check runs ahead of the parsing that df may still hold.
-    return df.join(broadcast_if_small(newest), same_keys(df, newest, keys, "_n_"), "left_semi")
+    return named.join(newest, same_keys(named, newest, keys, "_n_"), "left_semi")
 
 
-def kpi_vs_n(voice_client: DataFrame) -> DataFrame:
-    """Per cluster size, over the clients of its newest run."""
+def kpi_vs_n(voice_client: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """Per cluster size, over the clients of its newest run; ``runs`` as in ``newest_run_per_n``."""
     measured = {
         "setup_median_ms": median(sentinel_to_null("setup_median_ms")),
         "setup_p95_ms": median(sentinel_to_null("setup_p95_ms")),
@@ -66,7 +70,7 @@ def kpi_vs_n(voice_client: DataFrame) -> DataFrame:
         "uplink_kbps": F.avg("mean_up_kbps"),
         "suppressed_pct": F.avg("suppressed_pct"),
     }
-    return newest_run_per_n(voice_client).groupBy("n_peers").agg(
+    return newest_run_per_n(voice_client, runs).groupBy("n_peers").agg(
         F.round(F.avg("peers"), 1).alias("avg_peers"),
         F.sum(greatest_zero("links")).alias("conn_links"),
         *_aliased(_rounded(measured)),
@@ -116,13 +120,14 @@ def audiogap_skipped(runs: DataFrame) -> DataFrame:
 def sensing_suppression(sensing: DataFrame) -> DataFrame:
     """Per scenario: runs, and the median over all their clients."""
     share = median("suppressed_pct")
-    return sensing.where(F.col("scenario").isNotNull() & (F.col("scenario") != "")).groupBy(
-        "scenario"
-    ).agg(
-        F.count_distinct("source_file").alias("trials"),
+    clients = sensing.where(F.col("scenario").isNotNull() & (F.col("scenario") != ""))
+    # Runs are counted on their own: a distinct count beside a median keeps the values of every run apart.
+    trials = clients.select("scenario", "source_file").distinct().groupBy("scenario").agg(F.count("source_file").alias("trials"))
+    medians = clients.groupBy("scenario").agg(
         F.round(share).alias("suppression_median_pct"),
         share.alias("suppression_median_pct_raw"),
     )
+    return trials.join(medians, "scenario")
 
 
 def sensing_report_mix(raw_json: DataFrame) -> DataFrame:

@@ -25,6 +25,10 @@ def voice_clients(spark, sf_dir):
     return reshape.voice_client_summary(T.voice_exports(spark, sf_dir))
 
 
+def voice_runs(spark, sf_dir):
+    return reshape.voice_runs(T.voice_exports(spark, sf_dir))
+
+
 NEWEST = "SELECT c.* FROM client c JOIN (SELECT n_peers, max(source_file) AS source_file FROM client GROUP BY 1) m USING (n_peers, source_file)"
 KPI = f"""SELECT n_peers, round(avg(peers), 1) AS avg_peers, sum(greatest(links, 0))::BIGINT AS conn_links,
   round(quantile_cont(CASE WHEN setup_median_ms >= 0 THEN setup_median_ms END, 0.5)) AS setup_median_ms,
@@ -38,7 +42,7 @@ KPI_COLUMNS = ["n_peers", "avg_peers", "conn_links", "setup_median_ms", "setup_m
 
 
 def kpi(spark, sf_dir):
-    return marts.kpi_vs_n(voice_clients(spark, sf_dir))
+    return marts.kpi_vs_n(voice_clients(spark, sf_dir), voice_runs(spark, sf_dir))
 
 
 query("kpi_vs_n", with_sql("client", body=KPI))(lambda spark, sf_dir: kpi(spark, sf_dir).select(*KPI_COLUMNS))
@@ -46,7 +50,7 @@ query("kpi_vs_n", with_sql("client", body=KPI))(lambda spark, sf_dir: kpi(spark,
 
 @query("newest_run_per_n", with_sql("client", body=f"SELECT n_peers, source_file, client, peers FROM ({NEWEST})"))
 def newest_run_per_n(spark, sf_dir):
-    return marts.newest_run_per_n(voice_clients(spark, sf_dir)).select("n_peers", "source_file", "client", "peers")
+    return marts.newest_run_per_n(voice_clients(spark, sf_dir), voice_runs(spark, sf_dir)).select("n_peers", "source_file", "client", "peers")
 
 
 # Global summaries
