@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import access_of, round_half_even
+from linkloom.operators.history import broadcast_if_small, settled
 
 TOLERANCE = 1
 
@@ -93,16 +94,28 @@ def reference_audiogap(raw_json: DataFrame) -> DataFrame:
     ).select("key", "expected")
 
 
+def _newest_files(runs: DataFrame) -> DataFrame:
+    """The newest file of each cluster size (_n, _file), from runs (_n, source_file)."""
+    return broadcast_if_small(settled(runs.groupBy("_n").agg(F.max("source_file").alias("_file"))))
+
+
+def _bodies(raw_json: DataFrame, newest: DataFrame, explode) -> DataFrame:
+    """Clients (n_peers, source_file, body) of the newest files, which are picked by name before a client is read."""
+    named = raw_json.where(F.col("source_file").isin(newest.select("_file")))
+    return named.select(
+        _json("$.N", "int").alias("n_peers"), "source_file",
+        explode(F.from_json(F.get_json_object("payload", "$.perClient"), "array<string>")).alias("body"),
+    )
+
+
 def reference_kpi_vs_n(raw_json: DataFrame) -> DataFrame:
     """Set-up median of the newest run per N."""
-    clients = _of(raw_json, "voice").select(
-        _json("$.N", "int").alias("n"), "source_file",
-        F.explode_outer(F.from_json(F.get_json_object("payload", "$.perClient"), "array<string>")).alias("body"),
-    )
+    voice = _of(raw_json, "voice")
+    newest = _newest_files(voice.select(_json("$.N", "int").alias("_n"), "source_file"))
     setup = F.get_json_object("body", "$.kpis.setupMedianMs").try_cast("double")
-    runs = clients.groupBy("n", "source_file").agg(_median(F.when(setup >= 0, setup)).alias("v"))
-    newest = runs.groupBy("n").agg(F.max_by("v", "source_file").alias("expected"))
-    return newest.select(F.col("n").cast("string").alias("key"), "expected")
+    runs = _bodies(voice, newest, F.explode_outer).groupBy("n_peers", "source_file").agg(_median(F.when(setup >= 0, setup)).alias("expected"))
+    same = newest["_n"].eqNullSafe(runs["n_peers"]) & (newest["_file"] == runs["source_file"])
+    return newest.join(runs, same, "left").select(F.col("_n").cast("string").alias("key"), "expected")
 
 
 def reference_realnet(raw_stream: DataFrame) -> DataFrame:
@@ -184,18 +197,17 @@ def _sensing_columns(raw_json: DataFrame) -> DataFrame:
         F.explode(F.from_json(F.get_json_object("payload", "$.clients"), "map<string,string>")).alias("c", "body"),
     ).where("scenario <> ''")
     share = F.get_json_object("body", "$.stats.suppressedPct").try_cast("double")
-    # a run's clients first, so that runs are counted without a distinct count
-    runs = clients.groupBy("scenario", "source_file").agg(F.collect_list(share).alias("shares"))
-    trials = runs.groupBy("scenario").agg(F.count(F.lit(1)).alias("trials"))
-    medians = runs.select("scenario", F.explode_outer("shares").alias("v")).groupBy("scenario").agg(*_figures(F.col("v"), "suppression_median_pct", spread=False))
+    # runs on their own, so that no median is kept per run
+    trials = clients.select("scenario", "source_file").distinct().groupBy("scenario").agg(F.count(F.lit(1)).alias("trials"))
+    medians = clients.groupBy("scenario").agg(*_figures(share, "suppression_median_pct", spread=False))
     return trials.join(medians, "scenario")
 
 
 def _gracegap_columns(raw_json: DataFrame) -> DataFrame:
-    read = lambda path: _json(f"$.{path}", "double")
-    runs = _of(raw_json, "gracegap").select(
-        _json("$.absenceMs", "int").alias("absence_ms"), _json("$.graceMs", "int").alias("grace_ms"),
-        read("reconnectGapMs").alias("v"), read("stopAfterOutMs").alias("stop"), read("holdKbps").alias("hold"))
+    paths = {"absence_ms": "absenceMs", "grace_ms": "graceMs", "v": "reconnectGapMs", "stop": "stopAfterOutMs", "hold": "holdKbps"}
+    # all fields out of one reading of the payload
+    texts = _of(raw_json, "gracegap").select(F.json_tuple("payload", *paths.values()).alias(*paths))
+    runs = texts.select(*[F.col(c).try_cast("int" if c in ("absence_ms", "grace_ms") else "double").alias(c) for c in paths])
     return runs.where("v >= 0").groupBy("absence_ms", "grace_ms").agg(
         F.count(F.lit(1)).alias("n"), *_figures(F.col("v"), "gap_median_ms"),
         *_figures(_known(F.col("stop")), "stop_median_ms", spread=False), *_figures(_known(F.col("hold")), "hold_median_kbps", spread=False))
@@ -215,16 +227,18 @@ def _audiogap_columns(raw_json: DataFrame) -> DataFrame:
 
 
 def _kpi_columns(raw_json: DataFrame) -> DataFrame:
-    clients = _of(raw_json, "voice").select(
-        _json("$.N", "int").alias("n_peers"), "source_file",
-        F.explode(F.from_json(F.get_json_object("payload", "$.perClient"), "array<string>")).alias("body")).where("n_peers is not null")
+    voice = _of(raw_json, "voice")
+    clients_of = F.coalesce(F.json_array_length(F.get_json_object("payload", "$.perClient")), F.lit(0))
+    sized = F.when(clients_of > 0, _json("$.N", "int"))
+    newest = _newest_files(voice.select(sized.alias("_n"), "source_file"))
+    clients = _bodies(voice, newest, F.explode)
     of = lambda path: F.get_json_object("body", f"$.{path}").try_cast("double")
-    newest = clients.groupBy("n_peers").agg(F.max("source_file").alias("source_file"))
     fields = {"setup_median_ms": "kpis.setupMedianMs", "setup_p95_ms": "kpis.setupP95Ms", "ice_success_pct": "kpis.iceSuccessPct", "relay_pct": "kpis.relayPct",
               "m2e_ms": "kpis.latRawMedianMs", "uplink_kbps": "meanUpKbps", "suppressed_pct": "sense.suppressedPct"}
     known = {n: of(p) if n in ("uplink_kbps", "suppressed_pct") else _known(of(p)) for n, p in fields.items()}
     figures = [c for n, v in known.items() for c in _figures(v, n, spread=False, rate=not n.startswith("setup"))]
-    return clients.join(newest, ["n_peers", "source_file"], "left_semi").groupBy("n_peers").agg(
+    same = (clients["n_peers"] == newest["_n"]) & (clients["source_file"] == newest["_file"])
+    return clients.join(newest, same, "left_semi").groupBy("n_peers").agg(
         F.round(F.avg(of("peers")), 1).alias("avg_peers"), F.sum(F.greatest(of("kpis.links"), F.lit(0.0))).alias("conn_links"),
         *figures, F.sum(of("kpis.glareTotal")).alias("glare_total"))
 

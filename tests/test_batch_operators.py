@@ -9,7 +9,7 @@ from linkloom import schemas
 from linkloom.functions.percentiles import exact_percentiles, percentile_interpolated, percentile_nearest_rank
 from linkloom.functions import scalars as S
 from linkloom.operators import marts, parity, quality, reshape, series
-from linkloom.plans import refresh
+from linkloom.plans import refresh, stand_ins
 from linkloom.sources import exports, layers, reports
 
 AT = "2026-01-01T00:00:00Z"
@@ -203,6 +203,71 @@ def test_kpi_vs_n_takes_newest_run(spark):
     assert marts.newest_run_per_n(silver).count() == 3
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def newest_runs(spark):
+    """Two runs of size 2, one of a size whose newest run has no client, one without a size."""
+    return raw(
+        spark,
+        ("wsn-voice-N2-summary-1.json", "voice", voice(2, client("a", setupMedianMs=9))),
+        ("wsn-voice-N2-summary-2.json", "voice", voice(2, client("a", setupMedianMs=358), client("b", setupMedianMs=595))),
+        ("wsn-voice-N3-summary-1.json", "voice", voice(3, client("a", setupMedianMs=7))),
+        ("wsn-voice-N3-summary-2.json", "voice", voice(3)),
+        ("wsn-voice-summary-3.json", "voice", '{"perClient": [{"client": "a"}]}'),
+        ("wsn-voice-N2-summary-9.json", "voice", "{"),
+    )
+
+
+def test_newest_runs_are_picked_before_parsing(spark):
+    json_rows = newest_runs(spark)
+    silver = reshape.voice_client_summary(json_rows)
+    newest = marts.newest_run_per_n(silver, reshape.voice_runs(json_rows))
+    assert rows(newest.select("n_peers", "source_file", "client")) == [
+        (2, "wsn-voice-N2-summary-2.json", "a"), (2, "wsn-voice-N2-summary-2.json", "b"), (3, "wsn-voice-N3-summary-1.json", "a")]
+    assert rows(newest) == rows(marts.newest_run_per_n(silver))
+    assert rows(marts.kpi_vs_n(silver, reshape.voice_runs(json_rows))) == rows(marts.kpi_vs_n(silver))
+    plan = plan_of(newest)
+    assert plan.rindex("LeftSemi") > plan.index("Generate")  # a join lies below the parsing
+
+
+def test_references_read_clients_of_newest_runs_only(spark):
+    json_rows = newest_runs(spark)
+    assert rows(parity.reference_kpi_vs_n(json_rows)) == [("2", 476.5), ("3", None), (None, None)]
+    assert rows(parity._kpi_columns(json_rows).select("n_peers", "setup_median_ms_raw")) == [(2, 476.5), (3, 7.0)]
+    for df in (parity.reference_kpi_vs_n(json_rows), parity._kpi_columns(json_rows)):
+        plan = plan_of(df)
+        assert plan.rindex("LeftSemi") > plan.index("Generate")
+
+
+def test_written_exports_are_spread_and_found(spark, tmp_path):
+    made = spark.range(300).coalesce(1).select(
+        F.concat(F.lit("wsn-dtx-"), F.col("id").cast("string"), F.lit(".json")).alias("source_file"),
+        F.concat(F.lit('{"é": '), F.col("id").cast("string"), F.lit("}\n")).alias("payload"))
+    root = str(tmp_path / "out")
+    assert exports.write_exports(made.unionByName(made.limit(1)), root) == 301
+    assert len({p.parent for p in (tmp_path / "out").rglob("*.json")}) > 100
+    (tmp_path / "out" / "wsn-dtx-flat.json").write_text("{}")
+    (tmp_path / "out" / "_wsn-dtx-own.json").write_text("{}")
+    got = {r.source_file: r.payload for r in exports.land_json_exports(spark, root, AT).collect()}
+    assert got == {r.source_file: r.payload for r in made.collect()} | {"wsn-dtx-flat.json": "{}"}
+    assert [r.source_file for r in exports.discover_exports(spark, root).collect()] == sorted(got)
+    assert exports.land_json_exports(spark, root, AT, glob="wsn-dtx-{1,2}.json").count() == 2
+
+
+def test_event_properties_are_parsed_once(spark, tmp_path):
+    spark.createDataFrame(
+        [(1, 1, "view", 3.0, '{"k": 7}'), (2, 1, "click", 4.0, '{"k": 8}'), (3, 2, "click", 5.0, None)],
+        "event_id long, user_id long, event_type string, value double, props string",
+    ).withColumn("ts", F.timestamp_millis(F.col("event_id") * 1000)).write.parquet(str(tmp_path / "events.parquet"))
+    got = stand_ins.events(spark, str(tmp_path))
+    assert rows(got.select("event_id", "k", "t_ms")) == [(1, 7, 1000), (2, 8, 2000), (3, None, 3000)]
+    shares = marts.sensing_suppression(reshape.normalize_sensing(stand_ins.sensing_exports(spark, str(tmp_path))))
+    assert plan_of(shares).count("get_json_object(props") == plan_of(shares).count("Relation [")
+    assert rows(shares.select("scenario", "trials", "suppression_median_pct_raw")) == [("idle", 1, 50.0), ("walk", 2, 50.0)]
+
+
 def test_dtx_and_grace(spark):
     dtx = spark.createDataFrame([("speech", True, 18.1), ("speech", True, 17.9), ("speech", False, 23.0), ("tone", False, -1.0)], "source string, dtx boolean, uplink_kbps double")
     assert rows(marts.dtx_uplink(dtx).select("source", "dtx", "uplink_median_kbps")) == [("speech", False, 23.0), ("speech", True, 18.0)]
