@@ -64,14 +64,17 @@ def _names(spark: SparkSession, root: str, glob: str) -> DataFrame:
     """Exports under a folder: path and source_file. Tasks list the folders, so the driver holds no names.
 
     As Spark's own readers do, files lie in the root itself or in folders named
-    ``key=value``; names that begin with ``_`` or ``.`` are left out.
+    ``key=value``; names that begin with ``_`` or ``.`` and empty files are left out.
     """
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store = fs.LocalFileSystem()
         for batch in batches:
             for folder in batch.column(0).to_pylist():
-                found = [(e.path, e.type == fs.FileType.File) for e in store.get_file_info(fs.FileSelector(folder)) if e.base_name[:1] not in ("_", ".")]
+                found = [
+                    (e.path, e.type == fs.FileType.File) for e in store.get_file_info(fs.FileSelector(folder))
+                    if e.base_name[:1] not in ("_", ".") and e.size != 0
+                ]
                 yield pa.RecordBatch.from_pydict({
                     "path": pa.array([f for f, _ in found], pa.string()), "is_file": pa.array([kind for _, kind in found], pa.bool_()),
                 })
