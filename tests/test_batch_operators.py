@@ -250,12 +250,29 @@ def test_written_exports_are_spread_and_found(spark, tmp_path):
     assert len({p.parent for p in (tmp_path / "out").rglob("*.json")}) > 100
     (tmp_path / "out" / "wsn-dtx-flat.json").write_text("{}")
     (tmp_path / "out" / "_wsn-dtx-own.json").write_text("{}")
+    (tmp_path / "out" / "wsn-dtx-empty.json").write_text("")
     got = {r.source_file: r.payload for r in exports.land_json_exports(spark, root, AT).collect()}
     assert got == {r.source_file: r.payload for r in made.collect()} | {"wsn-dtx-flat.json": "{}"}
     assert [r.source_file for r in exports.discover_exports(spark, root).collect()] == sorted(got)
     assert exports.land_json_exports(spark, root, AT, glob="wsn-dtx-{1,2}.json").count() == 2
 
 
+def test_bands_build_banded_marts_only(spark, tmp_path, monkeypatch):
+    from linkloom.plans.catalog import checks, load
+    load()
+    built = []
+    for name in ("kpi_vs_n", "mobility_cycles", "audiogap", "sensing_suppression", "realnet_conditions", "gracegap_series", "dtx_uplink"):
+        monkeypatch.setattr(marts, name, lambda *a, name=name: built.append(name) or spark.createDataFrame(
+            [(2, 70.0, 100.0, 2500.0)], "n_peers int, m2e_ms double, ice_success_pct double, reconnect_median_ms double"))
+    monkeypatch.setattr(checks.T, "table", lambda spark_, sf_dir, name: spark.createDataFrame([], {
+        "lineitem": "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string",
+        "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string",
+        "events": "event_id long, ts timestamp, user_id long, event_type string, value double, props string"}[name]))
+    assert checks.check_bands(spark, str(tmp_path)).where("ok").count() == 4
+    assert sorted(built) == ["audiogap", "kpi_vs_n", "mobility_cycles"]
+
+
 def test_event_properties_are_parsed_once(spark, tmp_path):
     spark.createDataFrame(
         [(1, 1, "view", 3.0, '{"k": 7}'), (2, 1, "click", 4.0, '{"k": 8}'), (3, 2, "click", 5.0, None)],
