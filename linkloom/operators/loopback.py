@@ -133,38 +133,50 @@ class Recurrence:
         self.response = np.concatenate([[b[0]], free[:-1] @ kick])
 
     def run(self, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Outputs from the given state, and the state behind them."""
-        blocks = np.zeros((-(-len(x) // self.BLOCK), self.BLOCK))
-        blocks.ravel()[: len(x)] = x
-        size = 2 * self.BLOCK
-        y = np.fft.irfft(np.fft.rfft(blocks, size) * np.fft.rfft(self.response, size), size)[:, : self.BLOCK]
-        entered = np.empty((len(blocks), 2))
-        for k, (own, out) in enumerate(zip(blocks, y, strict=True)):
-            entered[k] = state
-            state = self.over_block @ state + self._left(own, out)
-        y = (y + entered @ self.free.T).ravel()[: len(x)]
-        if len(x) == 1:
-            return y, self._left(x, y) + np.array([entered[0][1], 0.0])
-        return y, self._behind(x, y, len(x)) if len(x) else state
+        """Outputs of signals of one length (a row each) from the given states, and the states behind them."""
+        rows, length = x.shape
+        width = min(self.BLOCK, length)
+        blocks = np.zeros((rows, -(-length // width), width))
+        blocks.reshape(rows, -1)[:, :length] = x
+        y = np.fft.irfft(np.fft.rfft(blocks, 2 * width) * np.fft.rfft(self.response[:width], 2 * width), 2 * width)[:, :, :width]
+        over = self.over_block if width == self.BLOCK else np.linalg.matrix_power(self.move, width)
+        entered = np.empty((rows, blocks.shape[1], 2))
+        for k in range(blocks.shape[1]):
+            entered[:, k] = state
+            state = state @ over.T + self._left(blocks[:, k], y[:, k])
+        y = (y + entered @ self.free[:width].T).reshape(rows, -1)[:, :length]
+        if length == 1:
+            return y, self._left(x, y) + np.stack([entered[:, 0, 1], np.zeros(rows)], axis=1)
+        return y, self._behind(x, y)
 
     def _left(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """The state a stretch entered at rest leaves."""
-        return self._behind(np.concatenate([[0.0], x]), np.concatenate([[0.0], y]), len(x) + 1)
-
-    def _behind(self, x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
-        second = lambda k: self.b[2] * x[k] - self.a[1] * y[k]
-        return np.array([self.b[1] * x[n - 1] - self.a[0] * y[n - 1] + second(n - 2), second(n - 1)])
-
-    def entered(self, stretches: np.ndarray, left: np.ndarray, size: int) -> np.ndarray:
-        """For stretches in order, and the states they leave when entered at rest, the states they are entered with."""
-        found, state, at = np.empty_like(left), np.zeros(2), None
+        """The states that signals entered at rest leave."""
+        if x.shape[1] == 1:
+            x, y = (np.pad(v, ((0, 0), (1, 0))) for v in (x, y))
+        return self._behind(x, y)
+
+    def _behind(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        second = lambda k: self.b[2] * x[:, k] - self.a[1] * y[:, k]
+        return np.stack([self.b[1] * x[:, -1] - self.a[0] * y[:, -1] + second(-2), second(-1)], axis=1)
+
+    def entered(self, place: np.ndarray, stretches: np.ndarray, left: np.ndarray, size: int) -> np.ndarray:
+        """For stretches in order, and the states they leave when entered at rest, the states they are entered with.
+
+        ``place`` numbers the stretches of a recording from 0; all recordings take a step at a time.
+        States are rows x channels x 2.
+        """
+        found = np.zeros_like(left)
         over = np.linalg.matrix_power(self.move, size)
-        for k, stretch in enumerate(stretches.tolist()):
-            if at is not None:
-                state = over @ state + left[k - 1]
-                if stretch > at + 1:  # stretches without frames are silent
-                    state = np.linalg.matrix_power(over, stretch - at - 1) @ state
-            found[k], at = state, stretch
+        gap = np.diff(stretches, prepend=0) - 1
+        order = np.argsort(place, kind="stable")
+        ends = np.searchsorted(place[order], np.arange(1, place.max() + 2))
+        for begin, end in zip(ends[:-1], ends[1:], strict=True):
+            at = order[begin:end]
+            found[at] = found[at - 1] @ over.T + left[at - 1]
+            silent = at[gap[at] > 0]  # stretches without frames are silent
+            for n in np.unique(gap[silent]).tolist():
+                own = silent[gap[silent] == n]
+                found[own] = found[own] @ np.linalg.matrix_power(over, n).T
         return found
 
 
@@ -180,45 +192,106 @@ def smoothing(fs: float, tau_ms: float) -> Recurrence:
     return Recurrence((1 - keep, 0.0, 0.0), (-keep, 0.0))
 
 
+def _whole(batches: Iterator[pa.RecordBatch], keys: list[str], most: int) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """Rows sorted by keys as tables of whole groups, at most ``most`` of them: rows, each row's group, the groups' first rows."""
+
+    def fresh(rows: pa.Table | pa.RecordBatch) -> np.ndarray:
+        """Whether a row's keys differ from those of the row before."""
+        first = np.zeros(max(0, rows.num_rows - 1), bool)
+        for key in keys:
+            column = rows.column(key)
+            column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+            first |= np.diff(column.dictionary_encode("encode").indices.to_numpy()) != 0
+        return first
+
+    def parts(held: list[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        starts = np.concatenate([[0], np.flatnonzero(fresh(rows)) + 1])
+        ends = np.append(starts[1:], rows.num_rows)
+        for at in range(0, len(starts), most):
+            own, until = starts[at:at + most], ends[at:at + most]
+            yield rows.slice(int(own[0]), int(until[-1] - own[0])), np.repeat(np.arange(len(own)), until - own), own - own[0]
+
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cuts = np.flatnonzero(fresh(batch)) + 1
+        if held and tuple(batch.column(k)[0].as_py() for k in keys) != last:
+            cuts = np.concatenate([[0], cuts])
+        if len(cuts):  # the last group may go on in the next batch
+            done = [*held, *([batch.slice(0, int(cuts[-1]))] if cuts[-1] else [])]
+            if done:
+                yield from parts(done)
+            held = []
+        held.append(batch.slice(int(cuts[-1]) if len(cuts) else 0))
+        last = tuple(batch.column(k)[batch.num_rows - 1].as_py() for k in keys)
+    if held:
+        yield from parts(held)
+
+
+# Frames that are filtered together.
+TOGETHER = 1 << 20
+
+
 def _scanned(df: DataFrame, filter_: Recurrence, prepare: Callable[[np.ndarray], np.ndarray], stretch: int) -> DataFrame:
     """Apply the filter to each channel, stretch by stretch, each entered with the state the ones before it leave.
 
     Two passes over the frames; between them one small row per stretch, which one task
-    per recording puts in order.
+    per recording puts in order. A task filters many stretches at once, as rows of one
+    array, so short stretches cost little more than their frames.
     """
     channels = [c for c in ("ref", "mic") if c in df.columns]
-    rows = df.select(REC, "frame", *channels).withColumn("_stretch", F.floor(F.col("frame") / stretch))
-    keys = [REC, "_stretch"]
+    keys, many = [REC, "_stretch"], max(1, TOGETHER // stretch)
+    own = F.floor(F.col("frame") / stretch)
+    rows = df.select(REC, own.alias("_stretch"), (F.col("frame") - own * stretch).alias("_at"), "frame", *channels)
 
-    def dense(piece: pd.DataFrame, channel: str, start: int) -> np.ndarray:
-        out = np.zeros(stretch)
-        out[(piece["frame"] - start).to_numpy()] = piece[channel].to_numpy(dtype=float)
+    def dense(piece: pa.Table, channel: str, group: np.ndarray, groups: int) -> np.ndarray:
+        out = np.zeros((groups, stretch))
+        out[group, piece.column("_at").to_numpy()] = piece.column(channel).to_numpy().astype(float)
         return prepare(out)
 
-    def leave(key: tuple, piece: pd.DataFrame) -> pd.DataFrame:
-        states = [filter_.run(dense(piece, c, key[1] * stretch), np.zeros(2))[1].tolist() for c in channels]
-        return pd.DataFrame({REC: [key[0]], "_stretch": [key[1]], "_states": [states]})
-
-    def chain(piece: pd.DataFrame) -> pd.DataFrame:
-        piece = piece.sort_values("_stretch", ignore_index=True)
-        left = np.array([[list(s) for s in states] for states in piece["_states"]], float)  # stretches x channels x 2
-        entered = np.stack([filter_.entered(piece["_stretch"].to_numpy(), left[:, c], stretch) for c in range(len(channels))], axis=1)
-        return piece[keys].assign(_states=entered.tolist())
-
-    def finish(key: tuple, piece: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        start, out = key[1] * stretch, {REC: piece[REC], "frame": piece["frame"]}
-        for c, channel in enumerate(channels):
-            y, _ = filter_.run(dense(piece, channel, start), np.array(list(entry["_states"].iloc[0][c]), float))
-            out[channel] = y[(piece["frame"] - start).to_numpy()].astype(np.float32)
-        return pd.DataFrame(out)
-
-    state = StructType([df.schema[REC]]).add("_stretch", "long").add("_states", ArrayType(ArrayType(DoubleType())))
-    left = spread(rows, *keys).groupBy(*keys).applyInPandas(leave, state)
-    entered = left.groupBy(REC).applyInPandas(chain, state)
+    def states_of(places: pa.Table, found: np.ndarray) -> pa.RecordBatch:
+        """Rows of keys with their states, channel by channel in one list."""
+        size = 2 * len(channels)
+        lists = pa.ListArray.from_arrays(np.arange(0, len(found) * size + 1, size, dtype=np.int32), found.reshape(-1))
+        return pa.RecordBatch.from_arrays([*(places.column(k).combine_chunks() for k in keys), lists], names=state.names)
+
+    def told(states: pa.ChunkedArray) -> np.ndarray:
+        return states.combine_chunks().flatten().to_numpy().reshape(len(states), len(channels), 2)
+
+    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, group, starts in _whole(batches, keys, many):
+            rest = np.zeros((len(starts), 2))
+            left = [filter_.run(dense(piece, c, group, len(starts)), rest)[1] for c in channels]
+            yield states_of(piece.select(keys).take(pa.array(starts)), np.stack(left, axis=1))
+
+    def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, group, starts in _whole(batches, [REC], TOGETHER):
+            place = np.arange(len(group)) - starts[group]
+            yield states_of(piece, filter_.entered(place, piece.column("_stretch").to_numpy(), told(piece.column("_states")), stretch))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, group, starts in _whole(batches, keys, many):
+            entered = told(piece.column("_states").take(pa.array(starts)))
+            frames = np.ones(len(group), bool)
+            frames[starts] = False  # a stretch's state comes ahead of its frames
+            piece, group = piece.filter(pa.array(frames)), group[frames]
+            out = [piece.column(c).combine_chunks() for c in (REC, "frame")]
+            for c, channel in enumerate(channels):
+                y, _ = filter_.run(dense(piece, channel, group, len(starts)), entered[:, c])
+                y = y[group, piece.column("_at").to_numpy()].astype(np.float32)
+                out.append(pa.array(y, mask=np.isnan(y)))
+            yield pa.RecordBatch.from_arrays(out, names=schema.names)
+
+    state = StructType([df.schema[REC]]).add("_stretch", "long").add("_states", ArrayType(DoubleType()))
     schema = StructType([df.schema[REC], df.schema["frame"]])
     for channel in channels:
         schema = schema.add(channel, "float")
-    return spread(rows, *keys).groupBy(*keys).cogroup(entered.groupBy(*keys)).applyInPandas(finish, schema)
+    left = spread(rows, *keys).sortWithinPartitions(*keys).mapInArrow(leave, state)
+    entered = spread(left, REC).sortWithinPartitions(*keys).mapInArrow(chain, state)
+    both = rows.unionByName(entered, allowMissingColumns=True)
+    return spread(both, *keys).sortWithinPartitions(*keys, F.col("_states").isNull()).mapInArrow(finish, schema)
 
 
 def _outlasts(response_frames: float, stretch: int) -> bool:

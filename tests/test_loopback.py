@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +91,41 @@ def test_filters_that_outlast_their_stretches(spark):
     np.testing.assert_allclose(got["ref"].to_numpy(float), biquad(quiet, FS, 2000, 200)[got["frame"].to_numpy()], atol=1e-6)
 
 
+@pytest.mark.parametrize("size", [1, 2, 16, 512, 700])
+def test_many_stretches_are_filtered_as_one_array(size):
+    """All stretches of a task take one call, and the states of all recordings are put in order together."""
+    rng = np.random.default_rng(size)
+    x = {rec: rng.standard_normal(n * size) for rec, n in ((0, 5), (1, 1), (2, 9))}
+    sharp = L.bandpass(FS, 2000, 200)
+    stretches = np.concatenate([np.arange(len(v) // size) for v in x.values()])
+    dense = np.concatenate(list(x.values())).reshape(-1, size)
+    left = sharp.run(dense, np.zeros((len(dense), 2)))[1]
+    entered = sharp.entered(stretches, stretches, left[:, None], size)
+    y, _ = sharp.run(dense, entered[:, 0])
+    np.testing.assert_allclose(y.ravel(), np.concatenate([biquad(v, FS, 2000, 200) for v in x.values()]), atol=1e-9)
+
+
+def test_sorted_rows_are_cut_at_whole_groups():
+    keys = [None, None, "a", "a", "a", "b", "c", "c", "d"]
+    rows = pa.RecordBatch.from_pydict({"k": pa.array(keys, pa.string()), "n": pa.array(range(9))})
+    for step in (1, 2, 4, 9):
+        got = []
+        for piece, group, starts in L._whole(iter([rows.slice(i, step) for i in range(0, 9, step)]), ["k"], 2):
+            assert len(starts) <= 2 and (group == np.repeat(np.arange(len(starts)), np.diff([*starts, len(group)]))).all()
+            got += [piece.column("n").to_pylist()[a:b] for a, b in zip(starts, [*starts[1:], len(group)], strict=True)]
+        assert got == [[0, 1], [2, 3, 4], [5], [6, 7], [8]]
+
+
+def test_short_stretches_keep_unknown_frames_and_recordings_apart(spark):
+    """A frame without a value leaves its stretch and those behind it unknown, in its own recording only."""
+    x = np.random.default_rng(3).standard_normal(100).astype(np.float32).astype(float)
+    df = frames(spark, {1: (x, x), 2: (x, x)}).withColumn("ref", F.expr("CASE WHEN recording_id = 1 AND frame = 40 THEN NULL ELSE ref END"))
+    got = L.bandpass_filter(df, FS, q=200, stretch=16)
+    assert sorted(r.frame for r in got.where("ref IS NULL").collect()) == list(range(32, 100))
+    np.testing.assert_allclose(column(got, "ref", 2), biquad(x, FS, 2000, 200), atol=1e-6)
+    np.testing.assert_allclose(column(got, "mic", 1), biquad(x, FS, 2000, 200), atol=1e-6)
+
+
 @pytest.mark.parametrize(("width", "lags"), [(5, 40), (200, 1500), (130, 1)])
 def test_correlations_equal_the_direct_form(width, lags):
     rng = np.random.default_rng(width)
