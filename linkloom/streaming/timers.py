@@ -37,12 +37,17 @@ def _could_restart() -> Column:
     return F.coalesce(idle & impolite, F.lit(False))
 
 
-def watched(ticks: DataFrame) -> DataFrame:
+def told(ticks: DataFrame) -> DataFrame:
     """What the watchdog reads of a tick: the key, t_ms, connected, could_restart."""
     return ticks.select(
         "session", "peer", F.col("born_ms").cast("bigint").alias("born_ms"), F.col("t_ms").cast("bigint").alias("t_ms"),
         F.coalesce("ever_connected", F.lit(False)).alias("connected"), _could_restart().alias("could_restart"),
-    ).where("born_ms is not null and t_ms is not null")
+    )
+
+
+def watched(ticks: DataFrame) -> DataFrame:
+    """Ticks with both their times."""
+    return told(ticks).where("born_ms is not null and t_ms is not null")
 
 
 def never_connected_deadlines(ticks: DataFrame, restart_ms: int = 3000, recreate_ms: int = 8000, delay_ms: int = 0) -> DataFrame:
@@ -87,43 +92,49 @@ def _watchdog(restart_ms: int, recreate_ms: int) -> type[StatefulProcessor]:
             first, last = born + restart_ms + 1, born + recreate_ms + 1
             if timerValues.getCurrentWatermarkInMs() > last:
                 return  # decided; late rows open no new state
-            known = self.peer.get() if self.peer.exists() else None
+            known = self.peer.get()
             connected, before, can, after, restarted = known or (None, None, False, None, False)
             met = False
             for batch in rows:
-                batch = batch[batch["t_ms"] <= last]
-                met = met or len(batch) > 0
-                joined = batch.loc[batch["connected"], "t_ms"]
-                if len(joined):
-                    connected = min(int(joined.min()), connected if connected is not None else last)
-                early = batch[batch["t_ms"] <= first]
-                if len(early):
-                    at = int(early["t_ms"].max())
-                    able = bool(early.loc[early["t_ms"] == at, "could_restart"].any())
+                t, joined, able = (batch[c].to_numpy() for c in ("t_ms", "connected", "could_restart"))
+                own = t <= last
+                if not own.any():
+                    continue
+                met, t, joined, able = True, t[own], joined[own], able[own]
+                if joined.any():
+                    connected = min(int(t[joined].min()), connected if connected is not None else last)
+                early = t <= first
+                if early.any():
+                    at = int(t[early].max())
+                    now_can = bool(able[t == at].any())
                     if before is None or at > before:
-                        before, can = at, able
+                        before, can = at, now_can
                     elif at == before:
-                        can = can or able
-                later = batch.loc[(batch["t_ms"] > first) & batch["could_restart"], "t_ms"]
+                        can = can or now_can
+                later = t[able & ~early]
                 if len(later):
                     after = min(int(later.min()), after if after is not None else last)
             if not met:
                 return
+            now = connected, before, can, after, restarted
             if known is None:
-                self.handle.registerTimer(first)
                 self.handle.registerTimer(last)
-            if after is not None and (known is None or known[3] != after):
-                self.handle.registerTimer(after)
-            self.peer.update((connected, before, can, after, restarted))
+            # a restart is due at one of these, unless the peer connects first; without it nothing happens there
+            for at, had in ((first if can else None, first if known and known[2] else None), (after, known[3] if known else None)):
+                if at is not None and at != had and (connected is None or connected > at):
+                    self.handle.registerTimer(at)
+            if known is None or now != tuple(known):
+                self.peer.update(now)
             return
             yield
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            if not self.peer.exists():
+            known = self.peer.get()
+            if known is None:
                 return
             born, now = int(key[2]), int(expiredTimerInfo.getExpiryTimeInMs())
             first, last = born + restart_ms + 1, born + recreate_ms + 1
-            connected, before, can, after, restarted = self.peer.get()
+            connected, before, can, after, restarted = known
             acts = []
             at = first if can else after
             if not restarted and at is not None and at <= now and at <= last and (connected is None or connected > at):
@@ -152,6 +163,8 @@ def stream_never_connected_deadlines(ticks: DataFrame, restart_ms: int = 3000, r
     """
     use_state_timers(ticks.sparkSession)
     rows = watched(ticks).withColumn("at", F.timestamp_millis("t_ms")).withWatermark("at", f"{delay_ms} milliseconds")
+    # Ticks behind a peer's last deadline move the clock only; as a filter on the clock's column it stays behind the clock.
+    rows = rows.where(F.unix_millis("at") <= F.col("born_ms") + (recreate_ms + 1))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     schema = StructType.fromDDL(OUT.format(**kinds))
     return rows.groupBy(*KEY).transformWithStateInPandas(

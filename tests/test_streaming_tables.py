@@ -4,6 +4,7 @@ import json
 import random
 import shutil
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +57,55 @@ def test_deadlines_pass_without_a_further_row(spark, tmp_path):
     assert sorted((r.peer, r.at_ms - BORN, r.action) for r in batch.collect()) == WANT
 
 
+class Kept:
+    """A peer's state and timers as the engine would keep them; every call counts."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.append(at)
+
+    def exists(self):
+        self.calls += 1
+        return self.value is not None
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+
+class Clock:
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+@pytest.mark.parametrize(("ticks", "timers_at", "calls"), [
+    ([(100, False, False), (3500, False, False)], [8001], 3),  # cannot restart: only its last deadline is waited for
+    ([(100, True, True)], [8001], 3),  # connected before any deadline
+    ([(100, False, True), (3001, False, False), (5000, False, True)], [8001, 5000], 4),
+    ([(100, False, True), (9000, True, False)], [8001, 3001], 4),
+    ([(9000, False, True)], [], 1),  # behind the last deadline
+])
+def test_a_peer_waits_only_for_deadlines_it_can_act_on(ticks, timers_at, calls):
+    watchdog, kept = timers._watchdog(3000, 8000)(), Kept()
+    watchdog.init(kept)
+    rows = pd.DataFrame(ticks, columns=["t_ms", "connected", "could_restart"])
+    assert list(watchdog.handleInputRows(("s", 1, 0), iter([rows]), Clock())) == []
+    assert (kept.timers, kept.calls) == (timers_at, calls)
+    # a copy of the ticks changes nothing and is not written
+    assert list(watchdog.handleInputRows(("s", 1, 0), iter([rows]), Clock())) == []
+    assert (kept.timers, kept.calls) == (timers_at, calls + 1)
+
+
 def test_deadlines_that_are_not_due(spark):
     rows = [tick(1, 100), tick(2, 8001, connected=True)]
     got = lambda more: sorted((r.peer, r.at_ms - BORN, r.action) for r in timers.never_connected_deadlines(spark.createDataFrame(more, TICK)).collect())
