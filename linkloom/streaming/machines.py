@@ -7,6 +7,7 @@ order per key (see ``publish_keyed_events``).
 
 from __future__ import annotations
 
+import functools
 import json
 import math
 from collections import namedtuple
@@ -16,11 +17,13 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from linkloom.functions.sensing import Heard, Thresholds
 from linkloom.operators.states import node_columns, track_of
+from linkloom.streaming.timers import told
 
 
 class Machine:
@@ -37,8 +40,25 @@ class Machine:
 
     def walk(self, rows: pd.DataFrame) -> list[tuple]:
         """All that a key's ordered rows emit."""
-        Row = namedtuple("Row", rows.columns)
-        return [said for row in map(Row._make, zip(*(rows[c].tolist() for c in rows.columns))) for said in self.step(row)]
+        make = _row(tuple(rows.columns))._make
+        return [said for row in map(make, zip(*(rows[c].tolist() for c in rows.columns))) for said in self.step(row)]
+
+
+@functools.cache
+def _row(columns: tuple[str, ...]) -> type:
+    """Made once per worker; a key's rows cost less than the class."""
+    return namedtuple("Row", columns)
+
+
+def _ordered(batches: list[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    """A key's rows in order; those that came in order are left as they are."""
+    rows = batches[0] if len(batches) == 1 else pd.concat(batches, ignore_index=True)
+    if len(rows) < 2:
+        return rows
+    first = rows[order[0]].to_numpy()
+    if first.dtype.kind in "if" and (first[1:] > first[:-1]).all():
+        return rows
+    return rows.sort_values(order, kind="stable", ignore_index=True)
 
 
 def run_machine(
@@ -49,7 +69,7 @@ def run_machine(
     names = schema.names
 
     def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState):
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
+        rows = _ordered(list(batches), order)
         machine = make(json.loads(state.get[0]) if state.exists else None)
         out = [key + said for said in machine.walk(rows)]
         state.update((json.dumps(machine.memory),))
@@ -189,25 +209,26 @@ def stream_grace_window(ticks: DataFrame, w_ms: int) -> DataFrame:
 
 def watchdog_machine(restart_ms: int, recreate_ms: int) -> type[Machine]:
     class Watchdog(Machine):
+        """Keeps a few numbers for each peer of a session."""
+
         def fresh(self):
-            return {"born": None, "restarted": False, "gone_at": None}
+            return {}
 
         def step(self, row):
-            m, born, t = self.memory, int(row.born_ms), int(row.t_ms)
+            m = self.memory.setdefault("" if row.peer is None else "p" + row.peer, {"born": None, "restarted": False, "gone_at": None})
+            born, t = int(row.born_ms), int(row.t_ms)
             if m["born"] != born:
                 m.update(born=born, restarted=False, gone_at=None)
             gone = m["gone_at"] is not None
-            if row.ever_connected or (gone and t > m["gone_at"]):
+            if row.connected or (gone and t > m["gone_at"]):
                 return []
             acts = []
-            idle = row.signaling == "stable" and row.ice == "new"
-            impolite = row.remote_nonce >= 0 and row.my_nonce > row.remote_nonce
-            if not m["restarted"] and t - born > restart_ms and idle and impolite:
+            if not m["restarted"] and t - born > restart_ms and row.could_restart:
                 m["restarted"] = True
-                acts.append((born, t, "restart"))
+                acts.append((row.peer, born, t, "restart"))
             if not gone and t - born > recreate_ms:
                 m["gone_at"] = t
-                acts.append((born, t, "recreate"))
+                acts.append((row.peer, born, t, "recreate"))
             return acts
 
     return Watchdog
@@ -216,7 +237,8 @@ def watchdog_machine(restart_ms: int, recreate_ms: int) -> type[Machine]:
 def stream_never_connected_timeout(
     ticks: DataFrame, restart_ms: int = 3000, recreate_ms: int = 8000
 ) -> DataFrame:
+    """A session's peers share a state: a call into Python costs far more than the few ticks of a peer."""
     machine = watchdog_machine(restart_ms, recreate_ms)
-    return run_machine(
-        ticks, ["session", "peer"], ["t_ms"], machine, "born_ms bigint, t_ms bigint, action string"
-    )
+    rows = told(ticks).withColumn("peer", F.col("peer").cast("string"))
+    acts = run_machine(rows, ["session"], ["t_ms"], machine, "peer string, born_ms bigint, t_ms bigint, action string")
+    return acts.withColumn("peer", F.col("peer").cast(ticks.schema["peer"].dataType))

@@ -1,5 +1,6 @@
 """Ordered history, lifecycles, machines: plain way, chunked way and stream must agree."""
 
+import json
 import math
 import random
 
@@ -417,3 +418,17 @@ def test_stream_grace_and_watchdog(spark, tmp_path):
     assert rows(got) == rows(states.grace_window(df, 700).where("end_ms is not null"))
     got = drain(machines.stream_never_connected_timeout(stream_of(spark, tmp_path / "w", watch(spark), "t_ms")), "watch")
     assert rows(got) == WATCHED
+
+
+def test_stream_watchdog_keeps_a_sessions_peers_apart(spark, tmp_path):
+    """One state per session; peers, one of them unnamed, and reborn ones are told apart across micro-batches."""
+    data = [(s, p, born, born + t, p == 3, "stable", "new", 9, 1 if p != 2 else 99)
+            for s in ("s", "u") for born in (0, 40_000) for p in (1, 2, 3, None) for t in range(0, 11000, 500)]
+    df = samples(spark, data, WATCH)
+    stream = machines.stream_never_connected_timeout(stream_of(spark, tmp_path / "p", df, "t_ms"))
+    query = stream.writeStream.format("memory").queryName("peers").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert rows(spark.table("peers")) == rows(states.never_connected_timeout(df))
+    assert stream.schema["peer"].dataType == df.schema["peer"].dataType
+    held = [json.loads(p.json)["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(held) == 2
