@@ -25,9 +25,13 @@ from linkloom.sources.reports import redelivery_key
 
 # Slots of a table of newest rows: a batch of few keys touches few of them.
 SLOTS = 256
-# Bits of a filter; at ten bits a key it tells 100,000 keys apart with one false answer in a hundred.
+# Bits of a slot's first filter. A filter takes a key for every KEY_BITS of its bits, which keeps false answers below one
+# in a thousand; then a larger one is begun, with room for as many keys as the slot has, so a slot has few of them.
 FILTER_BITS = 1 << 20
+KEY_BITS = 16
+MOST_BITS = 1 << 30
 PROBES = 7
+FILTERS = "slot string, bits binary, held long"
 
 
 class Slots:
@@ -156,38 +160,50 @@ def latest_lines(spark: SparkSession, path: str) -> DataFrame:
 # Landing once, however late a copy comes
 
 
-def _places(hashed: np.ndarray) -> np.ndarray:
-    """Bits a key sets: steps of its second half from its first."""
+def _place(hashed: np.ndarray, probe: int, bits: int) -> np.ndarray:
+    """A bit a key sets: steps of its second half from its first."""
     first, second = hashed & np.uint64(0xFFFFFFFF), (hashed >> np.uint64(32)) | np.uint64(1)
-    return ((first[:, None] + second[:, None] * np.arange(PROBES, dtype=np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
+    return ((first + second * np.uint64(probe)) % np.uint64(bits)).astype(np.int64)
 
 
 def _probe(keys: pa.Table, filters: pa.Table) -> pa.Table:
     """Keys that one of the filters may hold."""
     hashed = keys.column("_hash").to_numpy().view(np.uint64)
-    places = _places(hashed)
     maybe = np.zeros(len(hashed), bool)
     for bits in filters.column("bits"):
         held = np.frombuffer(bits.as_buffer(), np.uint8)
-        maybe |= ((held[places >> 3] >> (places & 7).astype(np.uint8)) & 1).all(axis=1)
+        left = np.flatnonzero(~maybe)
+        for probe in range(PROBES):
+            place = _place(hashed[left], probe, 8 * len(held))
+            left = left[(held[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
+        maybe[left] = True
     return keys.filter(pa.array(maybe))
 
 
 def _filled(keys: pa.Table, filters: pa.Table) -> pa.Table:
-    """The slot's filter with the keys added."""
-    held = np.zeros(FILTER_BITS // 8, np.uint8)
-    for bits in filters.column("bits"):
-        held |= np.frombuffer(bits.as_buffer(), np.uint8)
-    places = _places(keys.column("_hash").to_numpy().view(np.uint64)).ravel()
-    np.bitwise_or.at(held, places >> 3, (np.uint8(1) << (places & 7).astype(np.uint8)))
-    return pa.table({"slot": keys.column("slot").slice(0, 1).cast(pa.string()), "bits": pa.array([held.tobytes()], pa.binary())})
+    """The slot's filters with the keys added to one that has room for them, else to a new one."""
+    made = [np.frombuffer(bits.as_buffer(), np.uint8) for bits in filters.column("bits")]
+    rooms = [8 * len(bits) // KEY_BITS for bits in made]
+    held = [room if n is None else n for n, room in zip(filters.column("held").to_pylist(), rooms, strict=True)]
+    at = next((k for k, room in enumerate(rooms) if held[k] + len(keys) <= room), len(made))
+    if at == len(made):
+        wanted = 1 << (KEY_BITS * (sum(held) + len(keys)) - 1).bit_length()
+        made.append(np.zeros(min(max(wanted, FILTER_BITS), MOST_BITS) // 8, np.uint8))
+        held.append(0)
+    made[at], held[at] = made[at].copy(), held[at] + len(keys)
+    hashed = keys.column("_hash").to_numpy().view(np.uint64)
+    for probe in range(PROBES):
+        place = _place(hashed, probe, 8 * len(made[at]))
+        np.bitwise_or.at(made[at], place >> 3, np.uint8(1) << (place & 7).astype(np.uint8))
+    slot = keys.column("slot")[0].as_py()
+    return pa.table({"slot": pa.array([slot] * len(made), pa.string()), "bits": pa.array([b.tobytes() for b in made], pa.binary()), "held": pa.array(held, pa.int64())})
 
 
 class LandedOnce:
     """A landing table at ``path`` that takes each report once, whatever time lies between its copies.
 
     Beside the rows (``rows/batch=…``) lie the keys of all that was landed, by day of
-    arrival and part (``keys``), and a Bloom filter for each day and part. A batch is
+    arrival and part (``keys``), and Bloom filters for each day and part, as large as its keys need. A batch is
     probed against the filters of its parts, of all days; only keys a filter may hold
     are compared to the keys themselves, in those parts alone. So a report that comes
     for the first time costs a look into filters, and nothing is dropped on a guess.
@@ -243,8 +259,11 @@ class LandedOnce:
         days = {r["slot"] for r in new.select("slot").distinct().collect()}
         held = self.filters.read(days.__contains__)
         if held is None:
-            held = self.spark.createDataFrame([], "slot string, bits binary")
-        return new.select("slot", "_hash").groupBy("slot").cogroup(held.select("slot", "bits").groupBy("slot")).applyInArrow(_filled, "slot string, bits binary")
+            held = self.spark.createDataFrame([], FILTERS)
+        if "held" not in held.columns:  # written when a slot had one filter, which counts as full
+            held = held.withColumn("held", F.lit(None).cast("long"))
+        held = held.select("slot", "bits", "held")
+        return new.select("slot", "_hash").groupBy("slot").cogroup(held.groupBy("slot")).applyInArrow(_filled, FILTERS)
 
     def read(self) -> DataFrame | None:
         """All rows landed by committed batches; None before the first."""

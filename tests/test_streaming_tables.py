@@ -4,7 +4,9 @@ import json
 import random
 import shutil
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,3 +214,16 @@ def test_copies_of_any_age_are_dropped(spark, tmp_path, monkeypatch, bits):
     assert landed.read().count() == 62
     landed.land(lines_of(spark, [("new", 1, 1, 900), ("s1", 1, 1, 901)]), 5)
     assert landed.read().count() == 63
+
+
+def test_filters_grow_with_their_keys():
+    """Keys that never came are not taken for landed ones, however many a slot holds; those that came always are."""
+    hashed = np.random.default_rng(1).integers(-2**63, 2**63 - 1, 700_000)
+    keys = lambda part: pa.table({"slot": pa.array(["20260101-0"] * len(part)), "_hash": part})
+    filters = pa.table({"slot": ["20260101-0"], "bits": pa.array([bytes(8)], pa.binary()), "held": pa.array([None], pa.int64())})
+    for at in range(0, 400_000, 50_000):
+        filters = tables._filled(keys(hashed[at:at + 50_000]), filters)
+    assert len(filters) <= 6 and sum(filters.column("held").to_pylist()) == 400_000 + 4
+    assert sum(map(len, filters.column("bits").to_pylist())) <= 400_000 * 8
+    assert len(tables._probe(keys(hashed[:400_000]), filters)) == 400_000
+    assert len(tables._probe(keys(hashed[400_000:]), filters)) < 900
