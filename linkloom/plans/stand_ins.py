@@ -212,8 +212,10 @@ SQL["tick"] = "SELECT user_id AS node, t_ms, [k % 3, k % 2 + 3] AS in_range FROM
 
 
 def _exports(df: DataFrame, record_type: str, source_file: Column, body: Column) -> DataFrame:
+    # One element exploded, as above: a parse of the payload reads a column. Merged into the parse,
+    # the body would be built by expressions that Spark does not compile.
     return fill_cores(df).select(
-        F.to_json(body).alias("payload"), source_file.alias("source_file"),
+        F.explode(F.array(F.to_json(body))).alias("payload"), source_file.alias("source_file"),
         F.lit(record_type).alias("record_type"), F.lit(None).cast("int").alias("peer_count"),
         F.lit(AT).alias("ingested_at"),
     )

@@ -186,6 +186,23 @@ def test_run_tables(spark):
     assert rows(mix) == [("idle", "link", 2.0)]
 
 
+def test_made_payloads_are_parsed_as_columns(spark, tmp_path):
+    """A body merged into the parse would be built without compiled code."""
+    spark.createDataFrame(
+        [(7, 1, 2, 30.0, 900.5, 0.02, 0.04, "R", "F"), (7, 1, 2, 5.0, 10.0, 0.0, 0.0, "N", "O"), (7, None, None, None, None, None, None, None, None)],
+        "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    made = stand_ins.dtx_exports(spark, str(tmp_path))
+    dtx = reshape.normalize_dtx(made)
+    parses = [line for line in dtx._jdf.queryExecution().executedPlan().toString().splitlines() if "from_json(" in line]
+    assert parses and not any("StructsToJson" in line or "to_json" in line for line in parses)
+    assert rows(made.select("payload")) == [
+        ('{"source":"speech","dtx":false,"uplinkKbps":10.25}',), ('{"source":"tone","uplinkKbps":-2.25}',), ('{"source":"tone"}',)]
+    assert rows(dtx.select("source_file", "source", "dtx", "uplink_kbps")) == [
+        ("wsn-dtx-7.json", "speech", False, 10.25), ("wsn-dtx-7.json", "tone", False, -2.25), ("wsn-dtx-7.json", "tone", False, None)]
+    assert reshape.voice_client_summary(stand_ins.voice_exports(spark, str(tmp_path))).count() == 6
+
+
 # Marts
 
 
