@@ -261,8 +261,7 @@ def staging_views(spark, sf_dir):
     """All seven views, over written tables."""
     out = scratch(spark)
     tables = reshape.build_experiment_tables(all_exports(spark, sf_dir))
-    for name, df in {**tables, "link_fact": link_fact(spark, sf_dir)}.items():
-        layers.write_layer(df, out, name)
+    layers.write_layers({**tables, "link_fact": link_fact(spark, sf_dir)}, out)
     reshape.staging_views(spark, out)
     views = [shown(table, spark.table(view)).withColumn("name", F.lit(view)) for view, table in reshape.STAGING.items()]
     return reshape.union_sources(*views)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from linkloom import schemas
@@ -29,6 +32,20 @@ def write_layer(
     writer.save(_path(root, name))
 
 
+def write_layers(tables: dict[str, DataFrame], root: str) -> None:
+    """Independent tables, written at once: what one leaves idle at its end the others use."""
+    if not tables:
+        return
+    spark = next(iter(tables.values())).sparkSession
+    with ThreadPoolExecutor(len(tables)) as pool:
+        writes = [
+            pool.submit(inheritable_thread_target(spark)(write_layer), df, root, name)
+            for name, df in tables.items()
+        ]
+    for write in writes:
+        write.result()
+
+
 def read_mart(
     spark: SparkSession, root: str, name: str, order_by: list[str] | str | None = None
 ) -> DataFrame:

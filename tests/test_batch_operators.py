@@ -203,6 +203,17 @@ def test_made_payloads_are_parsed_as_columns(spark, tmp_path):
     assert reshape.voice_client_summary(stand_ins.voice_exports(spark, str(tmp_path))).count() == 6
 
 
+def test_tables_written_at_once(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    layers.write_layers({f"t{i}": spark.range(i).toDF("n") for i in range(4)}, root)
+    assert [layers.read_layer(spark, root, f"t{i}").count() for i in range(4)] == [0, 1, 2, 3]
+    layers.write_layers({}, root)
+    bad = spark.range(1).select(F.raise_error(F.lit("no such run")).cast("long").alias("n"))
+    with pytest.raises(Exception, match="no such run"):
+        layers.write_layers({"t1": spark.range(5).toDF("n"), "t2": bad}, root)
+    assert layers.read_layer(spark, root, "t1").count() == 5
+
+
 # Marts
 
 
