@@ -119,15 +119,18 @@ def audiogap_skipped(runs: DataFrame) -> DataFrame:
 
 def sensing_suppression(sensing: DataFrame) -> DataFrame:
     """Per scenario: runs, and the median over all their clients."""
-    share = median("suppressed_pct")
     clients = sensing.where(F.col("scenario").isNotNull() & (F.col("scenario") != ""))
-    # Runs are counted on their own: a distinct count beside a median keeps the values of every run apart.
-    trials = clients.select("scenario", "source_file").distinct().groupBy("scenario").agg(F.count("source_file").alias("trials"))
-    medians = clients.groupBy("scenario").agg(
+    # Runs and shares are counted side by side, so that clients are made once: a distinct count
+    # beside a median would keep the values of every run apart.
+    run = F.struct("source_file", F.lit(None).cast("double").alias("share"))
+    value = F.struct(F.lit(None).cast("string").alias("source_file"), F.col("suppressed_pct").cast("double").alias("share"))
+    counted = clients.select("scenario", F.inline(F.array(run, value))).groupBy("scenario", "source_file", "share").agg(F.count(F.lit(1)).alias("_n"))
+    share = F.percentile("share", 0.5, F.col("_n"))
+    return counted.groupBy("scenario").agg(
+        F.count("source_file").alias("trials"),
         F.round(share).alias("suppression_median_pct"),
         share.alias("suppression_median_pct_raw"),
     )
-    return trials.join(medians, "scenario")
 
 
 def sensing_report_mix(raw_json: DataFrame) -> DataFrame:

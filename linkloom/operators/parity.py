@@ -6,13 +6,16 @@ read schemas nor the silver tables with the marts, and compare unrounded values.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.functions.scalars import access_of, round_half_even
 from linkloom.operators.history import broadcast_if_small, settled
+from linkloom.operators.reshape import voice_runs
+from linkloom.session import at_once
 
 TOLERANCE = 1
 
@@ -37,6 +40,23 @@ def _json(path: str, kind: str) -> Column:
     return F.get_json_object("payload", path).try_cast(kind)
 
 
+def _fields(df: DataFrame, **paths: str) -> DataFrame:
+    """Top-level fields of the payload as texts, from one reading of it; a filter on one reads no payload again."""
+    return df.select("*", F.json_tuple("payload", *paths.values()).alias(*paths))
+
+
+def _as(kind: str, *names: str) -> dict[str, Column]:
+    return {n: F.col(n).try_cast(kind) for n in names}
+
+
+def _phases(raw_json: DataFrame, **phases: str) -> DataFrame:
+    """Times of the phases of mobility runs, from one reading; read as texts, so that a quoted number is cast as any other."""
+    schema = "phases struct<" + ", ".join(f"{p}:struct<ms:string>" for p in phases.values()) + ">"
+    read = F.from_json("payload", schema, {"allowUnquotedControlChars": "true"})
+    runs = _of(raw_json, "mobility").select(F.explode(F.array(read)).alias("r"))
+    return runs.select(*[F.col(f"r.phases.{p}.ms").try_cast("double").alias(n) for n, p in phases.items()])
+
+
 def _median(value: Column) -> Column:
     return F.percentile(value, 0.5)
 
@@ -51,47 +71,44 @@ def _keyed(df: DataFrame, *keys: str) -> DataFrame:
     return df.withColumn("key", F.concat_ws("/", *text)) if keys else df.withColumn("key", F.lit("all"))
 
 
+def _dtx_runs(raw_json: DataFrame) -> DataFrame:
+    read = _fields(_of(raw_json, "dtx"), source="source", dtx="dtx", v="uplinkKbps")
+    runs = read.select("source", F.coalesce(F.col("dtx").try_cast("boolean"), F.lit(False)).alias("dtx"), F.col("v").try_cast("double").alias("v"))
+    return runs.where("v >= 0")
+
+
 def reference_dtx(raw_json: DataFrame) -> DataFrame:
-    runs = _of(raw_json, "dtx").select(
-        F.get_json_object("payload", "$.source").alias("source"),
-        F.coalesce(_json("$.dtx", "boolean"), F.lit(False)).alias("dtx"),
-        _json("$.uplinkKbps", "double").alias("v"),
-    ).where("v >= 0")
-    cells = runs.groupBy("source", "dtx").agg(_median(F.col("v")).alias("expected"))
+    cells = _dtx_runs(raw_json).groupBy("source", "dtx").agg(_median(F.col("v")).alias("expected"))
     return _keyed(cells, "source", "dtx").select("key", "expected")
 
 
 def reference_sensing(raw_json: DataFrame) -> DataFrame:
-    clients = _of(raw_json, "sensing").select(
-        F.get_json_object("payload", "$.scenario").alias("scenario"),
-        F.explode_outer(F.from_json(F.get_json_object("payload", "$.clients"), "map<string,string>")).alias("c", "body"),
-    ).where("scenario <> ''")
+    runs = _fields(_of(raw_json, "sensing"), scenario="scenario", clients="clients").where("scenario <> ''")
+    clients = runs.select("scenario", F.explode_outer(F.from_json("clients", "map<string,string>")).alias("c", "body"))
     share = F.get_json_object("body", "$.stats.suppressedPct").try_cast("double")
     cells = clients.groupBy("scenario").agg(_median(share).alias("expected"))
     return cells.where("expected is not null").select(F.col("scenario").alias("key"), "expected")
 
 
 def reference_gracegap(raw_json: DataFrame) -> DataFrame:
-    runs = _of(raw_json, "gracegap").select(
-        _json("$.absenceMs", "int").alias("d"), _json("$.graceMs", "int").alias("w"),
-        _json("$.reconnectGapMs", "double").alias("v"),
-    ).where("v >= 0")
+    read = _fields(_of(raw_json, "gracegap"), d="absenceMs", w="graceMs", v="reconnectGapMs")
+    runs = read.withColumns(_as("int", "d", "w") | _as("double", "v")).where("v >= 0")
     return _keyed(runs.groupBy("d", "w").agg(_median(F.col("v")).alias("expected")), "d", "w").select("key", "expected")
 
 
 def reference_mobility(raw_json: DataFrame) -> DataFrame:
-    phase = lambda p: F.coalesce(_json(f"$.phases.{p}.ms", "double"), F.lit(-1.0))
-    runs = _of(raw_json, "mobility").select(
-        phase("initialForm").alias("a"), phase("teardown").alias("b"), phase("reconnect").alias("v")
-    ).where("least(a, b, v) >= 0")
+    runs = _phases(raw_json, a="initialForm", b="teardown", v="reconnect").na.fill(-1.0).where("least(a, b, v) >= 0")
     return _keyed(runs.agg(_median(F.col("v")).alias("expected"))).select("key", "expected")
 
 
 def reference_audiogap(raw_json: DataFrame) -> DataFrame:
-    runs = _of(raw_json, "audiogap").where(_json("$.valid", "boolean"))
-    return _keyed(
-        runs.agg(_median(_json("$.reconnectAudioGapMs", "double")).alias("expected"))
-    ).select("key", "expected")
+    runs = _fields(_of(raw_json, "audiogap"), valid="valid", v="reconnectAudioGapMs").where(F.col("valid").try_cast("boolean"))
+    return _keyed(runs.agg(_median(F.col("v").try_cast("double")).alias("expected"))).select("key", "expected")
+
+
+def sized(raw_json: DataFrame) -> DataFrame:
+    """Voice runs with their cluster size as ``_n``."""
+    return _of(raw_json, "voice").withColumn("_n", _json("$.N", "int"))
 
 
 def _newest_files(runs: DataFrame) -> DataFrame:
@@ -108,27 +125,29 @@ def _bodies(raw_json: DataFrame, newest: DataFrame, explode) -> DataFrame:
     )
 
 
-def reference_kpi_vs_n(raw_json: DataFrame) -> DataFrame:
-    """Set-up median of the newest run per N."""
+def reference_kpi_vs_n(raw_json: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """Set-up median of the newest run per N; ``runs`` gives ``sized`` and its files where they cost less to read."""
     voice = _of(raw_json, "voice")
-    newest = _newest_files(voice.select(_json("$.N", "int").alias("_n"), "source_file"))
+    newest = _newest_files((sized(raw_json) if runs is None else runs).select("_n", "source_file"))
     setup = F.get_json_object("body", "$.kpis.setupMedianMs").try_cast("double")
     runs = _bodies(voice, newest, F.explode_outer).groupBy("n_peers", "source_file").agg(_median(F.when(setup >= 0, setup)).alias("expected"))
     same = newest["_n"].eqNullSafe(runs["n_peers"]) & (newest["_file"] == runs["source_file"])
     return newest.join(runs, same, "left").select(F.col("_n").cast("string").alias("key"), "expected")
 
 
+def _newest_links(raw_stream: DataFrame) -> DataFrame:
+    """The links (condition, body) of each session's newest report; a report without links keeps one row."""
+    read = _fields(raw_stream.select("payload", "line"), condition="cond", s="sid", ts="ts", links="links").where("condition <> ''")
+    lines = read.select("condition", "s", F.coalesce(F.col("ts").try_cast("bigint"), F.lit(0)).alias("at"), "line", "links")
+    newest = lines.groupBy("condition", "s").agg(F.max_by("links", F.struct("at", "line")).alias("links"))
+    return newest.select("condition", F.explode_outer(F.from_json("links", "array<string>")).alias("body"))
+
+
 def reference_realnet(raw_stream: DataFrame) -> DataFrame:
     """Set-up median per condition over the links of each session's newest report."""
-    text = lambda p: F.get_json_object("payload", p)
-    lines = raw_stream.select(
-        text("$.cond").alias("k"), text("$.sid").alias("s"),
-        F.coalesce(text("$.ts").try_cast("bigint"), F.lit(0)).alias("at"), "line", text("$.links").alias("links"),
-    ).where("k <> ''")
-    newest = lines.groupBy("k", "s").agg(F.max_by("links", F.struct("at", "line")).alias("links"))
-    link = newest.select("k", F.explode_outer(F.from_json("links", "array<string>")).alias("body"))
+    link = _newest_links(raw_stream)
     setup = F.get_json_object("body", "$.setupMs").try_cast("double")
-    cells = link.groupBy("k").agg(_median(F.when(setup >= 0, setup)).alias("expected"))
+    cells = link.groupBy(F.col("condition").alias("k")).agg(_median(F.when(setup >= 0, setup)).alias("expected"))
     return cells.select(F.col("k").alias("key"), "expected")
 
 
@@ -319,6 +338,36 @@ def compare_columns(name: str, expected: DataFrame, actual: DataFrame, keys: lis
         "check", "rows", F.coalesce("differing", F.lit(0)).alias("differing"), "buckets", "key", "expected", "actual", F.col("differing").isNull().alias("ok"))
 
 
+def newest_by_both_sizes(sizes: DataFrame) -> DataFrame:
+    """The newest file per pair of sizes, as the mart (n_peers) and as the reference (_n) read it from the same payload.
+
+    The newest file of either size is the newest of its pairs, so payloads are made once for both.
+    """
+    return settled(voice_runs(sizes, "_n").groupBy("n_peers", "_n").agg(F.max("source_file").alias("source_file")))
+
+
+# A mart, or what makes it; ``Runs`` makes the ``runs`` of ``reference_kpi_vs_n``.
+Mart = DataFrame | Callable[[], DataFrame]
+Runs = Callable[[], DataFrame] | None
+
+
+def _side_by_side(raw: dict[str, DataFrame], made: dict[str, Callable], marts: dict[str, Mart], compare: Callable, runs: Runs) -> list[DataFrame]:
+    """Every mart compared to its reference; each pair is made and compared in a step of its own."""
+
+    def step(name: str) -> DataFrame:
+        more = [runs()] if name == "kpi_vs_n" and runs else []
+        expected = made[name](raw[MART_REFERENCES[name][1]], *more)
+        return compare(name, expected, marts[name]() if callable(marts[name]) else marts[name])
+
+    return list(at_once(next(iter(raw.values())).sparkSession, {name: partial(step, name) for name in made}).values())
+
+
+def compare_all(raw: dict[str, DataFrame], marts: dict[str, Mart], tol: float = TOLERANCE, runs: Runs = None) -> list[DataFrame]:
+    """The compared column of all marts against their references."""
+    made = {name: reference for name, (reference, _, _, _) in MART_REFERENCES.items()}
+    return _side_by_side(raw, made, marts, partial(compare_mart, tol=tol), runs)
+
+
 def compare_all_columns(raw: dict[str, DataFrame], marts: dict[str, DataFrame], tol: float = TOLERANCE) -> DataFrame:
     """All columns of all marts against their second reduction."""
     parts = [

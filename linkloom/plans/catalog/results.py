@@ -41,8 +41,8 @@ KPI_COLUMNS = ["n_peers", "avg_peers", "conn_links", "setup_median_ms", "setup_m
                "relay_pct", "m2e_ms", "uplink_kbps", "suppressed_pct", "glare_total"]
 
 
-def kpi(spark, sf_dir):
-    return marts.kpi_vs_n(voice_clients(spark, sf_dir), voice_runs(spark, sf_dir))
+def kpi(spark, sf_dir, runs=None):
+    return marts.kpi_vs_n(voice_clients(spark, sf_dir), voice_runs(spark, sf_dir) if runs is None else runs)
 
 
 query("kpi_vs_n", with_sql("client", body=KPI))(lambda spark, sf_dir: kpi(spark, sf_dir).select(*KPI_COLUMNS))

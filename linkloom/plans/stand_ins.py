@@ -352,7 +352,7 @@ def sensing_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("t_ms").alias("t"), F.col("event_type").alias("kind"),
         F.struct(k.alias("x"), F.floor("value").cast("int").alias("y")).alias("pos"),
         (k % 3).alias("neighbors"),
-        F.transform(F.slice(F.array(F.lit(0), F.lit(1)), 1, k % 3), reading).alias("links"),
+        F.slice(F.array(reading(F.lit(0)), reading(F.lit(1))), 1, k % 3).alias("links"),
         F.lit(0.5).alias("energy"), F.lit("").alias("note"),
     )
     stats = lambda share: F.struct(share.alias("suppressedPct")).alias("stats")

@@ -6,7 +6,10 @@ import io
 import pathlib
 import tempfile
 import zipfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Rows of one key that a single task may walk in order. Keys above it are cut
@@ -87,6 +90,14 @@ def use_checkpoints(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
+def at_once(spark: SparkSession, steps: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Independent steps that run jobs, side by side: cores that one leaves idle at its end serve the others."""
+    use_checkpoints(spark)
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(step)) for name, step in steps.items()}
+    return {name: step.result() for name, step in running.items()}
+
+
 def fill_cores(df: DataFrame) -> DataFrame:
     """Spread a scan that has fewer splits than there are cores, ahead of costly row work.
 

@@ -260,6 +260,55 @@ def test_newest_runs_are_picked_before_parsing(spark):
     assert plan.rindex("LeftSemi") > plan.index("Generate")  # a join lies below the parsing
 
 
+def written(spark, tmp_path, df):
+    """Rows that the optimizer cannot fold into constants."""
+    df.write.parquet(str(tmp_path / "raw"))
+    return spark.read.parquet(str(tmp_path / "raw"))
+
+
+def test_a_filter_on_a_parsed_field_parses_no_payload_again(spark, tmp_path):
+    json_rows = written(spark, tmp_path, raw(spark, ("d", "dtx", {"source": "tone", "dtx": True, "uplinkKbps": 3.5})))
+    tables = reshape.build_experiment_tables(json_rows)
+    for made in (marts.gracegap_series(tables["gracegap"]), marts.mobility_cycles(tables["mobility"]), marts.audiogap(tables["audiogap"]),
+                 marts.sensing_suppression(tables["sensing"]), reshape.filter_measured(tables["dtx"], "uplink_kbps")):
+        assert plan_of(made).count("from_json(") == 1
+
+
+def test_references_read_a_payload_once(spark, tmp_path):
+    json_rows = written(spark, tmp_path, raw(spark, ("d", "dtx", {"source": "tone", "dtx": True, "uplinkKbps": 3.5})))
+    for name in ("dtx_uplink", "gracegap_series", "mobility_cycles", "audiogap", "sensing_suppression"):
+        plan = plan_of(parity.MART_REFERENCES[name][0](json_rows))
+        assert plan.count("get_json_object(payload") + plan.count("json_tuple(payload") + plan.count("from_json(StructField(phases") == 1, name
+
+
+def test_references_read_numbers_in_quotes(spark):
+    json_rows = raw(
+        spark, ("m", "mobility", {"phases": {"initialForm": {"ms": "10"}, "teardown": {"ms": 20}, "reconnect": {"ms": 30.5}}}),
+        ("m2", "mobility", {"phases": {"initialForm": {"ms": 1}, "teardown": 5, "reconnect": {"ms": 7}}}), ("m3", "mobility", {"phases": {}}),
+        ("a", "audiogap", {"valid": "true", "reconnectAudioGapMs": "2500"}), ("a2", "audiogap", {"valid": False, "reconnectAudioGapMs": 1}),
+        ("d", "dtx", {"source": "tone", "uplinkKbps": "4.5"}), ("d2", "dtx", {"source": "tone", "dtx": None, "uplinkKbps": -1}))
+    assert rows(parity.reference_mobility(json_rows)) == [("all", 30.5)]
+    assert rows(parity.reference_audiogap(json_rows)) == [("all", 2500.0)]
+    assert rows(parity.reference_dtx(json_rows)) == [("tone/false", 4.5)]
+
+
+def test_runs_and_shares_of_sensing_are_counted_side_by_side(spark, tmp_path):
+    body = lambda *shares: {"scenario": "idle", "clients": {f"c{i}": {"stats": {"suppressedPct": v}} for i, v in enumerate(shares)}}
+    json_rows = raw(spark, ("s1", "sensing", body(10, 20)), ("s1", "sensing", body(10, None)), ("s2", "sensing", body(40)), (None, "sensing", body(70)), ("s4", "sensing", body()))
+    expected = ("idle", 2, 20.0)  # of 10, 20, 10, 40 and 70
+    mart = marts.sensing_suppression(reshape.normalize_sensing(json_rows))
+    assert rows(mart.select("scenario", "trials", "suppression_median_pct_raw")) == [expected]
+    assert plan_of(marts.sensing_suppression(reshape.normalize_sensing(written(spark, tmp_path, json_rows)))).count("Relation") == 1
+
+
+def test_newest_runs_of_mart_and_reference_from_one_making(spark):
+    json_rows = newest_runs(spark)
+    silver = reshape.voice_client_summary(json_rows)
+    runs = parity.newest_by_both_sizes(parity.sized(json_rows))
+    assert rows(marts.kpi_vs_n(silver, runs)) == rows(marts.kpi_vs_n(silver, reshape.voice_runs(json_rows)))
+    assert rows(parity.reference_kpi_vs_n(json_rows, runs)) == rows(parity.reference_kpi_vs_n(json_rows))
+
+
 def test_references_read_clients_of_newest_runs_only(spark):
     json_rows = newest_runs(spark)
     assert rows(parity.reference_kpi_vs_n(json_rows)) == [("2", 476.5), ("3", None), (None, None)]
