@@ -111,6 +111,17 @@ def sized(raw_json: DataFrame) -> DataFrame:
     return _of(raw_json, "voice").withColumn("_n", _json("$.N", "int"))
 
 
+def sized_with_clients(raw_json: DataFrame) -> DataFrame:
+    """Voice runs with their cluster size as ``_n``, NULL without a client.
+
+    One reading gives the size and whether clients are there; where it finds none, their own path decides.
+    """
+    read = F.from_json("payload", "N string, perClient array<struct<client:string>>", {"allowUnquotedControlChars": "true"})
+    counted = F.coalesce(F.json_array_length(F.get_json_object("payload", "$.perClient")), F.lit(0))
+    size = F.when((F.size("_r.perClient") > 0) | (counted > 0), F.col("_r.N").try_cast("int"))
+    return _of(raw_json, "voice").withColumn("_r", F.explode(F.array(read))).withColumn("_n", size).drop("_r")
+
+
 def _newest_files(runs: DataFrame) -> DataFrame:
     """The newest file of each cluster size (_n, _file), from runs (_n, source_file)."""
     return broadcast_if_small(settled(runs.groupBy("_n").agg(F.max("source_file").alias("_file"))))
@@ -205,28 +216,26 @@ def _known(value: Column) -> Column:
 
 
 def _dtx_columns(raw_json: DataFrame) -> DataFrame:
-    runs = _of(raw_json, "dtx").select(
-        F.get_json_object("payload", "$.source").alias("source"), F.coalesce(_json("$.dtx", "boolean"), F.lit(False)).alias("dtx"), _json("$.uplinkKbps", "double").alias("v"))
-    return runs.where("v >= 0").groupBy("source", "dtx").agg(F.count(F.lit(1)).alias("n"), *_figures(F.col("v"), "uplink_median_kbps", spread=False))
+    return _dtx_runs(raw_json).groupBy("source", "dtx").agg(F.count(F.lit(1)).alias("n"), *_figures(F.col("v"), "uplink_median_kbps", spread=False))
 
 
 def _sensing_columns(raw_json: DataFrame) -> DataFrame:
-    clients = _of(raw_json, "sensing").select(
-        F.get_json_object("payload", "$.scenario").alias("scenario"), "source_file",
-        F.explode(F.from_json(F.get_json_object("payload", "$.clients"), "map<string,string>")).alias("c", "body"),
-    ).where("scenario <> ''")
+    runs = _fields(_of(raw_json, "sensing"), scenario="scenario", clients="clients").where("scenario <> ''")
+    clients = runs.select("scenario", "source_file", F.explode(F.from_json("clients", "map<string,string>")).alias("c", "body"))
     share = F.get_json_object("body", "$.stats.suppressedPct").try_cast("double")
-    # runs on their own, so that no median is kept per run
-    trials = clients.select("scenario", "source_file").distinct().groupBy("scenario").agg(F.count(F.lit(1)).alias("trials"))
-    medians = clients.groupBy("scenario").agg(*_figures(share, "suppression_median_pct", spread=False))
-    return trials.join(medians, "scenario")
+    # runs and shares are counted side by side, so that clients are read once and no median is kept per run
+    sides = clients.select("scenario", "source_file", share.alias("share")).select("scenario", F.inline(F.array(
+        F.struct(F.lit(True).alias("run"), "source_file", F.lit(None).cast("double").alias("share")),
+        F.struct(F.lit(False).alias("run"), F.lit(None).cast("string").alias("source_file"), "share"))))
+    counted = sides.groupBy("scenario", "run", "source_file", "share").agg(F.count(F.lit(1)).alias("n"))
+    middle = F.percentile("share", 0.5, F.col("n"))
+    return counted.groupBy("scenario").agg(
+        F.count_if("run").alias("trials"), F.round(middle).alias("suppression_median_pct"), middle.alias("suppression_median_pct_raw"))
 
 
 def _gracegap_columns(raw_json: DataFrame) -> DataFrame:
-    paths = {"absence_ms": "absenceMs", "grace_ms": "graceMs", "v": "reconnectGapMs", "stop": "stopAfterOutMs", "hold": "holdKbps"}
-    # all fields out of one reading of the payload
-    texts = _of(raw_json, "gracegap").select(F.json_tuple("payload", *paths.values()).alias(*paths))
-    runs = texts.select(*[F.col(c).try_cast("int" if c in ("absence_ms", "grace_ms") else "double").alias(c) for c in paths])
+    read = _fields(_of(raw_json, "gracegap"), absence_ms="absenceMs", grace_ms="graceMs", v="reconnectGapMs", stop="stopAfterOutMs", hold="holdKbps")
+    runs = read.withColumns(_as("int", "absence_ms", "grace_ms") | _as("double", "v", "stop", "hold"))
     return runs.where("v >= 0").groupBy("absence_ms", "grace_ms").agg(
         F.count(F.lit(1)).alias("n"), *_figures(F.col("v"), "gap_median_ms"),
         *_figures(_known(F.col("stop")), "stop_median_ms", spread=False), *_figures(_known(F.col("hold")), "hold_median_kbps", spread=False))
@@ -234,22 +243,21 @@ def _gracegap_columns(raw_json: DataFrame) -> DataFrame:
 
 def _mobility_columns(raw_json: DataFrame) -> DataFrame:
     phases = {"form": "initialForm", "teardown": "teardown", "reconnect": "reconnect"}
-    runs = _of(raw_json, "mobility").select(*[_json(f"$.phases.{path}.ms", "double").alias(name) for name, path in phases.items()])
-    whole = runs.where("form >= 0 and teardown >= 0 and reconnect >= 0")
+    whole = _phases(raw_json, **phases).where("form >= 0 and teardown >= 0 and reconnect >= 0")
     return whole.agg(F.count(F.lit(1)).alias("complete_cycles"), *[c for name in phases for c in _figures(F.col(name), f"{name}_median_ms")])
 
 
 def _audiogap_columns(raw_json: DataFrame) -> DataFrame:
     phases = {"stop": "audioStopAfterOutMs", "reconnect": "reconnectAudioGapMs", "total_silence": "totalSilenceMs"}
-    runs = _of(raw_json, "audiogap").where(_json("$.valid", "boolean")).select(*[_json(f"$.{path}", "double").alias(name) for name, path in phases.items()])
+    read = _fields(_of(raw_json, "audiogap"), valid="valid", **phases).where(F.col("valid").try_cast("boolean"))
+    runs = read.select(*[c.alias(n) for n, c in _as("double", *phases).items()])
     return runs.agg(F.count(F.lit(1)).alias("valid_runs"), *[c for name in phases for c in _figures(F.col(name), f"{name}_median_ms")])
 
 
-def _kpi_columns(raw_json: DataFrame) -> DataFrame:
+def _kpi_columns(raw_json: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """``runs`` gives ``sized_with_clients`` and its files where they cost less to read."""
     voice = _of(raw_json, "voice")
-    clients_of = F.coalesce(F.json_array_length(F.get_json_object("payload", "$.perClient")), F.lit(0))
-    sized = F.when(clients_of > 0, _json("$.N", "int"))
-    newest = _newest_files(voice.select(sized.alias("_n"), "source_file"))
+    newest = _newest_files((sized_with_clients(raw_json) if runs is None else runs).select("_n", "source_file"))
     clients = _bodies(voice, newest, F.explode)
     of = lambda path: F.get_json_object("body", f"$.{path}").try_cast("double")
     fields = {"setup_median_ms": "kpis.setupMedianMs", "setup_p95_ms": "kpis.setupP95Ms", "ice_success_pct": "kpis.iceSuccessPct", "relay_pct": "kpis.relayPct",
@@ -263,18 +271,13 @@ def _kpi_columns(raw_json: DataFrame) -> DataFrame:
 
 
 def _realnet_columns(raw_stream: DataFrame) -> DataFrame:
-    text = lambda p: F.get_json_object("payload", p)
-    lines = raw_stream.select(
-        text("$.cond").alias("condition"), text("$.sid").alias("s"),
-        F.coalesce(text("$.ts").try_cast("bigint"), F.lit(0)).alias("at"), "line", text("$.links").alias("links")).where("condition <> ''")
-    newest = lines.groupBy("condition", "s").agg(F.max_by("links", F.struct("at", "line")).alias("links"))
-    link = newest.select("condition", F.explode_outer(F.from_json("links", "array<string>")).alias("body"))
-    of = lambda name: F.get_json_object("body", f"$.{name}")
-    setup, rtt = (_known(of(name).try_cast("double")) for name in ("setupMs", "rttMs"))
-    relayed = F.coalesce(F.bool_or(of("candidateType") == "relay"), F.lit(False))
+    names = ["setupMs", "rttMs", "candidateType", "glare"]
+    link = _newest_links(raw_stream).select("condition", F.json_tuple("body", *names).alias(*names))
+    setup, rtt = (_known(F.col(name).try_cast("double")) for name in ("setupMs", "rttMs"))
+    relayed = F.coalesce(F.bool_or(F.col("candidateType") == "relay"), F.lit(False))
     return link.groupBy("condition").agg(
         F.when(relayed, "relay").otherwise("direct").alias("path"), F.count(setup).alias("links"),
-        *_figures(setup, "setup_median_ms", spread=False), *_figures(rtt, "rtt_median_ms", spread=False), F.sum(of("glare").try_cast("double")).alias("glare_total"),
+        *_figures(setup, "setup_median_ms", spread=False), *_figures(rtt, "rtt_median_ms", spread=False), F.sum(F.col("glare").try_cast("double")).alias("glare_total"),
     ).withColumn("access", access_of("condition"))
 
 
@@ -368,13 +371,10 @@ def compare_all(raw: dict[str, DataFrame], marts: dict[str, Mart], tol: float =
     return _side_by_side(raw, made, marts, partial(compare_mart, tol=tol), runs)
 
 
-def compare_all_columns(raw: dict[str, DataFrame], marts: dict[str, DataFrame], tol: float = TOLERANCE) -> DataFrame:
+def compare_all_columns(raw: dict[str, DataFrame], marts: dict[str, Mart], tol: float = TOLERANCE, runs: Runs = None) -> DataFrame:
     """All columns of all marts against their second reduction."""
-    parts = [
-        compare_columns(name, reference(raw[MART_REFERENCES[name][1]]), marts[name], MART_REFERENCES[name][2], tol)
-        for name, reference in FULL_REFERENCES.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    compare = lambda name, expected, actual: compare_columns(name, expected, actual, MART_REFERENCES[name][2], tol)
+    return reduce(DataFrame.unionByName, _side_by_side(raw, FULL_REFERENCES, marts, compare, runs))
 
 
 def reference_rounded(reference: DataFrame) -> DataFrame:

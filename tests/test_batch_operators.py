@@ -277,8 +277,9 @@ def test_a_filter_on_a_parsed_field_parses_no_payload_again(spark, tmp_path):
 def test_references_read_a_payload_once(spark, tmp_path):
     json_rows = written(spark, tmp_path, raw(spark, ("d", "dtx", {"source": "tone", "dtx": True, "uplinkKbps": 3.5})))
     for name in ("dtx_uplink", "gracegap_series", "mobility_cycles", "audiogap", "sensing_suppression"):
-        plan = plan_of(parity.MART_REFERENCES[name][0](json_rows))
-        assert plan.count("get_json_object(payload") + plan.count("json_tuple(payload") + plan.count("from_json(StructField(phases") == 1, name
+        for made in (parity.MART_REFERENCES[name][0](json_rows), parity.FULL_REFERENCES[name](json_rows)):
+            plan = plan_of(made)
+            assert plan.count("get_json_object(payload") + plan.count("json_tuple(payload") + plan.count("from_json(StructField(phases") == 1, name
 
 
 def test_references_read_numbers_in_quotes(spark):
@@ -288,7 +289,9 @@ def test_references_read_numbers_in_quotes(spark):
         ("a", "audiogap", {"valid": "true", "reconnectAudioGapMs": "2500"}), ("a2", "audiogap", {"valid": False, "reconnectAudioGapMs": 1}),
         ("d", "dtx", {"source": "tone", "uplinkKbps": "4.5"}), ("d2", "dtx", {"source": "tone", "dtx": None, "uplinkKbps": -1}))
     assert rows(parity.reference_mobility(json_rows)) == [("all", 30.5)]
+    assert rows(parity._mobility_columns(json_rows).select("complete_cycles", "form_median_ms_raw", "reconnect_max_ms")) == [(1, 10.0, 30.5)]
     assert rows(parity.reference_audiogap(json_rows)) == [("all", 2500.0)]
+    assert rows(parity._audiogap_columns(json_rows).select("valid_runs", "reconnect_max_ms")) == [(1, 2500.0)]
     assert rows(parity.reference_dtx(json_rows)) == [("tone/false", 4.5)]
 
 
@@ -298,15 +301,20 @@ def test_runs_and_shares_of_sensing_are_counted_side_by_side(spark, tmp_path):
     expected = ("idle", 2, 20.0)  # of 10, 20, 10, 40 and 70
     mart = marts.sensing_suppression(reshape.normalize_sensing(json_rows))
     assert rows(mart.select("scenario", "trials", "suppression_median_pct_raw")) == [expected]
+    # the reference counts a run without a name as one
+    assert rows(parity._sensing_columns(json_rows).select("scenario", "trials", "suppression_median_pct_raw")) == [("idle", 3, 20.0)]
     assert plan_of(marts.sensing_suppression(reshape.normalize_sensing(written(spark, tmp_path, json_rows)))).count("Relation") == 1
 
 
 def test_newest_runs_of_mart_and_reference_from_one_making(spark):
     json_rows = newest_runs(spark)
     silver = reshape.voice_client_summary(json_rows)
-    runs = parity.newest_by_both_sizes(parity.sized(json_rows))
-    assert rows(marts.kpi_vs_n(silver, runs)) == rows(marts.kpi_vs_n(silver, reshape.voice_runs(json_rows)))
-    assert rows(parity.reference_kpi_vs_n(json_rows, runs)) == rows(parity.reference_kpi_vs_n(json_rows))
+    for sizes, reference in ((parity.sized, parity.reference_kpi_vs_n), (parity.sized_with_clients, parity._kpi_columns)):
+        runs = parity.newest_by_both_sizes(sizes(json_rows))
+        assert rows(marts.kpi_vs_n(silver, runs)) == rows(marts.kpi_vs_n(silver, reshape.voice_runs(json_rows)))
+        assert rows(reference(json_rows, runs)) == rows(reference(json_rows))
+    odd = raw(spark, ("f1", "voice", {"N": "3", "perClient": [None]}), ("f2", "voice", {"N": 4, "perClient": [1, 2]}), ("f3", "voice", {"N": 5, "perClient": []}), ("f4", "voice", {"N": 6}))
+    assert rows(parity.sized_with_clients(odd).select("source_file", "_n")) == [("f1", 3), ("f2", 4), ("f3", None), ("f4", None)]
 
 
 def test_references_read_clients_of_newest_runs_only(spark):
